@@ -15,9 +15,9 @@ from stmtscope.operators.summaries import (
     batch_summary,
     first_occurrences,
     metric_summary,
+    metric_values,
     numbered_executions,
     unique_batches,
-    value_histogram,
     wide_metric_summary,
 )
 
@@ -29,12 +29,12 @@ __all__ = [
     "flatten_events",
     "keep_event_types",
     "metric_summary",
+    "metric_values",
     "numbered_executions",
     "outcome_flags",
     "select_events",
     "to_batches",
     "unique_batches",
-    "value_histogram",
     "wide_metric_summary",
     "with_norm_texts",
     "within_time_range",

@@ -36,11 +36,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(renamed, condition).drop(*[f"_{key}" for key in keys])
 
 
-def dense_rank_desc(df: DataFrame, partition: str, value: str, name: str) -> DataFrame:
-    """``DENSE_RANK() OVER (PARTITION BY partition ORDER BY value DESC)``, NULLs last.
+def dense_ranks_desc(df: DataFrame, partition: str, value: str, name: str) -> DataFrame:
+    """``DENSE_RANK() OVER (PARTITION BY partition ORDER BY value DESC)``, NULLs last, as one
+    row per distinct value, to be joined back.
 
-    The rank of a value is the number of larger distinct values plus one, so it is
-    worked out once per distinct value and joined back.
+    The rank of a value is the number of larger distinct values plus one.
     """
     distinct = df.select(partition, value).distinct().withColumn("_bucket", order_bucket(F.col(value)))
     sizes = distinct.groupBy(partition, "_bucket").agg(F.count("*").alias("_size"))
@@ -50,10 +50,9 @@ def dense_rank_desc(df: DataFrame, partition: str, value: str, name: str) -> Dat
         partition, "_bucket", (F.sum("_size").over(before) - F.col("_size")).alias("_larger")
     )
     inside = W.partitionBy(partition, "_bucket").orderBy(F.col(value).desc_nulls_last())
-    ranks = join_null_safe(distinct, offsets, [partition, "_bucket"]).select(
+    return join_null_safe(distinct, offsets, [partition, "_bucket"]).select(
         partition, value, (F.col("_larger") + F.row_number().over(inside)).cast("int").alias(name)
     )
-    return join_null_safe(df, ranks, [partition, value])
 
 
 def row_numbers(

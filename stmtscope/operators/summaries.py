@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stmtscope.operators.ranking import dense_rank_desc, order_bucket, row_numbers
+from stmtscope.operators.ranking import (
+    dense_ranks_desc,
+    join_null_safe,
+    order_bucket,
+    row_numbers,
+)
+from stmtscope.operators.staging import checkpointed
 from stmtscope.schema import (
-    METRIC_SUMMARY,
     METRICS,
     PERCENTILES,
     UNIQUE_BATCHES,
     wide_metric_columns,
 )
 
+# More open ranks than this are not broadcast; one takes less than 100 bytes.
+MAX_BROADCAST_RANKS = 500_000
+# More fingerprints than this are not ranked in one task per metric.
+MAX_WINDOW_FINGERPRINTS = 1_000_000
+
 
 def first_occurrences(batches: DataFrame) -> DataFrame:
     """Smallest event sequence of each fingerprint."""
@@ -66,23 +76,22 @@ def numbered_executions(batches: DataFrame, metric: str) -> DataFrame:
     )
 
 
-def value_histogram(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
-    """How often each value of each metric occurs per fingerprint.  All metrics share one
-    scan; equal values collapse before the shuffle, whose key includes the value, so a
-    hot fingerprint is spread over all tasks."""
+def metric_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """One row per execution and metric, with the value's bucket; all metrics share one scan
+    of just their columns."""
     long = batches.select("norm_id", *metrics).unpivot("norm_id", list(metrics), "metric", "value")
-    return long.groupBy("norm_id", "metric", "value").agg(F.count("*").alias("cnt"))
+    return long.withColumn("bucket", order_bucket(F.col("value")))
 
 
-def _per_bucket(histogram: DataFrame) -> DataFrame:
-    """Histogram folded into value buckets, each with the rows before it in its group."""
-    filled = F.when(F.col("value").isNotNull(), F.col("cnt")).otherwise(0)
-    folded = histogram.groupBy("norm_id", "metric", "bucket").agg(
-        F.sum("cnt").alias("size"),
-        F.sum(filled).alias("filled"),
+def _per_bucket(values: DataFrame) -> DataFrame:
+    """Values folded into buckets, each with the rows before it in its group.  The fold
+    happens mostly before the shuffle, and a group has a bounded number of buckets."""
+    folded = values.groupBy("norm_id", "metric", "bucket").agg(
+        F.count("*").alias("size"),
+        F.count("value").alias("filled"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        F.sum(F.col("value") * F.col("cnt")).alias("bucket_total"),
+        F.sum("value").alias("bucket_total"),
     )
     group = W.partitionBy("norm_id", "metric")
     upto = group.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(
@@ -111,30 +120,49 @@ def _per_group(buckets: DataFrame) -> DataFrame:
     return buckets.groupBy("norm_id", "metric").agg(*aggregates)
 
 
-def _values_at_rank(histogram: DataFrame, groups: DataFrame) -> DataFrame:
-    """Percentile values that the bucket alone does not tell, from the histogram rows of
-    just those buckets."""
+def _is_open(p: str) -> Column:
+    """The bucket of the percentile's rank holds different values, so it does not tell the
+    percentile; where it only holds values up to 0 the percentile is 0."""
+    low, high = F.col(f"{p}_low"), F.col(f"{p}_high")
+    return F.coalesce((low < high) & (high > 0), F.lit(False))
+
+
+def _open_ranks(groups: DataFrame) -> DataFrame:
+    """One row per open percentile: its bucket, and the rank inside the bucket."""
     wanted = [
-        F.struct(
-            F.lit(p).alias("percentile"),
-            F.col(f"{p}_low").alias("low"),
-            F.col(f"{p}_high").alias("high"),
-            (F.expr(f"executions * {percent} div 100") - F.col(f"{p}_before")).alias("rank"),
+        F.when(
+            _is_open(p),
+            F.struct(
+                F.lit(p).alias("percentile"),
+                order_bucket(F.col(f"{p}_high")).alias("bucket"),
+                (F.expr(f"executions * {percent} div 100") - F.col(f"{p}_before")).alias("rank"),
+            ),
         )
         for p, percent in PERCENTILES.items()
     ]
-    targets = (
-        groups.select("norm_id", "metric", F.inline(F.array(*wanted)))
-        .where((F.col("low") < F.col("high")) & (F.col("high") > 0))
-        .select("norm_id", "metric", order_bucket(F.col("high")).alias("bucket"), "percentile", "rank")
-    )
+    return groups.select("norm_id", "metric", F.inline(F.array_compact(F.array(*wanted))))
+
+
+def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> DataFrame:
+    """The value at each open rank, one row per group with a ``{percentile}_exact`` column.
+
+    With few ranks, values outside their buckets are dropped before the shuffle by a
+    broadcast of the ranks.  Otherwise all values are counted, which is spread over all
+    tasks since the key includes the value, and then joined with the ranks.
+    """
+    key = ["norm_id", "metric", "bucket"]
+    if few_ranks:
+        ranks = F.broadcast(ranks)
+        values = values.join(ranks, key, "left_semi")
+    counted = values.groupBy(*key, "value").agg(F.count("*").alias("cnt"))
     upto = (
         W.partitionBy("norm_id", "metric", "percentile")
         .orderBy("value")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     hits = (
-        histogram.join(targets, ["norm_id", "metric", "bucket"])
+        counted.join(ranks, key)
+        .repartition("norm_id", "metric")
         .withColumn("upto", F.sum("cnt").over(upto))
         .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("cnt") < F.col("rank")))
     )
@@ -154,36 +182,49 @@ def metric_summary(batches: DataFrame, metrics: Sequence[str] = METRICS) -> Data
     order, NULLs lowest, and never below 0.  The lowest quartile of up to three rows,
     and every other percentile of a single row, is the minimum.
 
-    The value of a rank is found by bucket counts first and then inside the one bucket
-    that holds it.  A total has to fit a bigint, so a bucket of values around 2^e holds
-    at most 2^(63-e) rows, and at most 2^(e-12.5) distinct values: fewer than 2^26
-    histogram rows in any case, and far fewer for real measurements.
+    Two scans, each of the fingerprint and metric columns only.  The first counts value
+    buckets and finds the bucket of every rank; its result, one row per fingerprint and
+    metric, is checkpointed, so this function runs a job.  The second looks only at the
+    buckets that hold a wanted rank and several values.
+
+    No task gets a whole fingerprint.  A total has to fit a bigint, so a bucket of values
+    around 2^e holds at most 2^(63-e) rows, and at most 2^(e-12.5) distinct values: fewer
+    than 2^26 in any case, and far fewer for real measurements.
     """
-    histogram = value_histogram(batches, metrics).withColumn("bucket", order_bucket(F.col("value")))
-    groups = _per_group(_per_bucket(histogram))
-    exact = _values_at_rank(histogram, groups)
-    joined = groups.join(exact, ["norm_id", "metric"], "left")
+    groups = checkpointed(_per_group(_per_bucket(metric_values(batches, metrics))))
+    n_open = sum((_is_open(p).cast("long") for p in PERCENTILES), F.lit(0))
+    sizes = groups.groupBy("metric").agg(  # one row per metric
+        F.count("*").alias("fingerprints"), F.sum(n_open).alias("open")
+    ).collect()
+    open_metrics = sorted((r.metric for r in sizes if r.open), key=list(metrics).index)
+    few_ranks = sum(r.open for r in sizes) <= MAX_BROADCAST_RANKS
+    few_fingerprints = max((r.fingerprints for r in sizes), default=0) <= MAX_WINDOW_FINGERPRINTS
+
+    if few_fingerprints:
+        by_total = W.partitionBy("metric").orderBy(F.col("total").desc())
+        summary = groups.withColumn("total_rank", F.dense_rank().over(by_total))
+    else:
+        totals = dense_ranks_desc(groups, "metric", "total", "total_rank")
+        summary = join_null_safe(groups, totals, ["metric", "total"])
+    if open_metrics:
+        # A metric whose percentiles are all known is not read again.
+        values = metric_values(batches, open_metrics)
+        exact = _values_at_ranks(values, _open_ranks(groups), few_ranks)
+        summary = summary.join(exact, ["norm_id", "metric"], "left")
 
     percentiles = []
     for p in PERCENTILES:
-        few = 3 if p == "first_quartile" else 1
-        found = F.coalesce(F.col(f"{p}_exact"), F.col(f"{p}_low"), F.lit(0))
+        few_rows = 3 if p == "first_quartile" else 1
+        known = [F.col(f"{p}_exact")] if open_metrics else []
+        found = F.coalesce(*known, F.col(f"{p}_low"), F.lit(0))
         percentiles.append(
-            F.when(F.col("executions") <= few, F.col("min"))
+            F.when(F.col("executions") <= few_rows, F.col("min"))
             .otherwise(F.greatest(found, F.lit(0)))
             .alias(p)
         )
-    summary = joined.select(
-        "norm_id",
-        "metric",
-        "min",
-        F.expr("total div nullif(filled, 0)").alias("mean"),
-        "max",
-        "total",
-        *percentiles,
-    )
-    return dense_rank_desc(summary, "metric", "total", "total_rank").select(
-        *METRIC_SUMMARY.fieldNames()
+    mean = F.expr("total div nullif(filled, 0)").alias("mean")
+    return summary.select(
+        "norm_id", "metric", "min", mean, "max", "total", "total_rank", *percentiles
     )
 
 
