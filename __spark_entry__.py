@@ -159,7 +159,7 @@ def load_batches(spark, sf_dir):
 
 
 def load_batches_lineitem(spark, sf_dir):
-    good, _ = ops.to_batches(derive.lineitem_trace_events(spark, sf_dir))
+    good, _ = ops.to_batches(derive.trace_events(spark, sf_dir, "lineitem"))
     return _plain_times(good)
 
 
@@ -182,10 +182,7 @@ def rejected_events(spark, sf_dir):
 
 
 def file_load_stats(spark, sf_dir):
-    events = derive.trace_events(spark, sf_dir)
-    folder = new_folder(spark)
-    events.write.parquet(folder)
-    stats = load_stats(read_events(spark, folder, "*.parquet", "parquet"), filter_connection_resets=True)
+    stats = load_stats(derive.trace_events(spark, sf_dir), filter_connection_resets=True)
     # Part-file names differ from run to run, so the files of the folder are added up.
     return stats.agg(F.sum("events_read").alias("events_read"), F.sum("events_kept").alias("events_kept"))
 
@@ -193,7 +190,8 @@ def file_load_stats(spark, sf_dir):
 def scan_event_folder(spark, sf_dir):
     folder = new_folder(spark)
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    derive.trace_events(spark, sf_dir).write.option("timestampFormat", stamp).json(folder)
+    events = derive.as_trace_events(derive.flat_events(spark, sf_dir))
+    events.write.option("timestampFormat", stamp).json(folder)
     good, _ = ops.to_batches(read_events(spark, folder, "part-*.json"), filter_connection_resets=True)
     return _plain_times(good)
 

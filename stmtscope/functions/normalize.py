@@ -21,6 +21,8 @@ load stays in one generated stage.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,70 +35,65 @@ NUMBER_MARK = "{##}"
 # the Unicode separators.
 SPACE = r"\t-\r\x{85}\p{Z}"
 
+# Character classes.  ASCII members are written out one by one: the regex engine tests
+# such a class with a single table look-up, and a range or property with a call each.
+_DIGITS = string.digits
+_START = "@#_" + string.ascii_letters
+_PART = _START + "$" + _DIGITS
+_WIDE_PART = _PART + r"\p{L}\p{Nd}"
+# The other ASCII characters that are tokens by themselves.
+_PUNCTUATION = r"\t\n\x0B\f\r !%&()*+,:;<=>?\]\\^`{|}~"
+
+
+def _any(*tokens: str) -> str:
+    return "(?:" + "|".join(tokens) + ")"
+
+
 # --- tokens.  An open quote, bracket or comment runs to the end of the text. ---
-_NAME_START = r"@#_\p{L}"
-_NAME_PART = r"@#$_\p{L}\p{Nd}"
-_NAME = rf"[{_NAME_START}][{_NAME_PART}]*+"
+_NAME = rf"(?:[{_START}][{_PART}]*+|\p{{L}})(?:[\p{{L}}\p{{Nd}}][{_WIDE_PART}]*+)?+"
 _STRING = r"[Nn]?+'[^']*+(?:''[^']*+)*+(?:'|\z)"
 _BRACKETED = r"\[[^\]]*+(?:\]\][^\]]*+)*+(?:\]|\z)"
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+(?:"|\z)'
 _LINE_COMMENT = r"--[^\r\n]*+"
 _BLOCK_COMMENT = r"/\*[^*]*+(?:\*(?!/)[^*]*+)*+(?:\*/|\z)"
-_HEX = r"0[xX][0-9A-Fa-f]*+"
-_MONEY = r"\p{Sc}[0-9.]++"
-_REAL = r"(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)[eE][+-]?+[0-9]++"
-_DECIMAL = r"[0-9]++\.?+[0-9]*+|\.[0-9]++"
-
-# Spaces and punctuation that cannot start any token above.
-_PLAIN = rf"[^'\"\[/\-.0-9\p{{Sc}}{_NAME_START}]++"
-# A character that could start a token but does not.
-_LONE_SIGN = r"-(?!-)|/(?!\*)|\.(?![0-9])|\p{Sc}(?![0-9.])"
+_HEX = rf"0[xX][{string.hexdigits}]*+"
+_MONEY = rf"\p{{Sc}}[.{_DIGITS}]++"
+_REAL = rf"(?:[{_DIGITS}]++\.?+[{_DIGITS}]*+|\.[{_DIGITS}]++)[eE][+-]?+[{_DIGITS}]++"
+_DECIMAL = rf"[{_DIGITS}]++\.?+[{_DIGITS}]*+|\.[{_DIGITS}]++"
+# Signs that start no token here, control characters, and the rest of Unicode.
+_LONE = (
+    rf"-(?!-)|/(?!\*)|\.(?![{_DIGITS}])|\p{{Sc}}(?![.{_DIGITS}])"
+    r"|[\x00-\x08\x0E-\x1F\x7F]|[^\x00-\x7F\p{L}\p{Sc}]"
+)
+# The tokens that every pass but the last keeps, the most frequent first.
+_KEPT = [
+    rf"[{_PUNCTUATION}]++",
+    rf"(?![Nn]'){_NAME}",
+    _REAL,
+    _BRACKETED,
+    _QUOTED,
+    _LINE_COMMENT,
+    _BLOCK_COMMENT,
+    _MONEY,
+    _LONE,
+]
 
 # --- pass 1: string literals ---
-_NOT_STRING = "|".join(
-    [
-        rf"(?![Nn]'){_NAME}",
-        _PLAIN,
-        _HEX,
-        _MONEY,
-        _REAL,
-        _DECIMAL,
-        _BRACKETED,
-        _QUOTED,
-        _LINE_COMMENT,
-        _BLOCK_COMMENT,
-        _LONE_SIGN,
-    ]
-)
+_NOT_STRING = _any(*_KEPT, _HEX, _DECIMAL)
+STRING_PASS = rf"\G({_NOT_STRING}*+)(?:{_STRING})"
 # A dynamic-SQL call name with everything up to and including its statement.
-_DYNAMIC_CALL = (
-    rf"(?:sp_executesql[{_NAME_PART}]*+|sp_prepare(?![{_NAME_PART}]))"
-    rf"(?:{_NOT_STRING})*+(?:{_STRING})?+"
-)
-STRING_PASS = rf"\G((?:{_DYNAMIC_CALL}|{_NOT_STRING})*+)(?:{_STRING})"
+_CALL = rf"(?:sp_executesql[{_WIDE_PART}]*+|sp_prepare(?![{_WIDE_PART}])){_NOT_STRING}*+(?:{_STRING})?+"
+DYNAMIC_STRING_PASS = rf"\G({_any(_CALL, _NOT_STRING)}*+)(?:{_STRING})"
 
 # --- pass 2: numbers (any string still present is a kept dynamic statement) ---
-_NOT_NUMBER = "|".join(
-    [
-        _STRING,
-        _NAME,
-        _PLAIN,
-        _MONEY,
-        _REAL,
-        _BRACKETED,
-        _QUOTED,
-        _LINE_COMMENT,
-        _BLOCK_COMMENT,
-        _LONE_SIGN,
-    ]
-)
-NUMBER_PASS = rf"\G((?:{_NOT_NUMBER})*+)(?:{_HEX}|{_DECIMAL})"
+NUMBER_PASS = rf"\G({_any(*_KEPT, _STRING)}*+)(?:{_HEX}|{_DECIMAL})"
 
 # --- pass 3: comments ---
-_NOT_COMMENT = "|".join(
-    [r"[^'\"\[/\-]++", _STRING, _BRACKETED, _QUOTED, r"-(?!-)", r"/(?!\*)"]
-)
-COMMENT_PASS = rf"\G((?:{_NOT_COMMENT})*+)(?:{_LINE_COMMENT}|{_BLOCK_COMMENT})"
+_NOT_COMMENT = _any(r"[^'\"\[/\-]++", _STRING, _BRACKETED, _QUOTED, r"-(?!-)", r"/(?!\*)")
+COMMENT_PASS = rf"\G({_NOT_COMMENT}*+)(?:{_LINE_COMMENT}|{_BLOCK_COMMENT})"
+
+# --- pass 4: whitespace, where it is not a single space already ---
+SPACE_PASS = rf" [{SPACE}]++|[{SPACE}&&[^ ]][{SPACE}]*+"
 
 
 def _replace(text: Column, pattern: str, replacement: str) -> Column:
@@ -106,11 +103,19 @@ def _replace(text: Column, pattern: str, replacement: str) -> Column:
 def normalize_sql(text: Column) -> Column:
     """Literal-, comment- and spacing-free form of a statement; NULL gives ''."""
     raw = F.coalesce(text, F.lit(""))
-    x = F.when(F.contains(raw, F.lit("'")), _replace(raw, STRING_PASS, "$1" + STRING_MARK)).otherwise(raw)
+
+    def has(part: str) -> Column:
+        return F.contains(raw, F.lit(part))
+
+    dynamic = has("sp_executesql") | has("sp_prepare")
+    x = (
+        F.when(~has("'"), raw)
+        .when(dynamic, _replace(raw, DYNAMIC_STRING_PASS, "$1" + STRING_MARK))
+        .otherwise(_replace(raw, STRING_PASS, "$1" + STRING_MARK))
+    )
     x = _replace(x, NUMBER_PASS, "$1" + NUMBER_MARK)
-    commented = F.contains(raw, F.lit("--")) | F.contains(raw, F.lit("/*"))
-    x = F.when(commented, _replace(x, COMMENT_PASS, "$1")).otherwise(x)
-    x = F.trim(_replace(x, f"[{SPACE}]+", " "))
+    x = F.when(has("--") | has("/*"), _replace(x, COMMENT_PASS, "$1")).otherwise(x)
+    x = F.trim(_replace(x, SPACE_PASS, " "))
     return F.replace(x, F.lit("-" + NUMBER_MARK), F.lit(NUMBER_MARK))
 
 

@@ -6,7 +6,7 @@ the load: it is set aside with a reason.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -25,16 +25,17 @@ from stmtscope.schema import BATCHES, EVENT_TYPES, METRICS, RPC
 REASON = "reject_reason"
 
 
-def _action(key: str) -> Column:
-    return F.try_element_at(F.col("actions"), F.lit(key))
-
-
-def _field(key: str) -> Column:
-    return F.try_element_at(F.col("fields"), F.lit(key))
-
-
-def _field_absent(key: str) -> Column:
-    return ~F.coalesce(F.map_contains_key(F.col("fields"), key), F.lit(False))
+ACTION_KEYS = (
+    "event_sequence",
+    "client_pid",
+    "client_hostname",
+    "client_app_name",
+    "database_name",
+    "username",
+)
+# Texts and the result may be NULL, but their keys have to be there.
+NULLABLE_FIELDS = ("object_name", "statement", "batch_text", "result")
+NUMBERS = {"event_sequence": "bigint", "client_pid": "int", **{m: "bigint" for m in METRICS}}
 
 
 def outcome_flags(result: Column) -> dict[str, Column]:
@@ -46,25 +47,52 @@ def outcome_flags(result: Column) -> dict[str, Column]:
     }
 
 
+def _computed_once(df: DataFrame, keep: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """``keep`` and the named values, each value computed exactly once per row.
+
+    A plain projection is merged into the filters and projections above it, which repeats
+    every expression at every use and makes the generated method too long for the JIT
+    compiler.  A generated row is not merged.
+    """
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
+def _raw_values(events: DataFrame, extra: Sequence[str]) -> DataFrame:
+    """The dictionary values of an event as strings, ``raw_`` before the numbers; NULL means
+    missing, except that a user name is optional."""
+    values = {}
+    for dictionary, keys in (("actions", ACTION_KEYS), ("fields", (*NULLABLE_FIELDS, *METRICS))):
+        for key in keys:
+            value = F.try_element_at(F.col(dictionary), F.lit(key))
+            if key in NULLABLE_FIELDS:
+                value = F.coalesce(value, F.when(F.map_contains_key(dictionary, key), F.lit("")))
+            values[f"raw_{key}" if key in NUMBERS else key] = value
+    return _computed_once(events, ["name", "event_ts", *extra], values)
+
+
 def _first_problem() -> Column:
     """First reason, in column order, why an event cannot become a fact row."""
     is_rpc = F.col("name") == RPC
     checks = [F.when(F.col("event_ts").isNull(), F.lit("missing event_ts"))]
-    for key, kind in (("event_sequence", "bigint"), ("client_pid", "int")):
-        checks.append(F.when(_action(key).isNull(), F.lit(f"missing {key}")))
-        checks.append(F.when(_action(key).try_cast(kind).isNull(), F.lit(f"invalid {key}")))
-    for key in ("client_hostname", "client_app_name", "database_name"):
-        checks.append(F.when(_action(key).isNull(), F.lit(f"missing {key}")))
-    # Text values may be NULL, but the key has to be there.
-    for key in ("object_name", "statement"):
-        checks.append(F.when(is_rpc & _field_absent(key), F.lit(f"missing {key}")))
-    checks.append(F.when(~is_rpc & _field_absent("batch_text"), F.lit("missing batch_text")))
-    checks.append(F.when(_field_absent("result"), F.lit("missing result")))
+
+    def number(key: str, bad: Column) -> None:
+        problem = F.when(F.col(f"raw_{key}").isNull(), F.lit(f"missing {key}"))
+        checks.append(F.when(bad, problem.otherwise(F.lit(f"invalid {key}"))))
+
+    def text(key: str, needed: Column = F.lit(True)) -> None:
+        checks.append(F.when(needed & F.col(key).isNull(), F.lit(f"missing {key}")))
+
+    number("event_sequence", F.col("event_sequence").isNull())
+    number("client_pid", F.col("client_pid").isNull())
+    for key in ("client_hostname", "client_app_name", "database_name", "result"):
+        text(key)
+    text("object_name", is_rpc)
+    text("statement", is_rpc)
+    text("batch_text", ~is_rpc)
     for key in METRICS:
-        number = _field(key).try_cast("bigint")
-        checks.append(F.when(_field(key).isNull(), F.lit(f"missing {key}")))
         # The source counts are unsigned.
-        checks.append(F.when(number.isNull() | (number < 0), F.lit(f"invalid {key}")))
+        number(key, F.col(key).isNull() | (F.col(key) < 0))
     return F.coalesce(*checks)
 
 
@@ -73,39 +101,32 @@ def flatten_events(
 ) -> DataFrame:
     """The 21 fact columns plus ``reject_reason`` (NULL for a good row) and any ``extra``
     input columns."""
-    flags = outcome_flags(_field("result"))
-    raw = events.select(
-        _action("event_sequence").try_cast("bigint").alias("event_sequence"),
-        F.col("name").alias("event_type"),
-        F.col("event_ts").cast("timestamp").alias("event_ts"),
-        _action("client_pid").try_cast("int").alias("client_pid"),
-        _action("client_hostname").alias("client_hostname"),
-        _action("client_app_name").alias("client_app_name"),
-        _action("username").alias("username"),
-        _action("database_name").alias("database_name"),
-        statement_text(F.col("name"), _field("statement"), _field("batch_text")).alias("text_data"),
-        _field("object_name").alias("object_name"),
-        *[column.alias(flag) for flag, column in flags.items()],
-        *[_field(m).try_cast("bigint").alias(m) for m in METRICS],
+    raw = _raw_values(events, extra)
+    numbers = {key: F.col(f"raw_{key}").try_cast(kind) for key, kind in NUMBERS.items()}
+    parsed = _computed_once(raw, raw.columns, numbers)
+    generated = {
+        "event_type": F.col("name"),
+        "event_ts": F.col("event_ts").cast("timestamp"),
+        "text_data": statement_text(F.col("name"), F.col("statement"), F.col("batch_text")),
+        **outcome_flags(F.col("result")),
+    }
+    late = ("text_id", "norm_id", "norm_text")
+    typed = parsed.select(
+        *[generated.get(c, F.col(c)).alias(c) for c in BATCHES.fieldNames() if c not in late],
+        "object_name",
         _first_problem().alias(REASON),
         *extra,
     )
     fingerprint = fingerprint_text(
         F.col("event_type"), F.col("object_name"), F.col("text_data"), capture_schema_name
     )
-    named = raw.withColumn("norm_text", fingerprint)
+    named = typed.withColumn("norm_text", fingerprint)
+    ids = {
+        "text_id": text_id(F.col("text_data")),
+        "norm_id": norm_id(F.col("database_name"), F.col("norm_text")),
+    }
     return named.select(
-        *[
-            {
-                "text_id": text_id(F.col("text_data")),
-                "norm_id": norm_id(F.col("database_name"), F.col("norm_text")),
-            }
-            .get(c, F.col(c))
-            .alias(c)
-            for c in BATCHES.fieldNames()
-        ],
-        REASON,
-        *extra,
+        *[ids.get(c, F.col(c)).alias(c) for c in BATCHES.fieldNames()], REASON, *extra
     )
 
 

@@ -6,13 +6,14 @@ events.  Spark and the checking engine both run the SELECT text as it stands.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stmtscope.functions import stable_id
 from stmtscope.operators import to_batches
 from stmtscope.operators.staging import new_folder
 from stmtscope.schema import BATCHES, METRICS
+from stmtscope.sources import read_events
 
 FIELD_KEYS = ("object_name", "statement", "batch_text", "result", *METRICS)
 ACTION_KEYS = (
@@ -131,51 +132,64 @@ def flat_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LINEITEM_SQL.replace("{sequence}", "row_id"), lineitem=keyed)
 
 
-def as_trace_events(flat: DataFrame, **changes) -> DataFrame:
-    """Pack flat columns into the two dictionaries of a trace event.  A NULL user name or
-    a NULL changed value leaves its key out."""
+def as_trace_events(flat: DataFrame, **changes: Column) -> DataFrame:
+    """Pack flat columns into the two dictionaries of a trace event.  A user name that is
+    NULL is left out, and so is a value of ``changes`` that is."""
     is_rpc = F.col("name") == "rpc_completed"
     values = {c: F.col(c).cast("string") for c in (*ACTION_KEYS, *FIELD_KEYS) if c in flat.columns}
     values["statement"] = F.when(is_rpc, F.col("text_data"))
     values["batch_text"] = F.when(~is_rpc, F.col("text_data"))
     values.update(changes)
 
-    def packed(keys, optional):
-        pairs = F.map_from_arrays(
-            F.array(*[F.lit(k) for k in keys]), F.array(*[values[k] for k in keys])
-        )
-        return F.map_filter(pairs, lambda k, v: v.isNotNull() | ~k.isin(*optional)) if optional else pairs
+    def packed(keys):
+        return F.create_map(*[part for k in keys for part in (F.lit(k), values[k])])
 
-    return flat.select(
-        "name",
-        "event_ts",
-        packed(FIELD_KEYS, [k for k in changes if k in FIELD_KEYS]).alias("fields"),
-        packed(ACTION_KEYS, ["username", *changes]).alias("actions"),
-    )
+    fields = packed(FIELD_KEYS)
+    actions = F.when(F.col("username").isNull(), packed(ACTION_KEYS[:-1])).otherwise(packed(ACTION_KEYS))
+    if changes:
+        changed = list(changes)
+        fields = F.map_filter(fields, lambda k, v: v.isNotNull() | ~k.isin(changed))
+        actions = F.map_filter(actions, lambda k, v: v.isNotNull() | ~k.isin(changed))
+    return flat.select("name", "event_ts", fields.alias("fields"), actions.alias("actions"))
 
 
-def trace_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_trace_events(flat_events(spark, sf_dir))
+def _export(spark: SparkSession, flat: DataFrame) -> str:
+    folder = new_folder(spark)
+    events = as_trace_events(flat)
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores)
+    events.write.parquet(folder)
+    return folder
 
 
-def lineitem_trace_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_trace_events(flat_lineitem(spark, sf_dir))
+_FLAT = {"events": flat_events, "lineitem": flat_lineitem}
+_written: dict[tuple[str, str, str, str], str] = {}
 
 
-_SOURCES = {"events": trace_events, "lineitem": lineitem_trace_events}
-_written: dict[tuple[str, str, str], str] = {}
+def trace_folder(spark: SparkSession, sf_dir: str, source: str = "events") -> str:
+    """Folder of exported trace events of a source, written once per application and data
+    folder: what a load starts from."""
+    key = (spark.sparkContext.applicationId, sf_dir, source, "trace")
+    if key not in _written:
+        _written[key] = _export(spark, _FLAT[source](spark, sf_dir))
+    return _written[key]
+
+
+def trace_events(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    return read_events(spark, trace_folder(spark, sf_dir, source), "*.parquet", "parquet")
 
 
 def fact_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
-    """The fact table of a source, loaded once per application and folder.
+    """The fact table of a source, loaded once per application and data folder.
 
     Every summary and report reads the stored table, as in a real analysis: statement
     texts are normalised once, and each query scans only the columns it needs.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, source)
+    key = (spark.sparkContext.applicationId, sf_dir, source, "fact")
     if key not in _written:
         filters = {"filter_connection_resets": True} if source == "events" else {}
-        good, _ = to_batches(_SOURCES[source](spark, sf_dir), **filters)
+        good, _ = to_batches(trace_events(spark, sf_dir, source), **filters)
         folder = new_folder(spark)
         good.sortWithinPartitions("norm_id").write.parquet(folder)
         _written[key] = folder
