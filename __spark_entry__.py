@@ -182,7 +182,9 @@ def rejected_events(spark, sf_dir):
 
 
 def file_load_stats(spark, sf_dir):
-    stats = load_stats(derive.trace_events(spark, sf_dir), filter_connection_resets=True)
+    events = derive.trace_events(spark, sf_dir)
+    selected = ops.select_events(events, filter_connection_resets=True)
+    stats = load_stats(events, ops.flatten_events(selected, extra=["file_name"]))
     # Part-file names differ from run to run, so the files of the folder are added up.
     return stats.agg(F.sum("events_read").alias("events_read"), F.sum("events_kept").alias("events_kept"))
 
@@ -220,7 +222,7 @@ def unique_batches(spark, sf_dir):
 
 
 def unique_batches_single_pass(spark, sf_dir):
-    return ops.unique_batches(derive.fact_table(spark, sf_dir), single_pass=True)
+    return ops.exemplars_by_aggregate(derive.fact_table(spark, sf_dir))
 
 
 def batch_summary(spark, sf_dir):

@@ -9,10 +9,13 @@ from stmtscope.operators.flatten import (
     flatten_events,
     outcome_flags,
     select_events,
+    split_rejects,
     to_batches,
 )
 from stmtscope.operators.summaries import (
     batch_summary,
+    exemplars_by_aggregate,
+    exemplars_by_join,
     first_occurrences,
     metric_summary,
     metric_values,
@@ -25,6 +28,8 @@ __all__ = [
     "batch_summary",
     "drop_connection_resets",
     "duplicate_keys",
+    "exemplars_by_aggregate",
+    "exemplars_by_join",
     "first_occurrences",
     "flatten_events",
     "keep_event_types",
@@ -33,6 +38,7 @@ __all__ = [
     "numbered_executions",
     "outcome_flags",
     "select_events",
+    "split_rejects",
     "to_batches",
     "unique_batches",
     "wide_metric_summary",

@@ -146,21 +146,25 @@ def select_events(
     return within_time_range(kept, start_time, end_time, tz_offset, day_first)
 
 
-def to_batches(
-    events: DataFrame, capture_schema_name: bool = False, **filters
-) -> tuple[DataFrame, DataFrame]:
-    """Filtered events as ``(good, rejects)``.  ``good`` has the fact columns; ``rejects``
+def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flattened events as ``(good, rejects)``.  ``good`` has the fact columns; ``rejects``
     has the event's sequence, type and time, its file when known, and the reason."""
-    selected = select_events(events, **filters)
-    extra = [c for c in ("file_name",) if c in events.columns]
-    rows = flatten_events(selected, capture_schema_name, extra)
+    file_name = [c for c in ("file_name",) if c in rows.columns]
     good = rows.where(F.col(REASON).isNull()).select(*BATCHES.fieldNames())
     rejects = rows.where(F.col(REASON).isNotNull()).select(
-        "event_sequence", "event_type", "event_ts", *extra, REASON
+        "event_sequence", "event_type", "event_ts", *file_name, REASON
     )
     return good, rejects
 
 
+def to_batches(
+    events: DataFrame, capture_schema_name: bool = False, **filters
+) -> tuple[DataFrame, DataFrame]:
+    """Filter and flatten events, split into ``(good, rejects)``."""
+    extra = [c for c in ("file_name",) if c in events.columns]
+    return split_rejects(flatten_events(select_events(events, **filters), capture_schema_name, extra))
+
+
 def duplicate_keys(batches: DataFrame, key: str = "event_sequence") -> DataFrame:
     """Keys that occur more than once, with their counts."""
     counts = batches.groupBy(key).agg(F.count("*").alias("occurrences"))

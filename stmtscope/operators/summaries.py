@@ -24,6 +24,8 @@ from stmtscope.schema import (
 
 # More open ranks than this are not broadcast; one takes less than 100 bytes.
 MAX_BROADCAST_RANKS = 500_000
+# More first occurrences (two numbers each) than this are not broadcast.
+MAX_BROADCAST_FINGERPRINTS = 2_000_000
 # More fingerprints than this are not ranked in one task per metric.
 MAX_WINDOW_FINGERPRINTS = 1_000_000
 
@@ -33,27 +35,43 @@ def first_occurrences(batches: DataFrame) -> DataFrame:
     return batches.groupBy("norm_id").agg(F.min("event_sequence").alias("event_sequence"))
 
 
-def unique_batches(batches: DataFrame, single_pass: bool = False) -> DataFrame:
+def unique_batches(batches: DataFrame) -> DataFrame:
     """One exemplar per fingerprint: its first execution.
 
-    By default a semi-join with the first occurrences: two scans, of which the first
-    reads two columns.  ``single_pass`` takes the exemplar in one aggregation instead;
-    it moves at most one text per fingerprint and task, so prefer it when the
-    fingerprints are too many for the semi-join to be broadcast.
+    The first occurrences are found in a scan of two columns and checkpointed, so this
+    function runs a job.  When they are few enough to broadcast, the exemplars are the
+    rows of a semi-join, and no text is shuffled; otherwise see ``exemplars_by_aggregate``.
     """
-    picked = batches.select(
-        "norm_id", "event_sequence", "event_type", "database_name",
-        F.col("text_data").alias("orig_text"), "norm_text",
+    first = checkpointed(first_occurrences(batches))
+    if first.count() > MAX_BROADCAST_FINGERPRINTS:
+        return exemplars_by_aggregate(batches)
+    return exemplars_by_join(batches, F.broadcast(first))
+
+
+def _exemplar_columns(batches: DataFrame) -> DataFrame:
+    return batches.select(
+        "norm_id",
+        "event_sequence",
+        "event_type",
+        "database_name",
+        F.col("text_data").alias("orig_text"),
+        "norm_text",
     )
-    if not single_pass:
-        first = first_occurrences(batches)
-        return picked.join(first, ["norm_id", "event_sequence"], "left_semi").select(
-            *UNIQUE_BATCHES.fieldNames()
-        )
+
+
+def exemplars_by_join(batches: DataFrame, first: DataFrame) -> DataFrame:
+    """Exemplars as the fact rows that occur in ``first``."""
+    kept = _exemplar_columns(batches).join(first, ["norm_id", "event_sequence"], "left_semi")
+    return kept.select(*UNIQUE_BATCHES.fieldNames())
+
+
+def exemplars_by_aggregate(batches: DataFrame) -> DataFrame:
+    """Exemplars in one aggregation: each task passes on at most one row per fingerprint."""
     row = F.struct("event_type", "database_name", "orig_text", "norm_text")
-    return picked.groupBy("norm_id").agg(F.min_by(row, "event_sequence").alias("row")).select(
-        "norm_id", "row.*"
+    first = _exemplar_columns(batches).groupBy("norm_id").agg(
+        F.min_by(row, "event_sequence").alias("row")
     )
+    return first.select("norm_id", "row.*")
 
 
 def batch_summary(batches: DataFrame) -> DataFrame:

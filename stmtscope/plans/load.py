@@ -9,7 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from stmtscope.functions.timebounds import DEFAULT_END, DEFAULT_START
-from stmtscope.operators.flatten import to_batches
+from stmtscope.operators.flatten import flatten_events, select_events, split_rejects
+from stmtscope.operators.staging import new_folder
 from stmtscope.operators.summaries import (
     batch_summary,
     metric_summary,
@@ -55,14 +56,23 @@ class LoadOptions:
 
 
 def load(spark: SparkSession, options: LoadOptions) -> tuple[DataFrame, DataFrame]:
-    """Append the folder's events to the fact table; gives ``(stats, rejects)``, both lazy."""
+    """Append the folder's events to the fact table; gives ``(stats, rejects)``.
+
+    Events are parsed and normalised once, into a staging folder.  The key check, the
+    fact rows, the rejects and the counts all come from there, and nothing reaches the
+    table when the check fails.
+    """
     events = read_events(
         spark, options.path, options.pattern, options.fmt, **options.reader_options
     )
     create_tables(spark, options.database, options.suffix, options.location)
-    good, rejects = to_batches(events, options.capture_schema_name, **options.filters())
+    selected = select_events(events, **options.filters())
+    staging = new_folder(spark)
+    flatten_events(selected, options.capture_schema_name, ["file_name"]).write.parquet(staging)
+    rows = spark.read.parquet(staging)
+    good, rejects = split_rejects(rows)
     append_batches(good, options.database, options.suffix)
-    return load_stats(events, **options.filters()), rejects
+    return load_stats(events, rows), rejects
 
 
 def summarize(spark: SparkSession, options: LoadOptions) -> None:

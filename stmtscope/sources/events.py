@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stmtscope.operators.flatten import REASON, flatten_events, select_events
+from stmtscope.operators.flatten import REASON
 from stmtscope.schema import EVENT
 
 
@@ -25,15 +25,11 @@ def read_events(
     )
 
 
-def load_stats(events: DataFrame, **filters) -> DataFrame:
-    """Events read and events that become fact rows, per file."""
-    selected = flatten_events(select_events(events, **filters), extra=["file_name"])
-    kept = (
-        selected.where(F.col(REASON).isNull())
-        .groupBy("file_name")
-        .agg(F.count("*").alias("events_kept"))
-    )
+def load_stats(events: DataFrame, rows: DataFrame) -> DataFrame:
+    """Events read and events that became fact rows, per file.  ``rows`` are the flattened
+    events with their ``file_name`` and ``reject_reason``."""
     read = events.groupBy("file_name").agg(F.count("*").alias("events_read"))
+    kept = rows.groupBy("file_name").agg(F.count_if(F.col(REASON).isNull()).alias("events_kept"))
     return read.join(kept, "file_name", "left").select(
         "file_name", "events_read", F.coalesce("events_kept", F.lit(0)).alias("events_kept")
     )
