@@ -67,16 +67,21 @@ def row_numbers(
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY value, tie_break)``, NULLs first,
     and the group's ``COUNT(*)``.
 
-    Rows of one group with the same value are split further by ranges of the unique,
-    non-NULL ``tie_break``, so a task orders at most ``chunk`` of them.
+    Rows of one group with the same value are split further by ranges of ``tie_break``, so
+    a task orders at most ``chunk`` of them.  ``tie_break`` is unique; neither it nor
+    ``partition`` is NULL.  The rows are shuffled once: the join that brings in the rows
+    before a cell and the numbering inside it use the same, never NULL, key.
     """
-    cell = [partition, value, "_chunk"]
-    rows = df.withColumn("_chunk", F.expr(f"`{tie_break}` div {chunk}"))
-    cells = (
-        rows.groupBy(*cell)
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_bucket", order_bucket(F.col(value)))
+    missing, filled = F.col(value).isNull(), F.coalesce(F.col(value), F.lit(0))
+    cell = [partition, "_missing", "_filled", "_chunk"]
+    rows = df.select(
+        "*",
+        missing.alias("_missing"),
+        filled.alias("_filled"),
+        F.expr(f"`{tie_break}` div {chunk}").alias("_chunk"),
     )
+    bucket = F.when(~F.col("_missing"), order_bucket(F.col("_filled")))
+    cells = rows.groupBy(*cell).agg(F.count("*").alias("_size")).withColumn("_bucket", bucket)
 
     buckets = cells.groupBy(partition, "_bucket").agg(F.sum("_size").alias("_bucket_size"))
     group = W.partitionBy(partition)
@@ -92,7 +97,7 @@ def row_numbers(
 
     inside = (
         W.partitionBy(partition, "_bucket")
-        .orderBy(F.col(value).asc_nulls_first(), F.col("_chunk"))
+        .orderBy("_filled", "_chunk")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     cell_offsets = join_null_safe(
@@ -103,7 +108,7 @@ def row_numbers(
 
     in_cell = W.partitionBy(*cell).orderBy(tie_break)
     return (
-        join_null_safe(rows, cell_offsets, cell)
+        rows.join(cell_offsets, cell)
         .withColumn(number, F.col("_before") + F.row_number().over(in_cell))
-        .drop("_chunk", "_before")
+        .select(*df.columns, number, count)
     )
