@@ -182,7 +182,7 @@ def rejected_events(spark, sf_dir):
 
 
 def file_load_stats(spark, sf_dir):
-    events = derive.trace_events(spark, sf_dir)
+    events = derive.trace_events(spark, sf_dir, file_name=True)
     selected = ops.select_events(events, filter_connection_resets=True)
     stats = load_stats(events, ops.flatten_events(selected, extra=["file_name"]))
     # Part-file names differ from run to run, so the files of the folder are added up.
@@ -194,7 +194,7 @@ def scan_event_folder(spark, sf_dir):
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     events = derive.as_trace_events(derive.flat_events(spark, sf_dir))
     events.write.option("timestampFormat", stamp).json(folder)
-    good, _ = ops.to_batches(read_events(spark, folder, "part-*.json"), filter_connection_resets=True)
+    good, _ = ops.to_batches(read_events(spark, folder, "part-*.json", file_name=False), filter_connection_resets=True)
     return _plain_times(good)
 
 

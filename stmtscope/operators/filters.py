@@ -38,12 +38,15 @@ def within_time_range(
     end_time: str | datetime = DEFAULT_END,
     tz_offset: str = "+00:00",
     day_first: bool | None = None,
+    keep_missing: bool = False,
 ) -> DataFrame:
     """Keep events inside the bounds, both inclusive.  The bounds become instants on the
-    driver, so the comparison is with literals and reaches the file scan."""
+    driver, so the comparison is with literals and reaches the file scan.  With
+    ``keep_missing`` events without a time stay, to be rejected by name later."""
     start = to_instant(start_time, tz_offset, day_first)
     end = to_instant(end_time, tz_offset, day_first)
-    return events.where(F.col("event_ts").between(F.lit(start), F.lit(end)))
+    inside = F.col("event_ts").between(F.lit(start), F.lit(end))
+    return events.where(inside | F.col("event_ts").isNull() if keep_missing else inside)
 
 
 def with_norm_texts(df: DataFrame, norm_texts: Iterable[str] | None) -> DataFrame:

@@ -143,7 +143,7 @@ def select_events(
     kept = keep_event_types(events, event_types)
     if filter_connection_resets:
         kept = drop_connection_resets(kept)
-    return within_time_range(kept, start_time, end_time, tz_offset, day_first)
+    return within_time_range(kept, start_time, end_time, tz_offset, day_first, keep_missing=True)
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,19 +10,22 @@ from stmtscope.schema import EVENT
 
 
 def read_events(
-    spark: SparkSession, path: str, pattern: str = "*", fmt: str = "json", **options: str
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*",
+    fmt: str = "json",
+    file_name: bool = True,
+    **options: str,
 ) -> DataFrame:
     """All files directly in ``path`` whose name matches ``pattern``, as one DataFrame of
-    events with the name of the file each came from.  A JSON line that cannot be read
-    stops the job instead of vanishing; pass ``mode="DROPMALFORMED"`` to skip such lines."""
+    events, with the name of the file each came from unless ``file_name`` is off.  A JSON
+    line that cannot be read stops the job instead of vanishing; pass
+    ``mode="DROPMALFORMED"`` to skip such lines."""
     reader = spark.read.format(fmt).schema(EVENT).option("pathGlobFilter", pattern)
     if fmt == "json":
         reader = reader.option("mode", options.pop("mode", "FAILFAST"))
-    return (
-        reader.options(**options)
-        .load(path)
-        .select(*EVENT.fieldNames(), F.col("_metadata.file_name").alias("file_name"))
-    )
+    source = [F.col("_metadata.file_name").alias("file_name")] if file_name else []
+    return reader.options(**options).load(path).select(*EVENT.fieldNames(), *source)
 
 
 def load_stats(events: DataFrame, rows: DataFrame) -> DataFrame:

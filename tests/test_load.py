@@ -56,7 +56,8 @@ def event(seq, name="sql_batch_completed", ts="2024-01-05T10:00:00Z", text="sele
 
 def frame(spark, *events):
     rows = [
-        (e["name"], datetime.fromisoformat(e["event_ts"]), e["fields"], e["actions"]) for e in events
+        (e["name"], e["event_ts"] and datetime.fromisoformat(e["event_ts"]), e["fields"], e["actions"])
+        for e in events
     ]
     return spark.createDataFrame(rows, EVENT)
 
@@ -162,6 +163,7 @@ def test_flatten(spark):
 
 def test_rejects(spark):
     bad = {
+        "missing event_ts": event(0, ts=None),
         "missing event_sequence": event(1, drop=["event_sequence"]),
         "invalid event_sequence": event("x"),
         "missing client_pid": event(2, drop=["client_pid"]),

@@ -176,8 +176,11 @@ def trace_folder(spark: SparkSession, sf_dir: str, source: str = "events") -> st
     return _written[key]
 
 
-def trace_events(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
-    return read_events(spark, trace_folder(spark, sf_dir, source), "*.parquet", "parquet")
+def trace_events(
+    spark: SparkSession, sf_dir: str, source: str = "events", file_name: bool = False
+) -> DataFrame:
+    folder = trace_folder(spark, sf_dir, source)
+    return read_events(spark, folder, "*.parquet", "parquet", file_name)
 
 
 def fact_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
