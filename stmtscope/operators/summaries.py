@@ -16,17 +16,20 @@ from stmtscope.operators.ranking import (
 )
 from stmtscope.operators.staging import checkpointed
 from stmtscope.schema import (
+    METRIC_SUMMARY,
     METRICS,
     PERCENTILES,
     UNIQUE_BATCHES,
     wide_metric_columns,
 )
 
+# A fingerprint with more rows than this is not ordered by one task.
+MAX_GROUP_ROWS = 1_000_000
+# More fingerprint rows (one or two numbers each) than this are not broadcast.
+MAX_BROADCAST_FINGERPRINTS = 2_000_000
 # More open ranks than this are not broadcast; one takes less than 100 bytes.
 MAX_BROADCAST_RANKS = 500_000
-# More first occurrences (two numbers each) than this are not broadcast.
-MAX_BROADCAST_FINGERPRINTS = 2_000_000
-# More fingerprints than this are not ranked in one task per metric.
+# More fingerprints than this are not ranked by one task per metric.
 MAX_WINDOW_FINGERPRINTS = 1_000_000
 
 
@@ -95,15 +98,57 @@ def numbered_executions(batches: DataFrame, metric: str) -> DataFrame:
 
 
 def metric_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
-    """One row per execution and metric, with the value's bucket; all metrics share one scan
-    of just their columns."""
-    long = batches.select("norm_id", *metrics).unpivot("norm_id", list(metrics), "metric", "value")
-    return long.withColumn("bucket", order_bucket(F.col("value")))
+    """One row per execution and metric; all metrics share one scan of just their columns."""
+    return batches.select("norm_id", *metrics).unpivot("norm_id", list(metrics), "metric", "value")
+
+
+def _integer_mean(total: str, filled: str) -> Column:
+    return F.expr(f"{total} div nullif({filled}, 0)").alias("mean")
+
+
+def _min_if_few(p: str, executions: Column, otherwise: Column) -> Column:
+    """A percentile of very few rows is their minimum."""
+    few = 3 if p == "first_quartile" else 1
+    return F.when(executions <= few, F.col("min")).otherwise(otherwise).alias(p)
+
+
+def small_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Statistics of fingerprints that fit a task: number the executions and take, for each
+    percentile, the largest value up to its rank."""
+    group = W.partitionBy("norm_id", "metric")
+    numbered = (
+        metric_values(batches, metrics)
+        .withColumn("number", F.row_number().over(group.orderBy(F.col("value").asc_nulls_first())))
+        .withColumn("executions", F.count("*").over(group))
+    )
+    reached = {
+        p: F.when(F.col("number") * 100 <= F.col("executions") * percent, F.col("value")).otherwise(0)
+        for p, percent in PERCENTILES.items()
+    }
+    folded = numbered.groupBy("norm_id", "metric").agg(
+        F.max("executions").alias("executions"),
+        F.count("value").alias("filled"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.sum("value").alias("total"),
+        *[F.max(value).alias(f"{p}_reached") for p, value in reached.items()],
+    )
+    executions = F.col("executions")
+    return folded.select(
+        "norm_id",
+        "metric",
+        "min",
+        _integer_mean("total", "filled"),
+        "max",
+        "total",
+        *[_min_if_few(p, executions, F.col(f"{p}_reached")) for p in PERCENTILES],
+    )
 
 
 def _per_bucket(values: DataFrame) -> DataFrame:
     """Values folded into buckets, each with the rows before it in its group.  The fold
     happens mostly before the shuffle, and a group has a bounded number of buckets."""
+    values = values.withColumn("bucket", order_bucket(F.col("value")))
     folded = values.groupBy("norm_id", "metric", "bucket").agg(
         F.count("*").alias("size"),
         F.count("value").alias("filled"),
@@ -169,6 +214,7 @@ def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> Da
     tasks since the key includes the value, and then joined with the ranks.
     """
     key = ["norm_id", "metric", "bucket"]
+    values = values.withColumn("bucket", order_bucket(F.col("value")))
     if few_ranks:
         ranks = F.broadcast(ranks)
         values = values.join(ranks, key, "left_semi")
@@ -192,60 +238,80 @@ def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> Da
     )
 
 
-def metric_summary(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
-    """Per fingerprint and metric: minimum, integer mean, maximum, total, dense rank of the
-    total within the metric, and six floor-rank percentiles.
-
-    Percentile ``p`` of ``n`` rows is the value at rank ``floor(p * n)`` in ascending
-    order, NULLs lowest, and never below 0.  The lowest quartile of up to three rows,
-    and every other percentile of a single row, is the minimum.
+def large_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Statistics of fingerprints of any size, without giving a whole one to a task.
 
-    Two scans, each of the fingerprint and metric columns only.  The first counts value
-    buckets and finds the bucket of every rank; its result, one row per fingerprint and
-    metric, is checkpointed, so this function runs a job.  The second looks only at the
-    buckets that hold a wanted rank and several values.
+    Two scans.  The first counts value buckets and finds the bucket of every rank; its
+    result, one row per fingerprint and metric, is checkpointed, so this function runs a
+    job.  The second looks only at the buckets that hold a wanted rank and several values.
 
-    No task gets a whole fingerprint.  A total has to fit a bigint, so a bucket of values
-    around 2^e holds at most 2^(63-e) rows, and at most 2^(e-12.5) distinct values: fewer
-    than 2^26 in any case, and far fewer for real measurements.
+    A total has to fit a bigint, so a bucket of values around 2^e holds at most 2^(63-e)
+    rows, and at most 2^(e-12.5) distinct values: fewer than 2^26 in any case, and far
+    fewer for real measurements.
     """
     groups = checkpointed(_per_group(_per_bucket(metric_values(batches, metrics))))
     n_open = sum((_is_open(p).cast("long") for p in PERCENTILES), F.lit(0))
-    sizes = groups.groupBy("metric").agg(  # one row per metric
-        F.count("*").alias("fingerprints"), F.sum(n_open).alias("open")
-    ).collect()
+    # One row per metric.
+    sizes = groups.groupBy("metric").agg(F.sum(n_open).alias("open")).collect()
     open_metrics = sorted((r.metric for r in sizes if r.open), key=list(metrics).index)
-    few_ranks = sum(r.open for r in sizes) <= MAX_BROADCAST_RANKS
-    few_fingerprints = max((r.fingerprints for r in sizes), default=0) <= MAX_WINDOW_FINGERPRINTS
-
-    if few_fingerprints:
-        by_total = W.partitionBy("metric").orderBy(F.col("total").desc())
-        summary = groups.withColumn("total_rank", F.dense_rank().over(by_total))
-    else:
-        totals = dense_ranks_desc(groups, "metric", "total", "total_rank")
-        summary = join_null_safe(groups, totals, ["metric", "total"])
+    summary = groups
     if open_metrics:
         # A metric whose percentiles are all known is not read again.
         values = metric_values(batches, open_metrics)
+        few_ranks = sum(r.open for r in sizes) <= MAX_BROADCAST_RANKS
         exact = _values_at_ranks(values, _open_ranks(groups), few_ranks)
-        summary = summary.join(exact, ["norm_id", "metric"], "left")
+        summary = groups.join(exact, ["norm_id", "metric"], "left")
 
-    percentiles = []
-    for p in PERCENTILES:
-        few_rows = 3 if p == "first_quartile" else 1
+    def found(p: str) -> Column:
         known = [F.col(f"{p}_exact")] if open_metrics else []
-        found = F.coalesce(*known, F.col(f"{p}_low"), F.lit(0))
-        percentiles.append(
-            F.when(F.col("executions") <= few_rows, F.col("min"))
-            .otherwise(F.greatest(found, F.lit(0)))
-            .alias(p)
-        )
-    mean = F.expr("total div nullif(filled, 0)").alias("mean")
+        return F.greatest(F.coalesce(*known, F.col(f"{p}_low"), F.lit(0)), F.lit(0))
+
     return summary.select(
-        "norm_id", "metric", "min", mean, "max", "total", "total_rank", *percentiles
+        "norm_id",
+        "metric",
+        "min",
+        _integer_mean("total", "filled"),
+        "max",
+        "total",
+        *[_min_if_few(p, F.col("executions"), found(p)) for p in PERCENTILES],
     )
 
 
+def metric_summary(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """Per fingerprint and metric: minimum, integer mean, maximum, total, dense rank of the
+    total within the metric, and six floor-rank percentiles.
+
+    Percentile ``p`` of ``n`` rows is the value at rank ``floor(p * n)`` in ascending
+    order, NULLs lowest, and never below 0.  The lowest quartile of up to three rows,
+    and every other percentile of a single row, is the minimum.
+
+    Executions are counted per fingerprint first, and the counts checkpointed, so this
+    function runs a job.  Fingerprints with more rows than a task should order go by
+    ``large_group_statistics``, the others by ``small_group_statistics``.
+    """
+    counts = checkpointed(batches.groupBy("norm_id").agg(F.count("*").alias("executions")))
+    is_large = F.col("executions") > MAX_GROUP_ROWS
+    fingerprints, n_large = counts.agg(F.count("*"), F.count_if(is_large)).first()
+    if n_large == 0:
+        statistics = small_group_statistics(batches, metrics)
+    elif n_large == fingerprints or n_large > MAX_BROADCAST_FINGERPRINTS:
+        statistics = large_group_statistics(batches, metrics)
+    else:
+        large = F.broadcast(counts.where(is_large).select("norm_id"))
+        statistics = small_group_statistics(
+            batches.join(large, "norm_id", "left_anti"), metrics
+        ).union(large_group_statistics(batches.join(large, "norm_id", "left_semi"), metrics))
+
+    if fingerprints <= MAX_WINDOW_FINGERPRINTS:
+        by_total = W.partitionBy("metric").orderBy(F.col("total").desc())
+        ranked = statistics.withColumn("total_rank", F.dense_rank().over(by_total))
+    else:
+        statistics = checkpointed(statistics)
+        ranks = dense_ranks_desc(statistics, "metric", "total", "total_rank")
+        ranked = join_null_safe(statistics, ranks, ["metric", "total"])
+    return ranked.select(*METRIC_SUMMARY.fieldNames())
+
+
 def wide_metric_summary(summary: DataFrame, metric: str) -> DataFrame:
     """One metric of the long summary, under the column names of its own table."""
     names = wide_metric_columns(metric)

@@ -74,7 +74,15 @@ def batches(spark):
     return spark.createDataFrame(rows, COLUMNS).repartition(3)
 
 
-@pytest.mark.parametrize("limits", [{}, {"MAX_BROADCAST_RANKS": 0, "MAX_WINDOW_FINGERPRINTS": 0}])
+LIMITS = [
+    {},
+    {"MAX_GROUP_ROWS": 0},
+    {"MAX_GROUP_ROWS": 5},
+    {"MAX_GROUP_ROWS": 5, "MAX_BROADCAST_FINGERPRINTS": 1, "MAX_BROADCAST_RANKS": 0, "MAX_WINDOW_FINGERPRINTS": 0},
+]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
 def test_metric_summary(batches, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(summaries, name, value)
@@ -197,8 +205,8 @@ def test_percentiles_are_ordered(batches):
         assert steps == sorted(steps), r
 
 
-def test_no_whole_group_in_one_task(batches, capsys):
-    """The only windows over a whole group run on bucket counts or checkpointed groups."""
+def test_large_groups_are_cut_before_the_shuffle(batches, monkeypatch, capsys):
+    monkeypatch.setattr(summaries, "MAX_GROUP_ROWS", 0)
     metric_summary(batches, ["duration"]).explain()
     plan = capsys.readouterr().out
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
