@@ -26,10 +26,15 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stmtscope.schema import BATCH, RPC
-
-STRING_MARK = "{STR}"
-NUMBER_MARK = "{##}"
+from stmtscope.schema import (
+    BATCH,
+    EXECUTE_PREFIX,
+    EXECUTE_SQL_PREFIX,
+    NUMBER_MARK,
+    PREPARE_CALL,
+    RPC,
+    STRING_MARK,
+)
 
 # Whitespace, as the body of a character class: ASCII controls 9-13, next-line and
 # the Unicode separators.
@@ -82,7 +87,10 @@ _KEPT = [
 _NOT_STRING = _any(*_KEPT, _HEX, _DECIMAL)
 STRING_PASS = rf"\G({_NOT_STRING}*+)(?:{_STRING})"
 # A dynamic-SQL call name with everything up to and including its statement.
-_CALL = rf"(?:sp_executesql[{_WIDE_PART}]*+|sp_prepare(?![{_WIDE_PART}])){_NOT_STRING}*+(?:{_STRING})?+"
+_CALL = (
+    rf"(?:{EXECUTE_SQL_PREFIX}[{_WIDE_PART}]*+|{PREPARE_CALL}(?![{_WIDE_PART}]))"
+    rf"{_NOT_STRING}*+(?:{_STRING})?+"
+)
 DYNAMIC_STRING_PASS = rf"\G({_any(_CALL, _NOT_STRING)}*+)(?:{_STRING})"
 
 # --- pass 2: numbers (any string still present is a kept dynamic statement) ---
@@ -107,7 +115,7 @@ def normalize_sql(text: Column) -> Column:
     def has(part: str) -> Column:
         return F.contains(raw, F.lit(part))
 
-    dynamic = has("sp_executesql") | has("sp_prepare")
+    dynamic = has(EXECUTE_SQL_PREFIX) | has(PREPARE_CALL)
     x = (
         F.when(~has("'"), raw)
         .when(dynamic, _replace(raw, DYNAMIC_STRING_PASS, "$1" + STRING_MARK))
@@ -160,7 +168,7 @@ def fingerprint_text(
     its name alone, or by its qualified name when ``capture_schema_name`` is set.
     """
     name = F.coalesce(object_name, F.lit(""))
-    dynamic = F.startswith(name, F.lit("sp_execute")) | (name == "sp_prepare")
+    dynamic = F.startswith(name, F.lit(EXECUTE_PREFIX)) | (name == PREPARE_CALL)
     plain_call = (event_type == RPC) & ~dynamic
     called = qualified_name(text, name) if capture_schema_name else name
     return F.when(plain_call, called).otherwise(normalize_sql(text))

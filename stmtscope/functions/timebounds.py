@@ -5,9 +5,6 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta, timezone
 
-DEFAULT_START = "1900-01-01"
-DEFAULT_END = "9999-12-31"
-
 _OFFSET = re.compile(r"([+-])(\d{2}):(\d{2})")
 _SLASHED = re.compile(r"\d{1,2}/\d{1,2}/\d{4}( \d{1,2}:\d{2}(:\d{2})?)?")
 

@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stmtscope.functions.timebounds import DEFAULT_END, DEFAULT_START, to_instant
-from stmtscope.schema import EVENT_TYPES, RPC
+from stmtscope.functions.timebounds import to_instant
+from stmtscope.schema import DEFAULT_END, DEFAULT_START, EVENT_TYPES, RESET_CALL, RPC
 
 # Longer value lists are joined instead of being put into the plan as literals.
 MAX_INLINE_VALUES = 200
@@ -22,7 +22,7 @@ def keep_event_types(events: DataFrame, event_types: Sequence[str] = EVENT_TYPES
 
 def is_connection_reset(name: Column, object_name: Column) -> Column:
     """True for a pooled-connection reset call; a NULL object name is no reset."""
-    return (name == RPC) & object_name.eqNullSafe(F.lit("sp_reset_connection"))
+    return (name == RPC) & object_name.eqNullSafe(F.lit(RESET_CALL))
 
 
 def drop_connection_resets(events: DataFrame, object_name: Column | None = None) -> DataFrame:

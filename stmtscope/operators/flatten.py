@@ -14,13 +14,20 @@ from pyspark.sql import functions as F
 
 from stmtscope.functions.ids import norm_id, text_id
 from stmtscope.functions.normalize import fingerprint_text, statement_text
-from stmtscope.functions.timebounds import DEFAULT_END, DEFAULT_START
 from stmtscope.operators.filters import (
     drop_connection_resets,
     keep_event_types,
     within_time_range,
 )
-from stmtscope.schema import BATCHES, EVENT_TYPES, METRICS, RPC
+from stmtscope.schema import (
+    BATCHES,
+    DEFAULT_END,
+    DEFAULT_START,
+    EVENT_TYPES,
+    METRICS,
+    OUTCOMES,
+    RPC,
+)
 
 REASON = "reject_reason"
 
@@ -40,10 +47,9 @@ NUMBERS = {"event_sequence": "bigint", "client_pid": "int", **{m: "bigint" for m
 
 def outcome_flags(result: Column) -> dict[str, Column]:
     """``OK`` / ``Error`` / ``Abort`` -> one flag set; anything else -> none."""
-    outcomes = {"successful": "OK", "failed": "Error", "aborted": "Abort"}
     return {
         flag: F.coalesce((result == outcome).cast("int"), F.lit(0))
-        for flag, outcome in outcomes.items()
+        for flag, outcome in OUTCOMES.items()
     }
 
 

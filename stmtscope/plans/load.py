@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from stmtscope.functions.timebounds import DEFAULT_END, DEFAULT_START
 from stmtscope.operators.flatten import flatten_events, select_events, split_rejects
 from stmtscope.operators.staging import new_folder
 from stmtscope.operators.summaries import (
@@ -17,8 +16,8 @@ from stmtscope.operators.summaries import (
     unique_batches,
     wide_metric_summary,
 )
-from stmtscope.plans.reports import DEFAULT_VCORES, metric_report, minute_report, minute_series
-from stmtscope.schema import EVENT_TYPES, METRICS
+from stmtscope.plans.reports import metric_report, minute_report, minute_series
+from stmtscope.schema import DEFAULT_END, DEFAULT_START, DEFAULT_VCORES, EVENT_TYPES, METRICS
 from stmtscope.sources.events import load_stats, read_events
 from stmtscope.sources.tables import FACT, append_batches, create_tables, table_name, write_tables
 

@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stmtscope.operators.filters import with_norm_texts
-from stmtscope.schema import MINUTE_REPORT, PERCENTILES, TOTAL_UNITS, wide_metric_columns
-
-DEFAULT_VCORES = 20
+from stmtscope.schema import (
+    DEFAULT_VCORES,
+    MINUTE_REPORT,
+    PERCENTILES,
+    TOTAL_UNITS,
+    wide_metric_columns,
+)
 
 
 def minute_report(batches: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame:

@@ -15,10 +15,27 @@ EVENT = T.StructType(
     ]
 )
 
+# --- Fixed values: names and marks that events and results have to agree on. ---
 RPC = "rpc_completed"
 BATCH = "sql_batch_completed"
 EVENT_TYPES = (RPC, BATCH)
 
+RESET_CALL = "sp_reset_connection"
+EXECUTE_PREFIX = "sp_execute"
+EXECUTE_SQL_PREFIX = "sp_executesql"
+PREPARE_CALL = "sp_prepare"
+
+STRING_MARK = "{STR}"
+NUMBER_MARK = "{##}"
+
+# Outcome flag -> result text.
+OUTCOMES = {"successful": "OK", "failed": "Error", "aborted": "Abort"}
+
+# Bounds of a load that names none, and cores behind the CPU percentage.
+DEFAULT_START = "1900-01-01"
+DEFAULT_END = "9999-12-31"
+DEFAULT_VCORES = 20
+
 METRICS = (
     "duration",
     "cpu_time",
@@ -48,6 +65,7 @@ PERCENTILES = {
     "percentile_95": 95,
     "percentile_99": 99,
 }
+# --- End of the fixed values. ---
 
 
 _LONG, _INT, _TEXT, _TIME = T.LongType(), T.IntegerType(), T.StringType(), T.TimestampType()
