@@ -23,7 +23,6 @@ from stmtscope.functions import (  # noqa: E402
     qualified_name,
     text_id,
 )
-from stmtscope.operators.flatten import REASON  # noqa: E402
 from stmtscope.operators.staging import new_folder  # noqa: E402
 from stmtscope.plans import metric_report, minute_report, minute_series  # noqa: E402
 from stmtscope.schema import BATCHES, METRICS  # noqa: E402
@@ -37,6 +36,13 @@ from stmtscope.sources import (  # noqa: E402
 )
 from workload import derive, oracle  # noqa: E402
 
+try:
+    from stmtscope.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as error:  # the subpackage may have been taken out
+    if error.name not in ("stmtscope.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 # Names of the per-metric queries.
 SHORT = {"cpu_time": "cpu"}
 TEXT_SUBSET = (
@@ -279,7 +285,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return _report(derive.fact_table(spark, "/root/testdata/sf0.001"), "duration")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def trace_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = {
         "event_type_filter": event_type_filter,
         "connection_reset_filter": connection_reset_filter,
@@ -319,7 +325,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return named
 
 
-def oracle_sql() -> dict[str, str]:
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return trace_queries() | (llm.queries() if llm else {})
+
+
+def trace_sql() -> dict[str, str]:
     raw = oracle.RAW["events"]
     events = oracle.batches_with("events")
     lines = oracle.batches_with("lineitem", drop_resets=False)
@@ -390,3 +400,7 @@ def oracle_sql() -> dict[str, str]:
         sql[f"{short}_summary"] = f"{events} {oracle.wide_summary(metric)}"
         sql[f"{short}_report"] = f"{events} {oracle.report(metric)}"
     return sql
+
+
+def oracle_sql() -> dict[str, str]:
+    return trace_sql() | (llm.oracle_sql() if llm else {})
