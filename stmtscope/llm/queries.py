@@ -5,21 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stmtscope.llm import pieces
 from stmtscope.llm.near_dup import near_duplicates
+from stmtscope.llm.url_filter import filter_urls
+
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and a digest of the text that decoding them gives back."""
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", "n_tokens", "token_ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_near_duplicates": op2_near_duplicates,
+        "op7_pieces": op7_pieces,
     }
 
 
