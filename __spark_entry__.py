@@ -38,7 +38,7 @@ from workload import derive, oracle  # noqa: E402
 
 try:
     from stmtscope.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as error:  # the subpackage may have been taken out
+except ImportError as error:  # the subpackage may have been taken out
     if error.name not in ("stmtscope.llm", "corpus_pipeline"):
         raise
     llm = None
