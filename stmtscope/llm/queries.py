@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stmtscope.llm import pieces
 from stmtscope.llm.near_dup import near_duplicates
+from stmtscope.llm.quality_rules import quality_rules
 from stmtscope.llm.url_filter import filter_urls
 
 URL_RULES = (
@@ -31,6 +32,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules(table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and a digest of the text that decoding them gives back."""
     decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
@@ -43,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_near_duplicates": op2_near_duplicates,
+        "op6_quality_rules": op6_quality_rules,
         "op7_pieces": op7_pieces,
     }
 
