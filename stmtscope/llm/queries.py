@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stmtscope.llm import pieces
+from stmtscope.llm.lm_score import lm_scores
 from stmtscope.llm.near_dup import near_duplicates
 from stmtscope.llm.quality_rules import quality_rules
 from stmtscope.llm.url_filter import filter_urls
@@ -32,6 +33,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_rules(table(spark, sf_dir, "documents"), trusted)
@@ -49,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_near_duplicates": op2_near_duplicates,
+        "op5_lm_scores": op5_lm_scores,
         "op6_quality_rules": op6_quality_rules,
         "op7_pieces": op7_pieces,
     }

@@ -89,13 +89,15 @@ def words_of(texts: pa.Array) -> Words:
     return Words(data, start, end, hashes, np.searchsorted(start, offsets))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """Slices of the batches with about ``CHUNK_BYTES`` of text, and their words."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], column: str = "text", chunk_bytes: int = CHUNK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Slices of the batches with about ``chunk_bytes`` of text, and their words."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         total, begin = 0, 0
         for i, size in enumerate(lengths):
-            if i > begin and total + size > CHUNK_BYTES:
+            if i > begin and total + size > chunk_bytes:
                 piece = batch.slice(begin, i - begin)
                 yield piece, words_of(piece.column(column))
                 total, begin = 0, i
