@@ -11,6 +11,7 @@ from stmtscope.llm import pieces
 from stmtscope.llm.lm_score import lm_scores
 from stmtscope.llm.near_dup import near_duplicates
 from stmtscope.llm.quality_rules import quality_rules
+from stmtscope.llm.quality_vote import quality_scores
 from stmtscope.llm.url_filter import filter_urls
 
 URL_RULES = (
@@ -50,6 +51,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -57,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_lm_scores": op5_lm_scores,
         "op6_quality_rules": op6_quality_rules,
         "op7_pieces": op7_pieces,
+        "op8_quality_scores": op8_quality_scores,
     }
 
 
