@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stmtscope.llm import pieces
+from stmtscope.llm.html_text import main_texts
 from stmtscope.llm.lm_score import lm_scores
 from stmtscope.llm.near_dup import near_duplicates
+from stmtscope.llm.pii import find_personal_data
 from stmtscope.llm.quality_rules import quality_rules
 from stmtscope.llm.quality_vote import quality_scores
 from stmtscope.llm.url_filter import filter_urls
@@ -55,6 +57,14 @@ def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -63,6 +73,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_pieces": op7_pieces,
         "op8_quality_scores": op8_quality_scores,
+        "op9_main_texts": op9_main_texts,
+        "op10_personal_data": op10_personal_data,
     }
 
 
