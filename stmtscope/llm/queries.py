@@ -14,7 +14,7 @@ from stmtscope.llm.near_dup import near_duplicates
 from stmtscope.llm.pii import find_personal_data
 from stmtscope.llm.quality_rules import quality_rules
 from stmtscope.llm.quality_vote import quality_scores
-from stmtscope.llm.url_filter import filter_urls
+from stmtscope.llm.url_filter import filter_urlsfrom stmtscope.llm.topk import top_k
 
 URL_RULES = (
     ("net", "/", "block"),
@@ -36,6 +36,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, scale=64.0, query_every=20)
+
+
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_near_duplicates": op2_near_duplicates,
+        "op3_top_k": op3_top_k,
         "op5_lm_scores": op5_lm_scores,
         "op6_quality_rules": op6_quality_rules,
         "op7_pieces": op7_pieces,
