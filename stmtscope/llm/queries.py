@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from stmtscope.llm import pieces
 from stmtscope.llm.html_text import main_texts
 from stmtscope.llm.lm_score import lm_scores
+from stmtscope.llm.mixing import mix
 from stmtscope.llm.near_dup import near_duplicates
 from stmtscope.llm.pii import find_personal_data
 from stmtscope.llm.quality_rules import quality_rules
 from stmtscope.llm.quality_vote import quality_scores
-from stmtscope.llm.url_filter import filter_urlsfrom stmtscope.llm.topk import top_k
+from stmtscope.llm.topk import top_k
+from stmtscope.llm.url_filter import filter_urls
 
 URL_RULES = (
     ("net", "/", "block"),
@@ -40,6 +42,14 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=20, scale=64.0, query_every=20)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as often as a mixture of all tokens takes it, no source over twice."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens")
+    )
+    return mix(docs, budget=1.0, max_repeats=2.0)
+
+
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
@@ -74,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filter": op1_url_filter,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_top_k": op3_top_k,
+        "op4_mixing": op4_mixing,
         "op5_lm_scores": op5_lm_scores,
         "op6_quality_rules": op6_quality_rules,
         "op7_pieces": op7_pieces,
