@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stmtscope.llm import pieces
 from stmtscope.llm.html_text import main_texts
 from stmtscope.llm.lm_score import lm_scores
@@ -91,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_scores": op8_quality_scores,
         "op9_main_texts": op9_main_texts,
         "op10_personal_data": op10_personal_data,
+        "pipeline": corpus_pipeline.run,
     }
 
 
