@@ -12,7 +12,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from stmtscope import operators as ops  # noqa: E402
@@ -23,7 +23,7 @@ from stmtscope.functions import (  # noqa: E402
     qualified_name,
     text_id,
 )
-from stmtscope.operators.staging import new_folder  # noqa: E402
+from stmtscope.operators.staging import checkpointed, new_folder  # noqa: E402
 from stmtscope.plans import metric_report, minute_report, minute_series  # noqa: E402
 from stmtscope.schema import BATCHES, METRICS  # noqa: E402
 from stmtscope.sources import (  # noqa: E402
@@ -52,6 +52,7 @@ TEXT_SUBSET = (
 )
 WINDOW = ("2024-01-05 01:30:00", "2024-01-20 18:45:10", "-03:30")
 TOP_K = 5
+REPEATED = 997  # event sequences are taken modulo this where they are to repeat
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -171,14 +172,12 @@ def load_batches_lineitem(spark, sf_dir):
 
 def _damaged(spark, sf_dir):
     """Trace events of which some lack a key or hold a value that is no number."""
-    user = F.col("user_id")
-    table = derive.events_table(spark, sf_dir).select(F.col("event_id").alias("event_sequence"), "user_id")
-    flat = derive.flat_events(spark, sf_dir).join(table, "event_sequence")
+    place = F.col("event_sequence") % 25
     return derive.as_trace_events(
-        flat,
-        duration=F.when(user % 25 == 7, F.lit("n/a")).otherwise(F.col("duration").cast("string")),
-        writes=F.when(user % 25 != 8, F.col("writes").cast("string")),
-        client_pid=F.when(user % 25 != 9, F.col("client_pid").cast("string")),
+        derive.flat_events(spark, sf_dir),
+        duration=F.when(place == 7, F.lit("n/a")).otherwise(F.col("duration").cast("string")),
+        writes=F.when(place != 8, F.col("writes").cast("string")),
+        client_pid=F.when(place != 9, F.col("client_pid").cast("string")),
     )
 
 
@@ -231,6 +230,21 @@ def unique_batches_single_pass(spark, sf_dir):
     return ops.exemplars_by_aggregate(derive.fact_table(spark, sf_dir))
 
 
+def _repeated_keys(spark, sf_dir):
+    """Facts whose event sequences repeat inside fingerprints."""
+    facts = derive.fact_table(spark, sf_dir, "lineitem")
+    return facts.withColumn("event_sequence", F.col("event_sequence") % REPEATED)
+
+
+def unique_batches_repeated_keys(spark, sf_dir):
+    return ops.unique_batches(_repeated_keys(spark, sf_dir))
+
+
+def unique_batches_many(spark, sf_dir):
+    """The way taken when the fingerprints are too many to broadcast."""
+    return ops.unique_batches(_repeated_keys(spark, sf_dir), ops.PlanLimits(broadcast_fingerprints=0))
+
+
 def batch_summary(spark, sf_dir):
     return ops.batch_summary(derive.fact_table(spark, sf_dir))
 
@@ -239,6 +253,23 @@ def numbered_executions(spark, sf_dir):
     return ops.numbered_executions(derive.fact_table(spark, sf_dir), "duration")
 
 
+def numbered_executions_lineitem(spark, sf_dir):
+    return ops.numbered_executions(derive.fact_table(spark, sf_dir, "lineitem"), "writes")
+
+
+def metric_summaries_large(spark, sf_dir):
+    """The way of fingerprints too large for one task, for all of them; ranks by join."""
+    limits = ops.PlanLimits(group_rows=0, broadcast_fingerprints=0, broadcast_ranks=0, window_fingerprints=0)
+    return ops.metric_summary(derive.fact_table(spark, sf_dir, "lineitem"), limits=limits)
+
+
+def dense_rank_large(spark, sf_dir):
+    """Total ranks when the fingerprints are too many for one task per metric."""
+    limits = ops.PlanLimits(window_fingerprints=0)
+    ranked = ops.metric_summary(derive.fact_table(spark, sf_dir, "lineitem"), ["duration"], limits)
+    return ranked.select("norm_id", "total", "total_rank")
+
+
 def metric_summaries(spark, sf_dir):
     return ops.metric_summary(derive.fact_table(spark, sf_dir))
 
@@ -264,6 +295,35 @@ def minute_time_series(spark, sf_dir):
     return _plain_times(minute_series(minute_report(batches), ops.unique_batches(batches)))
 
 
+def minute_series_subset(spark, sf_dir):
+    batches = derive.fact_table(spark, sf_dir)
+    return _plain_times(minute_series(minute_report(batches), ops.unique_batches(batches), TEXT_SUBSET))
+
+
+def report_long_text_list(spark, sf_dir):
+    """A list too long for literals: the wanted texts among many others."""
+    texts = (*TEXT_SUBSET, *(f"SELECT {i} FROM dbo.Other" for i in range(1000)))
+    return _report(derive.fact_table(spark, sf_dir), "duration", norm_texts=texts)
+
+
+def _with_place(df):
+    """The place of each row in the order in which a report returns its rows."""
+    stored = checkpointed(df.withColumn("at", F.monotonically_increasing_id()))
+    rows = stored.withColumn("part", F.shiftright("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    parts = rows.groupBy("part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    offsets = parts.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("offset"))
+    return rows.join(offsets, "part").withColumn("place", F.col("at") + F.col("offset"))
+
+
+def report_order(spark, sf_dir):
+    return _with_place(_report(derive.fact_table(spark, sf_dir), "duration")).select("total_duration_seconds", "place")
+
+
+def minute_series_order(spark, sf_dir):
+    return _with_place(_plain_times(minute_time_series(spark, sf_dir))).select("minute", "place")
+
+
 def report_text_subset(spark, sf_dir):
     return _report(derive.fact_table(spark, sf_dir), "duration", norm_texts=TEXT_SUBSET)
 
@@ -317,6 +377,15 @@ def trace_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "minute_series": minute_time_series,
         "report_text_subset": report_text_subset,
         "report_top_k": report_top_k,
+        "unique_batches_repeated_keys": unique_batches_repeated_keys,
+        "unique_batches_many": unique_batches_many,
+        "numbered_executions_lineitem": numbered_executions_lineitem,
+        "metric_summaries_large": metric_summaries_large,
+        "dense_rank_large": dense_rank_large,
+        "minute_series_subset": minute_series_subset,
+        "report_long_text_list": report_long_text_list,
+        "report_order": report_order,
+        "minute_series_order": minute_series_order,
     }
     for metric in METRICS:
         short = SHORT.get(metric, metric)
@@ -338,6 +407,21 @@ def trace_sql() -> dict[str, str]:
     flat = ", ".join(c for c in BATCHES.fieldNames() if c not in generated)
     every = ", ".join(BATCHES.fieldNames())
     names = ", ".join(oracle.quoted(t) for t in TEXT_SUBSET)
+    repeated = lines.replace(
+        "  SELECT event_sequence, name AS event_type", f"  SELECT event_sequence % {REPEATED} AS event_sequence, name AS event_type"
+    )
+    series = (
+        "SELECT minute, m.norm_id, m.database_name, norm_text, execution_count, duration_us, cpu_us, cpu_pct, "
+        "logical_reads_pages, physical_reads_pages, writes_pages, avg_row_count "
+        f"FROM ({oracle.MINUTES}) m JOIN ({oracle.UNIQUE}) u ON u.norm_id = m.norm_id"
+    )
+
+    def numbered(metric):
+        return (
+            f"SELECT norm_id, event_sequence, {metric}, row_number() OVER (PARTITION BY norm_id ORDER BY {metric} ASC "
+            "NULLS FIRST, event_sequence) AS execution_number, count(*) OVER (PARTITION BY norm_id) AS execution_count FROM batches"
+        )
+
     sql = {
         "event_type_filter": f"SELECT event_sequence, name, event_ts FROM ({raw}) WHERE {oracle.KEPT}",
         "connection_reset_filter": f"SELECT event_sequence, name, object_name FROM ({raw}) WHERE NOT {oracle.RESET}",
@@ -368,10 +452,9 @@ def trace_sql() -> dict[str, str]:
         "SELECT database_name, norm_text, count(*) AS executions FROM captured GROUP BY 1, 2",
         "load_batches": f"{events} SELECT {every} FROM batches",
         "load_batches_lineitem": f"{lines} SELECT {every} FROM batches",
-        "rejected_events": f"SELECT event_sequence, name AS event_type, event_ts, CASE user_id % 25 "
+        "rejected_events": f"SELECT event_sequence, name AS event_type, event_ts, CASE event_sequence % 25 "
         "WHEN 7 THEN 'invalid duration' WHEN 8 THEN 'missing writes' ELSE 'missing client_pid' END AS reject_reason "
-        f"FROM ({raw}) r JOIN events e ON e.event_id = r.event_sequence "
-        f"WHERE {oracle.KEPT} AND user_id % 25 IN (7, 8, 9)",
+        f"FROM ({raw}) WHERE {oracle.KEPT} AND event_sequence % 25 IN (7, 8, 9)",
         "load_stats": f"SELECT count(*) AS events_read, count(*) FILTER (WHERE {oracle.KEPT} AND NOT {oracle.RESET}) "
         f"AS events_kept FROM ({raw})",
         "scan_event_folder": f"{events} SELECT {every} FROM batches",
@@ -383,15 +466,22 @@ def trace_sql() -> dict[str, str]:
         "unique_batches_lineitem": f"{lines} {oracle.UNIQUE}",
         "batch_summary": f"{events} {oracle.COUNTS}",
         "batch_summary_lineitem": f"{lines} {oracle.COUNTS}",
-        "numbered_executions": f"{events} SELECT norm_id, event_sequence, duration, row_number() OVER "
-        "(PARTITION BY norm_id ORDER BY duration ASC NULLS FIRST, event_sequence) AS execution_number, "
-        "count(*) OVER (PARTITION BY norm_id) AS execution_count FROM batches",
+        "numbered_executions": f"{events} {numbered('duration')}",
         "metric_summaries": f"{events} {oracle.long_summary()}",
         "metric_summaries_lineitem": f"{lines} {oracle.long_summary()}",
         "minute_report": f"{events} {oracle.MINUTES}",
-        "minute_series": f"{events} SELECT minute, m.norm_id, m.database_name, norm_text, execution_count, "
-        "duration_us, cpu_us, cpu_pct, logical_reads_pages, physical_reads_pages, writes_pages, avg_row_count "
-        f"FROM ({oracle.MINUTES}) m JOIN ({oracle.UNIQUE}) u ON u.norm_id = m.norm_id",
+        "minute_series": f"{events} {series}",
+        "minute_series_subset": f"{events} {series} WHERE norm_text IN ({names})",
+        "minute_series_order": f"{events} SELECT minute, row_number() OVER (ORDER BY minute) AS place FROM ({series})",
+        "report_order": f"{events} SELECT total_duration_seconds, row_number() OVER (ORDER BY total_duration_seconds DESC) AS place "
+        f"FROM ({oracle.report('duration')})",
+        "report_long_text_list": f"{events} {oracle.report('duration', f'WHERE u.norm_text IN ({names})')}",
+        "unique_batches_repeated_keys": f"{repeated} {oracle.UNIQUE}",
+        "unique_batches_many": f"{repeated} {oracle.UNIQUE}",
+        "numbered_executions_lineitem": f"{lines} {numbered('writes')}",
+        "metric_summaries_large": f"{lines} {oracle.long_summary()}",
+        "dense_rank_large": f"{lines} SELECT norm_id, total_duration AS total, total_duration_rank AS total_rank "
+        f"FROM ({oracle.wide_summary('duration')})",
         "report_text_subset": f"{events} {oracle.report('duration', f'WHERE u.norm_text IN ({names})')}",
         "report_top_k": f"{events} {oracle.report('duration', f'WHERE s.total_duration_rank <= {TOP_K}')}",
     }

@@ -13,6 +13,7 @@ from stmtscope.operators.flatten import (
     to_batches,
 )
 from stmtscope.operators.summaries import (
+    PlanLimits,
     batch_summary,
     exemplars_by_aggregate,
     exemplars_by_join,
@@ -25,6 +26,7 @@ from stmtscope.operators.summaries import (
 )
 
 __all__ = [
+    "PlanLimits",
     "batch_summary",
     "drop_connection_resets",
     "duplicate_keys",

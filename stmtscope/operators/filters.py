@@ -13,6 +13,8 @@ from stmtscope.schema import DEFAULT_END, DEFAULT_START, EVENT_TYPES, RESET_CALL
 
 # Longer value lists are joined instead of being put into the plan as literals.
 MAX_INLINE_VALUES = 200
+# The list lies on the driver; up to this size it is broadcast, a larger one is joined by shuffle.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def keep_event_types(events: DataFrame, event_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
@@ -57,4 +59,6 @@ def with_norm_texts(df: DataFrame, norm_texts: Iterable[str] | None) -> DataFram
     if len(wanted) <= MAX_INLINE_VALUES:
         return df.where(F.col("norm_text").isin(wanted))
     listed = df.sparkSession.createDataFrame([(t,) for t in wanted], "norm_text string")
+    if sum(len(t.encode()) for t in wanted) <= MAX_BROADCAST_BYTES:
+        listed = F.broadcast(listed)
     return df.join(listed, "norm_text", "left_semi")

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stmtscope.operators.staging import checkpointed
+
 # Buckets per doubling of the value: each spans about 0.017 % of it, and a group has
 # at most 63 * 4096 of them per sign.
 BUCKETS_PER_DOUBLING = 4096
@@ -62,53 +64,38 @@ def row_numbers(
     tie_break: str,
     number: str,
     count: str,
-    chunk: int = 1_000_000,
+    broadcast_offsets: int = 2_000_000,
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY value, tie_break)``, NULLs first,
     and the group's ``COUNT(*)``.
 
-    Rows of one group with the same value are split further by ranges of ``tie_break``, so
-    a task orders at most ``chunk`` of them.  ``tie_break`` is unique; neither it nor
-    ``partition`` is NULL.  The rows are shuffled once: the join that brings in the rows
-    before a cell and the numbering inside it use the same, never NULL, key.
+    The rows are dealt by range and ordered once, and stored so, with their place in their
+    range.  Groups and equal values may be cut by ranges, so none is too large for a task;
+    rows equal in all three columns may come in any order.  Per range and group one row of
+    counts tells how many rows of the group lie before; those counts join the stored rows.
+    The function runs a job.
     """
-    missing, filled = F.col(value).isNull(), F.coalesce(F.col(value), F.lit(0))
-    cell = [partition, "_missing", "_filled", "_chunk"]
-    rows = df.select(
-        "*",
-        missing.alias("_missing"),
-        filled.alias("_filled"),
-        F.expr(f"`{tie_break}` div {chunk}").alias("_chunk"),
-    )
-    bucket = F.when(~F.col("_missing"), order_bucket(F.col("_filled")))
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("_size")).withColumn("_bucket", bucket)
-
-    buckets = cells.groupBy(partition, "_bucket").agg(F.sum("_size").alias("_bucket_size"))
+    order = [F.col(partition), F.col(value).asc_nulls_first(), F.col(tie_break)]
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = checkpointed(ordered.withColumn("_place", F.monotonically_increasing_id()))
+    # The id's upper bits are the number of the range, in the order of the ranges.
+    rows = placed.withColumn("_range", F.shiftright("_place", 33))
+    parts = rows.groupBy("_range", partition).agg(F.min("_place").alias("_first"), F.count("*").alias("_size"))
     group = W.partitionBy(partition)
-    upto = group.orderBy(F.col("_bucket").asc_nulls_first()).rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    bucket_offsets = buckets.select(
-        partition,
-        "_bucket",
-        (F.sum("_bucket_size").over(upto) - F.col("_bucket_size")).alias("_before_bucket"),
-        F.sum("_bucket_size").over(group).alias(count),
+    before = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = parts.select(
+        F.col("_range").alias("_of_range"),
+        F.col(partition).alias("_group"),
+        "_first",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        F.sum("_size").over(group).alias(count),
     )
-
-    inside = (
-        W.partitionBy(partition, "_bucket")
-        .orderBy("_filled", "_chunk")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    cell_offsets = join_null_safe(
-        cells.withColumn("_before_cell", F.sum("_size").over(inside) - F.col("_size")),
-        bucket_offsets,
-        [partition, "_bucket"],
-    ).select(*cell, (F.col("_before_bucket") + F.col("_before_cell")).alias("_before"), count)
-
-    in_cell = W.partitionBy(*cell).orderBy(tie_break)
+    offsets = checkpointed(offsets)
+    if offsets.count() <= broadcast_offsets:
+        offsets = F.broadcast(offsets)
+    same = (F.col("_range") == F.col("_of_range")) & F.col(partition).eqNullSafe(F.col("_group"))
     return (
-        rows.join(cell_offsets, cell)
-        .withColumn(number, F.col("_before") + F.row_number().over(in_cell))
+        rows.join(offsets, same)
+        .withColumn(number, F.col("_place") - F.col("_first") + F.col("_before") + 1)
         .select(*df.columns, number, count)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,38 +24,52 @@ from stmtscope.schema import (
     wide_metric_columns,
 )
 
-# A fingerprint with more rows than this is not ordered by one task.
-MAX_GROUP_ROWS = 1_000_000
-# More fingerprint rows (one or two numbers each) than this are not broadcast.
-MAX_BROADCAST_FINGERPRINTS = 2_000_000
-# More open ranks than this are not broadcast; one takes less than 100 bytes.
-MAX_BROADCAST_RANKS = 500_000
-# More fingerprints than this are not ranked by one task per metric.
-MAX_WINDOW_FINGERPRINTS = 1_000_000
+@dataclass(frozen=True)
+class PlanLimits:
+    """Sizes up to which the cheaper plan of two is taken.  Both plans give the same rows."""
+
+    #: Rows of a fingerprint that one task orders; larger ones are folded into value buckets.
+    group_rows: int = 1_000_000
+    #: Fingerprint rows (a few numbers each) that are broadcast; more are joined by shuffle.
+    broadcast_fingerprints: int = 2_000_000
+    #: Open percentile ranks (under 100 bytes each) that are broadcast.
+    broadcast_ranks: int = 500_000
+    #: Fingerprints that one task per metric ranks by total.
+    window_fingerprints: int = 1_000_000
+
+
+DEFAULT_LIMITS = PlanLimits()
 
 
 def first_occurrences(batches: DataFrame) -> DataFrame:
-    """Smallest event sequence of each fingerprint."""
-    return batches.groupBy("norm_id").agg(F.min("event_sequence").alias("event_sequence"))
+    """First execution of each fingerprint: the smallest event sequence, of several with the
+    same one the smallest text id."""
+    first = F.min(F.struct("event_sequence", "text_id")).alias("first")
+    return batches.groupBy("norm_id").agg(first).select("norm_id", "first.*")
 
 
-def unique_batches(batches: DataFrame) -> DataFrame:
-    """One exemplar per fingerprint: its first execution.
+def unique_batches(batches: DataFrame, limits: PlanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """One exemplar per fingerprint: its first execution, by event sequence, text id, event
+    type and database.
 
-    The first occurrences are found in a scan of two columns and checkpointed, so this
-    function runs a job.  When they are few enough to broadcast, the exemplars are the
-    rows of a semi-join, and no text is shuffled; otherwise see ``exemplars_by_aggregate``.
+    The first occurrences are found in a scan of three columns and checkpointed, so this
+    function runs a job.  When they are few enough to broadcast, the exemplars come from a
+    semi-join, and no other text is shuffled; otherwise see ``exemplars_by_aggregate``.
     """
     first = checkpointed(first_occurrences(batches))
-    if first.count() > MAX_BROADCAST_FINGERPRINTS:
+    if first.count() > limits.broadcast_fingerprints:
         return exemplars_by_aggregate(batches)
     return exemplars_by_join(batches, F.broadcast(first))
 
 
+EXEMPLAR = ("event_type", "database_name", "orig_text", "norm_text")
+
+
 def _exemplar_columns(batches: DataFrame) -> DataFrame:
     return batches.select(
         "norm_id",
         "event_sequence",
+        "text_id",
         "event_type",
         "database_name",
         F.col("text_data").alias("orig_text"),
@@ -63,18 +78,18 @@ def _exemplar_columns(batches: DataFrame) -> DataFrame:
 
 
 def exemplars_by_join(batches: DataFrame, first: DataFrame) -> DataFrame:
-    """Exemplars as the fact rows that occur in ``first``."""
-    kept = _exemplar_columns(batches).join(first, ["norm_id", "event_sequence"], "left_semi")
-    return kept.select(*UNIQUE_BATCHES.fieldNames())
+    """Exemplars as the fact rows that occur in ``first``; rows that share even the text id
+    are told apart last."""
+    kept = _exemplar_columns(batches).join(first, ["norm_id", "event_sequence", "text_id"], "left_semi")
+    row = F.min(F.struct(*EXEMPLAR)).alias("row")
+    return kept.groupBy("norm_id").agg(row).select(*[c if c == "norm_id" else f"row.{c}" for c in UNIQUE_BATCHES.fieldNames()])
 
 
 def exemplars_by_aggregate(batches: DataFrame) -> DataFrame:
     """Exemplars in one aggregation: each task passes on at most one row per fingerprint."""
-    row = F.struct("event_type", "database_name", "orig_text", "norm_text")
-    first = _exemplar_columns(batches).groupBy("norm_id").agg(
-        F.min_by(row, "event_sequence").alias("row")
-    )
-    return first.select("norm_id", "row.*")
+    row = F.min(F.struct("event_sequence", "text_id", *EXEMPLAR)).alias("row")
+    first = _exemplar_columns(batches).groupBy("norm_id").agg(row)
+    return first.select(*[c if c == "norm_id" else f"row.{c}" for c in UNIQUE_BATCHES.fieldNames()])
 
 
 def batch_summary(batches: DataFrame) -> DataFrame:
@@ -92,9 +107,7 @@ def numbered_executions(batches: DataFrame, metric: str) -> DataFrame:
     """Executions numbered by metric value within their fingerprint, with the number of
     executions; equal values are numbered by event sequence."""
     rows = batches.select("norm_id", "event_sequence", metric)
-    return row_numbers(
-        rows, "norm_id", metric, "event_sequence", "execution_number", "execution_count"
-    )
+    return row_numbers(rows, "norm_id", metric, "event_sequence", "execution_number", "execution_count")
 
 
 def metric_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
@@ -238,7 +251,9 @@ def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> Da
     )
 
 
-def large_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFrame:
+def large_group_statistics(
+    batches: DataFrame, metrics: Sequence[str], limits: PlanLimits = DEFAULT_LIMITS
+) -> DataFrame:
     """Statistics of fingerprints of any size, without giving a whole one to a task.
 
     Two scans.  The first counts value buckets and finds the bucket of every rank; its
@@ -258,7 +273,7 @@ def large_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFr
     if open_metrics:
         # A metric whose percentiles are all known is not read again.
         values = metric_values(batches, open_metrics)
-        few_ranks = sum(r.open for r in sizes) <= MAX_BROADCAST_RANKS
+        few_ranks = sum(r.open for r in sizes) <= limits.broadcast_ranks
         exact = _values_at_ranks(values, _open_ranks(groups), few_ranks)
         summary = groups.join(exact, ["norm_id", "metric"], "left")
 
@@ -277,7 +292,9 @@ def large_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFr
     )
 
 
-def metric_summary(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+def metric_summary(
+    batches: DataFrame, metrics: Sequence[str] = METRICS, limits: PlanLimits = DEFAULT_LIMITS
+) -> DataFrame:
     """Per fingerprint and metric: minimum, integer mean, maximum, total, dense rank of the
     total within the metric, and six floor-rank percentiles.
 
@@ -290,19 +307,19 @@ def metric_summary(batches: DataFrame, metrics: Sequence[str] = METRICS) -> Data
     ``large_group_statistics``, the others by ``small_group_statistics``.
     """
     counts = checkpointed(batches.groupBy("norm_id").agg(F.count("*").alias("executions")))
-    is_large = F.col("executions") > MAX_GROUP_ROWS
+    is_large = F.col("executions") > limits.group_rows
     fingerprints, n_large = counts.agg(F.count("*"), F.count_if(is_large)).first()
     if n_large == 0:
         statistics = small_group_statistics(batches, metrics)
-    elif n_large == fingerprints or n_large > MAX_BROADCAST_FINGERPRINTS:
-        statistics = large_group_statistics(batches, metrics)
+    elif n_large == fingerprints or n_large > limits.broadcast_fingerprints:
+        statistics = large_group_statistics(batches, metrics, limits)
     else:
         large = F.broadcast(counts.where(is_large).select("norm_id"))
         statistics = small_group_statistics(
             batches.join(large, "norm_id", "left_anti"), metrics
-        ).union(large_group_statistics(batches.join(large, "norm_id", "left_semi"), metrics))
+        ).union(large_group_statistics(batches.join(large, "norm_id", "left_semi"), metrics, limits))
 
-    if fingerprints <= MAX_WINDOW_FINGERPRINTS:
+    if fingerprints <= limits.window_fingerprints:
         by_total = W.partitionBy("metric").orderBy(F.col("total").desc())
         ranked = statistics.withColumn("total_rank", F.dense_rank().over(by_total))
     else:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from stmtscope.operators.flatten import flatten_events, select_events, split_rejects
-from stmtscope.operators.staging import new_folder
+from stmtscope.operators.staging import checkpointed, new_folder
 from stmtscope.operators.summaries import (
     batch_summary,
     metric_summary,
@@ -78,7 +77,7 @@ def summarize(spark: SparkSession, options: LoadOptions) -> None:
     """Rebuild every derived table from the fact table."""
     batches = spark.table(table_name(options.database, FACT, options.suffix))
     # Six tables come from one summary; it has a row per fingerprint and metric.
-    summary = metric_summary(batches).persist(StorageLevel.MEMORY_AND_DISK)
+    summary = checkpointed(metric_summary(batches))
     derived = {
         "unique_batches": unique_batches(batches),
         "batch_summary": batch_summary(batches),
@@ -86,7 +85,6 @@ def summarize(spark: SparkSession, options: LoadOptions) -> None:
         "minute_report": minute_report(batches, options.vcores),
     }
     write_tables(derived, options.database, options.suffix, options.buckets)
-    summary.unpersist()
 
 
 def report(

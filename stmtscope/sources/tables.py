@@ -44,16 +44,16 @@ def create_tables(
 
 def check_keys(batches: DataFrame, existing: DataFrame | None = None) -> None:
     """Raise when an event sequence is repeated in ``batches`` or already in ``existing``.
-    Of the existing keys only those in the new key range are read."""
+
+    Old keys are only looked up: those in the new key range meet the new ones in a
+    semi-join, so old keys are never counted, and Spark may broadcast the new side."""
     keys = batches.select("event_sequence")
-    if existing is not None:
+    sample = duplicate_keys(keys).limit(5).collect()
+    if not sample and existing is not None:
         low, high = keys.agg(F.min("event_sequence"), F.max("event_sequence")).first()
         if low is not None:
-            old = existing.select("event_sequence").where(
-                F.col("event_sequence").between(low, high)
-            )
-            keys = keys.union(old)
-    sample = duplicate_keys(keys).limit(5).collect()
+            old = existing.select("event_sequence").where(F.col("event_sequence").between(low, high))
+            sample = old.join(keys, "event_sequence", "left_semi").limit(5).collect()
     if sample:
         shown = ", ".join(str(r.event_sequence) for r in sample)
         raise DuplicateKeyError(f"duplicate event_sequence, for example {shown}")

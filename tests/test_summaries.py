@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from stmtscope.operators import (
+    PlanLimits,
     batch_summary,
     duplicate_keys,
     exemplars_by_aggregate,
     metric_summary,
     numbered_executions,
-    summaries,
     unique_batches,
     wide_metric_summary,
 )
@@ -75,20 +75,18 @@ def batches(spark):
 
 
 LIMITS = [
-    {},
-    {"MAX_GROUP_ROWS": 0},
-    {"MAX_GROUP_ROWS": 5},
-    {"MAX_GROUP_ROWS": 5, "MAX_BROADCAST_FINGERPRINTS": 1, "MAX_BROADCAST_RANKS": 0, "MAX_WINDOW_FINGERPRINTS": 0},
+    PlanLimits(),
+    PlanLimits(group_rows=0),
+    PlanLimits(group_rows=5),
+    PlanLimits(group_rows=5, broadcast_fingerprints=1, broadcast_ranks=0, window_fingerprints=0),
 ]
 
 
 @pytest.mark.parametrize("limits", LIMITS)
-def test_metric_summary(batches, monkeypatch, limits):
-    for name, value in limits.items():
-        monkeypatch.setattr(summaries, name, value)
+def test_metric_summary(batches, limits):
     got = {
         (r.norm_id, r.metric): r
-        for r in metric_summary(batches, ["duration", "logical_reads", "writes"]).collect()
+        for r in metric_summary(batches, ["duration", "logical_reads", "writes"], limits).collect()
     }
     columns = {
         "duration": GROUPS,
@@ -128,11 +126,12 @@ def test_numbered_executions(batches):
             assert (got[k, seq].execution_number, got[k, seq].execution_count) == (i, len(group))
 
 
-def test_row_numbers_of_ties_split_into_chunks(spark):
+@pytest.mark.parametrize("broadcast_offsets", [1000, 0])
+def test_row_numbers_of_ties(spark, broadcast_offsets):
     from stmtscope.operators.ranking import row_numbers
 
     rows = spark.createDataFrame([(1, 5, s) for s in range(100)] + [(1, 3, 7_000)], "g long, v long, s long")
-    got = row_numbers(rows, "g", "v", "s", "n", "c", chunk=7).collect()
+    got = row_numbers(rows, "g", "v", "s", "n", "c", broadcast_offsets).collect()
     assert {(r.v, r.s): r.n for r in got} == {(3, 7_000): 1, **{(5, s): s + 2 for s in range(100)}}
     assert {r.c for r in got} == {101}
 
@@ -169,14 +168,17 @@ def facts(spark):
     ).repartition(4)
 
 
-@pytest.mark.parametrize("limit", [10, 0])
-def test_unique_batches(facts, monkeypatch, limit):
-    monkeypatch.setattr(summaries, "MAX_BROADCAST_FINGERPRINTS", limit)
+@pytest.mark.parametrize("limits", [PlanLimits(), PlanLimits(broadcast_fingerprints=0)])
+def test_unique_batches(facts, limits):
     want = {(1, "db1", "t0", "n1"), (2, "db0", "t1", "n2"), (3, "db1", "t1", "n3"), (9, "db1", "t1", "n9")}
-    for unique in (unique_batches(facts), exemplars_by_aggregate(facts)):
-        rows = unique.collect()
-        assert {(r.norm_id, r.database_name, r.orig_text, r.norm_text) for r in rows} == want
-        assert len(rows) == len(want)
+    rows = unique_batches(facts, limits).collect()
+    assert {(r.norm_id, r.database_name, r.orig_text, r.norm_text) for r in rows} == want
+    assert len(rows) == len(want)
+    # Repeated rows and sequences still give one exemplar each, the same one on both ways.
+    again = facts.union(facts).withColumn("event_sequence", F.lit(5).cast("long"))
+    rows = unique_batches(again, limits).collect()
+    assert {(r.norm_id, r.orig_text) for r in rows} == {(1, "t0"), (2, "t1"), (3, "t1"), (9, "t1")}
+    assert len(rows) == len(want)
 
 
 def test_batch_summary(facts):
@@ -205,9 +207,8 @@ def test_percentiles_are_ordered(batches):
         assert steps == sorted(steps), r
 
 
-def test_large_groups_are_cut_before_the_shuffle(batches, monkeypatch, capsys):
-    monkeypatch.setattr(summaries, "MAX_GROUP_ROWS", 0)
-    metric_summary(batches, ["duration"]).explain()
+def test_large_groups_are_cut_before_the_shuffle(batches, capsys):
+    metric_summary(batches, ["duration"], PlanLimits(group_rows=0)).explain()
     plan = capsys.readouterr().out
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
     assert "Python" not in plan

@@ -95,8 +95,10 @@ batches AS (
 
 
 UNIQUE = """
-SELECT norm_id, event_type, database_name, text_data AS orig_text, norm_text FROM batches
-WHERE event_sequence IN (SELECT min(event_sequence) FROM batches GROUP BY norm_id)"""
+SELECT norm_id, e.event_type, e.database_name, e.orig_text, e.norm_text FROM (
+  SELECT norm_id, min({'event_sequence': event_sequence, 'text_id': text_id, 'event_type': event_type,
+                       'database_name': database_name, 'orig_text': text_data, 'norm_text': norm_text}) AS e
+  FROM batches GROUP BY norm_id)"""
 
 COUNTS = """
 SELECT norm_id, count(*) AS all_executions, count(DISTINCT text_id) AS distinct_executions,
@@ -108,23 +110,22 @@ FROM batches GROUP BY norm_id"""
 
 def wide_summary(metric: str) -> str:
     names = wide_metric_columns(metric)
+    # Ordered list per fingerprint, NULLs first; a percentile is the element at its rank.
     percentiles = []
     for p, percent in PERCENTILES.items():
         few = 3 if percent == 25 else 1
+        rank = f"({percent} * n // 100)"
         percentiles.append(
-            f"CASE WHEN max(n) <= {few} THEN min(v) "
-            f"ELSE max(CASE WHEN rn * 100 <= {percent} * n THEN v ELSE 0 END) END AS {names[p]}"
+            f"CASE WHEN n <= {few} THEN low ELSE greatest(coalesce(vs[CAST({rank} AS INTEGER)], 0), 0) END AS {names[p]}"
         )
     return f"""
-SELECT norm_id, min(v) AS {names['min']}, CAST(sum(v) // count(v) AS BIGINT) AS {names['mean']},
-       max(v) AS {names['max']}, CAST(sum(v) AS BIGINT) AS {names['total']},
-       CAST(dense_rank() OVER (ORDER BY sum(v) DESC) AS INTEGER) AS {names['total_rank']},
+SELECT norm_id, low AS {names['min']}, CAST(total // filled AS BIGINT) AS {names['mean']},
+       high AS {names['max']}, CAST(total AS BIGINT) AS {names['total']},
+       CAST(dense_rank() OVER (ORDER BY total DESC) AS INTEGER) AS {names['total_rank']},
        {", ".join(percentiles)}
-FROM (SELECT norm_id, {metric} AS v,
-             row_number() OVER (PARTITION BY norm_id ORDER BY {metric} ASC NULLS FIRST) AS rn,
-             count(*) OVER (PARTITION BY norm_id) AS n
-      FROM batches)
-GROUP BY norm_id"""
+FROM (SELECT norm_id, min({metric}) AS low, max({metric}) AS high, sum({metric}) AS total, count({metric}) AS filled,
+             count(*) AS n, list({metric} ORDER BY {metric} ASC NULLS FIRST) AS vs
+      FROM batches GROUP BY norm_id)"""
 
 
 def long_summary() -> str:
