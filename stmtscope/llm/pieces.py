@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with a public piece vocabulary.
 
 A text is marked (one leading space, spaces as the mark) and cut into marked words, which
-no piece of the vocabulary crosses.  The distinct marked words of a batch are
-sorted; walking them in that order is a depth-first walk of their trie, so the forward
+no piece of the vocabulary crosses.  The distinct marked words of a chunk that
+are not remembered are sorted; walking them in that order is a depth-first walk of their trie, so the forward
 state of a common prefix is computed once and reused.  The forward state at a prefix is the
 best last piece and where it begins:
 
@@ -19,10 +19,12 @@ every text: also the mark character itself is written as bytes.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ MARK = "▁"
 OWN_MARK = "\ud800"  # a mark that the text itself holds; no valid text has this character
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-CHUNK_BYTES = 32 << 20  # of text whose distinct words share one walk
+CHUNK_BYTES = 32 << 20  # of text whose new words share one walk
+MOST_WORDS = 200_000  # marked words remembered by a worker between walks
 MOST_PAIRS = 1_000_000  # neighbour pairs remembered by a worker
 
 
@@ -51,14 +54,14 @@ class Vocabulary:
         for piece in self.ids:
             if len(piece) > 2:
                 self.reach[piece[-3:]] = max(len(piece), self.reach.get(piece[-3:], 0))
-        texts = [b""] * len(pieces)
+        self.spelled = [b""] * len(pieces)
         for piece, i in self.ids.items():
-            texts[i] = piece.replace(MARK, " ").encode()
+            self.spelled[i] = piece.replace(MARK, " ").encode()
         for value, i in enumerate(byte_ids):
-            texts[i] = bytes([value])
-        self.text_bytes = np.frombuffer(b"".join(texts), np.uint8)
-        self.text_start = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            self.spelled[i] = bytes([value])
         self.apart: dict[tuple[str, str], bool] = {}
+        self.merge_steps: dict[str, tuple] = {}
+        self.known: dict[str, bytes] = {}  # ids of marked words, as 4-byte numbers
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -73,21 +76,48 @@ class Vocabulary:
         merged = [s for i, (p, s) in enumerate(pieces) if i not in skip and not model.is_byte(i) and len(p) > 1]
         return cls(pieces, byte_ids, skip, bpe=all(s == int(s) for s in merged))
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces of a short text by merging the best-scored neighbours, leftmost first."""
-        parts = list(text)
-        while True:
-            found = [(-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score]
-            if not found:
-                return parts
-            i = min(found)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    def merges(self, piece: str) -> tuple[list[float], list[str], list[str]]:
+        """How a piece is merged, best-scored neighbours first, leftmost of equals: the score
+        of each merge, and the first and the last part before each one and at the end."""
+        found = self.merge_steps.get(piece)
+        if found is None:
+            parts, scores, firsts, lasts = list(piece), [], [], []
+            while True:
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+                pairs = [(-self.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score]
+                if not pairs:
+                    break
+                score, i = min(pairs)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                scores.append(-score)
+            scores.append(float("-inf"))
+            if len(parts) > 1:  # merging never makes this piece
+                lasts = firsts = None
+            found = self.merge_steps[piece] = scores, firsts, lasts
+        return found
 
     def stay_apart(self, left: str, right: str) -> bool:
+        """Whether merging the two together never merges across their border."""
         if len(self.apart) >= MOST_PAIRS:
             self.apart.clear()
-        known = self.apart[left, right] = self.merged(left + right) == [left, right]
-        return known
+        left_scores, _, lasts = self.merges(left)
+        right_scores, firsts, _ = self.merges(right)
+        apart = lasts is not None and firsts is not None
+        i = j = 0
+        while apart:
+            one, two = left_scores[i], right_scores[j]
+            across = self.score.get(lasts[i] + firsts[j])
+            if across is not None and across > one and across >= two:
+                apart = False
+            elif one >= two:
+                if one == float("-inf"):
+                    break
+                i += 1
+            else:
+                j += 1
+        self.apart[left, right] = apart
+        return apart
 
     def marked_words(self, text: str) -> list[str]:
         """Marked words, each without its first mark."""
@@ -98,7 +128,7 @@ class Vocabulary:
             return [w[1:] for w in RUNS.findall(MARK + text.replace(" ", MARK))]
         return text.split(" ")
 
-    def walk(self, words: list[str]) -> Iterator[list[str]]:
+    def walk(self, words: Iterable[str]) -> Iterator[list[str]]:
         """Pieces of each of the sorted words."""
         reach, score, bpe, known = self.reach.get, self.score, self.bpe, self.apart.get
         begin, last, best = [0], [""], [0.0]  # forward states along the current path
@@ -137,56 +167,45 @@ class Vocabulary:
             before = word
             yield pieces[::-1]
 
-    def piece_ids(self, pieces: list[str]) -> list[int]:
-        out = []
+    def piece_ids(self, pieces: list[str]) -> bytes:
+        out = array("i")
         for piece in pieces:
-            if piece in self.ids:
-                out.append(self.ids[piece])
+            own = self.ids.get(piece)
+            if own is not None:
+                out.append(own)
             else:
                 out.extend(self.byte_ids[b] for b in piece.replace(OWN_MARK, MARK).encode())
-        return out
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and where each text's ids begin."""
-        words = [self.marked_words(t) if t else [] for t in texts]
-        n_words = list(map(len, words))
-        words = [w for of_text in words for w in of_text]
-        order = sorted(set(words))
-        index = dict(zip(order, range(len(order))))
-        ids = [self.piece_ids(pieces) for pieces in self.walk([MARK + w for w in order])]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        spots = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        out, ends = gather(flat, starts, spots)
-        first = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
-        return out, first
-
-    def decode(self, ids: np.ndarray, first: np.ndarray) -> list[str]:
-        """Texts of consecutive id lists."""
-        data, ends = gather(self.text_bytes, self.text_start, ids)
-        cuts = np.concatenate([[0], ends])[first]
-        raw = data.tobytes()
-        return [raw[a + 1 : b].decode(errors="replace") for a, b in zip(cuts[:-1], cuts[1:])]
-
-
-def gather(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenation of the slices ``which`` of values, and where each slice ends in it."""
-    begin, size = starts[which], starts[which + 1] - starts[which]
-    ends = np.cumsum(size)
-    if not len(ends):
-        return values[:0], ends
-    return values[np.arange(ends[-1]) + np.repeat(begin - ends + size, size)], ends
-
-
-def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+        return out.tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, as 4-byte numbers."""
+        known, cut = self.known, self.marked_words
+        if len(known) > MOST_WORDS:
+            known.clear()
+        new: set[str] = set()
+        for text in texts:
+            if text:
+                new.update(cut(text))
+        order = sorted(new.difference(known))
+        del new
+        for word, pieces in zip(order, self.walk(MARK + w for w in order)):
+            known[word] = self.piece_ids(pieces)
+        return [b"".join(map(known.__getitem__, cut(t))) if t else b"" for t in texts]
+
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.spelled.__getitem__, ids))[1:].decode(errors="replace")
+
+
+def text_chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``CHUNK_BYTES`` of text."""
     begin = size = 0
-    for i, text in enumerate(texts):
+    for i, length in enumerate(lengths):
         if size > CHUNK_BYTES:
             yield begin, i
             begin, size = i, 0
-        size += len(text or "")
-    yield begin, len(texts)
+        size += length
+    if lengths:
+        yield begin, len(lengths)
 
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
@@ -200,13 +219,14 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for begin, end in text_chunks(texts):
-                ids, first = vocabulary.encode(texts[begin:end])
-                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))
-                sizes = pa.array(np.diff(first).astype(np.int64))
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for begin, end in text_chunks(sizes):
+                ids = vocabulary.encode(batch.column("text").slice(begin, end - begin).to_pylist())
+                n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+                first = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(first), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(begin, end - begin), sizes, lists],
+                    [batch.column("doc_id").slice(begin, end - begin), pa.array(n), lists],
                     names=["doc_id", "n_tokens", "token_ids"],
                 )
 
@@ -221,9 +241,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            lists = batch.column("token_ids")
-            first = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-            texts = vocabulary.decode(lists.flatten().to_numpy(), first)
+            texts = [vocabulary.decode(ids.values.to_pylist()) if ids.is_valid else "" for ids in batch.column("token_ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     columns = encoded.select("doc_id", "n_tokens", "token_ids")
