@@ -34,6 +34,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 CHUNK_BYTES = 32 << 20  # of text whose new words share one walk
 MOST_WORDS = 200_000  # marked words remembered by a worker between walks
+ID_BITS = 22
+FIRST_OTHER = 1 << 21  # piece numbers are below it, all code points fit above it
 MOST_PAIRS = 1_000_000  # neighbour pairs remembered by a worker
 
 
@@ -43,6 +45,8 @@ class Vocabulary:
     def __init__(self, pieces: list[tuple[str, float]], byte_ids: list[int], skip: set[int], bpe: bool):
         self.bpe = bpe
         self.ids = {piece: i for i, (piece, _) in enumerate(pieces) if i not in skip and i not in set(byte_ids)}
+        self.pieces = [piece for piece, _ in pieces]
+        self.scores = [score for _, score in pieces]
         self.score = {piece: pieces[i][1] for piece, i in self.ids.items()}
         self.byte_ids = byte_ids
         self.unknown = min(self.score.values()) - 10.0
@@ -59,7 +63,7 @@ class Vocabulary:
             self.spelled[i] = piece.replace(MARK, " ").encode()
         for value, i in enumerate(byte_ids):
             self.spelled[i] = bytes([value])
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}
         self.merge_steps: dict[str, tuple] = {}
         self.known: dict[str, bytes] = {}  # ids of marked words, as 4-byte numbers
 
@@ -97,12 +101,12 @@ class Vocabulary:
             found = self.merge_steps[piece] = scores, firsts, lasts
         return found
 
-    def stay_apart(self, left: str, right: str) -> bool:
-        """Whether merging the two together never merges across their border."""
+    def stay_apart(self, pair: int) -> bool:
+        """Whether merging the two pieces together never merges across their border."""
         if len(self.apart) >= MOST_PAIRS:
             self.apart.clear()
-        left_scores, _, lasts = self.merges(left)
-        right_scores, firsts, _ = self.merges(right)
+        left_scores, _, lasts = self.merges(self.spelling(pair >> ID_BITS))
+        right_scores, firsts, _ = self.merges(self.spelling(pair & (1 << ID_BITS) - 1))
         apart = lasts is not None and firsts is not None
         i = j = 0
         while apart:
@@ -116,9 +120,12 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        self.apart[left, right] = apart
+        self.apart[pair] = apart
         return apart
 
+    def spelling(self, number: int) -> str:
+        return self.pieces[number] if number < FIRST_OTHER else chr(number - FIRST_OTHER)
+
     def marked_words(self, text: str) -> list[str]:
         """Marked words, each without its first mark."""
         text = text.replace(MARK, OWN_MARK)
@@ -128,10 +135,11 @@ class Vocabulary:
             return [w[1:] for w in RUNS.findall(MARK + text.replace(" ", MARK))]
         return text.split(" ")
 
-    def walk(self, words: Iterable[str]) -> Iterator[list[str]]:
-        """Pieces of each of the sorted words."""
-        reach, score, bpe, known = self.reach.get, self.score, self.bpe, self.apart.get
-        begin, last, best = [0], [""], [0.0]  # forward states along the current path
+    def walk(self, words: Iterable[str]) -> Iterator[list[int]]:
+        """Piece numbers of each of the sorted words; a character without a piece has its code
+        point plus ``FIRST_OTHER``."""
+        reach, number_of, known = self.reach.get, self.ids.get, self.apart.get
+        begin, last, best = [0], [0], [0.0]  # forward states along the current path
         before = ""
         for word in words:
             shared, most = 0, min(len(word), len(before))
@@ -139,43 +147,49 @@ class Vocabulary:
                 shared += 1
             del begin[shared + 1 :], last[shared + 1 :], best[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                state = None
                 far = end - reach(word[end - 3 : end], 2) if end > 2 else 0
+                highest = None
                 for start in range(far if far > 0 else 0, end):
-                    piece = word[start:end]
-                    if piece not in score and start < end - 1:
-                        continue
-                    if bpe:
-                        apart = start == 0 or known((last[start], piece))
-                        if apart is None:
-                            apart = self.stay_apart(last[start], piece)
-                        if apart:
-                            state = (start, piece, 0.0)
-                            break
-                    else:
-                        total = best[start] + score.get(piece, self.unknown)
-                        if state is None or total > state[2]:
-                            state = (start, piece, total)
-                start, piece, total = state
-                begin.append(start)
-                last.append(piece)
-                best.append(total)
-            pieces, end = [], len(word)
+                    number = number_of(word[start:end])
+                    if number is None:
+                        if start < end - 1:
+                            continue
+                        number = FIRST_OTHER + ord(word[start])
+                    if self.bpe:
+                        if start:
+                            pair = last[start] << ID_BITS | number
+                            apart = known(pair)
+                            if not (self.stay_apart(pair) if apart is None else apart):
+                                continue
+                        begin.append(start)
+                        last.append(number)
+                        break
+                    total = best[start] + (self.scores[number] if number < FIRST_OTHER else self.unknown)
+                    if highest is None or total > highest:
+                        highest, state = total, (start, number)
+                if highest is not None:
+                    begin.append(state[0])
+                    last.append(state[1])
+                    best.append(highest)
+            numbers, end = [], len(word)
             while end:
-                pieces.append(last[end])
+                numbers.append(last[end])
                 end = begin[end]
+            numbers.reverse()
             before = word
-            yield pieces[::-1]
-
-    def piece_ids(self, pieces: list[str]) -> bytes:
-        out = array("i")
-        for piece in pieces:
-            own = self.ids.get(piece)
-            if own is not None:
-                out.append(own)
-            else:
-                out.extend(self.byte_ids[b] for b in piece.replace(OWN_MARK, MARK).encode())
-        return out.tobytes()
+            yield numbers
+
+    def as_bytes(self, numbers: list[int]) -> bytes:
+        """4-byte ids; a character without a piece becomes one id per UTF-8 byte."""
+        if max(numbers) >= FIRST_OTHER:
+            ids = []
+            for n in numbers:
+                if n < FIRST_OTHER:
+                    ids.append(n)
+                else:
+                    ids.extend(self.byte_ids[b] for b in self.spelling(n).replace(OWN_MARK, MARK).encode())
+            numbers = ids
+        return array("i", numbers).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as 4-byte numbers."""
@@ -188,8 +202,8 @@ class Vocabulary:
                 new.update(cut(text))
         order = sorted(new.difference(known))
         del new
-        for word, pieces in zip(order, self.walk(MARK + w for w in order)):
-            known[word] = self.piece_ids(pieces)
+        for word, numbers in zip(order, self.walk(MARK + w for w in order)):
+            known[word] = self.as_bytes(numbers)
         return [b"".join(map(known.__getitem__, cut(t))) if t else b"" for t in texts]
 
     def decode(self, ids: list[int]) -> str:
