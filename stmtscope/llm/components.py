@@ -9,7 +9,7 @@ from stmtscope.llm.scratch import Scratch
 
 
 def smallest_reachable(scratch: Scratch, links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that each node of ``links`` (low, high) reaches.
+    """(node, component): the smallest node that each end of ``links`` (low, high) reaches.
 
     Each round hooks every node to its smallest neighbour, follows those parents to their
     roots by doubling, and goes on with the links between different roots.  Node counts
@@ -22,11 +22,12 @@ def smallest_reachable(scratch: Scratch, links: DataFrame) -> DataFrame:
         parents = scratch.keep(edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("parent")))
         while True:  # parents are smaller than their nodes, so this ends
             above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-            moved = scratch.keep(
-                parents.join(above, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"), "above")
+            moved, n_moved = scratch.keep_and_count(
+                parents.join(above, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"), "above"),
+                F.col("above").isNotNull(),
             )
             parents = moved.select("node", "parent")
-            if moved.where("above IS NOT NULL").isEmpty():
+            if not n_moved:
                 break
 
         up = parents.withColumnRenamed("node", "component")
@@ -37,10 +38,11 @@ def smallest_reachable(scratch: Scratch, links: DataFrame) -> DataFrame:
         for end in ("low", "high"):
             up = parents.select(F.col("node").alias(end), F.col("parent").alias("to"))
             edges = edges.join(up, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
-        edges = scratch.keep(
+        edges, n_edges = scratch.keep_and_count(
             edges.where("low <> high")
             .select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
-            .distinct()
+            .distinct(),
+            F.lit(True),
         )
-        if edges.isEmpty():
+        if not n_edges:
             return roots

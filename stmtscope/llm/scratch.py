@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from stmtscope.operators.staging import checkpointed, new_folder
 
@@ -35,6 +36,12 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_and_count(self, df: DataFrame, condition) -> tuple[DataFrame, int]:
+        """``keep``, and how many rows meet the condition (counted by the same job)."""
+        seen = Observation()
+        kept = self.keep(df.observe(seen, F.count_if(condition).alias("n")))
+        return kept, seen.get["n"]
+
     @staticmethod
     def result(df: DataFrame) -> DataFrame:
         return checkpointed(df)
