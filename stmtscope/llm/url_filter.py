@@ -172,14 +172,8 @@ def calibrate(labelled: DataFrame, model: DataFrame) -> float:
     )
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most 2 * SCORE_LIMIT / BIN + 1 bins
     everything = Window.partitionBy()
-    rates = bins.select(
-        "bin",
-        (
-            1
-            - F.coalesce(F.sum("allow").over(below), F.lit(0)) / F.sum("allow").over(everything)
-            + F.coalesce(F.sum("block").over(below), F.lit(0)) / F.sum("block").over(everything)
-        ).alias("rate"),
-    )
+    missed = lambda side: F.try_divide(F.coalesce(F.sum(side).over(below), F.lit(0)), F.sum(side).over(everything))
+    rates = bins.select("bin", (1 - missed("allow") + missed("block")).alias("rate"))
     best = rates.where("rate IS NOT NULL").orderBy(F.desc("rate"), "bin").first()
     return best["bin"] * BIN if best else 0.0
 
