@@ -37,7 +37,7 @@ SLOTS = 1 << 18
 SIZE = 16  # of the vectors
 NOISE = 10  # noise samples per token
 EPOCHS, RATE, HISTORIES = 40, 0.05, 2048  # histories in a training step
-PASS_BYTES = 16 << 20  # of text handled at once
+PASS_BYTES = 4 << 20  # of text handled at once
 MOST_COUNTED = 2_000_000  # distinct words that a task holds before it sends their counts
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
 
@@ -99,7 +99,7 @@ class Lexicon:
 
     def look_up(self, hashes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each token is in the table, its count (else 0) and its unit."""
-        slot = hashes & (SLOTS - 1)
+        slot = hashes & (len(self.word) - 1)
         found = self.word[slot] == hashes
         found &= self.count[slot] > 0
         return found, np.where(found, self.count[slot], 0), np.where(found, self.unit[slot], OWN_UNITS + shared)
@@ -170,6 +170,8 @@ def train(counts: np.ndarray) -> np.ndarray:
         "q": rng.normal(0, 0.1, (UNITS, SIZE)),
         "bias": np.log(noise),
     }
+    if not total:  # nothing seen: all units alike
+        p["q"][:] = 0
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     seen = counts.sum(axis=1)
     used = np.flatnonzero(seen)
