@@ -24,9 +24,11 @@ from stmtscope.functions import (  # noqa: E402
     text_id,
 )
 from stmtscope.operators.staging import checkpointed, new_folder  # noqa: E402
-from stmtscope.plans import metric_report, minute_report, minute_series  # noqa: E402
+from stmtscope.plans import LoadOptions, load, metric_report, minute_report, minute_series, summarize  # noqa: E402
 from stmtscope.schema import BATCHES, METRICS  # noqa: E402
 from stmtscope.sources import (  # noqa: E402
+    TABLES,
+    DuplicateKeyError,
     append_batches,
     create_tables,
     load_stats,
@@ -188,10 +190,72 @@ def rejected_events(spark, sf_dir):
 
 def file_load_stats(spark, sf_dir):
     events = derive.trace_events(spark, sf_dir, file_name=True)
-    selected = ops.select_events(events, filter_connection_resets=True)
-    stats = load_stats(events, ops.flatten_events(selected, extra=["file_name"]))
+    stats = load_stats(ops.flatten_all(events, filter_connection_resets=True))
     # Part-file names differ from run to run, so the files of the folder are added up.
-    return stats.agg(F.sum("events_read").alias("events_read"), F.sum("events_kept").alias("events_kept"))
+    counts = [c for c in stats.columns if c != "file_name"]
+    return stats.agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def _damaged_lines(spark, sf_dir):
+    """Folder of JSON lines, some of them cut off and some with a time that is none."""
+    folder = new_folder(spark)
+    place = F.col("event_sequence") % 25
+    flat = derive.flat_events(spark, sf_dir)
+    packed = derive.as_trace_events(flat.withColumn("place", place), keep=("event_sequence", "place"))
+    event = F.struct("name", F.when(F.col("place") == 4, "no time").otherwise(F.col("event_ts").cast("string")).alias("event_ts"), "fields", "actions")
+    line = F.to_json(event)
+    cut = F.concat(F.lit("{"), F.col("event_sequence").cast("string"))
+    packed.select(F.when(F.col("place") == 3, cut).otherwise(line)).write.text(folder)
+    return folder
+
+
+def rejected_lines(spark, sf_dir):
+    _, rejects = ops.to_batches(read_events(spark, _damaged_lines(spark, sf_dir), "part-*"))
+    return rejects.select("event_sequence", "raw_line", "reject_reason")
+
+
+def load_balance(spark, sf_dir):
+    """Every line read is kept, rejected or filtered."""
+    rows = ops.flatten_all(read_events(spark, _damaged_lines(spark, sf_dir), "part-*"), filter_connection_resets=True)
+    stats = load_stats(rows)
+    return stats.agg(*[F.sum(c).alias(c) for c in stats.columns if c != "file_name"])
+
+
+def load_job(spark, sf_dir):
+    """The whole load: facts read back from the table; a second load is refused."""
+    options = _job_options(spark, sf_dir)
+    load(spark, options)
+    try:
+        load(spark, options)
+    except DuplicateKeyError:
+        return _plain_times(spark.table(table_name(options.database, "batches", options.suffix)))
+    raise AssertionError("the second load was not refused")
+
+
+def _job_options(spark, sf_dir):
+    location = new_folder(spark)
+    return LoadOptions(
+        path=derive.trace_folder(spark, sf_dir),
+        pattern="*.parquet",
+        fmt="parquet",
+        database=Path(location).name.replace("-", "_"),
+        location=location,
+        suffix="_job",
+        filter_connection_resets=True,
+    )
+
+
+def summarize_job(spark, sf_dir):
+    """Load and summary jobs; one row per fingerprint from all derived tables read back."""
+    options = _job_options(spark, sf_dir)
+    load(spark, options)
+    summarize(spark, options)
+    stored = {base: spark.table(table_name(options.database, base, options.suffix)) for base in TABLES}
+    minutes = stored["minute_report"].groupBy("norm_id").agg(F.count("*").alias("minutes"), F.sum("duration_us").alias("duration_us"))
+    joined = stored["unique_batches"].join(stored["batch_summary"], "norm_id").join(minutes, "norm_id")
+    for metric in METRICS:
+        joined = joined.join(stored[f"{metric}_summary"], "norm_id")
+    return joined
 
 
 def scan_event_folder(spark, sf_dir):
@@ -362,6 +426,10 @@ def trace_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_batches_lineitem": load_batches_lineitem,
         "rejected_events": rejected_events,
         "load_stats": file_load_stats,
+        "rejected_lines": rejected_lines,
+        "load_balance": load_balance,
+        "load_job": load_job,
+        "summarize_job": summarize_job,
         "scan_event_folder": scan_event_folder,
         "duplicate_keys": duplicate_keys,
         "write_and_read_back": write_and_read_back,
@@ -406,6 +474,7 @@ def trace_sql() -> dict[str, str]:
     generated = ("text_id", "norm_id", "norm_text")
     flat = ", ".join(c for c in BATCHES.fieldNames() if c not in generated)
     every = ", ".join(BATCHES.fieldNames())
+    chosen = f"{oracle.KEPT} AND NOT {oracle.RESET}"
     names = ", ".join(oracle.quoted(t) for t in TEXT_SUBSET)
     repeated = lines.replace(
         "  SELECT event_sequence, name AS event_type", f"  SELECT event_sequence % {REPEATED} AS event_sequence, name AS event_type"
@@ -455,8 +524,20 @@ def trace_sql() -> dict[str, str]:
         "rejected_events": f"SELECT event_sequence, name AS event_type, event_ts, CASE event_sequence % 25 "
         "WHEN 7 THEN 'invalid duration' WHEN 8 THEN 'missing writes' ELSE 'missing client_pid' END AS reject_reason "
         f"FROM ({raw}) WHERE {oracle.KEPT} AND event_sequence % 25 IN (7, 8, 9)",
-        "load_stats": f"SELECT count(*) AS events_read, count(*) FILTER (WHERE {oracle.KEPT} AND NOT {oracle.RESET}) "
-        f"AS events_kept FROM ({raw})",
+        "load_stats": f"SELECT count(*) AS events_read, count(*) FILTER (WHERE {chosen}) AS events_kept, "
+        f"0::BIGINT AS events_rejected, count(*) FILTER (WHERE NOT ({chosen})) AS events_filtered FROM ({raw})",
+        "rejected_lines": f"SELECT CASE WHEN event_sequence % 25 = 4 THEN event_sequence END AS event_sequence, "
+        "CASE WHEN event_sequence % 25 = 3 THEN '{' || event_sequence END AS raw_line, "
+        "CASE WHEN event_sequence % 25 = 3 THEN 'unreadable line' ELSE 'invalid event_ts' END AS reject_reason "
+        f"FROM ({raw}) WHERE event_sequence % 25 = 3 OR (event_sequence % 25 = 4 AND {oracle.KEPT})",
+        "load_balance": f"SELECT count(*) AS events_read, count(*) FILTER (WHERE {chosen} AND place NOT IN (3, 4)) AS events_kept, "
+        f"count(*) FILTER (WHERE place = 3 OR (place = 4 AND {chosen})) AS events_rejected, "
+        f"count(*) FILTER (WHERE place <> 3 AND NOT ({chosen})) AS events_filtered "
+        f"FROM (SELECT *, event_sequence % 25 AS place FROM ({raw}))",
+        "load_job": f"{events} SELECT {every} FROM batches",
+        "summarize_job": f"{events} SELECT * FROM ({oracle.UNIQUE}) JOIN ({oracle.COUNTS}) USING (norm_id) "
+        f"JOIN (SELECT norm_id, count(*) AS minutes, CAST(sum(duration_us) AS BIGINT) AS duration_us FROM ({oracle.MINUTES}) GROUP BY norm_id) "
+        "USING (norm_id) " + " ".join(f"JOIN ({oracle.wide_summary(m)}) USING (norm_id)" for m in METRICS),
         "scan_event_folder": f"{events} SELECT {every} FROM batches",
         "duplicate_keys": "SELECT l_orderkey * 10 + l_linenumber AS event_sequence, count(*) AS occurrences "
         "FROM lineitem GROUP BY 1 HAVING count(*) > 1",

@@ -6,6 +6,7 @@ from stmtscope.operators.filters import (
 )
 from stmtscope.operators.flatten import (
     duplicate_keys,
+    flatten_all,
     flatten_events,
     outcome_flags,
     select_events,
@@ -33,6 +34,7 @@ __all__ = [
     "exemplars_by_aggregate",
     "exemplars_by_join",
     "first_occurrences",
+    "flatten_all",
     "flatten_events",
     "keep_event_types",
     "metric_summary",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stmtscope.functions.timebounds import to_instant
-from stmtscope.schema import DEFAULT_END, DEFAULT_START, EVENT_TYPES, RESET_CALL, RPC
+from stmtscope.schema import EVENT_TYPES, RESET_CALL, RPC
 
 # Longer value lists are joined instead of being put into the plan as literals.
 MAX_INLINE_VALUES = 200
@@ -34,20 +34,35 @@ def drop_connection_resets(events: DataFrame, object_name: Column | None = None)
     return events.where(~is_connection_reset(F.col("name"), object_name))
 
 
+def in_time_range(
+    start_time: str | datetime | None = None,
+    end_time: str | datetime | None = None,
+    tz_offset: str = "+00:00",
+    day_first: bool | None = None,
+) -> Column | None:
+    """Whether an event lies inside the bounds, both inclusive; None without any bound.  The
+    bounds become instants on the driver, so the comparison is with literals and reaches
+    the file scan."""
+    inside = None
+    for bound, compare in ((start_time, "__ge__"), (end_time, "__le__")):
+        if bound is not None:
+            found = getattr(F.col("event_ts"), compare)(F.lit(to_instant(bound, tz_offset, day_first)))
+            inside = found if inside is None else inside & found
+    return inside
+
+
 def within_time_range(
     events: DataFrame,
-    start_time: str | datetime = DEFAULT_START,
-    end_time: str | datetime = DEFAULT_END,
+    start_time: str | datetime | None = None,
+    end_time: str | datetime | None = None,
     tz_offset: str = "+00:00",
     day_first: bool | None = None,
     keep_missing: bool = False,
 ) -> DataFrame:
-    """Keep events inside the bounds, both inclusive.  The bounds become instants on the
-    driver, so the comparison is with literals and reaches the file scan.  With
-    ``keep_missing`` events without a time stay, to be rejected by name later."""
-    start = to_instant(start_time, tz_offset, day_first)
-    end = to_instant(end_time, tz_offset, day_first)
-    inside = F.col("event_ts").between(F.lit(start), F.lit(end))
+    """Keep events inside the bounds.  With ``keep_missing`` events without a time stay."""
+    inside = in_time_range(start_time, end_time, tz_offset, day_first)
+    if inside is None:
+        inside = F.lit(True)
     return events.where(inside | F.col("event_ts").isNull() if keep_missing else inside)
 
 

@@ -14,15 +14,9 @@ from pyspark.sql import functions as F
 
 from stmtscope.functions.ids import norm_id, text_id
 from stmtscope.functions.normalize import fingerprint_text, statement_text
-from stmtscope.operators.filters import (
-    drop_connection_resets,
-    keep_event_types,
-    within_time_range,
-)
+from stmtscope.operators.filters import in_time_range, is_connection_reset
 from stmtscope.schema import (
     BATCHES,
-    DEFAULT_END,
-    DEFAULT_START,
     EVENT_TYPES,
     METRICS,
     OUTCOMES,
@@ -30,7 +24,10 @@ from stmtscope.schema import (
 )
 
 REASON = "reject_reason"
-
+# Of events read from text: what could not be read, and the line if it is no event at all.
+READ_PROBLEM, RAW_LINE = "read_problem", "raw_line"
+# Whether an event passed the load filters.
+SELECTED = "selected"
 
 ACTION_KEYS = (
     "event_sequence",
@@ -77,10 +74,11 @@ def _raw_values(events: DataFrame, extra: Sequence[str]) -> DataFrame:
     return _computed_once(events, ["name", "event_ts", *extra], values)
 
 
-def _first_problem() -> Column:
+def _first_problem(has_read_problem: bool) -> Column:
     """First reason, in column order, why an event cannot become a fact row."""
     is_rpc = F.col("name") == RPC
-    checks = [F.when(F.col("event_ts").isNull(), F.lit("missing event_ts"))]
+    checks = [F.col(READ_PROBLEM)] if has_read_problem else []
+    checks.append(F.when(F.col("event_ts").isNull(), F.lit("missing event_ts")))
 
     def number(key: str, bad: Column) -> None:
         problem = F.when(F.col(f"raw_{key}").isNull(), F.lit(f"missing {key}"))
@@ -120,7 +118,7 @@ def flatten_events(
     typed = parsed.select(
         *[generated.get(c, F.col(c)).alias(c) for c in BATCHES.fieldNames() if c not in late],
         "object_name",
-        _first_problem().alias(REASON),
+        _first_problem(READ_PROBLEM in extra).alias(REASON),
         *extra,
     )
     fingerprint = fingerprint_text(
@@ -136,29 +134,55 @@ def flatten_events(
     )
 
 
-def select_events(
+def is_selected(
     events: DataFrame,
     event_types: Sequence[str] = EVENT_TYPES,
-    start_time: str | datetime = DEFAULT_START,
-    end_time: str | datetime = DEFAULT_END,
+    start_time: str | datetime | None = None,
+    end_time: str | datetime | None = None,
     tz_offset: str = "+00:00",
     filter_connection_resets: bool = False,
     day_first: bool | None = None,
-) -> DataFrame:
-    """Apply the load filters."""
-    kept = keep_event_types(events, event_types)
+) -> Column:
+    """Whether an event passes the load filters.  One without a time, or a line that is no
+    event, does, to be rejected by name; without a bound there is no filter on time."""
+    chosen = F.col("name").isin(*event_types)
     if filter_connection_resets:
-        kept = drop_connection_resets(kept)
-    return within_time_range(kept, start_time, end_time, tz_offset, day_first, keep_missing=True)
+        chosen &= ~is_connection_reset(F.col("name"), F.try_element_at(F.col("fields"), F.lit("object_name")))
+    inside = in_time_range(start_time, end_time, tz_offset, day_first)
+    if inside is not None:
+        chosen &= inside | F.col("event_ts").isNull()
+    if RAW_LINE in events.columns:
+        chosen |= F.col(RAW_LINE).isNotNull()
+    return F.coalesce(chosen, F.lit(False))
+
+
+def select_events(events: DataFrame, **filters) -> DataFrame:
+    """Apply the load filters (see ``is_selected``)."""
+    return events.where(is_selected(events, **filters))
+
+
+def flatten_all(events: DataFrame, capture_schema_name: bool = False, **filters) -> DataFrame:
+    """All events flattened in one pass, with ``selected``; of those filtered out only the
+    file name is kept."""
+    marked = events.withColumn(SELECTED, is_selected(events, **filters))
+    slim = marked.select(*[c if c in ("file_name", SELECTED) else F.when(F.col(SELECTED), F.col(c)).alias(c) for c in marked.columns])
+    return flatten_events(slim, capture_schema_name, [*_extra_of(events), SELECTED])
+
+
+def _extra_of(events: DataFrame) -> list[str]:
+    return [c for c in ("file_name", READ_PROBLEM, RAW_LINE) if c in events.columns]
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flattened events as ``(good, rejects)``.  ``good`` has the fact columns; ``rejects``
-    has the event's sequence, type and time, its file when known, and the reason."""
-    file_name = [c for c in ("file_name",) if c in rows.columns]
+    has the event's sequence, type and time, its file and unreadable line when known, and
+    the reason."""
+    if SELECTED in rows.columns:
+        rows = rows.where(SELECTED)
+    known = [c for c in ("file_name", RAW_LINE) if c in rows.columns]
     good = rows.where(F.col(REASON).isNull()).select(*BATCHES.fieldNames())
     rejects = rows.where(F.col(REASON).isNotNull()).select(
-        "event_sequence", "event_type", "event_ts", *file_name, REASON
+        "event_sequence", "event_type", "event_ts", *known, REASON
     )
     return good, rejects
 
@@ -167,8 +191,8 @@ def to_batches(
     events: DataFrame, capture_schema_name: bool = False, **filters
 ) -> tuple[DataFrame, DataFrame]:
     """Filter and flatten events, split into ``(good, rejects)``."""
-    extra = [c for c in ("file_name",) if c in events.columns]
-    return split_rejects(flatten_events(select_events(events, **filters), capture_schema_name, extra))
+    rows = flatten_events(select_events(events, **filters), capture_schema_name, _extra_of(events))
+    return split_rejects(rows)
 
 
 def duplicate_keys(batches: DataFrame, key: str = "event_sequence") -> DataFrame:

@@ -25,6 +25,12 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stmtscope-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of ``new_folder`` with all it holds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, so that several readers neither
     recompute it nor depend on any executor."""

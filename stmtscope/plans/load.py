@@ -7,8 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stmtscope.operators.flatten import flatten_events, select_events, split_rejects
-from stmtscope.operators.staging import checkpointed, new_folder
+from stmtscope.operators.flatten import flatten_all, split_rejects
+from stmtscope.operators.staging import checkpointed, delete_folder, new_folder
 from stmtscope.operators.summaries import (
     batch_summary,
     metric_summary,
@@ -16,8 +16,8 @@ from stmtscope.operators.summaries import (
     wide_metric_summary,
 )
 from stmtscope.plans.reports import metric_report, minute_report, minute_series
-from stmtscope.schema import DEFAULT_END, DEFAULT_START, DEFAULT_VCORES, EVENT_TYPES, METRICS
-from stmtscope.sources.events import load_stats, read_events
+from stmtscope.schema import DEFAULT_VCORES, EVENT_TYPES, METRICS
+from stmtscope.sources.events import files_in, load_stats, read_events
 from stmtscope.sources.tables import FACT, append_batches, create_tables, table_name, write_tables
 
 
@@ -32,8 +32,8 @@ class LoadOptions:
     pattern: str = "*"
     fmt: str = "json"
     event_types: tuple[str, ...] = EVENT_TYPES
-    start_time: str | datetime = DEFAULT_START
-    end_time: str | datetime = DEFAULT_END
+    start_time: str | datetime | None = None
+    end_time: str | datetime | None = None
     tz_offset: str = "+00:00"
     day_first: bool | None = None
     filter_connection_resets: bool = False
@@ -56,21 +56,24 @@ class LoadOptions:
 def load(spark: SparkSession, options: LoadOptions) -> tuple[DataFrame, DataFrame]:
     """Append the folder's events to the fact table; gives ``(stats, rejects)``.
 
-    Events are parsed and normalised once, into a staging folder.  The key check, the
+    Events are read, parsed and normalised once, into a staging folder.  The key check, the
     fact rows, the rejects and the counts all come from there, and nothing reaches the
-    table when the check fails.
+    table when the check fails.  The folder is deleted at the end, also after a failure;
+    what is returned are checkpoints.
     """
-    events = read_events(
-        spark, options.path, options.pattern, options.fmt, **options.reader_options
-    )
+    events = read_events(spark, options.path, options.pattern, options.fmt, **options.reader_options)
     create_tables(spark, options.database, options.suffix, options.location)
-    selected = select_events(events, **options.filters())
     staging = new_folder(spark)
-    flatten_events(selected, options.capture_schema_name, ["file_name"]).write.parquet(staging)
-    rows = spark.read.parquet(staging)
-    good, rejects = split_rejects(rows)
-    append_batches(good, options.database, options.suffix)
-    return load_stats(events, rows), rejects
+    try:
+        flatten_all(events, options.capture_schema_name, **options.filters()).write.parquet(staging)
+        rows = spark.read.parquet(staging)
+        good, rejects = split_rejects(rows)
+        stats = checkpointed(load_stats(rows, files_in(spark, options.path, options.pattern)))
+        rejects = checkpointed(rejects)
+        append_batches(good, options.database, options.suffix)
+    finally:
+        delete_folder(spark, staging)
+    return stats, rejects
 
 
 def summarize(spark: SparkSession, options: LoadOptions) -> None:

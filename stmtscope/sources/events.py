@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stmtscope.operators.flatten import REASON
+from stmtscope.operators.flatten import RAW_LINE, READ_PROBLEM, REASON, SELECTED
 from stmtscope.schema import EVENT
 
 
@@ -18,21 +21,57 @@ def read_events(
     **options: str,
 ) -> DataFrame:
     """All files directly in ``path`` whose name matches ``pattern``, as one DataFrame of
-    events, with the name of the file each came from unless ``file_name`` is off.  A JSON
-    line that cannot be read stops the job instead of vanishing; pass
-    ``mode="DROPMALFORMED"`` to skip such lines."""
-    reader = spark.read.format(fmt).schema(EVENT).option("pathGlobFilter", pattern)
-    if fmt == "json":
-        reader = reader.option("mode", options.pop("mode", "FAILFAST"))
+    events, with the name of the file each came from unless ``file_name`` is off.
+
+    JSON events also have ``read_problem`` and ``raw_line``: a line that cannot be read is an
+    event with nothing but these, and one whose time cannot be read has no time.  Both
+    go on to the rejects.
+    """
     source = [F.col("_metadata.file_name").alias("file_name")] if file_name else []
-    return reader.options(**options).load(path).select(*EVENT.fieldNames(), *source)
+    reader = spark.read.format(fmt).option("pathGlobFilter", pattern)
+    if fmt != "json":
+        return reader.schema(EVENT).options(**options).load(path).select(*EVENT.fieldNames(), *source)
+    as_text = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name == "event_ts" else f.dataType) for f in EVENT]
+    ).add(RAW_LINE, T.StringType())
+    lines = reader.schema(as_text).options(mode="PERMISSIVE", columnNameOfCorruptRecord=RAW_LINE).options(**options).load(path)
+    written = [F.lit(options["timestampFormat"])] if "timestampFormat" in options else []
+    time = F.try_to_timestamp("event_ts", *written) if written else F.col("event_ts").try_cast("timestamp")
+    problem = F.when(F.col(RAW_LINE).isNotNull(), "unreadable line").when(
+        F.col("event_ts").isNotNull() & time.isNull(), "invalid event_ts"
+    )
+    readable = F.col(RAW_LINE).isNull()
+    columns = {"event_ts": time, "fields": F.col("fields"), "actions": F.col("actions"), "name": F.col("name")}
+    return lines.select(
+        *[F.when(readable, columns[c]).alias(c) for c in EVENT.fieldNames()],
+        *source,
+        problem.alias(READ_PROBLEM),
+        RAW_LINE,
+    )
+
+
+def files_in(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Names of the folder's files, also of empty ones.  The list is the one that Spark's
+    driver keeps of any folder it reads."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).inputFiles()
+    names = [(unquote(file.rsplit("/", 1)[-1]),) for file in listed]
+    return spark.createDataFrame(names, "file_name string")
+
 
+def load_stats(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Events read, kept (fact rows), rejected and filtered out, per file.
 
-def load_stats(events: DataFrame, rows: DataFrame) -> DataFrame:
-    """Events read and events that became fact rows, per file.  ``rows`` are the flattened
-    events with their ``file_name`` and ``reject_reason``."""
-    read = events.groupBy("file_name").agg(F.count("*").alias("events_read"))
-    kept = rows.groupBy("file_name").agg(F.count_if(F.col(REASON).isNull()).alias("events_kept"))
-    return read.join(kept, "file_name", "left").select(
-        "file_name", "events_read", F.coalesce("events_kept", F.lit(0)).alias("events_kept")
+    ``rows`` are all events, flattened by ``flatten_all``, with their ``file_name``; with
+    ``files`` also those without any event are listed.  Nothing is read again.
+    """
+    selected, good = F.col(SELECTED), F.col(REASON).isNull()
+    stats = rows.groupBy("file_name").agg(
+        F.count("*").alias("events_read"),
+        F.count_if(selected & good).alias("events_kept"),
+        F.count_if(selected & ~good).alias("events_rejected"),
+        F.count_if(~selected).alias("events_filtered"),
     )
+    if files is None:
+        return stats
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in stats.columns if c != "file_name"]
+    return files.join(stats, "file_name", "left").select("file_name", *counts)

@@ -244,7 +244,7 @@ def test_load_and_summarize(spark, tmp_path, database):
         filter_connection_resets=True,
     )
     stats, rejects = load(spark, options)
-    assert {tuple(r) for r in stats.collect()} == {("a1.json", 7, 5), ("a2.json", 3, 1)}
+    assert {tuple(r) for r in stats.collect()} == {("a1.json", 7, 5, 0, 2), ("a2.json", 3, 1, 1, 1)}
     assert [(r.event_sequence, r.file_name, r.reject_reason) for r in rejects.collect()] == [
         (11, "a2.json", "invalid duration")
     ]
@@ -310,13 +310,20 @@ def test_append_checks_keys_and_goes_by_name(spark, tmp_path, database):
     assert {r.database_name for r in stored.collect()} == {"db"}
 
 
-def test_unreadable_line_stops_the_read(spark, tmp_path):
+def test_unreadable_lines_become_rejects(spark, tmp_path):
     folder = tmp_path / "broken"
     folder.mkdir()
     (folder / "x.json").write_text(json.dumps(event(1)) + "\n{not json\n")
-    with pytest.raises(Exception, match="[Mm]alformed"):
-        read_events(spark, str(folder)).collect()
-    assert read_events(spark, str(folder), mode="DROPMALFORMED").count() == 1
+    (folder / "empty.json").write_text("")
+    (folder / "y.json").write_text(json.dumps({**event(2), "event_ts": "soon"}) + "\n")
+    good, rejects = to_batches(read_events(spark, str(folder)))
+    assert [r.event_sequence for r in good.collect()] == [1]
+    found = {(r.file_name, r.raw_line, r.reject_reason) for r in rejects.collect()}
+    assert found == {("x.json", "{not json", "unreadable line"), ("y.json", None, "invalid event_ts")}
+    options = LoadOptions(str(folder), "_lost", database="lost", location=str(tmp_path / "lost"))
+    stats, rejects = load(spark, options)
+    assert {tuple(r) for r in stats.collect()} == {("x.json", 2, 1, 1, 0), ("y.json", 1, 0, 1, 0), ("empty.json", 0, 0, 0, 0)}
+    assert rejects.count() == 2
 
 
 def test_ids_do_not_depend_on_partitions(spark):

@@ -6,6 +6,8 @@ events.  Spark and the checking engine both run the SELECT text as it stands.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,7 +134,7 @@ def flat_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LINEITEM_SQL.replace("{sequence}", "row_id"), lineitem=keyed)
 
 
-def as_trace_events(flat: DataFrame, **changes: Column) -> DataFrame:
+def as_trace_events(flat: DataFrame, keep: Sequence[str] = (), **changes: Column) -> DataFrame:
     """Pack flat columns into the two dictionaries of a trace event.  A user name that is
     NULL is left out, and so is a value of ``changes`` that is."""
     is_rpc = F.col("name") == "rpc_completed"
@@ -150,7 +152,7 @@ def as_trace_events(flat: DataFrame, **changes: Column) -> DataFrame:
         changed = list(changes)
         fields = F.map_filter(fields, lambda k, v: v.isNotNull() | ~k.isin(changed))
         actions = F.map_filter(actions, lambda k, v: v.isNotNull() | ~k.isin(changed))
-    return flat.select("name", "event_ts", fields.alias("fields"), actions.alias("actions"))
+    return flat.select("name", "event_ts", fields.alias("fields"), actions.alias("actions"), *keep)
 
 
 def _export(spark: SparkSession, flat: DataFrame) -> str:
