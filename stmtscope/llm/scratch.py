@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stmtscope.operators.staging import checkpointed, new_folder
+from stmtscope.operators.staging import checkpointed, delete_folder, new_folder
 
 
 class Scratch:
@@ -23,9 +23,7 @@ class Scratch:
 
     def __exit__(self, *_) -> None:
         if self.folder is not None:
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.folder)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(self.spark, self.folder)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """``df``, computed now and read back from Parquet: no lineage, no executor needed."""

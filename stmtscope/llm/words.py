@@ -83,7 +83,10 @@ def words_of(texts: pa.Array) -> Words:
     after[-1], after[:-1] = False, inside[1:]
     end = np.flatnonzero(inside & (~after | cut[1:])) + 1
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * _power_table(BASE, n), out=sums[1:])
+    values = BYTE_VALUES[data]
+    values *= _power_table(BASE, n)
+    np.cumsum(values, out=sums[1:])
+    del values
     inverse = pow(BASE, -1, 1 << 64)
     hashes = mix((sums[end] - sums[start]) * _power_table(inverse, n)[start] + (end - start).astype(np.uint64))
     return Words(data, start, end, hashes, np.searchsorted(start, offsets))
