@@ -13,7 +13,8 @@ def shared_folder(spark: SparkSession) -> str:
     names none gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="stmtscope-")
         spark.conf.set("spark.checkpoint.dir", folder)

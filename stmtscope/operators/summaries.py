@@ -126,30 +126,34 @@ def _min_if_few(p: str, executions: Column, otherwise: Column) -> Column:
 
 
 def small_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Statistics of fingerprints that fit a task: number the executions and take, for each
-    percentile, the largest value up to its rank."""
-    group = W.partitionBy("norm_id", "metric")
-    numbered = (
-        metric_values(batches, metrics)
-        .withColumn("number", F.row_number().over(group.orderBy(F.col("value").asc_nulls_first())))
-        .withColumn("executions", F.count("*").over(group))
+    """Statistics of fingerprints that fit a task, from one scan: equal values of a metric are
+    counted before the shuffle, and running sums of the counts give the value at each rank.
+    The metric travels as its number."""
+    values = batches.select("norm_id", F.posexplode(F.array(*metrics)).alias("metric_no", "value"))
+    counted = values.groupBy("norm_id", "metric_no", "value").agg(F.count("*").alias("cnt"))
+    group = W.partitionBy("norm_id", "metric_no")
+    before = group.orderBy(F.col("value").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    ordered = counted.withColumn("before", F.coalesce(F.sum("cnt").over(before), F.lit(0))).withColumn(
+        "executions", F.sum("cnt").over(group)
     )
-    reached = {
-        p: F.when(F.col("number") * 100 <= F.col("executions") * percent, F.col("value")).otherwise(0)
+    # The value at a rank is the largest one with fewer rows before it than the rank.
+    at_rank = {
+        p: F.max(F.when(F.col("before") < F.expr(f"executions * {percent} div 100"), F.col("value")))
         for p, percent in PERCENTILES.items()
     }
-    folded = numbered.groupBy("norm_id", "metric").agg(
+    folded = ordered.groupBy("norm_id", "metric_no").agg(
         F.max("executions").alias("executions"),
-        F.count("value").alias("filled"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("cnt"))).alias("filled"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.sum("value").alias("total"),
-        *[F.max(value).alias(f"{p}_reached") for p, value in reached.items()],
+        F.sum(F.col("value") * F.col("cnt")).alias("total"),
+        *[F.greatest(F.coalesce(value, F.lit(0)), F.lit(0)).alias(f"{p}_reached") for p, value in at_rank.items()],
     )
+    names = F.array(*[F.lit(m) for m in metrics])
     executions = F.col("executions")
     return folded.select(
         "norm_id",
-        "metric",
+        F.get(names, "metric_no").alias("metric"),
         "min",
         _integer_mean("total", "filled"),
         "max",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stmtscope import schema
 from stmtscope.operators.flatten import duplicate_keys
+from stmtscope.operators.staging import checkpointed
 
 FACT = "batches"
 TABLES = {
@@ -93,7 +94,8 @@ def write_tables(
     for base, df in derived.items():
         rows = df.select(*TABLES[base].fieldNames())
         if buckets is None:
-            writer = rows.repartitionByRange("norm_id").sortWithinPartitions("norm_id").write
+            # The ranges are sampled by a job of their own; a checkpoint spares it the computation.
+            writer = checkpointed(rows).repartitionByRange("norm_id").sortWithinPartitions("norm_id").write
         else:
             writer = rows.repartition(buckets, "norm_id").write.bucketBy(buckets, "norm_id").sortBy("norm_id")
         writer.format("parquet").mode("overwrite").saveAsTable(table_name(database, base, suffix))
