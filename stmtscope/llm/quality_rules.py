@@ -4,7 +4,7 @@ Two multinomials over hashed n-grams are estimated: one from the whole corpus, o
 trusted documents.  A document's score is the mean, over its n-grams, of the logarithm of
 trusted over corpus probability; every document whose score reaches a fixed threshold
 passes.  The n-grams are single words and pairs of neighbouring word shapes (runs of small
-letters, of capitals and of digits become one character each), so that also words never seen
+letters and of capitals become one character each), so that also words never seen
 before count by how they are written.
 
 Everything is a DataFrame expression.  Counting shuffles sums per slot; scoring is a narrow
@@ -31,9 +31,8 @@ def words_of(text: Column) -> Column:
 
 
 def shapes_of(text: Column) -> Column:
-    """The words of the text with runs of letters and digits shrunk."""
-    shape = F.regexp_replace(text, r"\p{Ll}+", "a")
-    return words_of(F.regexp_replace(F.regexp_replace(shape, r"\p{Lu}+", "A"), "[0-9]+", "0"))
+    """The words of the text with runs of small letters and of capitals shrunk."""
+    return words_of(F.regexp_replace(F.regexp_replace(text, r"\p{Ll}+", "a"), r"\p{Lu}+", "A"))
 
 
 def slots_of(words: Column, shapes: Column) -> Column:
@@ -76,10 +75,13 @@ def repeated_words(docs: DataFrame) -> DataFrame:
 def weights(scratch: Scratch, docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row: the log-ratio of every slot, as an array.  ``docs`` (doc_id, text) is the
     corpus, ``trusted`` (doc_id) names the target documents."""
-    marked = docs.join(trusted.select("doc_id", F.lit(1).alias("is_trusted")).distinct(), "doc_id", "left")
-    slots = slots_of(words_of(F.col("text")), shapes_of(F.col("text")))
+    # Labels grow with the corpus, so both sides are dealt by doc_id whatever their size.
+    targets = trusted.select("doc_id", F.lit(1).alias("is_trusted")).distinct().hint("shuffle_hash")
+    marked = docs.join(targets, "doc_id", "left")
+    # Columns of their own, so that the lambdas below do not split the text again per word.
+    split = marked.select("is_trusted", words_of(F.col("text")).alias("words"), shapes_of(F.col("text")).alias("shapes"))
     counts = scratch.keep(
-        marked.select("is_trusted", F.explode(slots).alias("slot"))
+        split.select("is_trusted", F.explode(slots_of(F.col("words"), F.col("shapes"))).alias("slot"))
         .groupBy("slot")
         .agg(F.count("*").alias("corpus"), F.count("is_trusted").alias("target"))
     )
