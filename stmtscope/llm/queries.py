@@ -96,5 +96,81 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+WORD_LIST = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+# All pairs of documents that share a shingle, then what each document reaches.
+OP2_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORD_LIST.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+         ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS shingle FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least ON a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id"""
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20"""
+
+# The exponent by bisection, 25 steps; then the epochs and the cut of each source's last one.
+OP4_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len({WORD_LIST.format(text="text")}) AS BIGINT) AS n_tokens,
+         CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12))::BIGINT % (SELECT CAST(ceil(sqrt(count(*))) AS BIGINT) FROM documents)
+              AS BIGINT) AS block
+  FROM documents),
+total AS (SELECT sum(n_tokens)::DOUBLE AS t FROM d),
+sources AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens)::DOUBLE / any_value(t) AS share FROM d, total GROUP BY 1),
+shares AS (SELECT list(share) AS ps, min(share) AS least FROM sources),
+steps AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT step + 1, CASE WHEN ok THEN low ELSE middle END, CASE WHEN ok THEN middle ELSE high END
+  FROM (SELECT step, low, high, (low + high) / 2 AS middle,
+               pow(least, (low + high) / 2 - 1) / list_sum(list_transform(ps, lambda p: pow(p, (low + high) / 2))) <= 2.0 AS ok
+        FROM steps, shares WHERE step < 25)),
+a AS (SELECT high AS a FROM steps WHERE step = 25),
+z AS (SELECT sum(pow(share, a)) AS z FROM sources, a),
+wanted AS (SELECT source, tokens, round(pow(share, a) / z, 9) AS weight, round(pow(share, a) / z * t, 3) AS w FROM sources, a, z, total),
+planned AS (
+  SELECT source, weight, CAST(floor(w / tokens) AS INTEGER) AS epochs, CAST(floor(w - floor(w / tokens) * tokens) AS BIGINT) AS rest
+  FROM wanted),
+blocks AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY md5(source || '|' || block || '|' || epochs), block
+                              ROWS UNBOUNDED PRECEDING) AS until
+  FROM (SELECT source, block, sum(n_tokens) AS tokens FROM d GROUP BY 1, 2) JOIN planned USING (source)),
+cut AS (SELECT *, rest - until + tokens AS room FROM blocks WHERE until > rest AND until - tokens < rest),
+fits AS (
+  SELECT source, doc_id FROM (
+    SELECT source, doc_id, room, sum(n_tokens) OVER (PARTITION BY source ORDER BY md5(doc_id || '|' || epochs), doc_id) AS upto
+    FROM d JOIN cut USING (source, block)) WHERE upto <= room),
+placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY source, epoch ORDER BY md5(source || '|' || block || '|' || epoch), block) AS INTEGER)
+         AS block_rank
+  FROM (SELECT *, CAST(unnest(range(0, epochs + 1)) AS INTEGER) AS epoch FROM blocks))
+SELECT doc_id, source, n_tokens, epoch, block, block_rank, weight FROM d JOIN placed USING (source, block)
+WHERE epoch < epochs OR (rest > 0 AND until <= rest)
+   OR (until > rest AND until - tokens < rest AND (source, doc_id) IN (SELECT source, doc_id FROM fits))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_near_duplicates": OP2_SQL, "op3_top_k": OP3_SQL, "op4_mixing": OP4_SQL}
