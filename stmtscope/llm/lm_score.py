@@ -37,8 +37,8 @@ SLOTS = 1 << 18
 SIZE = 16  # of the vectors
 NOISE = 10  # noise samples per token
 EPOCHS, RATE, HISTORIES = 40, 0.05, 2048  # histories in a training step
-PASS_BYTES = 4 << 20  # of text handled at once
-MOST_COUNTED = 2_000_000  # distinct words that a task holds before it sends their counts
+PASS_BYTES = 2 << 20  # of text handled at once
+MOST_COUNTED = 1_000_000  # distinct words that a task holds before it sends their counts
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
 
 

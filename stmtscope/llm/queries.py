@@ -148,7 +148,7 @@ steps AS (
   FROM (SELECT step, low, high, (low + high) / 2 AS middle,
                pow(least, (low + high) / 2 - 1) / list_sum(list_transform(ps, lambda p: pow(p, (low + high) / 2))) <= 2.0 AS ok
         FROM steps, shares WHERE step < 25)),
-a AS (SELECT high AS a FROM steps WHERE step = 25),
+a AS (SELECT CASE WHEN pow(least, -1) / len(ps) <= 2.0 THEN 0.0 ELSE high END AS a FROM steps, shares WHERE step = 25),
 z AS (SELECT sum(pow(share, a)) AS z FROM sources, a),
 wanted AS (SELECT source, tokens, round(pow(share, a) / z, 9) AS weight, round(pow(share, a) / z * t, 3) AS w FROM sources, a, z, total),
 planned AS (
