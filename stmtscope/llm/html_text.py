@@ -8,8 +8,9 @@ or id, digits as ``0``).  Votes are added up per host in Spark, and every page i
 again with its host's winning path.  A page without such a container, or with nothing in
 it, falls back to its own best one.
 
-Winning paths meet the pages by a join on host and a salt, so that the pages of one large
-host are spread over ``SALTS`` tasks or more.
+Winning paths meet the pages by a join on host.  Hosts with more than one page in
+``HEAVY_HOSTS`` are fewer than that many, so their paths are broadcast, and their pages are
+dealt evenly instead of by host.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stmtscope.llm.url_filter import host_and_path
+from stmtscope.operators.staging import checkpointed
 
-SALTS = 64
+HEAVY_HOSTS = 1000
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
@@ -166,11 +168,9 @@ class Page:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        votes: Counter[tuple[str, str]] = Counter()
+        votes: Counter[tuple[str, str | None]] = Counter()
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            path = Page(source).best_path() if source else None
-            if path is not None:
-                votes[host, path] += 1
+            votes[host, Page(source).best_path() if source else None] += 1
         hosts, paths = zip(*votes) if votes else ((), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes.values(), pa.int64())],
@@ -198,17 +198,27 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     host, _ = host_and_path(F.col("url"))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
-    votes = (
+    # Pages without any text have no path to vote for, but count for the size of their host.
+    ballot = F.when(F.col("path").isNotNull(), F.struct((-F.col("votes")).alias("votes"), "path"))
+    hosts = (
         pages.select("host", "html")
         .mapInArrow(_votes, "host string, path string, votes long")
         .groupBy("host", "path")
-        .agg((-F.sum("votes")).alias("votes"))
+        .agg(F.sum("votes").alias("votes"))
         .groupBy("host")
-        .agg(F.min(F.struct("votes", "path")).alias("x"))
-        .select("host", F.col("x.path").alias("path"))
+        .agg(F.sum("votes").alias("n"), F.min(ballot).alias("x"))
     )
-    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
-    winners = votes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = pages.withColumn("salt", salt).join(winners, ["host", "salt"], "left")
-    found = joined.select("page_id", "url", "path", "html").mapInArrow(_extract, "page_id long, url string, text string")
+    hosts = checkpointed(hosts.select("host", "n", F.col("x.path").alias("path")))
+    n_pages = hosts.agg(F.sum("n")).first()[0] or 0
+    is_heavy = F.col("n") * HEAVY_HOSTS > n_pages
+    heavy = hosts.where(is_heavy).select("host", F.col("path").alias("heavy_path"), F.lit("\x00").alias("spread"))
+    light = hosts.where(~is_heavy).select(F.col("host").alias("key"), F.col("path").alias("light_path"))
+    dealt = F.concat("spread", F.monotonically_increasing_id().cast("string"))  # no host's name
+    joined = (
+        pages.join(F.broadcast(heavy), "host", "left")
+        .withColumn("key", F.coalesce(dealt, "host"))
+        .join(light, "key", "left")
+        .select("page_id", "url", F.coalesce("heavy_path", "light_path").alias("path"), "html")
+    )
+    found = joined.mapInArrow(_extract, "page_id long, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from stmtscope.llm import html_text
 from stmtscope.llm.html_text import Page, main_texts
 
 MENU = '<nav><ul><li><a href="/a">Menu one</a></li></ul></nav>'
@@ -28,7 +29,9 @@ def test_one_page(html, text):
     assert page.text(page.best_path()) == text
 
 
-def test_consensus(spark):
+@pytest.mark.parametrize("heavy_hosts", [1000, 0])
+def test_consensus(spark, monkeypatch, heavy_hosts):
+    monkeypatch.setattr(html_text, "HEAVY_HOSTS", heavy_hosts)
     page = "<body><div class='story'>{}</div><div class='box9'>{}</div></body>"
     long, short = "Story words that go on and on for the whole of a line. ", "Box words. "
     rows = [(i, f"http://h.com/{i}", page.format(long * 3, short)) for i in range(8)]
