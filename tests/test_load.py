@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -331,3 +332,19 @@ def test_ids_do_not_depend_on_partitions(spark):
     one = {r.norm_id for r in to_batches(events.coalesce(1))[0].collect()}
     many = {r.norm_id for r in to_batches(events.repartition(5))[0].collect()}
     assert one == many and len(one) == 1
+
+
+def test_load_leaves_no_staging_behind(spark, tmp_path):
+    from stmtscope.operators.staging import shared_folder
+
+    folder = tmp_path / "traces"
+    folder.mkdir()
+    (folder / "x.json").write_text(json.dumps(event(1)) + "\n")
+    options = LoadOptions(str(folder), "_clean", database="clean", location=str(tmp_path / "clean"))
+    staged = lambda: {p.name for p in Path(shared_folder(spark)).glob("stmtscope-*")}
+    before = staged()
+    load(spark, options)
+    assert staged() == before
+    with pytest.raises(DuplicateKeyError):
+        load(spark, options)
+    assert staged() == before
