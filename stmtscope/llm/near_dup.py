@@ -168,8 +168,8 @@ def estimated_similarity(left, right):
     each = sum(1 << i for i in range(0, 63, BITS))  # lowest bit of every part
     for i in range(LONGS):
         differ = left[i].bitwiseXOR(right[i])
-        for _ in range(BITS.bit_length() - 1):  # any set bit of a part reaches its lowest
-            differ = differ.bitwiseOR(F.shiftrightunsigned(differ, 1 << _))
+        for k in range(BITS.bit_length() - 1):  # any set bit of a part reaches its lowest
+            differ = differ.bitwiseOR(F.shiftrightunsigned(differ, 1 << k))
         equal = equal - F.bit_count(differ.bitwiseAND(F.lit(each)))
     chance = 2.0**-BITS
     return (equal / F.lit(float(BANDS * ROWS)) - chance) / (1 - chance)

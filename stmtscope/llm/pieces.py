@@ -255,7 +255,10 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            texts = [vocabulary.decode(ids.values.to_pylist()) if ids.is_valid else "" for ids in batch.column("token_ids")]
+            lists = batch.column("token_ids")
+            ids = lists.flatten().to_numpy()
+            first = np.concatenate([[0], np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy())]).tolist()
+            texts = [vocabulary.decode(ids[a:b].tolist()) for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     columns = encoded.select("doc_id", "n_tokens", "token_ids")
