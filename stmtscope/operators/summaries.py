@@ -129,7 +129,8 @@ def small_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFr
     """Statistics of fingerprints that fit a task, from one scan: equal values of a metric are
     counted before the shuffle, and running sums of the counts give the value at each rank.
     The metric travels as its number."""
-    values = batches.select("norm_id", F.posexplode(F.array(*metrics)).alias("metric_no", "value"))
+    numbered = [part for i, m in enumerate(metrics) for part in (F.lit(i), F.col(m))]
+    values = batches.select("norm_id", F.stack(F.lit(len(metrics)), *numbered).alias("metric_no", "value"))
     counted = values.groupBy("norm_id", "metric_no", "value").agg(F.count("*").alias("cnt"))
     group = W.partitionBy("norm_id", "metric_no")
     before = group.orderBy(F.col("value").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
