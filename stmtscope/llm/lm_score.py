@@ -1,20 +1,29 @@
 """Log-bilinear language model, trained by noise-contrastive estimation.
 
-Words are counted over all training documents.  Each word belongs to a unit: the most
-frequent words are units of their own, all others share a few by their last two bytes.  The
-model predicts the unit of a token from the units of the two tokens before it,
-
-    score(u | a, b) = (A r_a + B r_b) . q_u + bias_u,
-
-and a word inside its unit by its count plus one, with one more place for words never
-seen.  Parameters are fitted to the counts of all unit triples of the training documents,
-against noise drawn from the unit frequencies; the noise term is summed exactly over all
-units.  As there are only ``UNITS ** 2`` histories, one batch of matrix products gives the
-normalised log-probabilities of every unit after every history, and scoring looks them up.
-
-What is held in memory does not grow with the corpus: the triples (``UNITS ** 3``) and a
-table of ``SLOTS`` word counts, in which the more frequent of two words with equal slot
-stays.  Counts of all other words reach the documents by a join; none of them is frequent.
+Words are counted over all training documents.  Every word with at least ``MIN_COUNT`` of
+them has vectors of its own, so the modelled vocabulary grows with the corpus.  A word's
+probability is a product of three softmaxes: its unit (the most frequent words are units of
+their own, all others share a few by their last two bytes), its class inside the unit
+(about the root of the unit's vocabulary; one more class has the words below the threshold),
+and the word inside its class.  All three see the two words before by their own vectors,
+
+    unit:         (x_a + y_b) . q_u + bias_u
+    class, word:  f . q_w + bias_w,     f = bounded (x_a + y_b, s_b)
+
+where x is A r and y is B r for a unit, plus what a word of its own has learned, and s_b
+sums up which words follow b.  Words below the threshold have the history vector of their
+unit, and their count plus one inside their class, with one more place for words never seen.
+
+The unit model is fitted on the driver to the counts of all unit triples, against noise
+drawn from the unit frequencies and summed exactly.  Then each word's vectors move from its
+unit's (or class's): history vectors by Newton steps on the gradients that one pass over the
+texts adds up per word, target vectors by one Newton step from a second such pass.  Features
+are bounded and both kinds of vectors are drawn to their start values, so that words with
+few tokens stay near them.
+
+Held in memory are the triples (``UNITS ** 3``), a table of ``SLOTS`` word counts, in which
+the more frequent of two words with equal slot stays, and the vocabulary with its vectors.
+Counts of all other words reach the documents by a join; none of them is frequent.
 """
 
 from __future__ import annotations
@@ -38,6 +47,12 @@ SIZE = 16  # of the vectors
 NOISE = 10  # noise samples per token
 EPOCHS, RATE, HISTORIES = 40, 0.05, 2048  # histories in a training step
 PASS_BYTES = 2 << 20  # of text handled at once
+MIN_COUNT = 32  # of a word with vectors of its own
+HISTORY_PRIOR, TARGET_PRIOR = 30.0, 200.0  # tokens that a word's start values weigh as much as
+NEWTON_STEPS = 6
+DAMPING = 0.7  # of history vectors, since those of both words before are fitted at once
+FEATURE_SIZE = 0.15  # of its spread: features are nearly signs
+BLOCK = 1 << 15  # tokens whose unit scores are held at once
 MOST_COUNTED = 1_000_000  # distinct words that a task holds before it sends their counts
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
 
@@ -88,41 +103,78 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Lexicon:
-    """Word counts by slot, and what follows from the counts of all words."""
+    """Words with their counts, and what follows from the counts of all words."""
 
     word: np.ndarray
     count: np.ndarray
     unit: np.ndarray
+    own: np.ndarray  # number of a word with vectors of its own, else -1
+    place: np.ndarray  # index of a word by hash, the next free place after it; -1 is free
     n_tokens: int
     n_words: int
     unit_total: np.ndarray  # of a shared unit: tokens + words + 1; of the others: 1
 
-    def look_up(self, hashes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each token is in the table, its count (else 0) and its unit."""
-        slot = hashes & (len(self.word) - 1)
-        found = self.word[slot] == hashes
-        found &= self.count[slot] > 0
-        return found, np.where(found, self.count[slot], 0), np.where(found, self.unit[slot], OWN_UNITS + shared)
+    def look_up(self, hashes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Whether each token is in the table, its count (else 0), its unit and its number."""
+        mask = len(self.place) - 1
+        spot = hashes & mask
+        at = self.place[spot]
+        open_ = np.flatnonzero((at >= 0) & (self.word[at] != hashes))
+        while len(open_):
+            spot[open_] = (spot[open_] + 1) & mask
+            at[open_] = self.place[spot[open_]]
+            open_ = open_[(at[open_] >= 0) & (self.word[at[open_]] != hashes[open_])]
+        found = at >= 0
+        return (
+            found,
+            np.where(found, self.count[at], 0),
+            np.where(found, self.unit[at], OWN_UNITS + shared).astype(np.int64),
+            np.where(found, self.own[at], -1),
+        )
+
+    @property
+    def vocabulary(self) -> np.ndarray:
+        """Index of each word with vectors of its own, by number."""
+        return np.flatnonzero(self.own >= 0)
+
+
+def places(word: np.ndarray) -> np.ndarray:
+    place = np.full(1 << max(4, (2 * len(word)).bit_length()), -1, np.int32)
+    mask = len(place) - 1
+    left, spot = np.arange(len(word), dtype=np.int32), word & mask
+    while len(left):
+        free = place[spot] < 0
+        place[spot[free]] = left[free]  # of several words the last one stays
+        out = place[spot] != left
+        left, spot = left[out], (spot[out] + 1) & mask
+    return place
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
-    """From (word, unit, n); only ``SLOTS`` rows and sums per unit reach the driver."""
+    """From (word, unit, n); ``SLOTS`` rows, the vocabulary and sums per unit reach the driver."""
     slot = F.col("word").bitwiseAND(F.lit(SLOTS - 1))
     top = counts.groupBy(slot.alias("slot")).agg(F.max(F.struct("n", "word", "unit")).alias("x"))
-    top = top.select("slot", "x.word", "x.n", "x.unit").toArrow()
-    slots, word, n, unit = (top.column(c).to_numpy() for c in ("slot", "word", "n", "unit"))
+    tables = [top.select("x.word", "x.n", "x.unit").toArrow(), counts.where(F.col("n") >= MIN_COUNT).select("word", "n", "unit").toArrow()]
+    word, n, unit = (np.concatenate([t.column(c).to_numpy() for t in tables]) for c in ("word", "n", "unit"))
+    word, at = np.unique(word, return_index=True)
+    n, unit = n[at], unit[at]
     sums = counts.groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("words")).toArrow()
     tokens_of, words_of = np.zeros(SHARED_UNITS), np.zeros(SHARED_UNITS)
     tokens_of[sums.column("unit").to_numpy()] = sums.column("n").to_numpy()
     words_of[sums.column("unit").to_numpy()] = sums.column("words").to_numpy()
     n_tokens, n_words = int(tokens_of.sum()), int(words_of.sum())
 
-    table = Lexicon(np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int16), n_tokens, n_words, np.ones(UNITS))
-    table.word[slots], table.count[slots], table.unit[slots] = word, n, OWN_UNITS + unit
     own = np.lexsort((word, -n, word != END))[:OWN_UNITS]
-    table.unit[slots[own]] = np.arange(len(own))
+    units = (OWN_UNITS + unit).astype(np.int16)
+    units[own] = np.arange(len(own))
     np.subtract.at(tokens_of, unit[own], n[own])
     np.subtract.at(words_of, unit[own], 1)
+    number = np.full(len(word), -1, np.int32)
+    modelled = np.flatnonzero((n >= MIN_COUNT) & (units >= OWN_UNITS))
+    number[modelled] = np.arange(len(modelled))
+    # A last entry, so that index -1 of a word that is not there can be read.
+    last = lambda x, value: np.append(x, np.array([value], x.dtype))
+    table = Lexicon(last(word, 0), last(n, 0), last(units, 0), last(number, -1), places(word), n_tokens, n_words, np.ones(UNITS))
     table.unit_total[OWN_UNITS:] = tokens_of + words_of + 1
     return table
 
@@ -144,8 +196,8 @@ def _count_triples(shared):
         total = np.zeros(UNITS**3, np.int64)
         for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
             hashes, own, first = tokens(words)
-            _, _, units = table.look_up(hashes, own)
-            two, one = histories(units.astype(np.int64), first)
+            _, _, units, _ = table.look_up(hashes, own)
+            two, one = histories(units, first)
             total += np.bincount((two * UNITS + one) * UNITS + units, minlength=UNITS**3)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 1 << 17):
@@ -156,7 +208,21 @@ def _count_triples(shared):
 
 
 def train(counts: np.ndarray) -> np.ndarray:
-    """log10 probability of each unit after each history, from triple counts (two, one, unit).
+    """log10 probability of each unit after each history, from triple counts (two, one, unit)."""
+    return (unit_scores(fit(counts)) / np.log(10)).astype(np.float32).ravel()
+
+
+def unit_scores(p: dict[str, np.ndarray]) -> np.ndarray:
+    """Log-probability of each unit (column) after each history (row)."""
+    two, one = np.divmod(np.arange(UNITS * UNITS), UNITS)
+    scores = (p["r"][two] @ p["a"] + p["r"][one] @ p["b"]) @ p["q"].T + p["bias"]
+    scores -= scores.max(axis=1, keepdims=True)
+    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    return scores
+
+
+def fit(counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Parameters of the unit model, from triple counts (two, one, unit).
 
     Full products over ``HISTORIES`` histories a step; Adam; the same result in each run."""
     counts = counts.reshape(UNITS * UNITS, UNITS).astype(np.float64)
@@ -207,28 +273,353 @@ def train(counts: np.ndarray) -> np.ndarray:
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 p[k] += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    hidden = p["r"][two] @ p["a"] + p["r"][one] @ p["b"]
-    scores = hidden @ p["q"].T + p["bias"]
-    scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-    return (scores / np.log(10)).astype(np.float32).ravel()
+    return p
+
+
+class Sums:
+    """Sums of float rows by a number below ``size``, of which a chunk has few."""
+
+    def __init__(self, size: int, width: int):
+        self.total = np.zeros((size, width), np.float32)
+        self.seen = np.zeros(size, bool)
+        self.short = np.zeros(size, np.int32)
+
+    def add(self, numbers: np.ndarray, columns: Iterator[np.ndarray], begin: int = 0) -> None:
+        here = np.zeros(len(self.seen), bool)
+        here[numbers] = True
+        used = np.flatnonzero(here)
+        self.seen[used] = True
+        self.short[used] = np.arange(len(used))
+        numbers = self.short[numbers]
+        for k, column in enumerate(columns, begin):
+            self.total[used, k] += np.bincount(numbers, column, len(used))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        numbers = np.flatnonzero(self.seen)
+        for i in range(0, len(numbers), ROWS):
+            yield from _number_rows(numbers[i : i + ROWS], self.total[numbers[i : i + ROWS]])
 
 
-def _score(shared, model):
+def _number_rows(numbers: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(numbers), ROWS):
+        part, values = numbers[i : i + ROWS], sums[i : i + ROWS].astype(np.float32)
+        offsets = np.arange(len(part) + 1, dtype=np.int32) * np.int32(values.shape[1] * 4)
+        buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())]
+        sums = pa.Array.from_buffers(pa.binary(), len(part), buffers)
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), sums], names=["number", "sums"])
+
+
+def _add_up(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            numbers, sums = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(numbers, kind="stable")
+            numbers = numbers[order]
+            first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+            return numbers[first], np.add.reduceat(sums[order], first, axis=0)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = np.frombuffer(b"".join(batch.column("sums").to_pylist()), np.float32)
+            held.append((batch.column("number").to_numpy(), values.reshape(-1, width).astype(np.float64)))
+            if len(held) >= 16:
+                held = [merged()]
+        if held:
+            numbers, sums = merged()
+            yield from _number_rows(numbers, sums)
+
+    return run
+
+
+def added_up(rows: DataFrame, size: int, width: int) -> np.ndarray:
+    """Sums by number over all tasks; only one row per number reaches the driver."""
+    got = rows.repartition("number").mapInArrow(_add_up(width), NUMBERED).toArrow()
+    total = np.zeros((size, width))
+    for batch in got.to_batches():
+        values = np.frombuffer(b"".join(batch.column("sums").to_pylist()), np.float32)
+        total[batch.column("number").to_numpy()] = values.reshape(-1, width)
+    return total
+
+
+NUMBERED = "number int, sums binary"
+ROWS = 1 << 14  # of a batch
+
+
+def numbers_of(units: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """History number of each token: its unit, or beyond the units its own number."""
+    return np.where(own >= 0, UNITS + own, units)
+
+
+def _signs(hashes: np.ndarray, k: int) -> np.ndarray:
+    return ((hashes >> (40 + k)) & 1) * 2 - 1
+
+
+def _history_sums(shared, unit_model):
+    """Per history number: the gradient of its vector, and a signed sum of the words after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: Lexicon = shared.value
+        gains, expected = unit_model.value
+        n_history = UNITS + len(table.vocabulary)
+        sums = Sums(n_history, 3 * SIZE)
+        log_n = np.log(table.n_tokens + 1.0)
+        for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
+            hashes, shared_units, first = tokens(words)
+            _, count, units, own = table.look_up(hashes, shared_units)
+            two, one = histories(units, first)
+            history = two * UNITS + one
+            two, one = histories(numbers_of(units, own), first)
+            for side, before in enumerate((one, two)):
+                sums.add(before, (gains[k][units] - expected[k][history] for k in range(SIZE)), side * SIZE)
+            rarity = 1 - np.log(count + 1.0) / log_n
+            sums.add(one, (_signs(hashes, k) * rarity for k in range(SIZE)), 2 * SIZE)
+        yield from sums.rows()
+
+    return run
+
+
+@dataclass
+class Vectors:
+    """Vectors by history number: what a word adds to the hidden vector as the first and as
+    the second word before, and what follows it."""
+
+    two: np.ndarray
+    one: np.ndarray
+    after: np.ndarray
+    q: np.ndarray  # of the units
+    bias: np.ndarray
+    usual: np.ndarray  # size of each feature
+
+    def features(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Bounded, since a target's vector comes from their mean and spread."""
+        f = np.concatenate([self.two[two] + self.one[one], self.after[one]], axis=1)
+        f /= self.usual
+        return np.tanh(f, out=f)
+
+
+def unit_gradients(p: dict[str, np.ndarray], scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of a hidden vector: what the unit that comes adds, and what is expected after
+    a history.  By component."""
+    return p["q"].T.astype(np.float32), (np.exp(scores) @ p["q"]).T.astype(np.float32)
+
+
+def _steps(q: np.ndarray, chance: np.ndarray, gradient: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What to add to the hidden vector of each row: the maximum of the likelihood of ``n``
+    tokens whose gradient at 0 is known, where units have ``chance``, by Newton steps."""
+    at = np.zeros_like(gradient)
+    mean = chance @ q
+    target = gradient / n[:, None]
+    products = (q[:, :, None] * q[:, None]).reshape(len(q), -1)
+    outer = lambda x: x[:, :, None] * x[:, None]
+    spread_of = lambda p, mean: (p @ products).reshape(-1, SIZE, SIZE) - outer(mean)
+    prior = spread_of(chance, mean) * (HISTORY_PRIOR / n)[:, None, None] + np.eye(SIZE) * 1e-6
+    tilt = lambda x: chance * np.exp(np.minimum(x @ q.T - (x * mean).sum(axis=1)[:, None], 50))
+    pull = lambda x: (prior @ x[:, :, None])[:, :, 0]
+
+    def gain(x):
+        return (x * target).sum(axis=1) - np.log(tilt(x).sum(axis=1)) - (x * pull(x)).sum(axis=1) / 2
+
+    best = gain(at)
+    for _ in range(NEWTON_STEPS):
+        p = tilt(at)
+        p /= p.sum(axis=1, keepdims=True)
+        expected = p @ q
+        spread = spread_of(p, expected)
+        slope = target - (expected - mean) - pull(at)
+        step = np.linalg.solve(spread + prior, slope[:, :, None])[:, :, 0]
+        for _ in range(12):  # a step that loses is halved
+            new = gain(at + step)
+            worse = new < best
+            if not worse.any():
+                break
+            step[worse] /= 2
+        step[worse] = 0
+        at, best = at + step, np.where(worse, best, new)
+    return at
+
+
+def history_vectors(p: dict[str, np.ndarray], scores: np.ndarray, seen: np.ndarray, table: Lexicon, sums: np.ndarray) -> Vectors:
+    """Vectors of each word, fitted from its unit's; ``seen`` counts each history."""
+    vocabulary = table.vocabulary
+    unit = table.unit[vocabulary].astype(np.int64)
+    n = np.concatenate([seen.reshape(UNITS, UNITS).sum(axis=0), table.count[vocabulary]]).astype(np.float64)
+    sides = []
+    for axis, start, columns in ((1, p["r"] @ p["a"], slice(SIZE, 2 * SIZE)), (0, p["r"] @ p["b"], slice(SIZE))):
+        joint = np.exp(scores).reshape(UNITS, UNITS, UNITS) * (seen.reshape(UNITS, UNITS, 1) + 1e-3)
+        chance = joint.sum(axis=axis)
+        chance /= chance.sum(axis=1, keepdims=True)
+        whole = np.concatenate([start, start[unit]])
+        for i in range(0, len(unit), 4096):
+            part = slice(UNITS + i, UNITS + i + 4096)
+            whole[part] += DAMPING * _steps(p["q"], chance[unit[i : i + 4096]], sums[part, columns], n[part])
+        sides.append(whole)
+    after = sums[:, 2 * SIZE :] - n[:, None] * sums[:, 2 * SIZE :].sum(axis=0) / max(1.0, n.sum())
+    after /= n[:, None] + HISTORY_PRIOR
+    share = n / max(1.0, n.sum())
+    size = lambda x: share @ (x - share @ x) ** 2
+    usual = FEATURE_SIZE * np.sqrt(np.concatenate([size(sides[0]) + size(sides[1]), size(after)]) + 1e-12)
+    return Vectors(*(x.astype(np.float32) for x in (*sides, after, p["q"], p["bias"], usual)))
+
+
+def _target_sums(shared, vectors):
+    """Per word of its own, then per shared unit for its other words: the sum of features.
+    After them the products of the features with each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: Lexicon = shared.value
+        v: Vectors = vectors.value
+        n_own = len(table.vocabulary)
+        n_items = n_own + SHARED_UNITS
+        sums = Sums(n_items + 2 * SIZE, 2 * SIZE)
+        for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
+            hashes, shared_units, first = tokens(words)
+            _, _, units, own = table.look_up(hashes, shared_units)
+            two, one = histories(numbers_of(units, own), first)
+            tail = np.flatnonzero(units >= OWN_UNITS)
+            item = np.where(own[tail] >= 0, own[tail], n_own + units[tail] - OWN_UNITS)
+            f = v.features(two[tail], one[tail])
+            sums.add(item, f.T)
+            sums.total[n_items:] += f.T @ f
+            sums.seen[n_items:] = True
+        yield from sums.rows()
+
+    return run
+
+
+@dataclass
+class Classes:
+    """Classes inside the shared units: words of the vocabulary in class order, with a vector
+    and a log-weight each; then the same of classes in unit order, the last class of a unit
+    being its words without vectors."""
+
+    class_of: np.ndarray  # by word number
+    rank: np.ndarray  # by word number: its place in the class order
+    words: np.ndarray  # vectors in class order
+    word_bias: np.ndarray
+    word_first: np.ndarray  # first place of each class
+    classes: np.ndarray
+    class_bias: np.ndarray
+    class_first: np.ndarray  # first class of each shared unit
+
+
+def target_classes(table: Lexicon, sums: np.ndarray) -> Classes:
+    """Discriminants (one Newton step from the parent's) on the whitened mean features."""
+    vocabulary = table.vocabulary
+    n_own = len(vocabulary)
+    unit = np.concatenate([table.unit[vocabulary].astype(np.int64) - OWN_UNITS, np.arange(SHARED_UNITS)])
+    weight = np.append(table.count[vocabulary] + 1.0, table.unit_total[OWN_UNITS:])
+    np.subtract.at(weight[n_own:], unit[:n_own], weight[:n_own])  # what the other words have
+    f = sums[: n_own + SHARED_UNITS]
+    n = weight.sum()
+    mean = f.sum(axis=0) / n
+    spread = sums[n_own + SHARED_UNITS :] / n - np.outer(mean, mean)
+    value, direction = np.linalg.eigh((spread + spread.T) / 2)
+    kept = value > max(1e-9, 1e-5 * value[-1])
+    white = np.where(kept, direction / np.sqrt(np.where(kept, value, 1.0)), 0.0)
+    z = (f - weight[:, None] * mean) @ white  # sums
+
+    def moved(total, weights, parent):
+        """Mean of each, drawn towards its parent's."""
+        return parent + (total - weights[:, None] * parent) / (weights[:, None] + TARGET_PRIOR)
+
+    group = lambda x, by, size: np.stack([np.bincount(by, c, size) for c in x.T], axis=1)
+    unit_weight = np.bincount(unit, weight, SHARED_UNITS)
+    unit_mean = group(z, unit, SHARED_UNITS) / unit_weight[:, None]
+    # Neighbours in the direction that spreads most share a class.
+    along = z[:n_own, -1] / weight[:n_own]
+    order = np.lexsort((along, unit[:n_own]))
+    in_unit = np.bincount(unit[:n_own], minlength=SHARED_UNITS)
+    n_classes = np.ceil(np.sqrt(in_unit)).astype(np.int64)
+    class_first = np.append(0, np.cumsum(n_classes + 1))
+    place = np.arange(n_own) - np.append(0, np.cumsum(in_unit))[unit[order]]
+    class_of = np.zeros(n_own + SHARED_UNITS, np.int64)
+    class_of[order] = class_first[unit[order]] + place * n_classes[unit[order]] // np.maximum(1, in_unit[unit[order]])
+    class_of[n_own:] = class_first[1:] - 1
+    size = class_first[-1]
+    class_weight, class_unit = np.bincount(class_of, weight, size), np.repeat(np.arange(SHARED_UNITS), n_classes + 1)
+    class_mean = moved(group(z, class_of, size), class_weight, unit_mean[class_unit])
+    word_mean = moved(z[:n_own], weight[:n_own], class_mean[class_of[:n_own]])
+
+    def discriminant(own, parent, weights):
+        q = (own - parent) @ white.T
+        bias = np.log(weights) - ((own**2).sum(axis=1) - (parent**2).sum(axis=1)) / 2 - q @ mean
+        return q.astype(np.float32), bias.astype(np.float32)
+
+    words, word_bias = discriminant(word_mean, class_mean[class_of[:n_own]], weight[:n_own])
+    classes, class_bias = discriminant(class_mean, unit_mean[class_unit], class_weight)
+    rank = np.zeros(n_own, np.int64)
+    rank[order] = np.arange(n_own)
+    word_first = np.append(0, np.cumsum(np.bincount(class_of[:n_own], minlength=size)))
+    return Classes(class_of, rank, words[order], word_bias[order], word_first, classes, class_bias, class_first)
+
+
+def _log_choice(f: np.ndarray, q: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of the chosen row of q in each row of f."""
+    out = np.zeros(len(f), np.float32)
+    step = max(1, BLOCK * UNITS // max(1, len(q)))
+    for i in range(0, len(f), step):
+        scores = f[i : i + step] @ q.T
+        scores += bias
+        scores -= scores.max(axis=1, keepdims=True)
+        picked = scores[np.arange(len(scores)), chosen[i : i + step]]
+        out[i : i + step] = picked - np.log(np.exp(scores, out=scores).sum(axis=1))
+    return out
+
+
+def _by_group(group: np.ndarray, f: np.ndarray, chosen: np.ndarray, first: np.ndarray, q: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """``_log_choice`` among the rows of q from ``first`` of the token's group to the next."""
+    out = np.zeros(len(group), np.float32)
+    order = np.argsort(group, kind="stable")
+    found, begin = np.unique(group[order], return_index=True)
+    for g, here in zip(found, np.split(order, begin[1:])):
+        rows = slice(first[g], first[g + 1])
+        if first[g + 1] - first[g] > 1:
+            out[here] = _log_choice(f[here], q[rows], bias[rows], chosen[here] - first[g])
+    return out
+
+
+def log_probabilities(v: Vectors, c: Classes, table: Lexicon, log_p: np.ndarray, units, own, first) -> np.ndarray:
+    """log10 probability of each token; of a word without vectors: that of its class, in
+    which it has its count plus one of ``other_places``."""
+    two, one = histories(units, first)
+    score = log_p[(two * UNITS + one) * UNITS + units].astype(np.float64)
+    two, one = histories(numbers_of(units, own), first)
+    at = np.flatnonzero((two >= UNITS) | (one >= UNITS))
+    score[at] = _log_choice(v.two[two[at]] + v.one[one[at]], v.q, v.bias, units[at]) / np.log(10)
+    tail = np.flatnonzero(units >= OWN_UNITS)
+    f = v.features(two[tail], one[tail])
+    unit, own = units[tail] - OWN_UNITS, own[tail]
+    modelled = own >= 0
+    chosen = np.where(modelled, c.class_of[own], c.class_first[unit + 1] - 1)
+    log_p_tail = _by_group(unit, f, chosen, c.class_first, c.classes, c.class_bias)
+    own, f = own[modelled], f[modelled]
+    log_p_tail[modelled] += _by_group(chosen[modelled], f, c.rank[own], c.word_first, c.words, c.word_bias)
+    score[tail] += log_p_tail / np.log(10)
+    return score
+
+
+def other_places(table: Lexicon) -> np.ndarray:
+    """Per unit: tokens + words + 1 of its words without vectors."""
+    vocabulary = table.vocabulary
+    return table.unit_total - np.bincount(table.unit[vocabulary], table.count[vocabulary] + 1.0, UNITS)
+
+
+def _score(shared, model, vectors, inner):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Lexicon = shared.value
         log_p: np.ndarray = model.value
         places = np.log10(table.n_tokens + table.n_words + 1)
-        unit_places = np.log10(table.unit_total)
+        other = np.log10(other_places(table))
         for batch, words in chunks(batches):
             hashes, own, first = tokens(words)
-            found, count, units = table.look_up(hashes, own)
-            units = units.astype(np.int64)
-            two, one = histories(units, first)
+            found, count, units, number = table.look_up(hashes, own)
             log_count = np.where(found, np.log10(count + 1.0), 0.0)
             base = log_count - places
-            alone = found & (units < OWN_UNITS)
-            score = log_p[(two * UNITS + one) * UNITS + units] + np.where(alone, 0.0, log_count - unit_places[units])
+            score = log_probabilities(vectors.value, inner.value, table, log_p, units, number, first)
+            score += np.where((units < OWN_UNITS) | (number >= 0), 0.0, log_count - other[units])
             sums = lambda x: pa.array(np.add.reduceat(x, first[:-1]))  # noqa: E731  each text has its end
             n = np.diff(first)
             # Tokens outside the table, by text and word.
@@ -293,8 +684,18 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_out_fold: int = 2) -> DataFr
         triples = triples.groupBy("triple").agg(F.sum("n").alias("n")).toArrow()  # at most UNITS**3 rows
         dense = np.zeros(UNITS**3, np.int64)
         dense[triples.column("triple").to_numpy()] = triples.column("n").to_numpy()
-        model = spark.sparkContext.broadcast(train(dense))
-        scored = scratch.keep(docs.mapInArrow(_score(shared, model), SCORED))
+        p = fit(dense)
+        scores = unit_scores(p)
+        model = spark.sparkContext.broadcast((scores / np.log(10)).astype(np.float32).ravel())
+        gradients = spark.sparkContext.broadcast(unit_gradients(p, scores))
+        n_own = len(table.vocabulary)
+        sums = added_up(training.mapInArrow(_history_sums(shared, gradients), NUMBERED), UNITS + n_own, 3 * SIZE)
+        seen = dense.reshape(UNITS * UNITS, UNITS).sum(axis=1)
+        vectors = spark.sparkContext.broadcast(history_vectors(p, scores, seen, table, sums))
+        rows = training.mapInArrow(_target_sums(shared, vectors), NUMBERED)
+        sums = added_up(rows, n_own + SHARED_UNITS + 2 * SIZE, 2 * SIZE)
+        inner = spark.sparkContext.broadcast(target_classes(table, sums))
+        scored = scratch.keep(docs.mapInArrow(_score(shared, model, vectors, inner), SCORED))
         rest = (
             scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
             .select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))

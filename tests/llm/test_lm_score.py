@@ -58,3 +58,45 @@ def test_probabilities_are_normalised_and_learned():
     p = 10.0 ** train(counts.ravel()).reshape(UNITS, UNITS, UNITS).astype(np.float64)
     assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
     assert all(p[3, a].argmax() == (a + 1) % 6 and p[3, a].max() > 0.5 for a in range(6))
+
+
+def test_rare_words_tell_rare_words(spark):
+    """Words outside the frequent ones, all in one unit, follow words of their own language."""
+    rng = random.Random(5)
+    languages = [[f"{side}{i}xx" for i in range(300)] for side in "pq"]
+    rows = [(i, " ".join(rng.choices(languages[i % 2], k=100))) for i in range(600)]
+    got = lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.15 * sum(r.n_tokens for r in held)
+
+
+def test_all_levels_are_normalised():
+    rng = np.random.default_rng(1)
+    n_own, n_other = 400, 50
+    word, count = rng.integers(1, 1 << 62, n_own + n_other), rng.integers(40, 90, n_own + n_other)
+    unit = rng.integers(lm_score.OWN_UNITS, UNITS, n_own + n_other).astype(np.int16)
+    count[n_own:] = 3
+    own = np.where(np.arange(n_own + n_other) < n_own, np.arange(n_own + n_other), -1).astype(np.int32)
+    total = np.bincount(unit, count + 1, UNITS) + 1
+    last = lambda x, value: np.append(x, np.array([value], x.dtype))
+    table = lm_score.Lexicon(
+        last(word, 0), last(count, 0), last(unit, 0), last(own, -1), lm_score.places(word), int(count.sum()), len(word), total
+    )
+    found, n, units, numbers = table.look_up(np.append(word, 12345), np.full(len(word) + 1, 3))
+    assert found.tolist() == [True] * len(word) + [False] and n[:-1].tolist() == count.tolist() and units[-1] == lm_score.OWN_UNITS + 3
+    width = 2 * lm_score.SIZE
+    sums = rng.normal(0, 20, (n_own + lm_score.SHARED_UNITS + width, width))
+    sums[-width:] = np.eye(width) * total.sum() * 2
+    inner = lm_score.target_classes(table, sums)
+    f = lambda *shape: rng.normal(0, 1, shape).astype(np.float32)
+    size = UNITS + n_own
+    vectors = lm_score.Vectors(f(size, lm_score.SIZE), f(size, lm_score.SIZE), f(size, lm_score.SIZE), f(UNITS, lm_score.SIZE), f(UNITS), abs(f(width)) + 1)
+    # Two words before, then each unit with a word of its own, each word, and each unit's other words.
+    ends = [(u, -1) for u in range(UNITS)] + [(int(unit[i]), i) for i in range(n_own)]
+    units = np.array([x for u, _ in ends for x in (int(unit[5]), int(unit[9]), u)])
+    numbers = np.array([x for _, w in ends for x in (5, 9, w)])
+    first = np.arange(0, len(units) + 1, 3)
+    log_p = np.zeros(UNITS**3, np.float32)
+    score = lm_score.log_probabilities(vectors, inner, table, log_p, units, numbers, first)
+    assert (10.0 ** score[2::3]).sum() == pytest.approx(1, abs=1e-4)
+    assert (lm_score.other_places(table) >= 1).all()
