@@ -9,9 +9,9 @@ URLs sets the score from which URLs are allowed.
 
 The log-ratio of a position is a sum over context lengths: what a stored n-gram adds to the
 shorter one, or, where the n-gram was never seen, what its context gives away to the shorter
-one.  So a lookup table of n-grams and contexts is all that scoring needs.  The table has
-at most 2**SLOT_BITS rows: n-grams are dealt to that many slots by hash and the most
-frequent one of a slot stays.  Only DataFrame functions are used.
+one.  So a lookup table of n-grams and contexts is all that scoring needs.  It is whole at
+every size; up to 2**SLOT_BITS rows are broadcast, a larger table is joined by shuffle.
+Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -120,29 +120,24 @@ def train(scratch: Scratch, labelled: DataFrame) -> DataFrame:
             level.select(
                 key_of("gram", F.col("order"), F.col("gram")).alias("key"),
                 (F.col("ratio") - F.col("ratio_q")).alias("value"),
-                (F.col("allow") + F.col("block")).alias("seen"),
             )
         )
         levels.append(
             level.groupBy("order", "context")
-            .agg(
-                F.first(given_away("allow") - given_away("block")).alias("value"),
-                F.sum(F.col("allow") + F.col("block")).alias("seen"),
-            )
-            .select(key_of("context", F.col("order"), F.col("context")).alias("key"), "value", "seen")
+            .agg(F.first(given_away("allow") - given_away("block")).alias("value"))
+            .select(key_of("context", F.col("order"), F.col("context")).alias("key"), "value")
         )
     table = levels[0]
     for other in levels[1:]:
         table = table.unionByName(other)
-    slot = F.pmod(F.col("key"), F.lit(1 << SLOT_BITS))
-    best = F.max(F.struct("seen", "key", "value"))
-    return scratch.keep(table.groupBy(slot.alias("slot")).agg(best.alias("x")).select("x.key", "x.value"))
+    return scratch.keep(table)
 
 
 def scored(rows: DataFrame, model: DataFrame) -> DataFrame:
     """``rows`` (subject and other columns) with ``score``, the log-ratio per character."""
     columns = rows.columns
-    known = F.broadcast(model)  # at most 2**SLOT_BITS rows of two numbers
+    small = model.count() <= 1 << SLOT_BITS  # rows of two numbers
+    known = F.broadcast(model) if small else model.hint("merge")
     grams = with_ngrams(rows.withColumn("row", F.monotonically_increasing_id())).select(
         "row",
         *columns,

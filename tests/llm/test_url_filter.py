@@ -79,3 +79,15 @@ def test_scores(spark):
         got = {r.subject: r.score for r in url_filter.scored(rows, model).collect()}
     for s in subjects:
         assert got[s] == pytest.approx(by_dictionary(labelled, s), abs=1e-9), s
+
+
+def test_no_entry_is_lost_in_a_small_table(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "SLOT_BITS", 3)
+    labelled = [("news.org/en/1", "allow", 3), ("casino.net/win", "block", 2)]
+    subjects = ["news.org/en/77", "bigcasino.net/", ""]
+    with Scratch(spark) as scratch:
+        model = url_filter.train(scratch, spark.createDataFrame(labelled, "subject string, verdict string, n long"))
+        rows = spark.createDataFrame([(s,) for s in subjects], "subject string")
+        got = {r.subject: r.score for r in url_filter.scored(rows, model).collect()}
+    for s in subjects:
+        assert got[s] == pytest.approx(by_dictionary(labelled, s), abs=1e-9), s
