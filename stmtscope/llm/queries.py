@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stmtscope.llm import pieces
+from stmtscope.llm import periodic_runs, pieces, prefix_trie, token_counts
 from stmtscope.llm.html_text import main_texts
 from stmtscope.llm.lm_score import lm_scores
 from stmtscope.llm.mixing import mix
@@ -80,6 +80,68 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the counts, how much of each text fits the limit."""
+    limit = 4096
+    counted = token_counts.token_counts(table(spark, sf_dir, "documents"), limit)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fitting_chars")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation opens with the first 0 to 3 turns of the first one of its twenty."""
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    own = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(spark, prefix_trie.with_shared_openings(own, 20, shared))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` where one text in ten, by a hash of doc_id, becomes periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # As columns of one generated row, which is not merged into the expressions above it.
+    row = F.when(h % 10 == 0, F.struct(words.alias("words"), F.floor(h / 10).alias("g")))
+    marked = docs.select("doc_id", "text", F.explode(F.array(row)).alias("r"))
+    n, g = F.size("r.words"), F.col("r.g")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    body = F.slice("r.words", a + 1, p)
+    times = F.ceil((n - a) / p).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(body, times)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice("r.words", F.lit(1), a), repeated), " ")
+    return marked.select("doc_id", F.when(F.col("r").isNotNull() & (n > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of most periods, and digests of all runs and of the text without repeats."""
+    found = periodic_runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # More periods first.  Quotients of equal value are equal doubles, and others differ by more
+    # than rounding in texts of up to 2^26 words.
+    order = F.transform(
+        "runs", lambda r: F.struct((-(r["length"] / r["period"])).alias("less"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length"))
+    )
+    best = F.array_min(order)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+
+    def sha256(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        sha256(lines).alias("runs_sha256"),
+        sha256(F.col("collapsed")).alias("collapsed_sha256"),
+        "n_words",
+    ).select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256", "n_words",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -92,6 +154,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_scores": op8_quality_scores,
         "op9_main_texts": op9_main_texts,
         "op10_personal_data": op10_personal_data,
+        "op11_token_counts": op11_token_counts,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -172,5 +237,42 @@ WHERE epoch < epochs OR (rest > 0 AND until <= rest)
    OR (until > rest AND until - tokens < rest AND (source, doc_id) IN (SELECT source, doc_id FROM fits))"""
 
 
+# Prefixes of every rebuilt conversation as lists of turn numbers; the checksum from its table.
+OP12_SQL = f"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+turns AS (
+  SELECT conv_id, turn, dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS id,
+         CAST(len({WORD_LIST.format(text="coalesce(text, '')")}) AS BIGINT) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(words ORDER BY turn NULLS FIRST, id) AS words,
+  FROM turns GROUP BY 1),
+shared AS (
+  SELECT own.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: ascii(s))),
+                    lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295) % 4 AS h
+  FROM own, crc),
+convs AS (
+  SELECT s.conv_id, list_concat(coalesce(b.ids[1:h], []), s.ids[h + 1:]) AS ids,
+         list_concat(coalesce(b.words[1:h], []), s.words[h + 1:]) AS words
+  FROM shared s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, CAST(d AS BIGINT) AS depth, ids[1:d] AS p, len(ids) = d AS ending, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM convs)),
+nodes AS (
+  SELECT depth, p, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ending), '')) AS ends_sha256
+  FROM prefixes GROUP BY 1, 2),
+children AS (SELECT depth - 1 AS depth, p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, p)),
+above AS (
+  SELECT CAST(d AS BIGINT) AS depth, p[1:d] AS p, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM whole) GROUP BY 1, 2)
+SELECT w.conv_id, w.depth, q.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM whole w JOIN above a ON a.depth = w.depth AND a.p = w.p
+LEFT JOIN nodes q ON q.depth = w.depth - 1 AND q.p = w.p[1:w.depth - 1] AND w.depth > 0"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL, "op3_top_k": OP3_SQL, "op4_mixing": OP4_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op3_top_k": OP3_SQL, "op4_mixing": OP4_SQL, "op12_prefix_trie": OP12_SQL}
