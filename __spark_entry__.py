@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from contextlib import contextmanager
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -23,7 +24,7 @@ from stmtscope.functions import (  # noqa: E402
     qualified_name,
     text_id,
 )
-from stmtscope.operators.staging import checkpointed, new_folder  # noqa: E402
+from stmtscope.operators.staging import checkpointed, delete_folder, move_file, new_folder  # noqa: E402
 from stmtscope.plans import LoadOptions, load, metric_report, minute_report, minute_series, summarize  # noqa: E402
 from stmtscope.schema import BATCHES, METRICS  # noqa: E402
 from stmtscope.sources import (  # noqa: E402
@@ -31,11 +32,15 @@ from stmtscope.sources import (  # noqa: E402
     DuplicateKeyError,
     append_batches,
     create_tables,
+    fact_loads,
     load_stats,
+    loaded_files,
+    new_load,
     read_events,
     table_name,
     write_tables,
 )
+from stmtscope.sources import clashing_keys as find_clashes  # noqa: E402
 from workload import derive, oracle  # noqa: E402
 
 try:
@@ -210,61 +215,192 @@ def _damaged_lines(spark, sf_dir):
 
 
 def rejected_lines(spark, sf_dir):
-    _, rejects = ops.to_batches(read_events(spark, _damaged_lines(spark, sf_dir), "part-*"))
-    return rejects.select("event_sequence", "raw_line", "reject_reason")
+    folder = _damaged_lines(spark, sf_dir)
+    try:
+        _, rejects = ops.to_batches(read_events(spark, folder, "part-*"))
+        return checkpointed(rejects.select("event_sequence", "raw_line", "reject_reason"))
+    finally:
+        delete_folder(spark, folder)
 
 
 def load_balance(spark, sf_dir):
     """Every line read is kept, rejected or filtered."""
-    rows = ops.flatten_all(read_events(spark, _damaged_lines(spark, sf_dir), "part-*"), filter_connection_resets=True)
-    stats = load_stats(rows)
-    return stats.agg(*[F.sum(c).alias(c) for c in stats.columns if c != "file_name"])
+    folder = _damaged_lines(spark, sf_dir)
+    try:
+        rows = ops.flatten_all(read_events(spark, folder, "part-*"), filter_connection_resets=True)
+        stats = load_stats(rows)
+        return checkpointed(stats.agg(*[F.sum(c).alias(c) for c in stats.columns if c != "file_name"]))
+    finally:
+        delete_folder(spark, folder)
 
 
-def load_job(spark, sf_dir):
-    """The whole load: facts read back from the table; a second load is refused."""
-    options = _job_options(spark, sf_dir)
-    load(spark, options)
+@contextmanager
+def _database(spark):
+    """A database in a folder of its own, both deleted at the end."""
+    location = new_folder(spark)
+    name = Path(location).name.replace("-", "_")
     try:
-        load(spark, options)
-    except DuplicateKeyError:
-        return _plain_times(spark.table(table_name(options.database, "batches", options.suffix)))
-    raise AssertionError("the second load was not refused")
+        yield name, location
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        delete_folder(spark, location)
 
 
-def _job_options(spark, sf_dir):
-    location = new_folder(spark)
+def _job_options(spark, sf_dir, database, location, **options):
     return LoadOptions(
-        path=derive.trace_folder(spark, sf_dir),
-        pattern="*.parquet",
-        fmt="parquet",
-        database=Path(location).name.replace("-", "_"),
-        location=location,
-        suffix="_job",
-        filter_connection_resets=True,
+        **{
+            "path": derive.trace_folder(spark, sf_dir),
+            "pattern": "*.parquet",
+            "fmt": "parquet",
+            "database": database,
+            "location": location,
+            "suffix": "_job",
+            "filter_connection_resets": True,
+        }
+        | options
     )
 
 
-def summarize_job(spark, sf_dir):
-    """Load and summary jobs; one row per fingerprint from all derived tables read back."""
-    options = _job_options(spark, sf_dir)
-    load(spark, options)
-    summarize(spark, options)
+def load_job(spark, sf_dir):
+    """The whole load: facts read back from the table; a second load is refused."""
+    with _database(spark) as (database, location):
+        options = _job_options(spark, sf_dir, database, location)
+        load(spark, options)
+        try:
+            load(spark, options)
+        except DuplicateKeyError:
+            return checkpointed(_plain_times(spark.table(table_name(database, "batches", "_job"))))
+        raise AssertionError("the second load was not refused")
+
+
+def load_job_hashed_keys(spark, sf_dir):
+    """Keys that are hashes: two of three loads are added; the one between them holds some keys
+    of the first and is refused."""
+    facts = derive.fact_table(spark, sf_dir, "lineitem")
+    old, clash = F.col("event_sequence") % 3 != 0, F.col("event_sequence") % 1000 == 1
+    with _database(spark) as (database, location):
+        create_tables(spark, database, location=location)
+        append_batches(facts.where(old), database)
+        try:
+            append_batches(facts.where(~old | clash), database)
+            raise AssertionError("keys of the first load were taken again")
+        except DuplicateKeyError:
+            append_batches(facts.where(~old), database)
+        stored = spark.table(table_name(database, "batches"))
+        return checkpointed(stored.select("event_sequence", "norm_id", "text_data", *METRICS))
+
+
+def clashing_keys(spark, sf_dir):
+    """Keys of a new load that two published ones hold, and which of them."""
+    facts = derive.fact_table(spark, sf_dir, "lineitem")
+    third = F.col("event_sequence") % 3
+    with _database(spark) as (database, location):
+        create_tables(spark, database, location=location)
+        append_batches(facts.where(third == 1), database)
+        append_batches(facts.where(third == 2), database)
+        new = new_load(spark, database)
+        new.write_facts(facts.where((third == 0) | (F.col("event_sequence") % 1000 == 1)))
+        loads = F.array(*[F.lit(i) for i in fact_loads(spark, database)])
+        found = find_clashes(new)
+        return checkpointed(found.select("event_sequence", F.array_position(loads, F.col("load_id")).alias("load_no")))
+
+
+def _summaries(spark, options):
+    """One row per fingerprint from all derived tables."""
     stored = {base: spark.table(table_name(options.database, base, options.suffix)) for base in TABLES}
     minutes = stored["minute_report"].groupBy("norm_id").agg(F.count("*").alias("minutes"), F.sum("duration_us").alias("duration_us"))
     joined = stored["unique_batches"].join(stored["batch_summary"], "norm_id").join(minutes, "norm_id")
     for metric in METRICS:
         joined = joined.join(stored[f"{metric}_summary"], "norm_id")
-    return joined
+    return checkpointed(joined)
+
+
+def summarize_job(spark, sf_dir):
+    """Load and summary jobs; all derived tables read back."""
+    with _database(spark) as (database, location):
+        options = _job_options(spark, sf_dir, database, location)
+        load(spark, options)
+        summarize(spark, options)
+        return _summaries(spark, options)
+
+
+def summarize_incremental(spark, sf_dir):
+    """Two loads, each followed by a summary; the second reads the new facts only."""
+    facts = derive.fact_table(spark, sf_dir)
+    first = F.col("event_sequence") % 3 == 0
+    with _database(spark) as (database, location):
+        options = _job_options(spark, sf_dir, database, location)
+        create_tables(spark, database, options.suffix, location)
+        for part in (first, ~first):
+            append_batches(facts.where(part), database, options.suffix)
+            summarize(spark, options)
+        return _summaries(spark, options)
+
+
+def summarize_incremental_large(spark, sf_dir):
+    """The same over a larger table, by the plans of fingerprints too large or too many."""
+    facts = derive.fact_table(spark, sf_dir, "lineitem")
+    first = F.col("event_sequence") % 3 == 0
+    limits = ops.PlanLimits(group_rows=1000, broadcast_fingerprints=500, window_fingerprints=0, filter_log_words=8)
+    with _database(spark) as (database, location):
+        options = _job_options(spark, sf_dir, database, location)
+        create_tables(spark, database, options.suffix, location)
+        for part in (first, ~first):
+            append_batches(facts.where(part), database, options.suffix)
+            summarize(spark, options, limits)
+        return _summaries(spark, options)
+
+
+FILES = 8
+
+
+def load_stats_per_file(spark, sf_dir):
+    """Counts of a load, by file."""
+    with _database(spark) as (database, location):
+        folder = f"{location}/traces"
+        derive.named_files(spark, derive.flat_events(spark, sf_dir), F.col("event_sequence") % FILES, folder)
+        stats, _ = load(spark, _job_options(spark, sf_dir, database, location, path=folder, pattern="*.json", fmt="json"))
+        return checkpointed(stats)
+
+
+def scan_new_files(spark, sf_dir):
+    """A folder that grows, loaded three times: each file comes with the first load that sees it."""
+    flat, part = derive.flat_events(spark, sf_dir), F.col("event_sequence") % FILES
+    with _database(spark) as (database, location):
+        folder = f"{location}/traces"
+        options = _job_options(spark, sf_dir, database, location, path=folder, pattern="*.json", fmt="json", only_new_files=True)
+        for wave in (part < 5, part >= 5):
+            derive.named_files(spark, flat.where(wave), part, folder)
+            load(spark, options)
+        load(spark, options)
+        loads = F.array(*[F.lit(i) for i in fact_loads(spark, database, options.suffix)])
+        known = loaded_files(new_load(spark, database, options.suffix))
+        counts = [c for c in known.columns if c.startswith("events_")]
+        return checkpointed(known.select("file_name", F.array_position(loads, F.col("load_id")).alias("load_no"), *counts))
+
+
+def rejected_files(spark, sf_dir):
+    """Files that no reader can read are set aside with a reason; the others are loaded."""
+    with _database(spark) as (database, location):
+        folder = f"{location}/traces"
+        derive.named_files(spark, derive.flat_events(spark, sf_dir), F.col("event_sequence") % FILES, folder)
+        for damaged in (3, 6):  # text that calls itself compressed
+            move_file(spark, f"{folder}/trace_{damaged}.json", f"{folder}/trace_{damaged}.json.gz")
+        options = _job_options(spark, sf_dir, database, location, path=folder, pattern="*.json*", fmt="json", skip_damaged_files=True)
+        stats, rejects = load(spark, options)
+        return checkpointed(stats.join(rejects.select("file_name", "reject_reason"), "file_name", "left"))
 
 
 def scan_event_folder(spark, sf_dir):
     folder = new_folder(spark)
-    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    events = derive.as_trace_events(derive.flat_events(spark, sf_dir))
-    events.write.option("timestampFormat", stamp).json(folder)
-    good, _ = ops.to_batches(read_events(spark, folder, "part-*.json", file_name=False), filter_connection_resets=True)
-    return _plain_times(good)
+    try:
+        stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+        events = derive.as_trace_events(derive.flat_events(spark, sf_dir))
+        events.write.option("timestampFormat", stamp).json(folder)
+        good, _ = ops.to_batches(read_events(spark, folder, "part-*.json", file_name=False), filter_connection_resets=True)
+        return checkpointed(_plain_times(good))
+    finally:
+        delete_folder(spark, folder)
 
 
 def duplicate_keys(spark, sf_dir):
@@ -274,13 +410,12 @@ def duplicate_keys(spark, sf_dir):
 
 
 def write_and_read_back(spark, sf_dir):
-    database = Path(new_folder(spark)).name.replace("-", "_")
-    folder = new_folder(spark)
-    create_tables(spark, database, "_check", folder)
-    append_batches(derive.fact_table(spark, sf_dir), database, "_check")
-    stored = spark.table(table_name(database, "batches", "_check"))
-    write_tables({"batch_summary": ops.batch_summary(stored)}, database, "_check", buckets=4)
-    return spark.table(table_name(database, "batch_summary", "_check"))
+    with _database(spark) as (database, location):
+        create_tables(spark, database, "_check", location)
+        append_batches(derive.fact_table(spark, sf_dir), database, "_check")
+        stored = spark.table(table_name(database, "batches", "_check"))
+        write_tables({"batch_summary": ops.batch_summary(stored)}, database, "_check", buckets=4)
+        return checkpointed(spark.table(table_name(database, "batch_summary", "_check")))
 
 
 # --- derived tables and reports ---
@@ -432,7 +567,14 @@ def trace_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rejected_lines": rejected_lines,
         "load_balance": load_balance,
         "load_job": load_job,
+        "load_job_hashed_keys": load_job_hashed_keys,
+        "clashing_keys": clashing_keys,
         "summarize_job": summarize_job,
+        "summarize_incremental": summarize_incremental,
+        "summarize_incremental_large": summarize_incremental_large,
+        "load_stats_per_file": load_stats_per_file,
+        "scan_new_files": scan_new_files,
+        "rejected_files": rejected_files,
         "scan_event_folder": scan_event_folder,
         "duplicate_keys": duplicate_keys,
         "write_and_read_back": write_and_read_back,
@@ -488,6 +630,16 @@ def trace_sql() -> dict[str, str]:
         f"FROM ({oracle.MINUTES}) m JOIN ({oracle.UNIQUE}) u ON u.norm_id = m.norm_id"
     )
 
+    per_file = (
+        f"count(*) FILTER (WHERE true) AS events_read, count(*) FILTER (WHERE {chosen}) AS events_kept, "
+        f"0::BIGINT AS events_rejected, count(*) FILTER (WHERE NOT ({chosen})) AS events_filtered"
+    )
+    summaries = (
+        f"SELECT * FROM ({oracle.UNIQUE}) JOIN ({oracle.COUNTS}) USING (norm_id) "
+        f"JOIN (SELECT norm_id, count(*) AS minutes, CAST(sum(duration_us) AS BIGINT) AS duration_us FROM ({oracle.MINUTES}) GROUP BY norm_id) "
+        "USING (norm_id) " + " ".join(f"JOIN ({oracle.wide_summary(m)}) USING (norm_id)" for m in METRICS)
+    )
+
     def numbered(metric):
         return (
             f"SELECT norm_id, event_sequence, {metric}, row_number() OVER (PARTITION BY norm_id ORDER BY {metric} ASC "
@@ -538,9 +690,18 @@ def trace_sql() -> dict[str, str]:
         f"count(*) FILTER (WHERE place <> 3 AND NOT ({chosen})) AS events_filtered "
         f"FROM (SELECT *, event_sequence % 25 AS place FROM ({raw}))",
         "load_job": f"{events} SELECT {every} FROM batches",
-        "summarize_job": f"{events} SELECT * FROM ({oracle.UNIQUE}) JOIN ({oracle.COUNTS}) USING (norm_id) "
-        f"JOIN (SELECT norm_id, count(*) AS minutes, CAST(sum(duration_us) AS BIGINT) AS duration_us FROM ({oracle.MINUTES}) GROUP BY norm_id) "
-        "USING (norm_id) " + " ".join(f"JOIN ({oracle.wide_summary(m)}) USING (norm_id)" for m in METRICS),
+        "load_job_hashed_keys": f"{lines} SELECT event_sequence, norm_id, text_data, {', '.join(METRICS)} FROM batches",
+        "clashing_keys": f"{lines} SELECT event_sequence, event_sequence % 3 AS load_no FROM batches "
+        "WHERE event_sequence % 1000 = 1 AND event_sequence % 3 <> 0",
+        "load_stats_per_file": f"SELECT 'trace_' || event_sequence % {FILES} || '.json' AS file_name, {per_file} FROM ({raw}) GROUP BY 1",
+        "scan_new_files": f"SELECT 'trace_' || event_sequence % {FILES} || '.json' AS file_name, "
+        f"any_value(CASE WHEN event_sequence % {FILES} < 5 THEN 1 ELSE 2 END) AS load_no, {per_file} FROM ({raw}) GROUP BY 1",
+        "rejected_files": f"SELECT 'trace_' || event_sequence % {FILES} || CASE WHEN event_sequence % {FILES} IN (3, 6) THEN '.json.gz' ELSE '.json' END "
+        "AS file_name, " + per_file.replace("(WHERE ", f"(WHERE event_sequence % {FILES} NOT IN (3, 6) AND ")
+        + f", any_value(CASE WHEN event_sequence % {FILES} IN (3, 6) THEN 'unreadable file' END) AS reject_reason FROM ({raw}) GROUP BY 1",
+        "summarize_incremental": f"{events} {summaries}",
+        "summarize_incremental_large": f"{lines} {summaries}",
+        "summarize_job": f"{events} {summaries}",
         "scan_event_folder": f"{events} SELECT {every} FROM batches",
         "duplicate_keys": "SELECT l_orderkey * 10 + l_linenumber AS event_sequence, count(*) AS occurrences "
         "FROM lineitem GROUP BY 1 HAVING count(*) > 1",

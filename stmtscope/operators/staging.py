@@ -26,10 +26,42 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stmtscope-{uuid.uuid4().hex}"
 
 
-def delete_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a folder of ``new_folder`` with all it holds."""
+def _path(spark: SparkSession, folder: str):
+    """The folder's path and file system."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all it holds."""
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Make a folder, if there is none yet."""
+    path, files = _path(spark, folder)
+    files.mkdirs(path)
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder."""
+    path, files = _path(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()] if files.exists(path) else []
+
+
+def file_names(spark: SparkSession, folder: str, ending: str = "") -> list[str]:
+    """Names of the files in a folder."""
+    path, files = _path(spark, folder)
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isFile()]
+    return sorted(n for n in names if n.endswith(ending))
+
+
+def move_file(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file."""
+    path, files = _path(spark, old)
+    if not files.rename(path, _path(spark, new)[0]):
+        raise OSError(f"cannot move {old} to {new}")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stmtscope.operators.keyfilter import MAX_BROADCAST_LOG_WORDS, key_filter, log_words_for, might_be_in
 from stmtscope.operators.ranking import (
     dense_ranks_desc,
     join_null_safe,
@@ -32,6 +33,8 @@ class PlanLimits:
     group_rows: int = 1_000_000
     #: Fingerprint rows (a few numbers each) that are broadcast; more are joined by shuffle.
     broadcast_fingerprints: int = 2_000_000
+    #: Binary logarithm of the words (16 bytes each) of a broadcast membership filter.
+    filter_log_words: int = MAX_BROADCAST_LOG_WORDS
     #: Open percentile ranks (under 100 bytes each) that are broadcast.
     broadcast_ranks: int = 500_000
     #: Fingerprints that one task per metric ranks by total.
@@ -53,16 +56,31 @@ def unique_batches(batches: DataFrame, limits: PlanLimits = DEFAULT_LIMITS) -> D
     type and database.
 
     The first occurrences are found in a scan of three columns and checkpointed, so this
-    function runs a job.  When they are few enough to broadcast, the exemplars come from a
-    semi-join, and no other text is shuffled; otherwise see ``exemplars_by_aggregate``.
+    function runs a job.  The texts are read in a second scan; see ``exemplar_rows``.
     """
-    first = checkpointed(first_occurrences(batches))
-    if first.count() > limits.broadcast_fingerprints:
-        return exemplars_by_aggregate(batches)
-    return exemplars_by_join(batches, F.broadcast(first))
+    rows = exemplar_rows(batches, checkpointed(first_occurrences(batches)), limits)
+    return rows.select(*UNIQUE_BATCHES.fieldNames())
 
 
 EXEMPLAR = ("event_type", "database_name", "orig_text", "norm_text")
+OCCURRENCE = ("norm_id", "event_sequence", "text_id")
+
+
+def exemplar_rows(batches: DataFrame, first: DataFrame, limits: PlanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Exemplars with their event sequence and text id, given the stored first occurrences.
+
+    When these are few enough to broadcast, a semi-join finds the rows in place.  Otherwise a
+    membership filter of them, of bounded size, is broadcast and cuts the rows in place, and
+    only what passes is shuffled to meet the first occurrences.  The key of that join is nearly
+    unique, so it has no hot values; no text is ever sorted or shuffled for rows that are cut.
+    """
+    n = first.count()
+    if n <= limits.broadcast_fingerprints:
+        return _exemplars_among(_exemplar_columns(batches), F.broadcast(first))
+    log_words = min(log_words_for(n), limits.filter_log_words)
+    words = checkpointed(key_filter(first, OCCURRENCE, log_words))
+    passed = might_be_in(_exemplar_columns(batches), OCCURRENCE, F.broadcast(words), log_words)
+    return _exemplars_among(passed, first)
 
 
 def _exemplar_columns(batches: DataFrame) -> DataFrame:
@@ -78,11 +96,15 @@ def _exemplar_columns(batches: DataFrame) -> DataFrame:
 
 
 def exemplars_by_join(batches: DataFrame, first: DataFrame) -> DataFrame:
-    """Exemplars as the fact rows that occur in ``first``; rows that share even the text id
-    are told apart last."""
-    kept = _exemplar_columns(batches).join(first, ["norm_id", "event_sequence", "text_id"], "left_semi")
-    row = F.min(F.struct(*EXEMPLAR)).alias("row")
-    return kept.groupBy("norm_id").agg(row).select(*[c if c == "norm_id" else f"row.{c}" for c in UNIQUE_BATCHES.fieldNames()])
+    """Exemplars as the fact rows that occur in ``first``."""
+    return _exemplars_among(_exemplar_columns(batches), first).select(*UNIQUE_BATCHES.fieldNames())
+
+
+def _exemplars_among(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """The rows that occur in ``first``; those that share even the text id are told apart last."""
+    kept = rows.join(first, list(OCCURRENCE), "left_semi")
+    row = F.min(F.struct("event_sequence", "text_id", *EXEMPLAR)).alias("row")
+    return kept.groupBy("norm_id").agg(row).select("norm_id", "row.*")
 
 
 def exemplars_by_aggregate(batches: DataFrame) -> DataFrame:
@@ -126,12 +148,20 @@ def _min_if_few(p: str, executions: Column, otherwise: Column) -> Column:
 
 
 def small_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Statistics of fingerprints that fit a task, from one scan: equal values of a metric are
-    counted before the shuffle, and running sums of the counts give the value at each rank.
-    The metric travels as its number."""
+    """Statistics of fingerprints that fit a task, from one scan (see ``statistics_of_counts``)."""
+    return statistics_of_counts(count_values(batches, metrics), metrics)
+
+
+def count_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """How often each value of each metric occurs per fingerprint; equal values are counted
+    before the shuffle.  The metric travels as its number."""
     numbered = [part for i, m in enumerate(metrics) for part in (F.lit(i), F.col(m))]
     values = batches.select("norm_id", F.stack(F.lit(len(metrics)), *numbered).alias("metric_no", "value"))
-    counted = values.groupBy("norm_id", "metric_no", "value").agg(F.count("*").alias("cnt"))
+    return values.groupBy("norm_id", "metric_no", "value").agg(F.count("*").alias("cnt"))
+
+
+def statistics_of_counts(counted: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Statistics from counted values: running sums of the counts give the value at each rank."""
     group = W.partitionBy("norm_id", "metric_no")
     before = group.orderBy(F.col("value").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
     ordered = counted.withColumn("before", F.coalesce(F.sum("cnt").over(before), F.lit(0))).withColumn(
@@ -168,11 +198,11 @@ def _per_bucket(values: DataFrame) -> DataFrame:
     happens mostly before the shuffle, and a group has a bounded number of buckets."""
     values = values.withColumn("bucket", order_bucket(F.col("value")))
     folded = values.groupBy("norm_id", "metric", "bucket").agg(
-        F.count("*").alias("size"),
-        F.count("value").alias("filled"),
+        F.sum("cnt").alias("size"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("cnt"))).alias("filled"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        F.sum("value").alias("bucket_total"),
+        F.sum(F.col("value") * F.col("cnt")).alias("bucket_total"),
     )
     group = W.partitionBy("norm_id", "metric")
     upto = group.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(
@@ -236,7 +266,7 @@ def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> Da
     if few_ranks:
         ranks = F.broadcast(ranks)
         values = values.join(ranks, key, "left_semi")
-    counted = values.groupBy(*key, "value").agg(F.count("*").alias("cnt"))
+    counted = values.groupBy(*key, "value").agg(F.sum("cnt").alias("cnt"))
     upto = (
         W.partitionBy("norm_id", "metric", "percentile")
         .orderBy("value")
@@ -259,7 +289,18 @@ def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> Da
 def large_group_statistics(
     batches: DataFrame, metrics: Sequence[str], limits: PlanLimits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """Statistics of fingerprints of any size, without giving a whole one to a task.
+    """Statistics of fingerprints of any size, without giving a whole one to a task."""
+
+    def values(of: Sequence[str]) -> DataFrame:
+        return metric_values(batches, of).withColumn("cnt", F.lit(1))
+
+    return _large_statistics(values, metrics, limits)
+
+
+def _large_statistics(
+    values_of: Callable[[Sequence[str]], DataFrame], metrics: Sequence[str], limits: PlanLimits
+) -> DataFrame:
+    """Statistics of large groups from (norm_id, metric, value, cnt) of the metrics asked for.
 
     Two scans.  The first counts value buckets and finds the bucket of every rank; its
     result, one row per fingerprint and metric, is checkpointed, so this function runs a
@@ -269,7 +310,7 @@ def large_group_statistics(
     rows, and at most 2^(e-12.5) distinct values: fewer than 2^26 in any case, and far
     fewer for real measurements.
     """
-    groups = checkpointed(_per_group(_per_bucket(metric_values(batches, metrics))))
+    groups = checkpointed(_per_group(_per_bucket(values_of(metrics))))
     n_open = sum((_is_open(p).cast("long") for p in PERCENTILES), F.lit(0))
     # One row per metric.
     sizes = groups.groupBy("metric").agg(F.sum(n_open).alias("open")).collect()
@@ -277,7 +318,7 @@ def large_group_statistics(
     summary = groups
     if open_metrics:
         # A metric whose percentiles are all known is not read again.
-        values = metric_values(batches, open_metrics)
+        values = values_of(open_metrics)
         few_ranks = sum(r.open for r in sizes) <= limits.broadcast_ranks
         exact = _values_at_ranks(values, _open_ranks(groups), few_ranks)
         summary = groups.join(exact, ["norm_id", "metric"], "left")
@@ -324,6 +365,36 @@ def metric_summary(
             batches.join(large, "norm_id", "left_anti"), metrics
         ).union(large_group_statistics(batches.join(large, "norm_id", "left_semi"), metrics, limits))
 
+    return _with_total_rank(statistics, fingerprints, limits)
+
+
+def summary_of_counts(
+    counted: DataFrame, metrics: Sequence[str] = METRICS, limits: PlanLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    """``metric_summary`` from stored counts of values (see ``count_values``).  A fingerprint is
+    large here if it has too many distinct values for a task to order."""
+    names = F.array(*[F.lit(m) for m in metrics])
+    rows = checkpointed(counted.groupBy("norm_id").agg(F.count("*").alias("rows")))
+    is_large = F.col("rows") > limits.group_rows
+    fingerprints, n_large = rows.agg(F.count("*"), F.count_if(is_large)).first()
+
+    def values_of(part: DataFrame) -> Callable[[Sequence[str]], DataFrame]:
+        named = part.select("norm_id", F.get(names, "metric_no").alias("metric"), "value", "cnt")
+        return lambda of: named.where(F.col("metric").isin(*of))
+
+    if n_large == 0:
+        statistics = statistics_of_counts(counted, metrics)
+    elif n_large == fingerprints or n_large > limits.broadcast_fingerprints:
+        statistics = _large_statistics(values_of(counted), metrics, limits)
+    else:
+        large = F.broadcast(rows.where(is_large).select("norm_id"))
+        statistics = statistics_of_counts(counted.join(large, "norm_id", "left_anti"), metrics).union(
+            _large_statistics(values_of(counted.join(large, "norm_id", "left_semi")), metrics, limits)
+        )
+    return _with_total_rank(statistics, fingerprints, limits)
+
+
+def _with_total_rank(statistics: DataFrame, fingerprints: int, limits: PlanLimits) -> DataFrame:
     if fingerprints <= limits.window_fingerprints:
         by_total = W.partitionBy("metric").orderBy(F.col("total").desc())
         ranked = statistics.withColumn("total_rank", F.dense_rank().over(by_total))

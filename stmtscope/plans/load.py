@@ -6,19 +6,19 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stmtscope.operators.flatten import flatten_all, split_rejects
-from stmtscope.operators.staging import checkpointed, delete_folder, new_folder
-from stmtscope.operators.summaries import (
-    batch_summary,
-    metric_summary,
-    unique_batches,
-    wide_metric_summary,
-)
-from stmtscope.plans.reports import metric_report, minute_report, minute_series
-from stmtscope.schema import DEFAULT_VCORES, EVENT_TYPES, METRICS
-from stmtscope.sources.events import files_in, load_stats, read_events
-from stmtscope.sources.tables import FACT, append_batches, create_tables, table_name, write_tables
+from stmtscope.operators.flatten import REASON, flatten_all, split_rejects
+from stmtscope.operators.staging import checkpointed
+from stmtscope.operators.states import derived_tables, merged_states, partial_states
+from stmtscope.operators.summaries import DEFAULT_LIMITS, PlanLimits
+from stmtscope.plans.reports import metric_report, minute_report_of, minute_series, minute_sums
+from stmtscope.schema import DEFAULT_VCORES, EVENT, EVENT_TYPES, LOADED_FILE
+from stmtscope.sources.events import as_plain_path, damaged_files, listed_files, load_stats, read_events
+from stmtscope.sources.loads import Load, check_load, loaded_files
+from stmtscope.sources.tables import Version, create_tables, fact_loads, facts_of, new_load, stored_states, table_name
+
+UNREADABLE = "unreadable file"
 
 
 @dataclass
@@ -40,6 +40,8 @@ class LoadOptions:
     capture_schema_name: bool = False
     vcores: int = DEFAULT_VCORES
     buckets: int | None = None
+    only_new_files: bool = False
+    skip_damaged_files: bool = False
     reader_options: dict[str, str] = field(default_factory=dict)
 
     def filters(self) -> dict:
@@ -56,38 +58,96 @@ class LoadOptions:
 def load(spark: SparkSession, options: LoadOptions) -> tuple[DataFrame, DataFrame]:
     """Append the folder's events to the fact table; gives ``(stats, rejects)``.
 
-    Events are read, parsed and normalised once, into a staging folder.  The key check, the
-    fact rows, the rejects and the counts all come from there, and nothing reaches the
-    table when the check fails.  The folder is deleted at the end, also after a failure;
-    what is returned are checkpoints.
+    Events are read, parsed and normalised once and written once, into the folder of this load.
+    The counts, the key check and the filter of keys come from there.  The load is then
+    published in one step; when it fails before, its folder is deleted and the table is as it was.
+
+    With ``only_new_files`` files of published loads (same name, size and time) are left out, so a
+    folder that grows can be loaded again and again, each file exactly once.  With
+    ``skip_damaged_files`` files that cannot be read become rejects, and are tried again by the next
+    load; without, one such file fails the load.
     """
-    events = read_events(spark, options.path, options.pattern, options.fmt, **options.reader_options)
     create_tables(spark, options.database, options.suffix, options.location)
-    staging = new_folder(spark)
+    new = new_load(spark, options.database, options.suffix)
     try:
-        flatten_all(events, options.capture_schema_name, **options.filters()).write.parquet(staging)
-        rows = spark.read.parquet(staging)
-        good, rejects = split_rejects(rows)
-        stats = checkpointed(load_stats(rows, files_in(spark, options.path, options.pattern)))
-        rejects = checkpointed(rejects)
-        append_batches(good, options.database, options.suffix)
-    finally:
-        delete_folder(spark, staging)
+        files = checkpointed(listed_files(spark, options.path, options.pattern))
+        paths: str | list[str] = options.path
+        if options.only_new_files:
+            seen = loaded_files(new).where("problem IS NULL").select("file_name", "bytes", "modified")
+            files = checkpointed(files.join(seen, ["file_name", "bytes", "modified"], "left_anti"))
+            paths = _paths(files)
+        problems = _write_rows(new, options, files, paths)
+        rows = new.rows()
+        counts = load_stats(rows, files.select("file_name"))
+        found = spark.createDataFrame(list(problems.items()), "path string, problem string")
+        about = files.join(F.broadcast(found), "path", "left").join(counts, "file_name")
+        about.withColumn("load_id", F.lit(new.load_id)).select(*LOADED_FILE.fieldNames()).write.parquet(f"{new.folder}/files")
+        check_load(new)
+        new.publish()
+    except BaseException:
+        new.discard()
+        raise
+    about = spark.read.schema(LOADED_FILE).parquet(f"{new.folder}/files")
+    stats = about.select("file_name", *[c for c in about.columns if c.startswith("events_")])
+    _, rejects = split_rejects(rows)
+    if problems:
+        unread = about.where("problem IS NOT NULL").select("file_name", F.lit(UNREADABLE).alias(REASON))
+        rejects = rejects.unionByName(unread, allowMissingColumns=True)
     return stats, rejects
 
 
-def summarize(spark: SparkSession, options: LoadOptions) -> None:
-    """Rebuild every derived table from the fact table."""
-    batches = spark.table(table_name(options.database, FACT, options.suffix))
-    # Six tables come from one summary; it has a row per fingerprint and metric.
-    summary = checkpointed(metric_summary(batches))
-    derived = {
-        "unique_batches": unique_batches(batches),
-        "batch_summary": batch_summary(batches),
-        **{f"{m}_summary": wide_metric_summary(summary, m) for m in METRICS},
-        "minute_report": minute_report(batches, options.vcores),
-    }
-    write_tables(derived, options.database, options.suffix, options.buckets)
+def _paths(files: DataFrame) -> list[str]:
+    """Paths of files to read; the driver keeps such a list of any folder it reads."""
+    return [as_plain_path(r.path) for r in files.where("path IS NOT NULL").select("path").collect()]
+
+
+def _write_rows(new: Load, options: LoadOptions, files: DataFrame, paths: str | list[str]) -> dict[str, str]:
+    """Write the load's rows; gives the files that could not be read, with the reason.  Only
+    after a failure are files looked at one by one."""
+
+    def events(some: str | list[str]) -> DataFrame:
+        if not some:
+            return new.spark.createDataFrame([], EVENT).withColumn("file_name", F.lit("")).where("false")
+        return read_events(new.spark, some, options.pattern, options.fmt, **options.reader_options)
+
+    def write(some: str | list[str]) -> None:
+        new.write_rows(flatten_all(events(some), options.capture_schema_name, **options.filters()))
+
+    try:
+        write(paths)
+        return {}
+    except Exception:
+        if not options.skip_damaged_files:
+            raise
+        every = {as_plain_path(r.path): r.path for r in files.where("path IS NOT NULL").select("path").collect()}
+        damaged = damaged_files(new.spark, sorted(every), events)
+        if not damaged:
+            raise
+        write([p for p in every if p not in damaged])
+        return {every[p]: reason for p, reason in damaged.items()}
+
+
+def summarize(spark: SparkSession, options: LoadOptions, limits: PlanLimits = DEFAULT_LIMITS) -> None:
+    """Bring every derived table up to the published loads.
+
+    Only facts of loads that the tables do not cover yet are read; their states are added to the stored
+    ones, and all tables follow from these.  The new tables and states are shown at once.
+    """
+    database, suffix = options.database, options.suffix
+    published = fact_loads(spark, database, suffix)
+    old, covered = stored_states(spark, database, suffix)
+    if not set(covered) <= set(published):  # a load was taken away
+        old, covered = {}, []
+    fresh = [i for i in published if i not in set(covered)]
+    states = old
+    new = Version(spark, database, suffix, options.buckets, published)
+    if fresh or not old:
+        added = partial_states(facts_of(spark, database, suffix, fresh), minute_sums, limits)
+        states = merged_states(old, added) if old else added
+    stored = {base: new.store(base, df) for base, df in states.items()}
+    for base, df in derived_tables(stored, lambda m: minute_report_of(m, options.vcores), limits).items():
+        new.store(base, df)
+    new.show()
 
 
 def report(

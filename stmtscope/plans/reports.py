@@ -20,7 +20,12 @@ from stmtscope.schema import (
 def minute_report(batches: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame:
     """Load per minute, database and fingerprint.  ``cpu_pct`` is the share of the minute's
     capacity on ``vcores`` cores, rounded once from the exact quotient."""
-    rollup = batches.groupBy(
+    return minute_report_of(minute_sums(batches), vcores)
+
+
+def minute_sums(batches: DataFrame) -> DataFrame:
+    """Sums per minute, database and fingerprint, from which minutes of several loads add up."""
+    return batches.groupBy(
         F.date_trunc("minute", "event_ts").alias("minute"), "database_name", "norm_id"
     ).agg(
         F.count("*").alias("execution_count"),
@@ -32,6 +37,10 @@ def minute_report(batches: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame
         F.sum("row_count").alias("row_total"),
         F.count("row_count").alias("row_filled"),
     )
+
+
+def minute_report_of(rollup: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame:
+    """The minute report from its sums."""
     share = F.expr(
         f"cast(cast(cpu_us as decimal(20,0)) * 100 / cast({60_000_000 * vcores} as bigint) as decimal(7,4))"
     )

@@ -132,6 +132,32 @@ MINUTE_REPORT = _struct(
     avg_row_count=_LONG,
 )
 
+# What summaries keep besides their tables, so that further loads can be added to it.
+STATE_TEXTS = _struct(
+    norm_id=_LONG, text_id=_LONG, executions=_LONG, successful=_LONG, failed=_LONG, aborted=_LONG, first_sequence=_LONG
+)
+STATE_VALUES = _struct(norm_id=_LONG, metric_no=_INT, value=_LONG, cnt=_LONG)
+STATE_MINUTES = _struct(
+    minute=_TIME,
+    database_name=_TEXT,
+    norm_id=_LONG,
+    **{
+        c: _LONG
+        for c in (
+            "execution_count", "duration_us", "cpu_us", "logical_reads_pages", "physical_reads_pages",
+            "writes_pages", "row_total", "row_filled",
+        )
+    },
+)
+STATE_EXEMPLARS = _struct(
+    norm_id=_LONG, event_sequence=_LONG, text_id=_LONG, event_type=_TEXT, database_name=_TEXT, orig_text=_TEXT, norm_text=_TEXT
+)
+# One row per file of a load; a file with a problem was not loaded.
+LOADED_FILE = _struct(
+    load_id=_TEXT, file_name=_TEXT, bytes=_LONG, modified=_TIME,
+    events_read=_LONG, events_kept=_LONG, events_rejected=_LONG, events_filtered=_LONG, problem=_TEXT,
+)
+
 
 def wide_metric_columns(metric: str) -> dict[str, str]:
     """Long-form column -> column of the per-metric table."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stmtscope.functions import stable_id
 from stmtscope.operators import to_batches
-from stmtscope.operators.staging import new_folder
+from stmtscope.operators.staging import delete_folder, file_names, make_folder, move_file, new_folder, subfolders
 from stmtscope.schema import BATCHES, METRICS
 from stmtscope.sources import read_events
 
@@ -165,6 +165,19 @@ def _export(spark: SparkSession, flat: DataFrame) -> str:
     return folder
 
 
+def named_files(spark: SparkSession, flat: DataFrame, part: Column, folder: str, name: str = "trace_{}.json") -> None:
+    """Flat events as JSON lines, one file per value of ``part``, under stable names."""
+    staging = new_folder(spark)
+    packed = as_trace_events(flat.withColumn("part", part), keep=("part",))
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    packed.repartition("part").write.partitionBy("part").option("timestampFormat", stamp).json(staging)
+    make_folder(spark, folder)
+    for sub in subfolders(spark, staging):
+        for file in file_names(spark, f"{staging}/{sub}", ".json"):
+            move_file(spark, f"{staging}/{sub}/{file}", f"{folder}/{name.format(sub.split('=')[1])}")
+    delete_folder(spark, staging)
+
+
 _FLAT = {"events": flat_events, "lineitem": flat_lineitem}
 _written: dict[tuple[str, str, str, str], str] = {}
 
