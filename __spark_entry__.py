@@ -143,6 +143,21 @@ def normalize_pages(spark, sf_dir):
     )
 
 
+def _nested(spark, sf_dir):
+    return derive.flat_events(spark, sf_dir).withColumn("text_data", F.expr(derive.NESTED_TEXT))
+
+
+def normalize_nested_comments(spark, sf_dir):
+    """Statements with comments in comments, up to forty deep."""
+    return _nested(spark, sf_dir).select("event_sequence", normalize_sql(F.col("text_data")).alias("norm_text"))
+
+
+def normalize_rejected(spark, sf_dir):
+    """The same, where a statement that leaves something open has no text."""
+    text = normalize_sql(F.col("text_data"), reject_unbalanced=True)
+    return _nested(spark, sf_dir).select("event_sequence", text.alias("norm_text"))
+
+
 def qualified_names(spark, sf_dir):
     calls = derive.flat_events(spark, sf_dir).where(F.col("name") == "rpc_completed")
     return calls.select(
@@ -557,6 +572,8 @@ def trace_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "normalize_text": normalize_text,
         "normalize_documents": normalize_documents,
         "normalize_pages": normalize_pages,
+        "normalize_nested_comments": normalize_nested_comments,
+        "normalize_rejected": normalize_rejected,
         "qualified_name": qualified_names,
         "fingerprints": fingerprints,
         "fingerprints_with_schema": fingerprints_with_schema,
@@ -630,6 +647,10 @@ def trace_sql() -> dict[str, str]:
         f"FROM ({oracle.MINUTES}) m JOIN ({oracle.UNIQUE}) u ON u.norm_id = m.norm_id"
     )
 
+    nested = (
+        f"WITH RECURSIVE raw AS (SELECT event_sequence, {derive.NESTED_TEXT} AS text_data FROM ({raw})), "
+        f"{oracle.flat_ctes('raw', 'event_sequence', 'text_data')}, {oracle.norm_ctes('flat', 'id', 'text')}"
+    )
     per_file = (
         f"count(*) FILTER (WHERE true) AS events_read, count(*) FILTER (WHERE {chosen}) AS events_kept, "
         f"0::BIGINT AS events_rejected, count(*) FILTER (WHERE NOT ({chosen})) AS events_filtered"
@@ -666,6 +687,9 @@ def trace_sql() -> dict[str, str]:
         "FROM docs LEFT JOIN a_norm ON a_norm.id = doc_id LEFT JOIN b_norm ON b_norm.id = doc_id",
         "normalize_pages": f"WITH {oracle.norm_ctes('pages', 'page_id', 'html')} "
         "SELECT page_id, coalesce(norm_text, '') AS norm_text FROM pages LEFT JOIN norm ON norm.id = page_id",
+        "normalize_nested_comments": f"{nested} SELECT id AS event_sequence, norm_text FROM norm",
+        "normalize_rejected": f"{nested} SELECT id AS event_sequence, CASE WHEN bad THEN '' ELSE norm_text END AS norm_text "
+        f"FROM norm JOIN (SELECT id, bool_or({oracle.OPEN}) AS bad FROM tokens GROUP BY id) USING (id)",
         "qualified_name": f"SELECT event_sequence, {oracle.qualified_name('text_data', 'object_name')} AS qualified "
         f"FROM ({raw}) WHERE name = 'rpc_completed'",
         "fingerprints": f"{all_calls} SELECT event_sequence, text_id, norm_id, norm_text FROM batches",

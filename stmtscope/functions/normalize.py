@@ -5,7 +5,7 @@ or spacing get the same text:
 
 * string literals become ``{STR}``, integer/decimal/hex literals ``{##}``;
 * real (``1e5``) and money (``$5``) literals, names and ``@params`` stay;
-* comments go, runs of whitespace become one space, the ends are trimmed and a
+* comments, which may nest, go, runs of whitespace become one space, the ends are trimmed and a
   minus sign directly before ``{##}`` is dropped;
 * after a dynamic-SQL call name (``sp_executesql...`` or ``sp_prepare``) the next
   string literal is the statement itself, so it is kept.
@@ -26,6 +26,7 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stmtscope.functions.comments import flat_comments
 from stmtscope.schema import (
     BATCH,
     EXECUTE_PREFIX,
@@ -100,6 +101,13 @@ NUMBER_PASS = rf"\G({_any(*_KEPT, _STRING)}*+)(?:{_HEX}|{_DECIMAL})"
 _NOT_COMMENT = _any(r"[^'\"\[/\-]++", _STRING, _BRACKETED, _QUOTED, r"-(?!-)", r"/(?!\*)")
 COMMENT_PASS = rf"\G({_NOT_COMMENT}*+)(?:{_LINE_COMMENT}|{_BLOCK_COMMENT})"
 
+# A text in which every quote, bracket and block comment is closed.
+BALANCED = (
+    r"\A(?:[^'\"\[/\-]++|-(?!-)|/(?!\*)|--[^\r\n]*+|'[^']*+'|\[[^\]]*+(?:\]\][^\]]*+)*+\]"
+    r'|"[^"]*+"'
+    r"|/\*[^*]*+(?:\*(?!/)[^*]*+)*+\*/)*+\z"
+)
+
 # --- pass 4: whitespace, where it is not a single space already ---
 SPACE_PASS = rf" [{SPACE}]++|[{SPACE}&&[^ ]][{SPACE}]*+"
 
@@ -108,23 +116,36 @@ def _replace(text: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
 
 
-def normalize_sql(text: Column) -> Column:
-    """Literal-, comment- and spacing-free form of a statement; NULL gives ''."""
+def is_balanced(text: Column) -> Column:
+    """Whether every quote, bracket and (nested) block comment of a statement is closed."""
+    return F.rlike(flat_comments(F.coalesce(text, F.lit(""))), F.lit(BALANCED))
+
+
+def normalize_sql(text: Column, reject_unbalanced: bool = False, flat: Column | None = None) -> Column:
+    """Literal-, comment- and spacing-free form of a statement; NULL gives ''.
+
+    Block comments nest.  With ``reject_unbalanced`` a statement that leaves a quote, a bracket
+    or a comment open gives '' too, as a parser that rejects it would.  ``flat`` is the text without
+    nested comments, if it is a column already: the fold behind ``flat_comments`` is not
+    code-generated, and a column of its own keeps the rest in generated code.
+    """
     raw = F.coalesce(text, F.lit(""))
+    flat = flat_comments(raw) if flat is None else flat
 
     def has(part: str) -> Column:
         return F.contains(raw, F.lit(part))
 
     dynamic = has(EXECUTE_SQL_PREFIX) | has(PREPARE_CALL)
     x = (
-        F.when(~has("'"), raw)
-        .when(dynamic, _replace(raw, DYNAMIC_STRING_PASS, "$1" + STRING_MARK))
-        .otherwise(_replace(raw, STRING_PASS, "$1" + STRING_MARK))
+        F.when(~has("'"), flat)
+        .when(dynamic, _replace(flat, DYNAMIC_STRING_PASS, "$1" + STRING_MARK))
+        .otherwise(_replace(flat, STRING_PASS, "$1" + STRING_MARK))
     )
     x = _replace(x, NUMBER_PASS, "$1" + NUMBER_MARK)
     x = F.when(has("--") | has("/*"), _replace(x, COMMENT_PASS, "$1")).otherwise(x)
     x = F.trim(_replace(x, SPACE_PASS, " "))
-    return F.replace(x, F.lit("-" + NUMBER_MARK), F.lit(NUMBER_MARK))
+    x = F.replace(x, F.lit("-" + NUMBER_MARK), F.lit(NUMBER_MARK))
+    return F.when(F.rlike(flat, F.lit(BALANCED)), x).otherwise(F.lit("")) if reject_unbalanced else x
 
 
 def qualified_name(text: Column, object_name: Column) -> Column:
@@ -161,6 +182,8 @@ def fingerprint_text(
     object_name: Column,
     text: Column,
     capture_schema_name: bool = False,
+    reject_unbalanced: bool = False,
+    flat: Column | None = None,
 ) -> Column:
     """Text that identifies a statement.
 
@@ -171,7 +194,7 @@ def fingerprint_text(
     dynamic = F.startswith(name, F.lit(EXECUTE_PREFIX)) | (name == PREPARE_CALL)
     plain_call = (event_type == RPC) & ~dynamic
     called = qualified_name(text, name) if capture_schema_name else name
-    return F.when(plain_call, called).otherwise(normalize_sql(text))
+    return F.when(plain_call, called).otherwise(normalize_sql(text, reject_unbalanced, flat))
 
 
 def statement_text(event_type: Column, statement: Column, batch_text: Column) -> Column:

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stmtscope.functions.comments import flat_comments
 from stmtscope.functions.ids import norm_id, text_id
 from stmtscope.functions.normalize import fingerprint_text, statement_text
 from stmtscope.operators.filters import in_time_range, is_connection_reset
@@ -101,7 +102,10 @@ def _first_problem(has_read_problem: bool) -> Column:
 
 
 def flatten_events(
-    events: DataFrame, capture_schema_name: bool = False, extra: Sequence[str] = ()
+    events: DataFrame,
+    capture_schema_name: bool = False,
+    extra: Sequence[str] = (),
+    reject_unbalanced: bool = False,
 ) -> DataFrame:
     """The 21 fact columns plus ``reject_reason`` (NULL for a good row) and any ``extra``
     input columns."""
@@ -122,9 +126,9 @@ def flatten_events(
         *extra,
     )
     fingerprint = fingerprint_text(
-        F.col("event_type"), F.col("object_name"), F.col("text_data"), capture_schema_name
+        F.col("event_type"), F.col("object_name"), F.col("text_data"), capture_schema_name, reject_unbalanced, F.col("_flat")
     )
-    named = typed.withColumn("norm_text", fingerprint)
+    named = typed.withColumn("_flat", flat_comments(F.col("text_data"))).withColumn("norm_text", fingerprint)
     ids = {
         "text_id": text_id(F.col("text_data")),
         "norm_id": norm_id(F.col("database_name"), F.col("norm_text")),
@@ -161,12 +165,14 @@ def select_events(events: DataFrame, **filters) -> DataFrame:
     return events.where(is_selected(events, **filters))
 
 
-def flatten_all(events: DataFrame, capture_schema_name: bool = False, **filters) -> DataFrame:
+def flatten_all(
+    events: DataFrame, capture_schema_name: bool = False, reject_unbalanced: bool = False, **filters
+) -> DataFrame:
     """All events flattened in one pass, with ``selected``; of those filtered out only the
     file name is kept."""
     marked = events.withColumn(SELECTED, is_selected(events, **filters))
     slim = marked.select(*[c if c in ("file_name", SELECTED) else F.when(F.col(SELECTED), F.col(c)).alias(c) for c in marked.columns])
-    return flatten_events(slim, capture_schema_name, [*_extra_of(events), SELECTED])
+    return flatten_events(slim, capture_schema_name, [*_extra_of(events), SELECTED], reject_unbalanced)
 
 
 def _extra_of(events: DataFrame) -> list[str]:
@@ -188,10 +194,10 @@ def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_batches(
-    events: DataFrame, capture_schema_name: bool = False, **filters
+    events: DataFrame, capture_schema_name: bool = False, reject_unbalanced: bool = False, **filters
 ) -> tuple[DataFrame, DataFrame]:
     """Filter and flatten events, split into ``(good, rejects)``."""
-    rows = flatten_events(select_events(events, **filters), capture_schema_name, _extra_of(events))
+    rows = flatten_events(select_events(events, **filters), capture_schema_name, _extra_of(events), reject_unbalanced)
     return split_rejects(rows)
 
 

@@ -38,6 +38,7 @@ class LoadOptions:
     day_first: bool | None = None
     filter_connection_resets: bool = False
     capture_schema_name: bool = False
+    reject_unbalanced: bool = False
     vcores: int = DEFAULT_VCORES
     buckets: int | None = None
     only_new_files: bool = False
@@ -111,7 +112,7 @@ def _write_rows(new: Load, options: LoadOptions, files: DataFrame, paths: str |
         return read_events(new.spark, some, options.pattern, options.fmt, **options.reader_options)
 
     def write(some: str | list[str]) -> None:
-        new.write_rows(flatten_all(events(some), options.capture_schema_name, **options.filters()))
+        new.write_rows(flatten_all(events(some), options.capture_schema_name, options.reject_unbalanced, **options.filters()))
 
     try:
         write(paths)

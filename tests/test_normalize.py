@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stmtscope.functions import fingerprint_text, norm_id, normalize_sql, qualified_name, text_id
+from stmtscope.functions import fingerprint_text, is_balanced, norm_id, normalize_sql, qualified_name, text_id
 from stmtscope.schema import BATCH, RPC
 
 NORMALIZED = [
@@ -55,8 +55,15 @@ NORMALIZED = [
     ("a [open 5", "a [open 5"),
     ("a /* open 5", "a"),
     ("5 -- 'open", "{##}"),
-    # block comments do not nest
-    ("a /* b /* c */ d */ e", "a d */ e"),
+    # block comments nest
+    ("a /* b /* c */ d */ e", "a e"),
+    ("a /*/* 1 */ 'x */ b 'y' 2", "a b {STR} {##}"),
+    ("a /*/*/ b */*/ c */*d*/ 1", "a c * {##}"),
+    ("a /* /* b */ 'open 5", "a"),
+    ("a /* it's /* \" [ */ */ 'b' [c /* /* ]] /* ] 5", "a {STR} [c /* /* ]] /* ] {##}"),
+    ("'/* /* ' + 1 -- /* /* '\n+ 'x' \"/* /*\"", "{STR} + {##} + {STR} \"/* /*\""),
+    ("sp_executesql N'/* /* */ 1' /* /* */ */, 'b'", "sp_executesql N'/* /* */ 1' , {STR}"),
+    ("1/*/**/*/2 a/*/**/*/3", "{##}{##} a{##}"),
     # Unicode names and spaces
     ("été1 = 1", "été1 = {##}"),
     ("a 　b c\u0085d", "a b c d"),
@@ -85,6 +92,9 @@ def test_very_long_statements(spark):
         "comment": ("/*" + "* /" * n + "*/ 5", "{##}"),
         "open": ("'a' " * n + "'", "{STR} " * n + "{STR}"),
         "signs": ("-/." * n, "-/." * n),
+        "deep": ("a " + "/*" * n + "x" + "*/" * n + " 5", "a {##}"),
+        "never_closed": ("a " + "/* ' " * n + "*/ " * (n - 1) + "5", "a"),
+        "many": ("/*/* a */*/ 'x' " * n, " ".join(["{STR}"] * n)),
     }
     rows = spark.createDataFrame([(k, v[0]) for k, v in texts.items()], "k string, text string")
     got = dict(rows.select("k", normalize_sql(F.col("text"))).collect())
@@ -92,6 +102,30 @@ def test_very_long_statements(spark):
         assert got[k] == want, k
 
 
+BALANCE = {
+    "a 'b' [c]]d] \"e\" /* f /* g */ */ -- it's": True,
+    "": True,
+    "a 'open": False,
+    "a 'x''open": False,
+    "a [b]] open": False,
+    'a "b': False,
+    "a /* b /* c */ d": False,
+    "a /* b /* c */ d */": True,
+    "a /* b": False,
+    "a */ ] b": True,
+    "N'x' - / . --'": True,
+    "'-- /* ' [/*] 1 / 2 - 3": True,
+}
+
+
+def test_unbalanced_statements_give_no_text(spark):
+    rows = spark.createDataFrame([(t,) for t in BALANCE], "text string")
+    got = rows.select("text", is_balanced(F.col("text")), normalize_sql(F.col("text"), reject_unbalanced=True)).collect()
+    assert {t: ok for t, ok, _ in got} == BALANCE
+    assert all((norm != "") == (BALANCE[t] and t != "") for t, _, norm in got)
+    assert rows.select(is_balanced(F.lit(None).cast("string"))).first()[0] is True
+
+
 @pytest.mark.parametrize(
     "text, name, want",
     [

@@ -68,6 +68,17 @@ SELECT
 FROM {events}
 """
 
+# Statements of ``EVENTS_SQL`` with comments in comments, quotes and brackets, some left open.
+NESTED_TEXT = """
+CASE event_sequence % 6
+  WHEN 0 THEN 'SELECT /* a /* b ' || event_sequence || ' */ c */ 1, ' || chr(39) || '/* x /* ' || chr(39) || ' FROM t'
+  WHEN 1 THEN text_data || ' /* open /* inner */ never closed ' || event_sequence
+  WHEN 2 THEN '/* it' || chr(39) || 's /* "q [ */ */ ' || text_data
+  WHEN 3 THEN text_data || chr(10) || ' AND [c /* /* ]]] = ' || event_sequence || '/*/*/**/*/*/ + 2 -- /* /* ' || event_sequence
+  WHEN 4 THEN repeat('/* ', CAST(event_sequence % 40 AS INT)) || repeat('*/ ', CAST(event_sequence % 37 AS INT)) || text_data
+  ELSE text_data END
+"""
+
 # {lineitem} is the table and {sequence} the engine's expression for a 60-bit id of
 # {row_key}.  About half of all rows share one fingerprint; another part has one
 # fingerprint per part.

@@ -56,6 +56,35 @@ def norm_ctes(source: str, id_column: str, text_column: str, prefix: str = "") -
 )"""
 
 
+# Tokens outside a block comment, of which a comment's opening is one; and inside.
+CODE_TOKEN = (
+    r"^(?:--[^\r\n]*|/\*|[Nn]?'[^']*(?:''[^']*)*(?:'|\z)|\[[^\]]*(?:\]\][^\]]*)*(?:\]|\z)"
+    r'|"[^"]*(?:""[^"]*)*(?:"|\z)|[^-/\'"\[Nn]+|(?s:.))'
+)
+COMMENT_TOKEN = r"^(?:/\*|\*/|[^*/]+|.)"
+CLOSED = r"[Nn]?'[^']*(?:''[^']*)*'|\[[^\]]*(?:\]\][^\]]*)*\]|\"[^\"]*(?:\"\"[^\"]*)*\"|/\*(?s:.*?)\*/"
+# Whether a token leaves something open.
+OPEN = (
+    "(starts_with(tok, chr(39)) OR lower(substr(tok, 1, 2)) = 'n' || chr(39) OR starts_with(tok, '[') "
+    f"OR starts_with(tok, chr(34)) OR starts_with(tok, '/*')) AND NOT regexp_full_match(tok, {quoted(CLOSED)})"
+)
+
+
+def flat_ctes(source: str, id_column: str, text_column: str) -> str:
+    """CTEs ending in ``flat(id, text)``: one token a step, comments in comments emptied."""
+    return f"""
+scan AS (
+  SELECT {id_column} AS id, {text_column} AS rest, 0 AS depth, '' AS text FROM {source}
+  UNION ALL
+  SELECT id, substr(rest, len(tok) + 1), depth + CASE WHEN tok = '/*' THEN 1 WHEN tok = '*/' AND depth > 0 THEN -1 ELSE 0 END,
+         text || CASE WHEN depth = 0 OR depth = 1 AND tok = '*/' THEN tok ELSE '' END
+  FROM (SELECT *, CASE WHEN depth = 0 THEN regexp_extract(rest, {quoted(CODE_TOKEN)})
+                       ELSE regexp_extract(rest, {quoted(COMMENT_TOKEN)}, 0, 's') END AS tok
+        FROM scan WHERE rest <> '')
+),
+flat AS (SELECT id, text FROM scan WHERE rest = '')"""
+
+
 def stable_id(expression: str) -> str:
     return f"('0x' || substr(md5({expression}), 1, 15))::BIGINT"
 
