@@ -31,6 +31,7 @@ from stmtscope.sources import (  # noqa: E402
     TABLES,
     DuplicateKeyError,
     append_batches,
+    cluster_facts,
     create_tables,
     fact_loads,
     load_stats,
@@ -288,6 +289,17 @@ def load_job(spark, sf_dir):
         raise AssertionError("the second load was not refused")
 
 
+def cluster_facts_job(spark, sf_dir):
+    """Facts laid out anew, added up by fingerprint and day."""
+    with _database(spark) as (database, location):
+        create_tables(spark, database, location=location)
+        append_batches(derive.fact_table(spark, sf_dir, "lineitem"), database)
+        cluster_facts(spark, database, files=16)
+        stored = spark.table(table_name(database, "batches"))
+        day = F.date_trunc("day", "event_ts")
+        return checkpointed(_plain_times(stored.groupBy("norm_id", day.alias("day")).agg(F.count("*").alias("executions"), F.sum("duration").alias("duration"))))
+
+
 def load_job_hashed_keys(spark, sf_dir):
     """Keys that are hashes: two of three loads are added; the one between them holds some keys
     of the first and is refused."""
@@ -586,6 +598,7 @@ def trace_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_job": load_job,
         "load_job_hashed_keys": load_job_hashed_keys,
         "clashing_keys": clashing_keys,
+        "cluster_facts": cluster_facts_job,
         "summarize_job": summarize_job,
         "summarize_incremental": summarize_incremental,
         "summarize_incremental_large": summarize_incremental_large,
@@ -715,6 +728,8 @@ def trace_sql() -> dict[str, str]:
         f"FROM (SELECT *, event_sequence % 25 AS place FROM ({raw}))",
         "load_job": f"{events} SELECT {every} FROM batches",
         "load_job_hashed_keys": f"{lines} SELECT event_sequence, norm_id, text_data, {', '.join(METRICS)} FROM batches",
+        "cluster_facts": f"{lines} SELECT norm_id, date_trunc('day', event_ts) AS day, count(*) AS executions, "
+        "CAST(sum(duration) AS BIGINT) AS duration FROM batches GROUP BY 1, 2",
         "clashing_keys": f"{lines} SELECT event_sequence, event_sequence % 3 AS load_no FROM batches "
         "WHERE event_sequence % 1000 = 1 AND event_sequence % 3 <> 0",
         "load_stats_per_file": f"SELECT 'trace_' || event_sequence % {FILES} || '.json' AS file_name, {per_file} FROM ({raw}) GROUP BY 1",

@@ -1,4 +1,5 @@
 from stmtscope.sources.events import listed_files, load_stats, read_events
+from stmtscope.sources.layout import cluster_facts
 from stmtscope.sources.loads import DuplicateKeyError, Load, check_load, clashing_keys, loaded_files, unpublished_loads
 from stmtscope.sources.tables import (
     TABLES,
@@ -23,6 +24,7 @@ __all__ = [
     "check_keys",
     "check_load",
     "clashing_keys",
+    "cluster_facts",
     "create_tables",
     "fact_loads",
     "facts_of",

@@ -239,6 +239,46 @@ def test_readers_of_the_old_version_go_on(spark, database):
     assert spark.table(table_name(name, "batch_summary")).first().all_executions == 9
 
 
+# --- layout ---
+
+
+def test_filters_read_few_row_groups_of_clustered_facts(spark, database):
+    import pyarrow.parquet as pq
+
+    from stmtscope.sources import cluster_facts
+
+    name, location = database
+    create_tables(spark, name, location=location)
+    n = 24_000
+    base = facts(spark, [0])
+    rows = base.drop("event_sequence", "event_ts", "norm_id").crossJoin(F.broadcast(spark.range(n))).select(
+        F.col("id").alias("event_sequence"),
+        (F.timestamp_seconds(F.lit(1_700_000_000)) + F.make_dt_interval(mins=(F.col("id") % 7200).cast("int"))).alias("event_ts"),
+        F.shiftright(F.xxhash64(F.col("id") % 500), 4).bitwiseAND(F.lit((1 << 60) - 1)).alias("norm_id"),
+        *[c for c in base.columns if c not in ("event_sequence", "event_ts", "norm_id")],
+    )
+    append_batches(rows, name)
+    (load_id,) = fact_loads(spark, name)
+    cluster_facts(spark, name, files=8, write_options={"maxRecordsPerFile": "8"})
+    stored = spark.table(table_name(name, "batches"))
+    assert stored.count() == n and stored.select("event_sequence").distinct().count() == n
+    groups = []
+    for file in fact_folder(spark, name, load_id).glob("clustered-*/*.parquet"):
+        about = pq.ParquetFile(file).metadata
+        for i in range(about.num_row_groups):
+            columns = {about.row_group(i).column(j).path_in_schema: about.row_group(i).column(j) for j in range(about.num_columns)}
+            groups.append((columns["norm_id"].statistics, pq.read_table(file, columns=["event_ts"]).column(0).to_pylist()))
+    assert len(groups) >= 3000
+    wanted = stored.select("norm_id", "event_ts").where("event_sequence = 777").first()
+    by_id = sum(s.min <= wanted.norm_id <= s.max for s, _ in groups)
+    hour = wanted.event_ts.replace(minute=0, second=0)
+    by_hour = sum(min(ts).replace(tzinfo=None) <= hour.replace(minute=59) and max(ts).replace(tzinfo=None) >= hour for _, ts in groups)
+    assert by_id < 0.05 * len(groups) and by_hour < 0.05 * len(groups)
+    # The load is still a load: its keys are known, and its states follow.
+    with pytest.raises(DuplicateKeyError):
+        append_batches(facts(spark, [5]), name)
+
+
 # --- states ---
 
 

@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from stmtscope.functions import fingerprint_text, is_balanced, norm_id, normalize_sql, qualified_name, text_id
+from stmtscope.functions.comments import flat_comments
 from stmtscope.schema import BATCH, RPC
 
 NORMALIZED = [
@@ -89,7 +92,7 @@ def test_very_long_statements(spark):
         "names": ("ab. " * n + "5", "ab. " * n + "{##}"),
         "calls": ("sp_executesql " * n + "'a'", "sp_executesql " * n + "'a'"),
         "no_statement": ("sp_executesql " * n + "5", "sp_executesql " * n + "{##}"),
-        "comment": ("/*" + "* /" * n + "*/ 5", "{##}"),
+        "comment": ("/*" + "* / " * n + "*/ 5", "{##}"),
         "open": ("'a' " * n + "'", "{STR} " * n + "{STR}"),
         "signs": ("-/." * n, "-/." * n),
         "deep": ("a " + "/*" * n + "x" + "*/" * n + " 5", "a {##}"),
@@ -176,8 +179,13 @@ def test_ids_are_stable(spark):
     assert list(got) == want
 
 
-def test_normaliser_is_code_generated(spark, capsys):
-    """No Python worker and no interpreted fold: one generated stage."""
-    spark.range(3).select(normalize_sql(F.col("id").cast("string"))).explain()
-    plan = capsys.readouterr().out
-    assert "*(1) Project" in plan and "Python" not in plan
+def test_normaliser_is_code_generated(spark, tmp_path, capsys):
+    """No Python worker, and no interpreted fold in the stage of the rewrites."""
+    spark.range(3).select(F.col("id").cast("string").alias("t")).write.parquet(str(tmp_path / "t"))
+    flat = spark.read.parquet(str(tmp_path / "t")).withColumn("flat", flat_comments(F.col("t")))
+    flat.select(normalize_sql(F.col("t"), flat=F.col("flat"))).explain()
+    plan = capsys.readouterr().out.splitlines()
+    assert not any("Python" in line for line in plan)
+    rewrites = next(line for line in plan if "{##}" in line)
+    assert re.match(r"(\+- )?\*\(\d+\) Project", rewrites) and "aggregate(" not in rewrites
+    assert any("aggregate(" in line for line in plan)
