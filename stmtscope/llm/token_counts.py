@@ -14,6 +14,7 @@ and remembered, and a text's table is those counts plus the tokens of the words
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from stmtscope.llm.pieces import FIRST_OTHER, ID_BITS, MARK, Vocabulary
 
 MODEL = "piece_bpe_32k.model"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-REMEMBERED_BYTES = 96 << 20  # of words and their counts, per worker
+REMEMBERED_BYTES = 256 << 20  # of words and their counts, per worker
 ENTRY_BYTES = 200  # of a remembered word besides its characters
 CHUNK_BYTES = 4 << 20  # of text whose tables are held at once
 
@@ -97,7 +98,7 @@ class PrefixCounter(dict):
                 start += 1
             last.append(number)
             count.append(count[start] + (1 if number < FIRST_OTHER else len(word[start].encode())))
-        return np.array(count[1:], np.int32).tobytes()
+        return array("i", count[1:]).tobytes()
 
     def words(self, text: str) -> list[str]:
         if self.vocabulary.crossing:
