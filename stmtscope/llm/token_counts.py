@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,8 @@ class PrefixCounter(dict):
         super().__init__()
         self.vocabulary = Vocabulary(pieces, byte_ids, skip, bpe=True)
         self.size = 0
+        # The last word walked, and by prefix length its last piece and its tokens.
+        self.before, self.last, self.count = "", [0], [0]
 
     def __missing__(self, word: str) -> bytes:
         counts = self.walk(MARK + word)
@@ -75,12 +77,20 @@ class PrefixCounter(dict):
         return counts
 
     def walk(self, word: str) -> bytes:
-        """Token counts of the prefixes of ``word``, from one character on."""
+        """Token counts of the prefixes of ``word``, from one character on.  Prefixes that it
+        shares with the word before are known already."""
         v = self.vocabulary
         number_of, reach, apart = v.ids.get, v.reach.get, v.apart.get
-        last, count = [0], [0]  # by prefix length: the last piece, and the tokens
-        for end in range(1, len(word) + 1):
-            start = max(0, end - (reach(word[end - 3 : end], 2) if end > 2 else 2))
+        last, count, before = self.last, self.count, self.before
+        shared, most = 0, min(len(word), len(before))
+        while shared < most and word[shared] == before[shared]:
+            shared += 1
+        del last[shared + 1 :], count[shared + 1 :]
+        self.before = word
+        for end in range(shared + 1, len(word) + 1):
+            start = end - reach(word[end - 3 : end], 2) if end > 2 else 0
+            if start < 0:
+                start = 0
             while True:  # the longest piece that may stand last
                 number = number_of(word[start:end])
                 if number is None and start == end - 1:
@@ -100,6 +110,15 @@ class PrefixCounter(dict):
             count.append(count[start] + (1 if number < FIRST_OTHER else len(word[start].encode())))
         return array("i", count[1:]).tobytes()
 
+    def learn(self, texts: Iterable[str | None]) -> None:
+        """Walk the words of some texts that are not remembered, in sorted order."""
+        new: set[str] = set()
+        for text in texts:
+            if text:
+                new.update(self.words(text))
+        for word in sorted(new.difference(self)):
+            self[word]
+
     def words(self, text: str) -> list[str]:
         if self.vocabulary.crossing:
             return [text.replace(" ", MARK)]
@@ -121,6 +140,14 @@ class PrefixCounter(dict):
         return table
 
 
+def counter_of(held: dict) -> PrefixCounter:
+    """The counter of a worker, kept with the broadcast value, so that later tasks of the worker
+    know the words of earlier ones."""
+    if "counter" not in held:
+        held["counter"] = PrefixCounter(*held["vocabulary"])
+    return held["counter"]
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``chunk_bytes`` of text each."""
     begin = size = 0
@@ -144,13 +171,15 @@ def prefix_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     A null or empty text has the one entry 0.  Rows are handled alone, so repeated rows and ids
     give repeated results; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_path(model)))
+    shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": read_vocabulary(model_path(model))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(*shared.value)
+        counter = counter_of(shared.value)
         for batch in batches:
             for part in text_slices(batch):
-                tables = [counter.table(t) for t in part.column("text").to_pylist()]
+                texts = part.column("text").to_pylist()
+                counter.learn(texts)
+                tables = [counter.table(t) for t in texts]
                 first = np.concatenate([[0], np.cumsum([len(t) for t in tables])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(first), pa.array(np.concatenate(tables)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], names=["doc_id", "counts"])
@@ -176,14 +205,15 @@ def token_counts(docs: DataFrame, limit: int, model: str = MODEL) -> DataFrame:
 
     A null or empty text has none of all.  Rows are handled alone, as by ``prefix_counts``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_path(model)))
+    shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": read_vocabulary(model_path(model))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(*shared.value)
+        counter = counter_of(shared.value)
         for batch in batches:
             for part in text_slices(batch):
-                tokens, fitting = [], []
-                for text in part.column("text").to_pylist():
+                tokens, fitting, texts = [], [], part.column("text").to_pylist()
+                counter.learn(texts)
+                for text in texts:
                     table = counter.table(text)
                     tokens.append(int(table[-1]))
                     # Backwards from the end, where most texts fit at once.
