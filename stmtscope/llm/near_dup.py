@@ -3,7 +3,7 @@
 One pass over the texts gives each document its set of distinct word shingles, the minima
 of ``BANDS * ROWS`` hash functions over that set, the lowest ``BITS`` bits of each minimum
 packed into a signature, and one key per band of minima.  Documents with equal sets form a
-class, represented by its smallest doc_id; only classes are compared.
+class, which has a number and the text of its smallest doc_id; only classes are compared.
 
 Classes that share a band key are candidates.  First each bucket's classes meet its smallest
 one.  Buckets whose classes then lie in several components go on: each member outside a
@@ -48,7 +48,7 @@ BAND_SALTS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 ROW_FACTORS = mix(np.arange(100, 100 + ROWS, dtype=np.uint64)) | np.uint64(1)
 
 FEATURES = (
-    "doc_id long, n_shingles long, set_a long, set_b long, "
+    "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, "
     "signature array<long>, parity array<long>, bands array<long>"
 )
 
@@ -119,6 +119,7 @@ def _features(shingle: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array(n, pa.int64()),
                     pa.array(np.array(set_a, np.uint64).view(np.int64)),
                     pa.array(np.array(set_b, np.uint64).view(np.int64)),
@@ -126,7 +127,7 @@ def _features(shingle: int):
                     lists(np.array(odd)).cast(pa.list_(pa.int64())),
                     lists(band_keys(least)).cast(pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "parity", "bands"],
+                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "signature", "parity", "bands"],
             )
 
     return run
@@ -260,23 +261,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Per row of ``docs`` (``doc_id``, ``text``; other columns are ignored): doc_id,
     n_shingles (size of its set), component_id (smallest doc_id it reaches through links,
     itself included) and kept (it is that one).  A null or blank text has an empty set and
-    is linked with nothing.  Rows with equal texts are linked, also if they share a doc_id.
+    is linked with nothing.  Rows with equal texts are linked, also if they share a doc_id; rows
+    with one doc_id and different texts are documents of their own.
     A row without doc_id takes no part; its component_id is null and kept is false.
     """
     with Scratch(docs.sparkSession) as scratch:
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
         rows = scratch.keep(docs.mapInArrow(_features(shingle), FEATURES))
         classes = scratch.keep(
             rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
             .groupBy("set_a", "set_b")
-            .agg(F.min(F.struct("doc_id", "n_shingles", "signature", "parity", "bands")).alias("x"))
-            .select("set_a", "set_b", F.col("x.doc_id").alias("rep"), "x.n_shingles", "x.signature", "x.parity", "x.bands")
+            .agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "signature", "parity", "bands")).alias("x"))
+            .select("set_a", "set_b", F.monotonically_increasing_id().alias("rep"), "x.*")
         )
         labels = _components(scratch, docs, classes, shingle, percent)
+        placed = classes.select("rep", "doc_id").join(labels, "rep")
+        least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
         named = (
-            classes.select("set_a", "set_b", "rep", F.lit(True).alias("in_class"))
-            .join(labels, "rep", "left")
-            .select("set_a", "set_b", F.coalesce("component", "rep").alias("component"))
+            classes.select("set_a", "set_b", "rep", "doc_id")
+            .join(placed.join(least, "component").select("rep", "least"), "rep", "left")
+            .select("set_a", "set_b", F.coalesce("least", "doc_id").alias("component"))
         )
         result = (
             rows.select("doc_id", "n_shingles", "set_a", "set_b")
@@ -300,12 +304,13 @@ def _components(scratch: Scratch, docs: DataFrame, classes: DataFrame, shingle:
     involved = members.select("rep").distinct()
     facts = scratch.keep(classes.join(involved, "rep", "left_semi").select("rep", "n_shingles", "signature", "parity"))
     # Texts of the classes that are compared at all, written once for all rounds.
-    texts = scratch.keep(docs.join(facts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
+    source = classes.join(involved, "rep", "left_semi").select("rep", "doc_id", "text_hash")
+    texts = scratch.keep(docs.join(source, ["doc_id", "text_hash"]).select("rep", "text"))
     labels = facts.select("rep", F.col("rep").alias("component"))
 
     def merged(pairs: DataFrame) -> DataFrame:
         """New labels, after the pairs (one, other) were confirmed."""
-        text = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
+        text = lambda name: texts.select(F.col("rep").alias(name), F.col("text").alias(f"{name}_text"))
         confirmed = (
             pairs.select(F.least("one", "other").alias("low"), F.greatest("one", "other").alias("high"))
             .distinct()

@@ -84,7 +84,20 @@ def test_signatures_estimate_similarity(spark):
     rows = [(0, " ".join(words[:600])), (1, " ".join(words[100:700]))]
     from pyspark.sql import functions as F
 
-    found = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(near_dup._features(1), near_dup.FEATURES)
+    found = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0L AS text_hash").mapInArrow(near_dup._features(1), near_dup.FEATURES)
     one, two = (found.where(F.col("doc_id") == i).select(F.col("signature").alias(f"s{i}")) for i in (0, 1))
     estimate = near_dup.estimated_similarity(F.col("s0"), F.col("s1"))
     assert abs(one.crossJoin(two).select(estimate.alias("e")).first().e - 500 / 700) < 0.15
+
+
+def test_one_id_on_different_texts(spark):
+    """Rows of one doc_id and different texts are documents of their own; no row and no link is lost."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    near = [*words[:100], "other", *words[101:]]
+    far = [f"z{i}" for i in range(200)]
+    rows = [(1, " ".join(far)), (1, " ".join(words)), (2, " ".join(near)), (3, "alone in the world")]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order * 2, "doc_id long, text string").repartition(3)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame, 2).collect())
+        assert got == sorted([(1, 199, 1, True), (1, 199, 1, True), (2, 199, 1, False), (3, 3, 3, True)] * 2)
