@@ -5,8 +5,13 @@ as much for the next one out, and so on; link text does not count; containers ma
 content count double, those marked as menus, adverts, comments and the like not at all.
 The page votes for the generalised path of its best container (tags with their first class
 or id, digits as ``0``).  Votes are added up per host in Spark, and every page is read
-again with its host's winning path.  A page without such a container, or with nothing in
-it, falls back to its own best one.
+again with its host's winning paths: the first one, and those of other templates, which are the paths that
+at least one page in twenty voted for.  One of these is taken if it holds more than twice the text of the
+first.  A page in which all of them are empty falls back to its own best one.
+
+A name marks a menu, an advert and the like only if it does not say that something has or lacks one
+(``has-sidebar``), and not on a container that holds an article or, in a page without any, most of its text.  A
+page of which nothing is left is read without regard to names.
 
 Winning paths meet the pages by a join on host.  Hosts with more than one page in
 ``HEAVY_HOSTS`` are fewer than that many, so their paths are broadcast, and their pages are
@@ -28,11 +33,12 @@ from stmtscope.llm.url_filter import host_and_path
 from stmtscope.operators.staging import checkpointed
 
 HEAVY_HOSTS = 1000
+TEMPLATES = 20  # of a host: paths with at least one vote in so many
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
       | <[!?][^>]*(?:>|\Z)
-      | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
+      | <(/?)([a-zA-Z][^\s/><]*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>
       | </?[a-zA-Z][^<>]*(?:>|\Z|(?=<))
     """,
     re.S | re.X,
@@ -46,14 +52,16 @@ BLOCKS = CONTAINERS | frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote address hr tr tbody thead tfoot caption figcaption "
     "details summary title option".split()
 )
-RAW = frozenset("script style textarea template noscript iframe svg math select button object canvas title".split())
-SKIPPED_TAGS = frozenset("nav footer aside form dialog head".split())
+RAW = frozenset("script style textarea template noscript iframe svg select button object canvas title".split())
+SKIPPED_TAGS = frozenset("nav footer aside dialog head".split())
 SKIPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation "
     "menu sidebar aside footer cookie cookies consent notice notices popup modal overlay comment comments discussion "
     "disqus replies respond share sharing social related recommended newsletter subscribe subscription login signup "
     "breadcrumb breadcrumbs pagination pager toolbar masthead topbar widget skip form search".split()
 )
+# Parts of a name that says something about a page instead of naming a part of it.
+STATES = frozenset("has have no not with without is enabled disabled on off show hide hidden layout page".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 CONTENT_NAMES = frozenset("article post entry story content main text body".split())
 CONTENT_TAGS = frozenset(("article", "main"))
@@ -61,43 +69,78 @@ CONTENT_WEIGHT = 2.2
 
 
 class Page:
-    """Containers and text blocks of one page, in page order."""
+    """Containers and text blocks of one page, in page order.
+
+    ``step`` is a container's last part of its path; whole paths are never kept, so a deep page takes
+    no more room than its text.
+    """
 
     def __init__(self, source: str):
         self.parent = [-1]
-        self.path = [""]
+        self.step = [""]
         self.weight = [1.0]
-        self.skipped = [False]
+        self.hidden = [False]  # it or a container around it is no content for sure
+        self.named = [False]  # its own name says so
+        self.has_content = [False]  # an article is in it
         self.in_content = [False]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters outside links
         self._read(source)
+        self.skipped = self._skipped()
+        if self.blocks and not any(not self.skipped[c] and plain for c, _, plain in self.blocks):
+            self.skipped = self.hidden
 
     def _open(self, tag: str, attributes: str, at: int) -> int:
         values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
         label = values.get("class", "").split()[:1] or values.get("id", "").split()[:1]
-        names = set(re.findall("[a-z]+", f"{values.get('class', '')} {values.get('id', '')}".lower()))
+        tokens = [re.findall("[a-z]+", t) for t in f"{values.get('class', '')} {values.get('id', '')}".lower().split()]
+        names = {name for parts in tokens if not STATES & set(parts) for name in parts}
         content = tag in CONTENT_TAGS or bool(names & CONTENT_NAMES)
         plain = tag not in ("html", "body") and tag not in CONTENT_TAGS
-        skip = (
+        hidden = (
             tag in SKIPPED_TAGS
-            or values.get("role", "").lower() in SKIPPED_ROLES
-            or (plain and bool(names & SKIPPED_NAMES))
-            # A header belongs to the text only inside an article.
-            or (plain and not content and not self.in_content[at] and (tag == "header" or "header" in names))
+            or values.get("role", "").lower() in SKIPPED_ROLES - {"form"}
             or bool(re.search(r"(^|\s)hidden(\s|$|=)", re.sub("\"[^\"]*\"|'[^']*'", "", attributes)))
             or values.get("aria-hidden", "").lower() == "true"
             or "display:none" in values.get("style", "").replace(" ", "").lower()
         )
-        step = tag + ("." + re.sub("[0-9]+", "0", label[0]) if label else "")
+        named = (
+            tag == "form"
+            or values.get("role", "").lower() == "form"
+            or (plain and bool(names & SKIPPED_NAMES))
+            # A header belongs to the text only inside an article.
+            or (plain and not content and not self.in_content[at] and (tag == "header" or "header" in names))
+        )
         self.parent.append(at)
-        self.path.append(f"{self.path[at]}/{step}")
+        self.step.append(tag + ("." + re.sub("[0-9]+", "0", label[0]).replace("/", "|") if label else ""))
         self.weight.append(CONTENT_WEIGHT if content and tag not in ("html", "body") else 1.0)
-        self.skipped.append(skip or self.skipped[at])
+        self.hidden.append(hidden or self.hidden[at])
+        self.named.append(named)
+        self.has_content.append(False)
         self.in_content.append(self.in_content[at] or (content and plain) or tag in CONTENT_TAGS)
-        return len(self.path) - 1
+        if tag in CONTENT_TAGS and not self.hidden[-1]:
+            while at >= 0 and not self.has_content[at]:
+                self.has_content[at] = True
+                at = self.parent[at]
+        return len(self.step) - 1
+
+    def _skipped(self) -> list[bool]:
+        """Containers whose text does not count."""
+        size = [0] * len(self.step)
+        for container, _, plain in self.blocks:
+            if not self.hidden[container]:
+                size[container] += plain
+        for i in range(len(size) - 1, 0, -1):
+            size[self.parent[i]] += size[i]
+        skipped = list(self.hidden)
+        for i in range(1, len(size)):
+            most = not self.has_content[0] and 2 * size[i] > size[0]
+            named = self.named[i] and not self.has_content[i] and not most
+            skipped[i] = skipped[i] or named or skipped[self.parent[i]]
+        return skipped
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]
+        opened: Counter[str] = Counter()  # containers in the stack, by tag
         parts: list[str] = []
         links, linked, end = 0, 0, 0
 
@@ -109,11 +152,19 @@ class Page:
             parts.clear()
             linked = 0
 
+        def close(tag: str) -> None:
+            """Leave the innermost container of this tag, and those in it."""
+            while opened[tag]:
+                name, _ = stack.pop()
+                opened[name] -= 1
+                if name == tag:
+                    break
+
         position = 0
         while True:
             match = TOKEN.search(source, position)
             begin = match.start() if match else len(source)
-            if begin > end and not self.skipped[stack[-1][1]]:
+            if begin > end and not self.hidden[stack[-1][1]]:
                 parts.append(source[end:begin])
                 if links:
                     linked += begin - end
@@ -126,8 +177,8 @@ class Page:
             closing = match[1] == "/"
             if tag in RAW and not closing:
                 if not match[3].endswith("/"):
-                    close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(source, end)
-                    position = end = close.end() if close else len(source)
+                    close_tag = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(source, end)
+                    position = end = close_tag.end() if close_tag else len(source)
                 continue
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
@@ -137,33 +188,64 @@ class Page:
                 flush()
                 links = 0
             if tag == "head" or tag in CONTAINERS:
-                if not closing:
-                    if tag == "body" and any(t == "head" for t, _ in stack):  # an open head ends here
-                        del stack[[t for t, _ in stack].index("head") :]
-                    stack.append((tag, self._open(tag, match[3], stack[-1][1])))
-                else:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] == tag:
-                            del stack[k:]
-                            break
+                if closing:
+                    close(tag)
+                    continue
+                if tag == "body":
+                    close("head")  # an open head ends here
+                stack.append((tag, self._open(tag, match[3], stack[-1][1])))
+                opened[tag] += 1
         flush()
 
+    def _path(self, container: int) -> str:
+        steps = []
+        while container > 0:
+            steps.append(self.step[container])
+            container = self.parent[container]
+        return "".join(f"/{step}" for step in reversed(steps))
+
     def best_path(self) -> str | None:
-        score: Counter[str] = Counter()
+        # Containers of one path share a number.
+        number, numbers = [0], {}
+        for i in range(1, len(self.step)):
+            number.append(numbers.setdefault((number[self.parent[i]], self.step[i]), i))
+        score: Counter[int] = Counter()
         for container, _, plain in self.blocks:
+            if self.skipped[container]:
+                continue
             share = float(plain)
             while container >= 0 and share >= 1:
-                score[self.path[container]] += share * self.weight[container]
+                score[number[container]] += share * self.weight[container]
                 share /= 2
                 container = self.parent[container]
-        return min(score, key=lambda p: (-score[p], p)) if score else None
+        if not score:
+            return None
+        most = max(score.values())
+        return min(self._path(n) for n, s in score.items() if s == most)
 
     def text(self, path: str | None) -> str:
         """Blocks inside the containers with this path, joined by blank lines."""
-        inside = [False] * len(self.path)
-        for i, own in enumerate(self.path):
-            inside[i] = own == path or (i > 0 and inside[self.parent[i]])
-        return "\n\n".join(text for container, text, _ in self.blocks if inside[container])
+        if path is None:
+            return ""
+        steps = path.split("/")[1:]
+        depth, inside = [0], [not steps]  # how many steps lead to a container, -1 if others do
+        for i in range(1, len(self.step)):
+            up = self.parent[i]
+            at = depth[up]
+            fits = 0 <= at < len(steps) and self.step[i] == steps[at]
+            depth.append(at + 1 if fits else -1)
+            inside.append(inside[up] or (fits and at + 1 == len(steps)))
+        return "\n\n".join(text for container, text, _ in self.blocks if inside[container] and not self.skipped[container])
+
+    def main_text(self, paths: list[str] | None) -> str:
+        """Text by the host's paths, the first of them unless another holds twice as much."""
+        texts = [self.text(path) for path in paths or []]
+        if texts:
+            longest = max(texts, key=len)
+            chosen = longest if len(longest) > 2 * len(texts[0]) else texts[0]
+            if chosen:
+                return chosen
+        return self.text(self.best_path())
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,9 +263,8 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for path, source in zip(batch.column("path").to_pylist(), batch.column("html").to_pylist()):
-            page = Page(source) if source else None
-            texts.append((page.text(path) or page.text(page.best_path())) if page else "")
+        for paths, source in zip(batch.column("paths").to_pylist(), batch.column("html").to_pylist()):
+            texts.append(Page(source).main_text(paths) if source else "")
         columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text"])
 
@@ -198,27 +279,34 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     host, _ = host_and_path(F.col("url"))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
-    # Pages without any text have no path to vote for, but count for the size of their host.
-    ballot = F.when(F.col("path").isNotNull(), F.struct((-F.col("votes")).alias("votes"), "path"))
-    hosts = (
+    ballots = checkpointed(
         pages.select("host", "html")
         .mapInArrow(_votes, "host string, path string, votes long")
         .groupBy("host", "path")
         .agg(F.sum("votes").alias("votes"))
+    )
+    # Pages without any text have no path to vote for, but count for the size of their host.
+    ballot = F.when(F.col("path").isNotNull(), F.struct((-F.col("votes")).alias("votes"), "path"))
+    sizes = ballots.groupBy("host").agg(F.sum("votes").alias("n"), F.min(ballot).alias("x"))
+    # At most TEMPLATES paths of a host have that share of its votes.
+    often = (
+        ballots.join(sizes, "host")
+        .where((F.col("votes") > 1) & (F.col("votes") * TEMPLATES >= F.col("n")))
         .groupBy("host")
-        .agg(F.sum("votes").alias("n"), F.min(ballot).alias("x"))
+        .agg(F.sort_array(F.collect_list(ballot)).getField("path").alias("often"))
     )
-    hosts = checkpointed(hosts.select("host", "n", F.col("x.path").alias("path")))
+    paths = F.array_distinct(F.concat(F.array("x.path"), F.coalesce("often", F.array().cast("array<string>"))))
+    hosts = checkpointed(sizes.join(often, "host", "left").select("host", "n", F.array_compact(paths).alias("paths")))
     n_pages = hosts.agg(F.sum("n")).first()[0] or 0
     is_heavy = F.col("n") * HEAVY_HOSTS > n_pages
-    heavy = hosts.where(is_heavy).select("host", F.col("path").alias("heavy_path"), F.lit("\x00").alias("spread"))
-    light = hosts.where(~is_heavy).select(F.col("host").alias("key"), F.col("path").alias("light_path"))
+    heavy = hosts.where(is_heavy).select("host", F.col("paths").alias("heavy_paths"), F.lit("\x00").alias("spread"))
+    light = hosts.where(~is_heavy).select(F.col("host").alias("key"), F.col("paths").alias("light_paths"))
     dealt = F.concat("spread", F.monotonically_increasing_id().cast("string"))  # no host's name
     joined = (
         pages.join(F.broadcast(heavy), "host", "left")
         .withColumn("key", F.coalesce(dealt, "host"))
         .join(light, "key", "left")
-        .select("page_id", "url", F.coalesce("heavy_path", "light_path").alias("path"), "html")
+        .select("page_id", "url", F.coalesce("heavy_paths", "light_paths").alias("paths"), "html")
     )
     found = joined.mapInArrow(_extract, "page_id long, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -1,5 +1,7 @@
 """Main text of hand-made pages, alone and by their host's consensus."""
 
+import time
+
 import pytest
 
 from stmtscope.llm import html_text
@@ -50,6 +52,62 @@ def test_consensus(spark, monkeypatch, heavy_hosts):
     assert main_texts(pages.where("false")).collect() == []
 
 
+ARTICLE = "<p>The only article of this page has a sentence or two.</p><p>And it ends here, after some more words.</p>"
+ARTICLE_TEXT = "The only article of this page has a sentence or two.\n\nAnd it ends here, after some more words."
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body><div class='content has-sidebar'>{ARTICLE}</div></body>",
+        f"<body><div class='wrap no-sidebar'>{ARTICLE}</div></body>",
+        f"<body><div class='page-with-menu'>{ARTICLE}</div></body>",
+        f"<body><div class='post share-enabled'>{ARTICLE}</div></body>",
+        f"<body><div class='has-header'><article>{ARTICLE}</article></div></body>",
+        f"<body><form action=x>{MENU}<div>{ARTICLE}</div></form></body>",
+        f"<body><div class=menu><main>{ARTICLE}</main></div></body>",
+        f"<body><div class=popup>{ARTICLE}</div><p>x</p></body>",
+    ],
+)
+def test_wrappers_keep_the_article(html):
+    assert Page(html).main_text(None) == ARTICLE_TEXT
+    assert Page(html).main_text(["/html/body/other"]) == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body><article>{ARTICLE}</article><div class='site-menu'>Home About us</div></body>",
+        f"<body><article>Short.</article><div class='ad'>{ARTICLE}</div></body>",
+        f"<body><div class=story>{ARTICLE}</div><div class='cookie-banner'>We use cookies</div><form>Your name</form></body>",
+    ],
+)
+def test_named_parts_go(html):
+    assert Page(html).main_text(None) in (ARTICLE_TEXT, "Short.")
+
+
+def test_formulas_stay():
+    assert Page("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p></article>").main_text(None) == "Let x=2 be."
+
+
+def test_a_host_with_two_templates(spark):
+    one = "<body><article>Long words of an article that go on, number {0}. And on.</article><div class=box>Teaser</div></body>"
+    two = "<body><article>Teaser</article><section class=essay><p>An essay of many words stands here instead, number {0}.</p></section></body>"
+    rows = [(i, "http://h.com/", (one if i < 12 else two).format(i)) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_texts(pages).collect()}
+    assert all(f"number {i}." in got[i] for i in range(20))
+    assert not any("Teaser" in t for t in got.values())
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a b="', "<div class='x", "</section>", "<div>", "<body>", "<!--", "<script ", "&"])
+def test_broken_markup_is_read_in_linear_time(part):
+    source = "<div>" * 2000 + part * (2_000_000 // len(part))
+    begin = time.perf_counter()
+    Page(source).main_text(None)
+    assert time.perf_counter() - begin < 10
+
+
 def test_long_page():
     html = "<article>" + "<p>word</p>" * 20_000 + "<div>" * 3000 + "deep" + "</article>"
     page = Page(html)
