@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from stmtscope.llm.words import chunks
+from stmtscope.llm.scratch import share, shared_value
+from stmtscope.llm.words import chunks, words_of
 
 WORD_SLOTS, KIND_SLOTS = 3072, 1024
 SLOTS = WORD_SLOTS + KIND_SLOTS
@@ -91,8 +91,6 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def blocks(batch: pa.RecordBatch, words):
-    from stmtscope.llm.words import words_of
-
     if len(batch) <= BLOCK:
         yield 0, batch, words
         return
@@ -157,9 +155,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """``docs`` (doc_id, text) and ``labels`` (doc_id, quality) that may be learned from."""
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", "quality")
     sizes = dict(known.groupBy("quality").count().collect())
-    in_order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = known.withColumn("n", F.row_number().over(in_order)).where(F.col("n") <= PER_CLASS).drop("n")
-    chosen = docs.join(F.broadcast(sample), "doc_id")  # at most 2 * PER_CLASS rows
+    # The first rows of a sorted table: every task passes on no more than PER_CLASS of each class.
+    classes = [known.where(F.col("quality") == c).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for c in (0, 1)]
+    sample = classes[0].union(classes[1])
+    # One text for each label, the smallest if a doc_id has several: at most 2 * PER_CLASS rows.
+    chosen = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     rows = chosen.select("quality", "text").mapInArrow(
         _feature_rows, "quality int, slots array<int>, counts array<int>"
     ).toArrow()
@@ -178,10 +178,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (with a text column) plus ``score``; narrow, every column is kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Model = shared.value
+        own: Model = shared_value(shared)
         for batch, words in chunks(batches):
             found = []
             for _, part, of_part in blocks(batch, words):
