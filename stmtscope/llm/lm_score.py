@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stmtscope.llm.scratch import Scratch
+from stmtscope.llm.scratch import Scratch, share, shared_value
 from stmtscope.llm.words import Words, chunks, mix
 
 UNITS = 128
@@ -192,7 +192,7 @@ def histories(units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _count_triples(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Lexicon = shared.value
+        table: Lexicon = shared_value(shared)
         total = np.zeros(UNITS**3, np.int64)
         for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
             hashes, own, first = tokens(words)
@@ -361,8 +361,8 @@ def _history_sums(shared, unit_model):
     """Per history number: the gradient of its vector, and a signed sum of the words after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Lexicon = shared.value
-        gains, expected = unit_model.value
+        table: Lexicon = shared_value(shared)
+        gains, expected = shared_value(unit_model)
         n_history = UNITS + len(table.vocabulary)
         sums = Sums(n_history, 3 * SIZE)
         log_n = np.log(table.n_tokens + 1.0)
@@ -469,8 +469,8 @@ def _target_sums(shared, vectors):
     After them the products of the features with each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Lexicon = shared.value
-        v: Vectors = vectors.value
+        table: Lexicon = shared_value(shared)
+        v: Vectors = shared_value(vectors)
         n_own = len(table.vocabulary)
         n_items = n_own + SHARED_UNITS
         sums = Sums(n_items + 2 * SIZE, 2 * SIZE)
@@ -609,8 +609,8 @@ def other_places(table: Lexicon) -> np.ndarray:
 
 def _score(shared, model, vectors, inner):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Lexicon = shared.value
-        log_p: np.ndarray = model.value
+        table: Lexicon = shared_value(shared)
+        log_p: np.ndarray = shared_value(model)
         places = np.log10(table.n_tokens + table.n_words + 1)
         other = np.log10(other_places(table))
         for batch, words in chunks(batches):
@@ -618,7 +618,7 @@ def _score(shared, model, vectors, inner):
             found, count, units, number = table.look_up(hashes, own)
             log_count = np.where(found, np.log10(count + 1.0), 0.0)
             base = log_count - places
-            score = log_probabilities(vectors.value, inner.value, table, log_p, units, number, first)
+            score = log_probabilities(shared_value(vectors), shared_value(inner), table, log_p, units, number, first)
             score += np.where((units < OWN_UNITS) | (number >= 0), 0.0, log_count - other[units])
             sums = lambda x: pa.array(np.add.reduceat(x, first[:-1]))  # noqa: E731  each text has its end
             n = np.diff(first)
@@ -679,22 +679,22 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_out_fold: int = 2) -> DataFr
         counted = training.mapInArrow(_count_words, "word long, unit short, n long")
         counts = scratch.keep(counted.groupBy("word").agg(F.max("unit").alias("unit"), F.sum("n").alias("n")))
         table = lexicon(counts)
-        shared = spark.sparkContext.broadcast(table)
+        shared = share(spark, table)
         triples = training.mapInArrow(_count_triples(shared), "triple long, n long")
         triples = triples.groupBy("triple").agg(F.sum("n").alias("n")).toArrow()  # at most UNITS**3 rows
         dense = np.zeros(UNITS**3, np.int64)
         dense[triples.column("triple").to_numpy()] = triples.column("n").to_numpy()
         p = fit(dense)
         scores = unit_scores(p)
-        model = spark.sparkContext.broadcast((scores / np.log(10)).astype(np.float32).ravel())
-        gradients = spark.sparkContext.broadcast(unit_gradients(p, scores))
+        model = share(spark, (scores / np.log(10)).astype(np.float32).ravel())
+        gradients = share(spark, unit_gradients(p, scores))
         n_own = len(table.vocabulary)
         sums = added_up(training.mapInArrow(_history_sums(shared, gradients), NUMBERED), UNITS + n_own, 3 * SIZE)
         seen = dense.reshape(UNITS * UNITS, UNITS).sum(axis=1)
-        vectors = spark.sparkContext.broadcast(history_vectors(p, scores, seen, table, sums))
+        vectors = share(spark, history_vectors(p, scores, seen, table, sums))
         rows = training.mapInArrow(_target_sums(shared, vectors), NUMBERED)
         sums = added_up(rows, n_own + SHARED_UNITS + 2 * SIZE, 2 * SIZE)
-        inner = spark.sparkContext.broadcast(target_classes(table, sums))
+        inner = share(spark, target_classes(table, sums))
         scored = scratch.keep(docs.mapInArrow(_score(shared, model, vectors, inner), SCORED))
         rest = (
             scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))

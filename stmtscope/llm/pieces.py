@@ -28,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stmtscope.llm.scratch import share, shared_value
+
 MARK = "▁"
 OWN_MARK = "\ud800"  # a mark that the text itself holds; no valid text has this character
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -228,10 +230,10 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     A null or empty text has no ids.  Rows are handled alone, so repeated rows and ids give
     repeated results; columns other than doc_id and text are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    shared = share(docs.sparkSession, Vocabulary.load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = shared_value(shared)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
             for begin, end in text_chunks(sizes):
@@ -250,10 +252,10 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, token_ids) with the ``text`` that the ids spell."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    shared = share(encoded.sparkSession, Vocabulary.load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        vocabulary = shared_value(shared)
         for batch in batches:
             lists = batch.column("token_ids")
             ids = lists.flatten().to_numpy()

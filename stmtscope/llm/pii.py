@@ -29,6 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stmtscope.llm.scratch import share, shared_value
+
 # Kinds in the order of the result, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -286,10 +288,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     start.  A null or empty text has none.  Rows of equal text get equal results.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
+    shared = share(docs.sparkSession, train(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _each_text(batches, shared.value):
+        for part, found in _each_text(batches, shared_value(shared)):
             counts = [[sum(s[0] == kind for s in base) for base, _ in found] for kind in range(len(KINDS))]
             digests = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in found]
             columns = [part.column("doc_id"), *[pa.array(c, pa.int64()) for c in counts]]
@@ -314,10 +316,10 @@ def redacted(text: str, spans: list[Span]) -> str:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with all columns; personal data in ``text`` is replaced by its kind in
     brackets.  Texts without any, and nulls, stay as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
+    shared = share(docs.sparkSession, train(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _each_text(batches, shared.value):
+        for part, found in _each_text(batches, shared_value(shared)):
             at = part.schema.get_field_index("text")
             own = part.column("text")
             if any(every for _, every in found):

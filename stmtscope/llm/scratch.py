@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stmtscope.operators.staging import checkpointed, delete_folder, new_folder
 
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast of a value whose class travels with it, so that executors need not have this
+    package; tasks take it by ``shared_value``."""
+    return spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+
+def shared_value(shared: Broadcast):
+    """The value of ``share``; it is unpacked once per worker and stays for its later tasks."""
+    held = shared.value
+    if "value" not in held:
+        held["value"] = cloudpickle.loads(held.pop("pickled"))
+    return held["value"]
+
+
 class Scratch:
     """Tables written once and read many times.  ``with Scratch(spark) as scratch`` deletes
     them at the end, also after a failure; what is returned goes through ``result``, whose
