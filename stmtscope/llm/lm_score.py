@@ -656,6 +656,9 @@ SCORED = (
 )
 
 
+TASKS_PER_CORE = 2  # of the passes that count and add up
+
+
 def lm_scores(docs: DataFrame, folds: int = 7, held_out_fold: int = 2) -> DataFrame:
     """Every row of ``docs`` (``doc_id``, ``text``; other columns are ignored) with held_out,
     n_tokens, n_known, train_tokens, base_score (add-one word frequencies) and score, both
@@ -675,7 +678,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_out_fold: int = 2) -> DataFr
             F.coalesce(fold == held_out_fold, F.lit(False)).alias("held_out"),
             "text",
         )
-        training = docs.where(~F.col("held_out")).select("text")
+        # Few long tasks: each passes on at most a row per word of the vocabulary and pass.
+        training = docs.where(~F.col("held_out")).select("text").coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
         counted = training.mapInArrow(_count_words, "word long, unit short, n long")
         counts = scratch.keep(counted.groupBy("word").agg(F.max("unit").alias("unit"), F.sum("n").alias("n")))
         table = lexicon(counts)
