@@ -4,7 +4,7 @@ Two multinomials over hashed n-grams are estimated: one from the whole corpus, o
 trusted documents.  A document's score is the mean, over its n-grams, of the logarithm of
 trusted over corpus probability; every document whose score reaches a fixed threshold
 passes.  The n-grams are single words and pairs of neighbouring word shapes (runs of small
-letters and of capitals become one character each), so that also words never seen
+letters, of capitals and of digits become one character each), so that also words never seen
 before count by how they are written.
 
 Everything is a DataFrame expression.  Counting shuffles sums per slot; scoring is a narrow
@@ -31,8 +31,9 @@ def words_of(text: Column) -> Column:
 
 
 def shapes_of(text: Column) -> Column:
-    """The words of the text with runs of small letters and of capitals shrunk."""
-    return words_of(F.regexp_replace(F.regexp_replace(text, r"\p{Ll}+", "a"), r"\p{Lu}+", "A"))
+    """The words of the text with runs of small letters, of capitals and of digits shrunk."""
+    letters = F.regexp_replace(F.regexp_replace(text, r"\p{Ll}+", "a"), r"\p{Lu}+", "A")
+    return words_of(F.regexp_replace(letters, "[0-9]+", "0"))
 
 
 def slots_of(words: Column, shapes: Column) -> Column:
