@@ -3,24 +3,26 @@
 The patterns give the base spans (email, ip, card, phone).  Around them a field is laid over
 each document: its nodes are the base spans, with their label known, and further
 candidates (digit groups, and words that spell the name part of an email of the same text);
-neighbouring nodes form the chain, and skip edges join each node with the next one that
+neighbouring nodes form the chain (unless they are similar), and skip edges join each node with the next one that
 repeats it or resembles it (equal text, equal digits, equal last digits, equal name part)
 however far away.  Sum-product message passing over this loopy graph makes the labels of
 such nodes consistent; a candidate that ends up with a label other than "none" is added.
 So a number that is written once with its country code and later without it is found both
 times.
 
-The weights are learned from a bounded sample of documents (``SAMPLE`` rows in the order of a
-hash), where base spans are the labels and all other candidates count as none: label
-weights of the node features by logistic regression, chain and skip weights from how
-often joined nodes agree.
+The weights are learned from all documents, where base spans are the labels and all other
+candidates count as none.  Each task counts its nodes by features and label, and its edges
+by their two labels; these few cells are all that the driver sees.  Label weights of the
+features come from a logistic regression on the counted nodes, chain and skip weights from
+how much more often joined nodes agree than nodes paired at random.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +41,7 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-SAMPLE = 4096
+PRIOR = {"chain": 1.0, "skip": 64.0}  # odds of agreement against chance, worth one edge
 # A number in groups of three, three and four digits, perhaps with a country code, or any
 # seven digits and more; not inside a word.
 DIGIT_GROUP = re.compile(
@@ -99,7 +101,7 @@ class Graph:
     spans: list[tuple[int, int]]
     label: np.ndarray
     features: np.ndarray
-    chain: np.ndarray  # pairs of neighbouring nodes
+    chain: np.ndarray  # pairs of neighbouring nodes that are not similar
     skip: np.ndarray  # pairs of similar nodes
 
 
@@ -124,8 +126,8 @@ def node_features(text: str) -> list[float]:
 N_FEATURES = len(node_features(""))
 
 
-def graph_of(text: str, base: list[Span]) -> Graph | None:
-    """None if there is no candidate besides the base spans."""
+def graph_of(text: str, base: list[Span], always: bool = False) -> Graph | None:
+    """None if there is no candidate besides the base spans, unless ``always`` is set."""
     covered = sorted((a, b) for _, a, b in base)
     nodes = [(a, b, kind) for kind, a, b in base]
     names = {text[a:b].split("@")[0].lower() for kind, a, b in base if kind == 0}
@@ -139,7 +141,7 @@ def graph_of(text: str, base: list[Span]) -> Graph | None:
             i += 1
         if (i == len(covered) or covered[i][0] >= b) and (not nodes or nodes[-1][2] != -1 or nodes[-1][1] <= a):
             nodes.append((a, b, -1))
-    if len(nodes) == len(base):
+    if len(nodes) == len(base) and not (always and nodes):
         return None
     nodes.sort()
     keys: dict[tuple[str, str], int] = {}
@@ -155,13 +157,14 @@ def graph_of(text: str, base: list[Span]) -> Graph | None:
             if key in keys and keys[key] != i:
                 skip.append((keys[key], i))
             keys[key] = i
-    order = np.arange(len(nodes))
+    similar = set(skip)
+    chain = [(i, i + 1) for i in range(len(nodes) - 1) if (i, i + 1) not in similar]
     return Graph(
         [(a, b) for a, b, _ in nodes],
         np.array([kind for _, _, kind in nodes]),
         np.array([node_features(text[a:b]) for a, b, _ in nodes]),
-        np.stack([order[:-1], order[1:]], axis=1),
-        np.array(sorted(set(skip)), np.int64).reshape(-1, 2),
+        np.array(chain, np.int64).reshape(-1, 2),
+        np.array(sorted(similar), np.int64).reshape(-1, 2),
     )
 
 
@@ -208,54 +211,72 @@ class Field:
         return [(int(best[i]), *graph.spans[i]) for i in np.flatnonzero(chosen)]
 
 
-def fit(texts: list[str]) -> Field:
-    """The same weights in each run."""
+Cell = tuple[str, int, int]  # "node", features as bits, label; or kind of edge, two labels
+
+
+def cells_of(texts: Iterable[str]) -> Counter[Cell]:
+    """Nodes by features and label, edges by their labels.  Skip edges count where both labels
+    are known; candidates resembling a base span are what the field is to decide."""
+    cells: Counter[Cell] = Counter()
     none = len(KINDS)
-    rows, labels, agree = [], [], {"chain": [1, 1], "skip": [1, 1]}
+    bits = 1 << np.arange(N_FEATURES)
     for text in texts:
-        base = base_spans(text)
-        graph = graph_of(text, base)
+        graph = graph_of(text, base_spans(text), always=True)
         if graph is None:
-            rows += [node_features(text[a:b]) for _, a, b in base]
-            labels += [kind for kind, _, _ in base]
             continue
-        own = np.where(graph.label < 0, none, graph.label)
-        rows += graph.features.tolist()
-        labels += own.tolist()
-        for name, edges in (("chain", graph.chain), ("skip", graph.skip)):
-            # Candidates resembling a base span are what the field is to decide; only known labels count.
-            both = edges[(graph.label[edges] >= 0).all(axis=1)] if name == "skip" else edges
-            equal = int((own[both[:, 0]] == own[both[:, 1]]).sum())
-            agree[name][0] += equal
-            agree[name][1] += len(both) - equal
-    x, y = np.array(rows).reshape(-1, N_FEATURES), np.array(labels, np.int64)
+        own = np.where(graph.label < 0, none, graph.label).tolist()
+        masks = (graph.features.astype(np.int64) @ bits).tolist()
+        cells.update(("node", mask, label) for mask, label in zip(masks, own))
+        cells.update(("chain", own[i], own[j]) for i, j in graph.chain.tolist())
+        cells.update(("skip", own[i], own[j]) for i, j in graph.skip.tolist() if own[i] < none and own[j] < none)
+    return cells
+
+
+def _edge_weight(kind: str, cells: dict[Cell, int]) -> float:
+    """Log-odds that two joined nodes agree, less that of nodes paired at random."""
+    counts = np.zeros((len(KINDS) + 1, len(KINDS) + 1))
+    for (part, a, b), n in cells.items():
+        if part == kind:
+            counts[a, b] += n
+    ends = counts.sum(axis=0) + counts.sum(axis=1) + 1.0
+    chance = float(((ends / ends.sum()) ** 2).sum())
+    equal = float(np.trace(counts))
+    differ = float(counts.sum()) - equal
+    return float(np.log((equal + PRIOR[kind] * chance) / (differ + 1 - chance)) - np.log(chance / (1 - chance)))
+
+
+def fit(cells: dict[Cell, int]) -> Field:
+    """The same weights in each run."""
+    none = len(KINDS)
+    nodes = np.array(
+        [(mask, label, n) for (part, mask, label), n in sorted(cells.items()) if part == "node"], np.int64
+    ).reshape(-1, 3)
+    x = (nodes[:, :1] >> np.arange(N_FEATURES) & 1).astype(float)
+    share_of = nodes[:, 2] / max(1, nodes[:, 2].sum())
     weights = np.zeros((N_FEATURES, none + 1))
-    target = np.eye(none + 1)[y]
-    for _ in range(STEPS if len(y) else 0):
+    target = np.eye(none + 1)[nodes[:, 1]]
+    for _ in range(STEPS if len(nodes) else 0):
         p = x @ weights
         p = np.exp(p - p.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        weights += RATE * (x.T @ (target - p) / len(y) - 1e-3 * weights)
-    odds = {name: float(np.log(a / b)) for name, (a, b) in agree.items()}
-    return Field(weights, min(max(odds["chain"], 0.0), 0.5), min(max(odds["skip"], 4.0), 8.0))
+        weights += RATE * (x.T @ ((target - p) * share_of[:, None]) - 1e-3 * weights)
+    return Field(weights, _edge_weight("chain", cells), _edge_weight("skip", cells))
 
 
 def train(docs: DataFrame) -> Field:
-    """From ``docs`` (text): the ``SAMPLE`` texts with a digit or an @ that come first by hash."""
-    candidates = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("place"), "text")
-    shortened = candidates.mapInArrow(_snippets, "place long, text string")
-    sample = shortened.orderBy("place", "text").limit(SAMPLE).toArrow()
-    return fit(sample.column("text").to_pylist())
+    """From the counts of all of ``docs`` (text): at most one cell per set of features and label."""
+    counted = docs.where(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(_count_cells, "part string, a int, b int, n long")
+    cells = counted.groupBy("part", "a", "b").agg(F.sum("n").alias("n")).collect()
+    return fit({(r.part, r.a, r.b): r.n for r in cells})
 
 
-def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text only what the field looks at: its numbers and emails, each on a line."""
+def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cells: Counter[Cell] = Counter()
     for batch in batches:
-        out = []
-        for text in batch.column("text").to_pylist():
-            spans = sorted([(a, b) for _, a, b in base_spans(text)] + [m.span() for m in DIGIT_GROUP.finditer(text)])
-            out.append("\n".join(dict.fromkeys(text[a:b] for a, b in spans)))
-        yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(out, pa.string())], names=["place", "text"])
+        cells.update(cells_of(text.as_py() for text in batch.column("text")))
+    part, a, b = ([cell[i] for cell in cells] for i in range(3))
+    columns = [pa.array(part, pa.string()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(list(cells.values()), pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, names=["part", "a", "b", "n"])
 
 
 def written(spans: list[Span]) -> str:
