@@ -13,11 +13,15 @@ with equal scores at the boundary are resolved by the smaller vec_id.
 
 Row blocks and query blocks meet by a join on the block number; the best rows of each
 block are merged by a ranked window, of which each task first keeps its own k best.
+
+Bitmaps hold scores of any size.  Where the largest component and the widest vector allow a
+score that does not fit 64 bits, scores are summed as Python integers and merged as decimals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,8 @@ from stmtscope.llm.scratch import Scratch
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 256
 GROUPS = 4  # of query blocks; each row block meets each group in a task of its own
-LARGEST = 1 << 40  # absolute quantised value that takes part
+LARGEST = 1 << 52  # absolute quantised value that takes part: doubles are whole numbers up to here
+LONGEST = (1 << 63) - 1
 
 
 def quantised(vector, scale: float):
@@ -144,8 +149,9 @@ class Block:
         every[: len(ids)] = 1
         self.every = np.packbits(every, bitorder="little").view(np.uint64)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """vec_ids and scores of the query's k best rows other than itself."""
+    def search(self, query_id: int, query: np.ndarray, k: int, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """vec_ids and scores of the query's k best rows other than itself; ``wide`` scores are
+        Python integers."""
         width = max(len(query), self.values.shape[1])
         weights = np.zeros(width, np.int64)
         weights[: len(query)] = query
@@ -158,7 +164,9 @@ class Block:
         for own in range(*np.searchsorted(self.ids, [query_id, query_id + 1])):
             rows[own // 64] &= ~np.uint64(1 << (own % 64))
         found = best_rows(score, rows, k)
-        exact = sum((int(w) * self.values[found, d] for d, w in enumerate(weights) if w), np.zeros(len(found), np.int64))
+        # Python integers where 64 bits may not do.
+        best = self.values[found].astype(object if wide else np.int64)
+        exact = sum((int(w) * best[:, d] for d, w in enumerate(weights) if w), np.zeros(len(found), best.dtype))
         return self.ids[found], exact
 
 
@@ -189,7 +197,9 @@ def _blocks(size: int):
     return run
 
 
-def _search(k: int):
+def _search(k: int, wide: bool):
+    score = pa.decimal128(38, 0) if wide else pa.int64()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, Block] | None = None
         for batch in batches:
@@ -200,12 +210,12 @@ def _search(k: int):
                     last = row["block"], Block(ids, values)
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
                 queries = np.frombuffer(row["query_v"], np.int64).reshape(len(query_ids), row["query_width"])
-                found = [last[1].search(int(i), q, k) for i, q in zip(query_ids, queries)]
+                found = [last[1].search(int(i), q, k, wide) for i, q in zip(query_ids, queries)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(query_ids, [len(x) for x, _ in found])),
                         pa.array(np.concatenate([x for x, _ in found])),
-                        pa.array(np.concatenate([x for _, x in found])),
+                        pa.array([Decimal(s) for _, x in found for s in x] if wide else np.concatenate([x for _, x in found]), score),
                     ],
                     names=["query_id", "vec_id", "score"],
                 )
@@ -222,8 +232,8 @@ def top_k(
 
     Returns query_id, rank (from 1), vec_id and score; equal scores by smaller vec_id.  Rows
     without vec_id, with a null vector, or with a null, infinite or not-a-number component
-    (or one above 2**40 when quantised) take no part.  Shorter vectors count as ending in
-    zeros; an empty one scores 0 everywhere.  Repeated rows with one vec_id are one row each
+    (or one above 2**52 when quantised) take no part.  A score beyond a long is given as the
+    nearest long, but ranked by its exact value.  Shorter vectors count as ending in zeros; an empty one scores 0 everywhere.  Repeated rows with one vec_id are one row each
     as candidates, none of them for the query with that id; equal repeated queries are asked once.
     """
     with Scratch(vectors.sparkSession) as scratch:
@@ -233,7 +243,10 @@ def top_k(
             )
         )
         packed = "block int, ids binary, v binary, width int"
-        n_blocks = -(-rows.count() // BLOCK_ROWS) or 1
+        magnitude = F.array_max(F.transform("q", lambda x: F.abs(x)))
+        n_rows, width, most = rows.agg(F.count("*"), F.max(F.size("q")), F.max(magnitude)).first()
+        wide = (width or 0) * (most or 0) ** 2 > LONGEST
+        n_blocks = -(-n_rows // BLOCK_ROWS) or 1
         index = scratch.keep(rows.repartition(n_blocks).mapInArrow(_blocks(2 * BLOCK_ROWS), packed))
         queries = rows.where(F.col("vec_id") % query_every == 0).dropDuplicates(["vec_id", "q"])
         asked = queries.mapInArrow(_blocks(BLOCK_QUERIES), packed).select(
@@ -248,8 +261,13 @@ def top_k(
         found = (
             asked.join(index.withColumn("part", F.explode(parts)), ["block", "part"])
             .select("block", "ids", "v", "width", "query_ids", "query_v", "query_width")
-            .mapInArrow(_search(k), "query_id long, vec_id long, score long")
+            .mapInArrow(_search(k, wide), f"query_id long, vec_id long, score {'decimal(38,0)' if wide else 'long'}")
         )
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        return scratch.result(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+        score = F.col("score")
+        if wide:
+            score = F.greatest(F.lit(-LONGEST - 1).cast("decimal(38,0)"), F.least(F.lit(LONGEST).cast("decimal(38,0)"), score)).cast("long")
+        return scratch.result(
+            ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
+        )

@@ -37,6 +37,27 @@ def test_edge_cases(spark):
     assert [tuple(r) for r in top_k(same).collect()] == [(0, 1, 1, 4096)]
 
 
+@pytest.mark.parametrize("block_rows", [16, 100_000])
+def test_scores_beyond_64_bits(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
+    rng = np.random.default_rng(4)
+    v = rng.integers(-(1 << 45), 1 << 45, (60, 5))
+    v[7] = v[0]
+    v[30:50] >>= 36  # some scores that fit
+    rows = [(int(i), (x / 64).tolist()) for i, x in enumerate(v)]
+    rows += [(100, [2.0**33]), (101, [2.0**60, 1.0])]  # the last is too large
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), k=61).collect()
+    vectors = {i: [int(c) for c in x] for i, x in enumerate(v)} | {100: [1 << 39]}
+    clipped = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    for q in (0, 20, 40, 100):
+        scores = {i: sum(a * b for a, b in zip(vectors[q], x)) for i, x in vectors.items() if i != q}
+        order = sorted(scores, key=lambda i: (-scores[i], i))
+        found = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert found == [(n + 1, i, clipped(scores[i])) for n, i in enumerate(order)]
+    two = spark.createDataFrame([(0, [2.0**33]), (1, [2.0**33])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in top_k(two).collect()] == [(0, 1, 1, (1 << 63) - 1)]
+
+
 def test_bitmap_sums():
     rng = np.random.default_rng(0)
     values = rng.integers(0, 100, (130, 5))
