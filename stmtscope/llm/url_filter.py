@@ -10,7 +10,8 @@ URLs sets the score from which URLs are allowed.
 The log-ratio of a position is a sum over context lengths: what a stored n-gram adds to the
 shorter one, or, where the n-gram was never seen, what its context gives away to the shorter
 one.  So a lookup table of n-grams and contexts is all that scoring needs.  It is whole at
-every size; up to 2**SLOT_BITS rows are broadcast, a larger table is joined by shuffle.
+every size; up to 2**SLOT_BITS rows are broadcast, a larger table is joined by shuffle with
+the distinct n-grams of the URLs, whose few frequent ones are broadcast to the rows.
 Only DataFrame functions are used.
 """
 
@@ -26,6 +27,7 @@ from stmtscope.llm.scratch import Scratch
 
 ORDER = 3  # characters of context at most
 SLOT_BITS = 18
+HOT_BITS = 16
 BIN = 0.005  # of the calibrated score
 SCORE_LIMIT = 20.0  # scores beyond it fall into the outermost bins
 UNIFORM = 1.0 / 256  # probability of any character without context
@@ -133,32 +135,65 @@ def train(scratch: Scratch, labelled: DataFrame) -> DataFrame:
     return scratch.keep(table)
 
 
-def scored(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """``rows`` (subject and other columns) with ``score``, the log-ratio per character."""
+def looked_up(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """``grams`` (gram_key, context_key and other columns) with what each adds to the log-ratio."""
+    found = grams.join(
+        model.select(F.col("key").alias("gram_key"), F.col("value").alias("gram_value")), "gram_key", "left"
+    ).join(model.select(F.col("key").alias("context_key"), F.col("value").alias("context_value")), "context_key", "left")
+    value = F.coalesce("gram_value", "context_value", F.lit(0.0))
+    return found.withColumn("value", value).drop("gram_value", "context_value")
+
+
+def scored(scratch: Scratch, rows: DataFrame, model: DataFrame) -> DataFrame:
+    """``rows`` (subject and other columns) with ``score``, the log-ratio per character.
+
+    A model of up to 2**SLOT_BITS rows is broadcast.  A larger one meets each distinct n-gram
+    of the rows once.  Of these, the frequent ones (at least one in 2**HOT_BITS of all
+    positions and orders, so at most 2**HOT_BITS in number) are then broadcast to the rows, and
+    the others, none of which is frequent, are joined by shuffle.
+    """
     columns = rows.columns
     small = model.count() <= 1 << SLOT_BITS  # rows of two numbers
-    known = F.broadcast(model) if small else model.hint("merge")
-    grams = with_ngrams(rows.withColumn("row", F.monotonically_increasing_id())).select(
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if not small:
+        rows = scratch.keep(rows)
+    grams = with_ngrams(rows).select(
         "row",
         *columns,
         "n_positions",
         key_of("gram", F.col("order"), F.col("gram")).alias("gram_key"),
         key_of("context", F.col("order"), F.col("context")).alias("context_key"),
     )
-    found = grams.join(
-        known.select(F.col("key").alias("gram_key"), F.col("value").alias("gram_value")), "gram_key", "left"
-    ).join(known.select(F.col("key").alias("context_key"), F.col("value").alias("context_value")), "context_key", "left")
-    value = F.coalesce("gram_value", "context_value", F.lit(0.0))
-    summed = found.groupBy("row", *columns, "n_positions").agg(F.sum(value).alias("total"))
+    if small:
+        found = looked_up(grams, F.broadcast(model)).groupBy("row", *columns, "n_positions")
+        summed = found.agg(F.sum("value").alias("total"))
+    else:
+        distinct = grams.groupBy("gram_key", "context_key").agg(F.count("*").alias("n"))
+        distinct = scratch.keep(looked_up(distinct, model.hint("merge")))
+        total = distinct.agg(F.sum("n")).first()[0] or 0
+        frequent = F.col("n") * (1 << HOT_BITS) >= total
+        hot = distinct.where(frequent).select("gram_key", F.col("value").alias("hot_value"))
+        # Numbers of the row only: the texts stay where they are until the sums come back.
+        keys = grams.select("row", "gram_key").join(F.broadcast(hot), "gram_key", "left")
+        rare = keys.where("hot_value IS NULL").join(
+            distinct.where(~frequent).select("gram_key", "value").hint("merge"), "gram_key"
+        )
+        parts = keys.where("hot_value IS NOT NULL").select("row", F.col("hot_value").alias("value")).unionByName(
+            rare.select("row", "value")
+        )
+        totals = parts.groupBy("row").agg(F.sum("value").alias("total"))
+        n_positions = F.size(F.regexp_extract_all(F.concat("subject", F.lit(END)), F.lit("(?s)."), F.lit(0)))
+        summed = rows.join(totals, "row").withColumn("n_positions", n_positions)
     return summed.select(*columns, (F.col("total") / F.col("n_positions")).alias("score"))
 
 
-def calibrate(labelled: DataFrame, model: DataFrame) -> float:
+def calibrate(scratch: Scratch, labelled: DataFrame, model: DataFrame) -> float:
     """Score from which URLs are allowed: the one with the best mean of the two classes'
-    hit rates (of several, the lowest).  0 if a class is missing."""
+    hit rates (of several, the lowest), in the middle between the scores next to it.  0 if a
+    class is missing."""
     score = F.greatest(F.lit(-SCORE_LIMIT), F.least(F.lit(SCORE_LIMIT), F.col("score")))
     bins = (
-        scored(labelled, model)
+        scored(scratch, labelled, model)
         .groupBy(F.floor(score / BIN).alias("bin"))
         .agg(
             F.sum(F.when(F.col("verdict") == "allow", F.col("n")).otherwise(0)).alias("allow"),
@@ -168,9 +203,12 @@ def calibrate(labelled: DataFrame, model: DataFrame) -> float:
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most 2 * SCORE_LIMIT / BIN + 1 bins
     everything = Window.partitionBy()
     missed = lambda side: F.try_divide(F.coalesce(F.sum(side).over(below), F.lit(0)), F.sum(side).over(everything))
-    rates = bins.select("bin", (1 - missed("allow") + missed("block")).alias("rate"))
+    before = F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, F.col("bin"))
+    rates = bins.select(
+        "bin", ((before + F.col("bin")) / 2).alias("middle"), (1 - missed("allow") + missed("block")).alias("rate")
+    )
     best = rates.where("rate IS NOT NULL").orderBy(F.desc("rate"), "bin").first()
-    return best["bin"] * BIN if best else 0.0
+    return best["middle"] * BIN if best else 0.0
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -194,7 +232,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         held_out = F.crc32(F.encode("subject", "utf-8")) % 5 == 0
         model = train(scratch, labelled.where(~held_out))
-        threshold = calibrate(labelled.where(held_out), model)
-        found = scored(judged.withColumn("subject", subject), model)
+        threshold = calibrate(scratch, labelled.where(held_out), model)
+        found = scored(scratch, judged.withColumn("subject", subject), model)
         verdict = F.coalesce("decided", F.when(F.col("score") >= threshold, "allow").otherwise("block"))
         return scratch.result(found.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score"))

@@ -76,18 +76,52 @@ def test_scores(spark):
     with Scratch(spark) as scratch:
         model = url_filter.train(scratch, spark.createDataFrame(labelled, "subject string, verdict string, n long"))
         rows = spark.createDataFrame([(s,) for s in subjects], "subject string")
-        got = {r.subject: r.score for r in url_filter.scored(rows, model).collect()}
+        got = {r.subject: r.score for r in url_filter.scored(scratch, rows, model).collect()}
     for s in subjects:
         assert got[s] == pytest.approx(by_dictionary(labelled, s), abs=1e-9), s
 
 
-def test_no_entry_is_lost_in_a_small_table(spark, monkeypatch):
+@pytest.mark.parametrize("hot_bits", [0, 3, 16])
+def test_a_large_table_is_joined_without_frequent_keys(spark, monkeypatch, hot_bits):
     monkeypatch.setattr(url_filter, "SLOT_BITS", 3)
+    monkeypatch.setattr(url_filter, "HOT_BITS", hot_bits)
     labelled = [("news.org/en/1", "allow", 3), ("casino.net/win", "block", 2)]
-    subjects = ["news.org/en/77", "bigcasino.net/", ""]
-    with Scratch(spark) as scratch:
-        model = url_filter.train(scratch, spark.createDataFrame(labelled, "subject string, verdict string, n long"))
-        rows = spark.createDataFrame([(s,) for s in subjects], "subject string")
-        got = {r.subject: r.score for r in url_filter.scored(rows, model).collect()}
-    for s in subjects:
-        assert got[s] == pytest.approx(by_dictionary(labelled, s), abs=1e-9), s
+    subjects = ["news.org/en/77", "bigcasino.net/", "", "a" * 5000, "news.org/en/77"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with Scratch(spark) as scratch:
+            model = url_filter.train(scratch, spark.createDataFrame(labelled, "subject string, verdict string, n long"))
+            rows = spark.createDataFrame([(s, i) for i, s in enumerate(subjects)], "subject string, row_number int").repartition(3)
+            found = url_filter.scored(scratch, rows, model).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    got = {r.row_number: r for r in found}
+    assert len(found) == len(subjects)
+    for i, s in enumerate(subjects):
+        assert got[i].subject == s
+        assert got[i].score == pytest.approx(by_dictionary(labelled, s), abs=1e-9), s
+
+
+def test_both_plans_judge_alike(spark, monkeypatch):
+    rows = [(i, f"http://host{i % 7}.{'org' if i % 2 else 'net'}/{'en' if i % 3 else 'win'}/{i}") for i in range(200)] + [(None, None)]
+    rules = (("host1.org", "/", "allow"), ("host3.org", "/", "allow"), ("host2.net", "/", "block"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    small = {r.page_id: r for r in filter_urls(pages, rules).collect()}
+    monkeypatch.setattr(url_filter, "SLOT_BITS", 3)
+    monkeypatch.setattr(url_filter, "HOT_BITS", 4)
+    large = {r.page_id: r for r in filter_urls(pages, rules).collect()}
+    assert small.keys() == large.keys()
+    for i, r in small.items():
+        assert (r.host, r.path, r.rule, r.verdict) == (large[i].host, large[i].path, large[i].rule, large[i].verdict)
+        assert r.score == pytest.approx(large[i].score, abs=1e-9)
+
+
+def test_undecided_urls_are_told_apart(spark):
+    """Hosts that no rule names, of the two kinds that the rules teach."""
+    good = [f"http://news{i % 4}.{c}/en/article-{i}" for i in range(60) for c in ("org", "com")]
+    bad = [f"http://casino{i % 4}.{c}/win-bonus-{i}" for i in range(60) for c in ("org", "com")]
+    rules = [(f"{name}{i}.org", "/", verdict) for name, verdict in (("news", "allow"), ("casino", "block")) for i in range(4)]
+    pages = spark.createDataFrame(list(enumerate(good + bad)), "page_id long, url string")
+    undecided = [r for r in filter_urls(pages, rules).collect() if r.rule is None]
+    assert len(undecided) == 120
+    assert sum((r.verdict == "allow") == (r.page_id < len(good)) for r in undecided) >= 114
