@@ -21,6 +21,9 @@ texts adds up per word, target vectors by one Newton step from a second such pas
 are bounded and both kinds of vectors are drawn to their start values, so that words with
 few tokens stay near them.
 
+Texts are cut into words twice: to count them, and to write them as codes, which all later
+passes read.  Each word's vectors are fitted in the task that owns its sums.
+
 Held in memory are the triples (``UNITS ** 3``), a table of ``SLOTS`` word counts, in which
 the more frequent of two words with equal slot stays, and the vocabulary with its vectors.
 Counts of all other words reach the documents by a join; none of them is frequent.
@@ -33,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +50,15 @@ SLOTS = 1 << 18
 SIZE = 16  # of the vectors
 NOISE = 10  # noise samples per token
 EPOCHS, RATE, HISTORIES = 40, 0.05, 2048  # histories in a training step
-PASS_BYTES = 2 << 20  # of text handled at once
+PASS_BYTES, PASS_TOKENS = 2 << 20, 1 << 18  # of text handled at once
 MIN_COUNT = 32  # of a word with vectors of its own
 HISTORY_PRIOR, TARGET_PRIOR = 30.0, 200.0  # tokens that a word's start values weigh as much as
-NEWTON_STEPS = 6
+NEWTON_STEPS, SETTLED = 6, 1e-5
 DAMPING = 0.7  # of history vectors, since those of both words before are fitted at once
 FEATURE_SIZE = 0.15  # of its spread: features are nearly signs
-BLOCK = 1 << 15  # tokens whose unit scores are held at once
+BLOCK = 1 << 18  # scores held at once, so that they stay near the processor
+FEATURE_BLOCK = 1 << 13  # tokens whose hidden vectors are held at once
+SAFE = 60.0  # exp of a score up to this size, and sums of it, are ordinary single floats
 MOST_COUNTED = 1_000_000  # distinct words that a task holds before it sends their counts
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
 
@@ -114,8 +120,8 @@ class Lexicon:
     n_words: int
     unit_total: np.ndarray  # of a shared unit: tokens + words + 1; of the others: 1
 
-    def look_up(self, hashes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Whether each token is in the table, its count (else 0), its unit and its number."""
+    def codes(self, hashes: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Index of each token in the table; of a token outside it, -1 less its shared unit."""
         mask = len(self.place) - 1
         spot = hashes & mask
         at = self.place[spot]
@@ -124,13 +130,17 @@ class Lexicon:
             spot[open_] = (spot[open_] + 1) & mask
             at[open_] = self.place[spot[open_]]
             open_ = open_[(at[open_] >= 0) & (self.word[at[open_]] != hashes[open_])]
-        found = at >= 0
-        return (
-            found,
-            np.where(found, self.count[at], 0),
-            np.where(found, self.unit[at], OWN_UNITS + shared).astype(np.int64),
-            np.where(found, self.own[at], -1),
-        )
+        return np.where(at >= 0, at, -1 - shared).astype(np.int32)
+
+    def units_and_numbers(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit of each token, and its number if it has vectors of its own, else -1."""
+        at = np.maximum(codes, -1)
+        return np.where(codes >= 0, self.unit[at], OWN_UNITS - 1 - codes).astype(np.int64), self.own[at]
+
+    def look_up(self, hashes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Whether each token is in the table, its count (else 0), its unit and its number."""
+        codes = self.codes(hashes, shared)
+        return codes >= 0, self.count[np.maximum(codes, -1)], *self.units_and_numbers(codes)
 
     @property
     def vocabulary(self) -> np.ndarray:
@@ -190,13 +200,53 @@ def histories(units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return two, one
 
 
+def _binary(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Values of each text, the first of which are given, as bytes."""
+    buffers = [None, pa.py_buffer((first * values.itemsize).astype(np.int64).tobytes()), pa.py_buffer(values.tobytes())]
+    return pa.Array.from_buffers(pa.large_binary(), len(first) - 1, buffers).cast(pa.binary())
+
+
+CODED = "row long, doc_id long, held_out boolean, codes binary, others binary"
+
+
+def _code(shared):
+    """Texts as codes of their tokens, and the hashes of those outside the table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: Lexicon = shared_value(shared)
+        for batch, words in chunks(batches, chunk_bytes=PASS_BYTES):
+            hashes, units, first = tokens(words)
+            codes = table.codes(hashes, units)
+            outside = np.flatnonzero(codes < 0)
+            columns = [_binary(codes, first), _binary(hashes[outside], np.searchsorted(outside, first))]
+            kept = [batch.column(c) for c in ("row", "doc_id", "held_out")]
+            yield pa.RecordBatch.from_arrays(kept + columns, names=["row", "doc_id", "held_out", "codes", "others"])
+
+    return run
+
+
+def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of coded texts with about ``PASS_TOKENS`` tokens (a longer text is a slice of its
+    own), their codes, the hashes of tokens outside the table, and the first token of each text."""
+    values = lambda a, kind: np.frombuffer(b"".join(a.to_pylist()), kind)
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("codes")).to_numpy(zero_copy_only=False).astype(np.int64) // 4)
+        begin = 0
+        while begin < batch.num_rows:
+            done = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + PASS_TOKENS, side="right")))
+            piece = batch.slice(begin, end - begin)
+            first = np.append(0, ends[begin:end] - done)
+            yield piece, values(piece.column("codes"), np.int32), values(piece.column("others"), np.int64), first
+            begin = end
+
+
 def _count_triples(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Lexicon = shared_value(shared)
         total = np.zeros(UNITS**3, np.int64)
-        for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
-            hashes, own, first = tokens(words)
-            _, _, units, _ = table.look_up(hashes, own)
+        for _, codes, _, first in coded(batches):
+            units, _ = table.units_and_numbers(codes)
             two, one = histories(units, first)
             total += np.bincount((two * UNITS + one) * UNITS + units, minlength=UNITS**3)
         at = np.flatnonzero(total)
@@ -290,9 +340,9 @@ class Sums:
         used = np.flatnonzero(here)
         self.seen[used] = True
         self.short[used] = np.arange(len(used))
-        numbers = self.short[numbers]
-        for k, column in enumerate(columns, begin):
-            self.total[used, k] += np.bincount(numbers, column, len(used))
+        numbers = self.short[numbers].astype(np.int64)
+        found = np.stack([np.bincount(numbers, column, len(used)) for column in columns], axis=1)
+        self.total[used, begin : begin + found.shape[1]] += found
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         numbers = np.flatnonzero(self.seen)
@@ -309,35 +359,42 @@ def _number_rows(numbers: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), sums], names=["number", "sums"])
 
 
-def _add_up(width: int):
+def _add_up(width: int, finish=None):
+    """Sums by number; ``finish`` makes of them the rows that a number's task passes on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        held_rows = 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             numbers, sums = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(numbers, kind="stable")
-            numbers = numbers[order]
-            first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
-            return numbers[first], np.add.reduceat(sums[order], first, axis=0)
+            numbers, spot = np.unique(numbers, return_inverse=True)
+            return numbers, np.stack([np.bincount(spot, column, len(numbers)) for column in sums.T], axis=1)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             values = np.frombuffer(b"".join(batch.column("sums").to_pylist()), np.float32)
-            held.append((batch.column("number").to_numpy(), values.reshape(-1, width).astype(np.float64)))
-            if len(held) >= 16:
+            held.append((batch.column("number").to_numpy(), values.reshape(-1, width)))
+            held_rows += batch.num_rows
+            if held_rows > 2 * len(held[0][0]) + ROWS:
                 held = [merged()]
+                held_rows = len(held[0][0])
         if held:
             numbers, sums = merged()
-            yield from _number_rows(numbers, sums)
+            held.clear()
+            for i in range(0, len(numbers), FITTED):
+                part, values = numbers[i : i + FITTED], sums[i : i + FITTED]
+                yield from _number_rows(part, values if finish is None else finish(part, values))
 
     return run
 
 
-def added_up(rows: DataFrame, size: int, width: int) -> np.ndarray:
-    """Sums by number over all tasks; only one row per number reaches the driver."""
-    got = rows.repartition("number").mapInArrow(_add_up(width), NUMBERED).toArrow()
-    total = np.zeros((size, width))
+def added_up(rows: DataFrame, size: int, width: int, finish=None) -> np.ndarray:
+    """Sums by number over all tasks, and what ``finish`` makes of them in the task that owns
+    the number; one row per number reaches the driver."""
+    got = rows.repartition("number").mapInArrow(_add_up(width, finish), NUMBERED).toArrow()
+    total = np.zeros((size, width), np.float32)
     for batch in got.to_batches():
         values = np.frombuffer(b"".join(batch.column("sums").to_pylist()), np.float32)
         total[batch.column("number").to_numpy()] = values.reshape(-1, width)
@@ -346,6 +403,7 @@ def added_up(rows: DataFrame, size: int, width: int) -> np.ndarray:
 
 NUMBERED = "number int, sums binary"
 ROWS = 1 << 14  # of a batch
+FITTED = 1 << 11  # numbers whose vectors are fitted at once
 
 
 def numbers_of(units: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -365,16 +423,18 @@ def _history_sums(shared, unit_model):
         gains, expected = shared_value(unit_model)
         n_history = UNITS + len(table.vocabulary)
         sums = Sums(n_history, 3 * SIZE)
-        log_n = np.log(table.n_tokens + 1.0)
-        for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
-            hashes, shared_units, first = tokens(words)
-            _, count, units, own = table.look_up(hashes, shared_units)
+        rarities = 1 - np.log(table.count + 1.0) / np.log(table.n_tokens + 1.0)
+        for _, codes, others, first in coded(batches):
+            units, own = table.units_and_numbers(codes)
+            at = np.maximum(codes, -1)
+            hashes = table.word[at]
+            hashes[codes < 0] = others
             two, one = histories(units, first)
             history = two * UNITS + one
             two, one = histories(numbers_of(units, own), first)
             for side, before in enumerate((one, two)):
                 sums.add(before, (gains[k][units] - expected[k][history] for k in range(SIZE)), side * SIZE)
-            rarity = 1 - np.log(count + 1.0) / log_n
+            rarity = rarities[at]
             sums.add(one, (_signs(hashes, k) * rarity for k in range(SIZE)), 2 * SIZE)
         yield from sums.rows()
 
@@ -393,11 +453,24 @@ class Vectors:
     bias: np.ndarray
     usual: np.ndarray  # size of each feature
 
-    def features(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
-        """Bounded, since a target's vector comes from their mean and spread."""
-        f = np.concatenate([self.two[two] + self.one[one], self.after[one]], axis=1)
-        f /= self.usual
-        return np.tanh(f, out=f)
+    def __post_init__(self):
+        """Features are bounded, since a target's vector comes from their mean and spread."""
+        self.scale = 1 / self.usual[:SIZE]
+        self.after = np.tanh(self.after / self.usual[SIZE:])
+
+    def hidden(self, two: np.ndarray, one: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        """Hidden vectors of the tokens, some at a time."""
+        for i in range(0, len(one), FEATURE_BLOCK):
+            part = slice(i, min(i + FEATURE_BLOCK, len(one)))
+            h = self.two[two[part]]
+            h += self.one[one[part]]
+            yield part, h
+
+    def bounded(self, hidden: np.ndarray, one: np.ndarray, out: np.ndarray) -> None:
+        """Features of tokens, one per row of ``out``."""
+        hidden = hidden * self.scale
+        out[:, :SIZE] = np.tanh(hidden, out=hidden)
+        out[:, SIZE:] = self.after[one]
 
 
 def unit_gradients(p: dict[str, np.ndarray], scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -416,52 +489,87 @@ def _steps(q: np.ndarray, chance: np.ndarray, gradient: np.ndarray, n: np.ndarra
     outer = lambda x: x[:, :, None] * x[:, None]
     spread_of = lambda p, mean: (p @ products).reshape(-1, SIZE, SIZE) - outer(mean)
     prior = spread_of(chance, mean) * (HISTORY_PRIOR / n)[:, None, None] + np.eye(SIZE) * 1e-6
-    tilt = lambda x: chance * np.exp(np.minimum(x @ q.T - (x * mean).sum(axis=1)[:, None], 50))
-    pull = lambda x: (prior @ x[:, :, None])[:, :, 0]
 
-    def gain(x):
-        return (x * target).sum(axis=1) - np.log(tilt(x).sum(axis=1)) - (x * pull(x)).sum(axis=1) / 2
+    def tilt(x, rows):
+        return chance[rows] * np.exp(np.minimum(x @ q.T - (x * mean[rows]).sum(axis=1)[:, None], 50))
+
+    def pull(x, rows):
+        return (prior[rows] @ x[:, :, None])[:, :, 0]
 
-    best = gain(at)
+    def gain(x, rows):
+        likelihood = (x * target[rows]).sum(axis=1) - np.log(tilt(x, rows).sum(axis=1))
+        return likelihood - (x * pull(x, rows)).sum(axis=1) / 2
+
+    rows = np.arange(len(at))  # those that still move
+    best = gain(at, rows)
     for _ in range(NEWTON_STEPS):
-        p = tilt(at)
+        x = at[rows]
+        p = tilt(x, rows)
         p /= p.sum(axis=1, keepdims=True)
         expected = p @ q
         spread = spread_of(p, expected)
-        slope = target - (expected - mean) - pull(at)
-        step = np.linalg.solve(spread + prior, slope[:, :, None])[:, :, 0]
+        slope = target[rows] - (expected - mean[rows]) - pull(x, rows)
+        step = np.linalg.solve(spread + prior[rows], slope[:, :, None])[:, :, 0]
+        new = gain(x + step, rows)
+        worse = np.flatnonzero(new < best[rows])
         for _ in range(12):  # a step that loses is halved
-            new = gain(at + step)
-            worse = new < best
-            if not worse.any():
+            if not len(worse):
                 break
             step[worse] /= 2
-        step[worse] = 0
-        at, best = at + step, np.where(worse, best, new)
+            new[worse] = gain(x[worse] + step[worse], rows[worse])
+            worse = worse[new[worse] < best[rows[worse]]]
+        step[worse], new[worse] = 0, best[rows[worse]]
+        at[rows], best[rows] = x + step, new
+        rows = rows[np.abs(step).max(axis=1, initial=0) > SETTLED]
+        if not len(rows):
+            break
     return at
 
 
-def history_vectors(p: dict[str, np.ndarray], scores: np.ndarray, seen: np.ndarray, table: Lexicon, sums: np.ndarray) -> Vectors:
-    """Vectors of each word, fitted from its unit's; ``seen`` counts each history."""
-    vocabulary = table.vocabulary
-    unit = table.unit[vocabulary].astype(np.int64)
-    n = np.concatenate([seen.reshape(UNITS, UNITS).sum(axis=0), table.count[vocabulary]]).astype(np.float64)
+def start_vectors(p: dict[str, np.ndarray], scores: np.ndarray, seen: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For the second and the first word before: vectors of the units, and how often each unit
+    (column) is expected after a unit (row).  ``seen`` counts each history."""
     sides = []
-    for axis, start, columns in ((1, p["r"] @ p["a"], slice(SIZE, 2 * SIZE)), (0, p["r"] @ p["b"], slice(SIZE))):
-        joint = np.exp(scores).reshape(UNITS, UNITS, UNITS) * (seen.reshape(UNITS, UNITS, 1) + 1e-3)
+    joint = np.exp(scores).reshape(UNITS, UNITS, UNITS) * (seen.reshape(UNITS, UNITS, 1) + 1e-3)
+    for axis, start in ((1, p["r"] @ p["a"]), (0, p["r"] @ p["b"])):
         chance = joint.sum(axis=axis)
-        chance /= chance.sum(axis=1, keepdims=True)
-        whole = np.concatenate([start, start[unit]])
-        for i in range(0, len(unit), 4096):
-            part = slice(UNITS + i, UNITS + i + 4096)
-            whole[part] += DAMPING * _steps(p["q"], chance[unit[i : i + 4096]], sums[part, columns], n[part])
-        sides.append(whole)
-    after = sums[:, 2 * SIZE :] - n[:, None] * sums[:, 2 * SIZE :].sum(axis=0) / max(1.0, n.sum())
+        sides.append((start, chance / chance.sum(axis=1, keepdims=True)))
+    return sides
+
+
+def _history_vectors(shared, starts, q: np.ndarray):
+    """From the sums of some numbers: vectors of each as the first and as the second word
+    before, fitted from its unit's, and unchanged the sums of the words after it."""
+
+    def finish(numbers: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        table: Lexicon = shared_value(shared)
+        fitted = np.flatnonzero(numbers >= UNITS)
+        word = table.vocabulary[numbers[fitted] - UNITS]
+        unit = numbers.astype(np.int64)
+        unit[fitted] = table.unit[word]
+        out = [None, None, sums[:, 2 * SIZE :]]
+        for side, (start, chance) in enumerate(shared_value(starts)):
+            out[side] = start[unit]
+            gradient = sums[fitted, (1 - side) * SIZE : (2 - side) * SIZE]
+            out[side][fitted] += DAMPING * _steps(q, chance[unit[fitted]], gradient, table.count[word].astype(np.float64))
+        return np.concatenate(out, axis=1)
+
+    return finish
+
+
+def history_vectors(p: dict[str, np.ndarray], starts, seen: np.ndarray, table: Lexicon, fitted: np.ndarray) -> Vectors:
+    """Vectors of all numbers; ``fitted`` has a row per number with what ``_history_vectors`` gave."""
+    n = np.concatenate([seen.reshape(UNITS, UNITS).sum(axis=0), table.count[table.vocabulary]]).astype(np.float64)
+    sides = [fitted[:, :SIZE], fitted[:, SIZE : 2 * SIZE]]
+    for side, (start, _) in zip(sides, starts):
+        side[:UNITS] = start
+    after = fitted[:, 2 * SIZE :]
+    after = after - n[:, None] * after.sum(axis=0, dtype=np.float64) / max(1.0, n.sum())
     after /= n[:, None] + HISTORY_PRIOR
     share = n / max(1.0, n.sum())
     size = lambda x: share @ (x - share @ x) ** 2
     usual = FEATURE_SIZE * np.sqrt(np.concatenate([size(sides[0]) + size(sides[1]), size(after)]) + 1e-12)
-    return Vectors(*(x.astype(np.float32) for x in (*sides, after, p["q"], p["bias"], usual)))
+    return Vectors(*(np.ascontiguousarray(x, np.float32) for x in (*sides, after, p["q"], p["bias"], usual)))
 
 
 def _target_sums(shared, vectors):
@@ -474,15 +582,17 @@ def _target_sums(shared, vectors):
         n_own = len(table.vocabulary)
         n_items = n_own + SHARED_UNITS
         sums = Sums(n_items + 2 * SIZE, 2 * SIZE)
-        for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
-            hashes, shared_units, first = tokens(words)
-            _, _, units, own = table.look_up(hashes, shared_units)
+        for _, codes, _, first in coded(batches):
+            units, own = table.units_and_numbers(codes)
             two, one = histories(numbers_of(units, own), first)
             tail = np.flatnonzero(units >= OWN_UNITS)
             item = np.where(own[tail] >= 0, own[tail], n_own + units[tail] - OWN_UNITS)
-            f = v.features(two[tail], one[tail])
-            sums.add(item, f.T)
-            sums.total[n_items:] += f.T @ f
+            two, one = two[tail], one[tail]
+            f = np.empty((2 * SIZE, len(tail)), np.float32)
+            for part, h in v.hidden(two, one):
+                v.bounded(h, one[part], f[:, part].T)
+            sums.add(item, f)
+            sums.total[n_items:] += f @ f.T
             sums.seen[n_items:] = True
         yield from sums.rows()
 
@@ -512,6 +622,7 @@ def target_classes(table: Lexicon, sums: np.ndarray) -> Classes:
     unit = np.concatenate([table.unit[vocabulary].astype(np.int64) - OWN_UNITS, np.arange(SHARED_UNITS)])
     weight = np.append(table.count[vocabulary] + 1.0, table.unit_total[OWN_UNITS:])
     np.subtract.at(weight[n_own:], unit[:n_own], weight[:n_own])  # what the other words have
+    sums = sums.astype(np.float64)
     f = sums[: n_own + SHARED_UNITS]
     n = weight.sum()
     mean = f.sum(axis=0) / n
@@ -558,26 +669,22 @@ def target_classes(table: Lexicon, sums: np.ndarray) -> Classes:
 
 def _log_choice(f: np.ndarray, q: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-probability of the chosen row of q in each row of f."""
-    out = np.zeros(len(f), np.float32)
-    step = max(1, BLOCK * UNITS // max(1, len(q)))
+    out = np.empty(len(f), np.float32)
+    if not len(f):
+        return out
+    step = max(1, BLOCK // len(q))
+    ones = np.ones(len(q), np.float32)
+    across = np.ascontiguousarray(q.T)  # a product with a transposed view takes several times as long
+    held = np.empty((min(step, len(f)), len(q)), np.float32)
     for i in range(0, len(f), step):
-        scores = f[i : i + step] @ q.T
+        scores = np.matmul(f[i : i + step], across, out=held[: len(f) - i])
         scores += bias
-        scores -= scores.max(axis=1, keepdims=True)
         picked = scores[np.arange(len(scores)), chosen[i : i + step]]
-        out[i : i + step] = picked - np.log(np.exp(scores, out=scores).sum(axis=1))
-    return out
-
-
-def _by_group(group: np.ndarray, f: np.ndarray, chosen: np.ndarray, first: np.ndarray, q: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """``_log_choice`` among the rows of q from ``first`` of the token's group to the next."""
-    out = np.zeros(len(group), np.float32)
-    order = np.argsort(group, kind="stable")
-    found, begin = np.unique(group[order], return_index=True)
-    for g, here in zip(found, np.split(order, begin[1:])):
-        rows = slice(first[g], first[g + 1])
-        if first[g + 1] - first[g] > 1:
-            out[here] = _log_choice(f[here], q[rows], bias[rows], chosen[here] - first[g])
+        if not (scores.max() < SAFE and scores.min() > -SAFE):
+            high = scores.max(axis=1)
+            scores -= high[:, None]
+            picked -= high
+        out[i : i + step] = picked - np.log(np.exp(scores, out=scores) @ ones)
     return out
 
 
@@ -587,20 +694,42 @@ def log_probabilities(v: Vectors, c: Classes, table: Lexicon, log_p: np.ndarray,
     two, one = histories(units, first)
     score = log_p[(two * UNITS + one) * UNITS + units].astype(np.float64)
     two, one = histories(numbers_of(units, own), first)
-    at = np.flatnonzero((two >= UNITS) | (one >= UNITS))
-    score[at] = _log_choice(v.two[two[at]] + v.one[one[at]], v.q, v.bias, units[at]) / np.log(10)
+    # Tokens of the shared units by class, and so by unit: equal ones are one slice.
     tail = np.flatnonzero(units >= OWN_UNITS)
-    f = v.features(two[tail], one[tail])
-    unit, own = units[tail] - OWN_UNITS, own[tail]
-    modelled = own >= 0
-    chosen = np.where(modelled, c.class_of[own], c.class_first[unit + 1] - 1)
-    log_p_tail = _by_group(unit, f, chosen, c.class_first, c.classes, c.class_bias)
-    own, f = own[modelled], f[modelled]
-    log_p_tail[modelled] += _by_group(chosen[modelled], f, c.rank[own], c.word_first, c.words, c.word_bias)
+    class_of = np.where(own[tail] >= 0, c.class_of[own[tail]], c.class_first[units[tail] - OWN_UNITS + 1] - 1)
+    order = np.argsort(class_of.astype(np.min_scalar_type(len(c.classes))), kind="stable")
+    class_of, tail = class_of[order], tail[order]
+    place = np.zeros(len(units), np.int64)
+    place[tail] = np.arange(len(tail))
+    f = np.empty((len(tail), 2 * SIZE), np.float32)
+    for part, h in v.hidden(two, one):
+        at = np.flatnonzero((two[part] >= UNITS) | (one[part] >= UNITS))
+        score[part][at] = _log_choice(h[at], v.q, v.bias, units[part][at]) / np.log(10)
+        at = np.flatnonzero(units[part] >= OWN_UNITS)
+        features = np.empty((len(at), 2 * SIZE), np.float32)
+        v.bounded(h[at], one[part][at], features)
+        f[place[part][at]] = features
+    log_p_tail = np.zeros(len(tail), np.float32)
+    for begin, end, unit in _runs(units[tail] - OWN_UNITS):
+        rows = slice(c.class_first[unit], c.class_first[unit + 1])
+        if rows.stop - rows.start > 1:
+            log_p_tail[begin:end] = _log_choice(f[begin:end], c.classes[rows], c.class_bias[rows], class_of[begin:end] - rows.start)
+    own = own[tail]
+    rank = np.where(own >= 0, c.rank[own], 0) if len(c.rank) else own
+    for begin, end, group in _runs(class_of):
+        rows = slice(c.word_first[group], c.word_first[group + 1])
+        if rows.stop - rows.start > 1:
+            log_p_tail[begin:end] += _log_choice(f[begin:end], c.words[rows], c.word_bias[rows], rank[begin:end] - rows.start)
     score[tail] += log_p_tail / np.log(10)
     return score
 
 
+def _runs(group: np.ndarray) -> list[tuple[int, int, int]]:
+    """First place, place after the last, and value of each run of equal values."""
+    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    return list(zip(begin.tolist(), np.append(begin[1:], len(group)).tolist(), group[begin].tolist()))
+
+
 def other_places(table: Lexicon) -> np.ndarray:
     """Per unit: tokens + words + 1 of its words without vectors."""
     vocabulary = table.vocabulary
@@ -613,10 +742,11 @@ def _score(shared, model, vectors, inner):
         log_p: np.ndarray = shared_value(model)
         places = np.log10(table.n_tokens + table.n_words + 1)
         other = np.log10(other_places(table))
-        for batch, words in chunks(batches):
-            hashes, own, first = tokens(words)
-            found, count, units, number = table.look_up(hashes, own)
-            log_count = np.where(found, np.log10(count + 1.0), 0.0)
+        log_counts = np.log10(table.count + 1.0)  # 0 for a token outside the table
+        for batch, codes, rest, first in coded(batches):
+            found = codes >= 0
+            units, number = table.units_and_numbers(codes)
+            log_count = log_counts[np.maximum(codes, -1)]
             base = log_count - places
             score = log_probabilities(shared_value(vectors), shared_value(inner), table, log_p, units, number, first)
             score += np.where((units < OWN_UNITS) | (number >= 0), 0.0, log_count - other[units])
@@ -624,7 +754,6 @@ def _score(shared, model, vectors, inner):
             n = np.diff(first)
             # Tokens outside the table, by text and word.
             text = np.repeat(np.arange(len(n)), n)[~found]
-            rest = hashes[~found]
             order = np.lexsort((rest, text))
             text, rest = text[order], rest[order]
             new = np.ones(len(rest), bool)
@@ -679,11 +808,13 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_out_fold: int = 2) -> DataFr
             "text",
         )
         # Few long tasks: each passes on at most a row per word of the vocabulary and pass.
-        training = docs.where(~F.col("held_out")).select("text").coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
-        counted = training.mapInArrow(_count_words, "word long, unit short, n long")
+        n_tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        counted = docs.where(~F.col("held_out")).select("text").coalesce(n_tasks).mapInArrow(_count_words, "word long, unit short, n long")
         counts = scratch.keep(counted.groupBy("word").agg(F.max("unit").alias("unit"), F.sum("n").alias("n")))
         table = lexicon(counts)
         shared = share(spark, table)
+        docs = scratch.keep(docs.mapInArrow(_code(shared), CODED))
+        training = docs.where(~F.col("held_out")).select("codes", "others").coalesce(n_tasks)
         triples = training.mapInArrow(_count_triples(shared), "triple long, n long")
         triples = triples.groupBy("triple").agg(F.sum("n").alias("n")).toArrow()  # at most UNITS**3 rows
         dense = np.zeros(UNITS**3, np.int64)
@@ -693,9 +824,11 @@ def lm_scores(docs: DataFrame, folds: int = 7, held_out_fold: int = 2) -> DataFr
         model = share(spark, (scores / np.log(10)).astype(np.float32).ravel())
         gradients = share(spark, unit_gradients(p, scores))
         n_own = len(table.vocabulary)
-        sums = added_up(training.mapInArrow(_history_sums(shared, gradients), NUMBERED), UNITS + n_own, 3 * SIZE)
         seen = dense.reshape(UNITS * UNITS, UNITS).sum(axis=1)
-        vectors = share(spark, history_vectors(p, scores, seen, table, sums))
+        starts = start_vectors(p, scores, seen)
+        finish = _history_vectors(shared, share(spark, starts), p["q"])
+        fitted = added_up(training.mapInArrow(_history_sums(shared, gradients), NUMBERED), UNITS + n_own, 3 * SIZE, finish)
+        vectors = share(spark, history_vectors(p, starts, seen, table, fitted))
         rows = training.mapInArrow(_target_sums(shared, vectors), NUMBERED)
         sums = added_up(rows, n_own + SHARED_UNITS + 2 * SIZE, 2 * SIZE)
         inner = share(spark, target_classes(table, sums))
