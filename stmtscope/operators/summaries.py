@@ -137,6 +137,13 @@ def metric_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataF
     return batches.select("norm_id", *metrics).unpivot("norm_id", list(metrics), "metric", "value")
 
 
+def _numbered_values(batches: DataFrame, metrics: Sequence[str], of: Sequence[str]) -> DataFrame:
+    """The same with each metric as its number in ``metrics``, for those in ``of``: a key of
+    numbers alone is cheaper to aggregate, to sort and to shuffle."""
+    numbered = [part for m in of for part in (F.lit(list(metrics).index(m)), F.col(m))]
+    return batches.select("norm_id", F.stack(F.lit(len(of)), *numbered).alias("metric_no", "value"))
+
+
 def _integer_mean(total: str, filled: str) -> Column:
     return F.expr(f"{total} div nullif({filled}, 0)").alias("mean")
 
@@ -154,9 +161,8 @@ def small_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFr
 
 def count_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     """How often each value of each metric occurs per fingerprint; equal values are counted
-    before the shuffle.  The metric travels as its number."""
-    numbered = [part for i, m in enumerate(metrics) for part in (F.lit(i), F.col(m))]
-    values = batches.select("norm_id", F.stack(F.lit(len(metrics)), *numbered).alias("metric_no", "value"))
+    before the shuffle."""
+    values = _numbered_values(batches, metrics, metrics)
     return values.groupBy("norm_id", "metric_no", "value").agg(F.count("*").alias("cnt"))
 
 
@@ -197,20 +203,19 @@ def _per_bucket(values: DataFrame) -> DataFrame:
     """Values folded into buckets, each with the rows before it in its group.  The fold
     happens mostly before the shuffle, and a group has a bounded number of buckets."""
     values = values.withColumn("bucket", order_bucket(F.col("value")))
-    folded = values.groupBy("norm_id", "metric", "bucket").agg(
+    folded = values.groupBy("norm_id", "metric_no", "bucket").agg(
         F.sum("cnt").alias("size"),
         F.sum(F.when(F.col("value").isNotNull(), F.col("cnt"))).alias("filled"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         F.sum(F.col("value") * F.col("cnt")).alias("bucket_total"),
     )
-    group = W.partitionBy("norm_id", "metric")
-    upto = group.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    return folded.withColumn("before", F.sum("size").over(upto) - F.col("size")).withColumn(
-        "executions", F.sum("size").over(group)
-    )
+    # Both frames have one order, so they share a pass over the group.
+    group = W.partitionBy("norm_id", "metric_no").orderBy(F.col("bucket").asc_nulls_first())
+    upto = group.rowsBetween(W.unboundedPreceding, W.currentRow)
+    whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    sums = {"before": F.sum("size").over(upto) - F.col("size"), "executions": F.sum("size").over(whole)}
+    return folded.withColumns(sums)
 
 
 def _per_group(buckets: DataFrame) -> DataFrame:
@@ -228,7 +233,7 @@ def _per_group(buckets: DataFrame) -> DataFrame:
         reached = F.col("before") < F.expr(f"executions * {percent} div 100")
         for attribute in ("low", "high", "before"):
             aggregates.append(F.max(F.when(reached, F.col(attribute))).alias(f"{p}_{attribute}"))
-    return buckets.groupBy("norm_id", "metric").agg(*aggregates)
+    return buckets.groupBy("norm_id", "metric_no").agg(*aggregates)
 
 
 def _is_open(p: str) -> Column:
@@ -251,34 +256,39 @@ def _open_ranks(groups: DataFrame) -> DataFrame:
         )
         for p, percent in PERCENTILES.items()
     ]
-    return groups.select("norm_id", "metric", F.inline(F.array_compact(F.array(*wanted))))
+    return groups.select("norm_id", "metric_no", F.inline(F.array_compact(F.array(*wanted))))
 
 
-def _values_at_ranks(values: DataFrame, ranks: DataFrame, few_ranks: bool) -> DataFrame:
+def _values_at_ranks(values: DataFrame, ranks: DataFrame, n_ranks: int, limits: PlanLimits) -> DataFrame:
     """The value at each open rank, one row per group with a ``{percentile}_exact`` column.
 
-    With few ranks, values outside their buckets are dropped before the shuffle by a
-    broadcast of the ranks.  Otherwise all values are counted, which is spread over all
-    tasks since the key includes the value, and then joined with the ranks.
+    Values outside the ranks' buckets are dropped before the shuffle: with few ranks by a
+    broadcast of them, else by a broadcast membership filter of bounded size.  What passes is
+    counted, which is spread over all tasks since the key includes the value, and then
+    joined with the ranks.
     """
-    key = ["norm_id", "metric", "bucket"]
+    key = ["norm_id", "metric_no", "bucket"]
     values = values.withColumn("bucket", order_bucket(F.col("value")))
-    if few_ranks:
+    if n_ranks <= limits.broadcast_ranks:
         ranks = F.broadcast(ranks)
         values = values.join(ranks, key, "left_semi")
+    else:
+        log_words = min(log_words_for(n_ranks), limits.filter_log_words)
+        words = checkpointed(key_filter(ranks, key, log_words))
+        values = might_be_in(values, key, F.broadcast(words), log_words)
     counted = values.groupBy(*key, "value").agg(F.sum("cnt").alias("cnt"))
     upto = (
-        W.partitionBy("norm_id", "metric", "percentile")
+        W.partitionBy("norm_id", "metric_no", "percentile")
         .orderBy("value")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     hits = (
         counted.join(ranks, key)
-        .repartition("norm_id", "metric")
+        .repartition("norm_id", "metric_no")
         .withColumn("upto", F.sum("cnt").over(upto))
         .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("cnt") < F.col("rank")))
     )
-    return hits.groupBy("norm_id", "metric").agg(
+    return hits.groupBy("norm_id", "metric_no").agg(
         *[
             F.max(F.when(F.col("percentile") == p, F.col("value"))).alias(f"{p}_exact")
             for p in PERCENTILES
@@ -292,7 +302,7 @@ def large_group_statistics(
     """Statistics of fingerprints of any size, without giving a whole one to a task."""
 
     def values(of: Sequence[str]) -> DataFrame:
-        return metric_values(batches, of).withColumn("cnt", F.lit(1))
+        return _numbered_values(batches, metrics, of).withColumn("cnt", F.lit(1))
 
     return _large_statistics(values, metrics, limits)
 
@@ -300,7 +310,7 @@ def large_group_statistics(
 def _large_statistics(
     values_of: Callable[[Sequence[str]], DataFrame], metrics: Sequence[str], limits: PlanLimits
 ) -> DataFrame:
-    """Statistics of large groups from (norm_id, metric, value, cnt) of the metrics asked for.
+    """Statistics of large groups from (norm_id, metric_no, value, cnt) of the metrics asked for.
 
     Two scans.  The first counts value buckets and finds the bucket of every rank; its
     result, one row per fingerprint and metric, is checkpointed, so this function runs a
@@ -313,23 +323,23 @@ def _large_statistics(
     groups = checkpointed(_per_group(_per_bucket(values_of(metrics))))
     n_open = sum((_is_open(p).cast("long") for p in PERCENTILES), F.lit(0))
     # One row per metric.
-    sizes = groups.groupBy("metric").agg(F.sum(n_open).alias("open")).collect()
-    open_metrics = sorted((r.metric for r in sizes if r.open), key=list(metrics).index)
+    sizes = groups.groupBy("metric_no").agg(F.sum(n_open).alias("open")).collect()
+    open_metrics = [metrics[i] for i in sorted(r.metric_no for r in sizes if r.open)]
     summary = groups
     if open_metrics:
         # A metric whose percentiles are all known is not read again.
         values = values_of(open_metrics)
-        few_ranks = sum(r.open for r in sizes) <= limits.broadcast_ranks
-        exact = _values_at_ranks(values, _open_ranks(groups), few_ranks)
-        summary = groups.join(exact, ["norm_id", "metric"], "left")
+        exact = _values_at_ranks(values, _open_ranks(groups), sum(r.open for r in sizes), limits)
+        summary = groups.join(exact, ["norm_id", "metric_no"], "left")
 
     def found(p: str) -> Column:
         known = [F.col(f"{p}_exact")] if open_metrics else []
         return F.greatest(F.coalesce(*known, F.col(f"{p}_low"), F.lit(0)), F.lit(0))
 
+    names = F.array(*[F.lit(m) for m in metrics])
     return summary.select(
         "norm_id",
-        "metric",
+        F.get(names, "metric_no").alias("metric"),
         "min",
         _integer_mean("total", "filled"),
         "max",
@@ -373,14 +383,12 @@ def summary_of_counts(
 ) -> DataFrame:
     """``metric_summary`` from stored counts of values (see ``count_values``).  A fingerprint is
     large here if it has too many distinct values for a task to order."""
-    names = F.array(*[F.lit(m) for m in metrics])
     rows = checkpointed(counted.groupBy("norm_id").agg(F.count("*").alias("rows")))
     is_large = F.col("rows") > limits.group_rows
     fingerprints, n_large = rows.agg(F.count("*"), F.count_if(is_large)).first()
 
     def values_of(part: DataFrame) -> Callable[[Sequence[str]], DataFrame]:
-        named = part.select("norm_id", F.get(names, "metric_no").alias("metric"), "value", "cnt")
-        return lambda of: named.where(F.col("metric").isin(*of))
+        return lambda of: part.where(F.col("metric_no").isin([list(metrics).index(m) for m in of]))
 
     if n_large == 0:
         statistics = statistics_of_counts(counted, metrics)
