@@ -263,9 +263,10 @@ def _database(spark):
 
 
 def _job_options(spark, sf_dir, database, location, **options):
+    path = options["path"] if "path" in options else derive.trace_folder(spark, sf_dir)
     return LoadOptions(
         **{
-            "path": derive.trace_folder(spark, sf_dir),
+            "path": path,
             "pattern": "*.parquet",
             "fmt": "parquet",
             "database": database,
@@ -356,7 +357,7 @@ def summarize_incremental(spark, sf_dir):
     facts = derive.fact_table(spark, sf_dir)
     first = F.col("event_sequence") % 3 == 0
     with _database(spark) as (database, location):
-        options = _job_options(spark, sf_dir, database, location)
+        options = _job_options(spark, sf_dir, database, location, path="")  # facts are appended, no folder is read
         create_tables(spark, database, options.suffix, location)
         for part in (first, ~first):
             append_batches(facts.where(part), database, options.suffix)
@@ -370,7 +371,7 @@ def summarize_incremental_large(spark, sf_dir):
     first = F.col("event_sequence") % 3 == 0
     limits = ops.PlanLimits(group_rows=1000, broadcast_fingerprints=500, window_fingerprints=0, filter_log_words=8)
     with _database(spark) as (database, location):
-        options = _job_options(spark, sf_dir, database, location)
+        options = _job_options(spark, sf_dir, database, location, path="")  # facts are appended, no folder is read
         create_tables(spark, database, options.suffix, location)
         for part in (first, ~first):
             append_batches(facts.where(part), database, options.suffix)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from stmtscope.operators import PlanLimits, to_batches
 from stmtscope.operators import summaries
 from stmtscope.schema import METRICS
@@ -31,6 +32,11 @@ def test_facts_are_made_without_an_export(spark, nothing_written, source):
     assert facts.exceptAll(through_files).isEmpty()
 
 
+def test_a_summary_of_appended_facts_exports_nothing(spark, nothing_written):
+    assert contract.summarize_incremental(spark, SMALLEST).count()
+    assert not exported()
+
+
 def plan_of(df, capsys):
     df.explain()
     return capsys.readouterr().out
