@@ -34,11 +34,11 @@ MARK = "▁"
 OWN_MARK = "\ud800"  # a mark that the text itself holds; no valid text has this character
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-CHUNK_BYTES = 32 << 20  # of text whose new words share one walk
+CHUNK_BYTES = 4 << 20  # of text whose new words share one walk, and of ids decoded at once
 MOST_WORDS = 200_000  # marked words remembered by a worker between walks
 ID_BITS = 22
 FIRST_OTHER = 1 << 21  # piece numbers are below it, all code points fit above it
-MOST_PAIRS = 1_000_000  # neighbour pairs remembered by a worker
+MOST_PAIRS = 400_000  # neighbour pairs remembered by a worker
 
 
 class Vocabulary:
@@ -260,8 +260,11 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
             lists = batch.column("token_ids")
             ids = lists.flatten().to_numpy()
             first = np.concatenate([[0], np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy())]).tolist()
-            texts = [vocabulary.decode(ids[a:b].tolist()) for a, b in zip(first[:-1], first[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
+            sizes = [4 * (b - a) for a, b in zip(first[:-1], first[1:])]
+            for begin, end in text_chunks(sizes):
+                texts = [vocabulary.decode(ids[a:b].tolist()) for a, b in zip(first[begin:end], first[begin + 1 : end + 1])]
+                part = batch.slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     columns = encoded.select("doc_id", "n_tokens", "token_ids")
     return columns.mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>, text string")
