@@ -51,6 +51,16 @@ def key_filter(df: DataFrame, key: Sequence[str], log_words: int) -> DataFrame:
     return marked.groupBy("word").agg(F.bit_or("mask").alias("bits"))
 
 
+def counted_filter(df: DataFrame, key: Sequence[str], log_words: int) -> DataFrame:
+    """(word, bits, most) of all keys, where ``most`` is how often a word's most frequent key occurs.
+    One shuffle, of the keys alone, serves the filter and the search for repeated keys: equal keys
+    have one word, so both groupings find their rows in place."""
+    word = word_of(key, log_words)
+    dealt = df.select(*key).repartition(word).select(*key, word.alias("word"))
+    counted = dealt.groupBy("word", *key).agg(F.count("*").alias("n"))
+    return counted.groupBy("word").agg(F.bit_or(mask_of(key)).alias("bits"), F.max("n").alias("most"))
+
+
 def might_be_in(df: DataFrame, key: Sequence[str], words: DataFrame, log_words: int) -> DataFrame:
     """Rows whose key the filter may hold.  A broadcast of ``words`` keeps ``df`` in place."""
     holds = (F.col(_WORD) == F.col("word")) & (F.col("bits").bitwiseAND(F.col(_MASK)) == F.col(_MASK))
@@ -64,8 +74,12 @@ def found_in_filters(df: DataFrame, key: Sequence[str], filters: DataFrame, size
     ``filters`` has (of, log_words, word, bits) of any number of filters; ``sizes`` are their
     distinct ``log_words``, at most 62, and a key is looked up once per size.
     """
-    per_size = df.select(*key, mask_of(key).alias(_MASK), F.explode(F.array(*[F.lit(s) for s in sizes])).alias("_size"))
-    marked = per_size.withColumn(_WORD, word_of(key, F.col("_size")))
-    same = (F.col("_size") == F.col("log_words")) & (F.col(_WORD) == F.col("word"))
-    holds = F.col("bits").bitwiseAND(F.col(_MASK)) == F.col(_MASK)
+    # The word comes first: rows are sorted by it, and the size of a filter tells few of them apart.
+    # Of the keys only what they are made from is shuffled; words and bits are computed where they meet.
+    if len(sizes) == 1:
+        marked, same = df.select(*key), word_of(key, sizes[0]) == F.col("word")
+    else:
+        marked = df.select(*key, F.explode(F.array(*[F.lit(s) for s in sizes])).alias("_size"))
+        same = (word_of(key, F.col("_size")) == F.col("word")) & (F.col("_size") == F.col("log_words"))
+    holds = F.col("bits").bitwiseAND(mask_of(key)) == mask_of(key)
     return marked.join(filters, same & holds).select(*key, "of")

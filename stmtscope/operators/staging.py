@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bytes of files in a task that orders or deals whole rows.  Rows in memory are some ten times
+# larger than in their files, and a core has a GB or less.
+SPLIT_BYTES = 32 << 20
+_SPLIT_OPTION = "spark.sql.files.maxPartitionBytes"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.  Only a local session that
@@ -71,3 +78,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside read files in splits small enough to be ordered in memory, so that
+    a task does not spill its rows.  Smaller splits that the session asks for stay."""
+    before = spark.conf.get(_SPLIT_OPTION)
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(_SPLIT_OPTION, str(min(size, SPLIT_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT_OPTION, before)

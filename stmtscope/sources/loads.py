@@ -19,12 +19,20 @@ from pyspark.sql.types import StructType
 
 from stmtscope import schema
 from stmtscope.operators.flatten import REASON, SELECTED, duplicate_keys
-from stmtscope.operators.keyfilter import found_in_filters, key_filter, log_words_for
-from stmtscope.operators.staging import checkpointed, delete_folder, make_folder, subfolders
+from stmtscope.operators.keyfilter import (
+    MAX_BROADCAST_LOG_WORDS,
+    counted_filter,
+    found_in_filters,
+    key_filter,
+    log_words_for,
+    might_be_in,
+)
+from stmtscope.operators.staging import checkpointed, delete_folder, make_folder, small_splits, subfolders
 
 KEY = "event_sequence"
 KIND, GOOD, REJECT, FILTERED = "kind", "fact", "reject", "filtered"
 FILTER = "load_id string, log_words int, word long, bits long"
+COUNTED_FILTER = FILTER + ", most long"
 # Keys that passed a filter and are looked up as literals, which reach the file scan.
 MAX_INLINE_KEYS = 1000
 # Per row group a filter of the keys, of the size that its keys need.
@@ -57,6 +65,7 @@ class Load:
     table: str
     load_id: str
     written: list[StructType] = field(default_factory=list)
+    filters: list[int] = field(default_factory=list)
 
     @property
     def base(self) -> str:
@@ -74,10 +83,12 @@ class Load:
         """Write events flattened by ``flatten_all`` once, by kind; each task orders its facts by
         fingerprint, so that equal texts lie together and filters on one skip row groups."""
         delete_folder(self.spark, f"{self.folder}/rows")
+        self.filters.clear()
         good = F.when(F.col(REASON).isNull(), GOOD).otherwise(REJECT)
         kind = F.when(F.col(SELECTED), good).otherwise(FILTERED)
         rows = flattened.withColumn(KIND, kind).sortWithinPartitions(KIND, "norm_id")
-        rows.write.options(**WRITE_OPTIONS).partitionBy(KIND).parquet(f"{self.folder}/rows")
+        with small_splits(self.spark):
+            rows.write.options(**WRITE_OPTIONS).partitionBy(KIND).parquet(f"{self.folder}/rows")
         make_folder(self.spark, self.facts_folder)
         self.written.append(rows.schema)
 
@@ -88,19 +99,37 @@ class Load:
     def write_facts(self, batches: DataFrame) -> None:
         """Write fact rows, by column name."""
         rows = batches.select(*schema.BATCHES.fieldNames()).sortWithinPartitions("norm_id")
-        rows.write.options(**WRITE_OPTIONS).parquet(self.facts_folder)
+        with small_splits(self.spark):
+            rows.write.options(**WRITE_OPTIONS).parquet(self.facts_folder)
 
     def keys(self) -> DataFrame:
         return self.spark.read.schema(schema.BATCHES).parquet(self.facts_folder).select(KEY)
 
-    def publish(self) -> None:
-        """Make the load's facts part of the table, after its filter of keys is written."""
+    def write_filter(self) -> None:
+        """Write the filter of the load's keys, with the counts that show repeated ones; once for
+        the rows that are written."""
+        if self.filters:
+            return
         keys = self.keys()
         log_words = log_words_for(keys.count())
-        words = key_filter(keys, [KEY], log_words)
-        words.select(F.lit(self.load_id).alias("load_id"), F.lit(log_words).alias("log_words"), "word", "bits").sortWithinPartitions(
-            "word"
-        ).write.parquet(f"{self.folder}/keys")
+        delete_folder(self.spark, f"{self.folder}/keys")
+        words = counted_filter(keys, [KEY], log_words)
+        words.select(
+            F.lit(self.load_id).alias("load_id"), F.lit(log_words).alias("log_words"), "word", "bits", "most"
+        ).sortWithinPartitions("word").write.parquet(f"{self.folder}/keys")
+        self.filters.append(log_words)
+
+    def repeated_keys(self) -> DataFrame:
+        """Keys that the load holds more than once; they are only looked for where the counts say so."""
+        self.write_filter()
+        words = self.spark.read.schema(COUNTED_FILTER).parquet(f"{self.folder}/keys")
+        if words.where("most > 1").isEmpty():
+            return self.keys().where("false")
+        return duplicate_keys(self.keys()).select(KEY)
+
+    def publish(self) -> None:
+        """Make the load's facts part of the table, after its filter of keys is written."""
+        self.write_filter()
         self.spark.sql(f"ALTER TABLE {self.table} ADD PARTITION (load_id = '{self.load_id}') LOCATION '{self.facts_folder}'")
         self.spark.catalog.refreshTable(self.table)
 
@@ -137,27 +166,34 @@ def clashing_keys(load: Load) -> DataFrame:
 
     The new keys are looked up in the loads' filters.  Only of loads whose filter lets a key pass are
     keys read, and if the keys are few their values reach the scan, where row groups
-    whose own filter or range excludes them are skipped.
+    whose own filter or range excludes them are skipped.  If they are many, a filter of them is broadcast
+    and cuts the old keys in place, so that few of these are shuffled.
     """
+    stored = load.spark.table(load.table).select(KEY, "load_id")
+    none = stored.where("false")
+    if not published_loads(load.spark, load.table):
+        return none
     filters = _of_published(load, "keys", FILTER)
     sizes = sorted(r.log_words for r in filters.select("log_words").distinct().collect())
-    none = load.spark.createDataFrame([], f"{KEY} long, load_id string")
     if not sizes:
         return none
     found = checkpointed(found_in_filters(load.keys(), [KEY], filters.withColumnRenamed("load_id", "of"), sizes))
     counts = found.groupBy("of").count().collect()  # at most one row per load
     if not counts:
         return none
-    old = load.spark.table(load.table).where(F.col("load_id").isin([r.of for r in counts])).select(KEY, "load_id")
-    if sum(r["count"] for r in counts) <= MAX_INLINE_KEYS:
+    old = stored.where(F.col("load_id").isin([r.of for r in counts]))
+    n_found = sum(r["count"] for r in counts)
+    if n_found <= MAX_INLINE_KEYS:
         values = sorted({r[0] for r in found.select(KEY).collect()})
         return old.where(F.col(KEY).isin(values))
-    return old.join(found.select(KEY, F.col("of").alias("load_id")), [KEY, "load_id"], "left_semi")
+    log_words = min(log_words_for(n_found), MAX_BROADCAST_LOG_WORDS)
+    near = might_be_in(old, [KEY], F.broadcast(key_filter(found, [KEY], log_words)), log_words)
+    return near.join(found.select(KEY, F.col("of").alias("load_id")), [KEY, "load_id"], "left_semi")
 
 
 def check_load(load: Load) -> None:
     """Raise when a key is repeated in the new load or already in a published one."""
-    repeated = duplicate_keys(load.keys()).select(KEY).limit(5).collect()
+    repeated = load.repeated_keys().limit(5).collect()
     sample = repeated or clashing_keys(load).select(KEY).limit(5).collect()
     if sample:
         shown = ", ".join(str(r[0]) for r in sample)
