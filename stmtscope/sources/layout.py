@@ -13,13 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stmtscope.operators.staging import delete_folder
+from stmtscope.operators.staging import delete_folder, small_splits
 from stmtscope.schema import BATCHES
 from stmtscope.sources.loads import WRITE_OPTIONS, Load, new_id
 from stmtscope.sources.tables import fact_loads, facts_of, new_load
 
 BITS = 16  # of each coordinate
 ID_BITS = 60  # of a fingerprint, which is a hash and so spread evenly
+# Of a task's rows in memory, where they are ordered: the texts, and about as much for all else as below.
+TASK_BYTES = 256 << 20
+ROW_BYTES = 280
 
 
 def _interleaved(x: Column, y: Column) -> Column:
@@ -41,11 +44,16 @@ def curve_place(first: int, last: int) -> Column:
 
 
 def clustered(facts: DataFrame, files: int) -> DataFrame:
-    """Facts dealt to ``files`` tasks in the order of the curve.  The range of times is found by a
-    job of its own; a hot fingerprint is cut by time, so no range of the curve is too large."""
-    first, last = facts.agg(F.min(F.unix_timestamp("event_ts")), F.max(F.unix_timestamp("event_ts"))).first()
+    """Facts dealt to ``files`` tasks in the order of the curve, or to more where the rows of so few
+    would not be ordered in memory.  The range of times and the size are found by a
+    job of their own; a hot fingerprint is cut by time, so no range of the curve is too large."""
+    seconds = F.unix_timestamp("event_ts")
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in ("text_data", "norm_text")]
+    size = F.sum(texts[0] + texts[1] + ROW_BYTES)
+    first, last, n_bytes = facts.agg(F.min(seconds), F.max(seconds), size).first()
     order = [curve_place(first or 0, last or 0), F.col("norm_id"), F.col("event_ts")]
-    return facts.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    tasks = max(files, -(-(n_bytes or 0) // TASK_BYTES))
+    return facts.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
 def cluster_facts(
@@ -68,8 +76,9 @@ def cluster_facts(
         facts = facts_of(spark, database, suffix, [load_id])
         old = {f.rsplit("/", 1)[0] for f in facts.inputFiles()}
         folder = f"{load.folder}/clustered-{new_id()}"
-        rows = clustered(facts.select(*BATCHES.fieldNames()), files)
-        rows.write.options(**WRITE_OPTIONS, **(write_options or {})).parquet(folder)
+        with small_splits(spark):
+            rows = clustered(facts.select(*BATCHES.fieldNames()), files)
+            rows.write.options(**WRITE_OPTIONS, **(write_options or {})).parquet(folder)
         spark.sql(f"ALTER TABLE {table} PARTITION (load_id = '{load_id}') SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
         for place in old:
