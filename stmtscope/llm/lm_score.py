@@ -31,7 +31,7 @@ Counts of all other words reach the documents by a join; none of them is frequen
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,7 +58,7 @@ DAMPING = 0.7  # of history vectors, since those of both words before are fitted
 FEATURE_SIZE = 0.15  # of its spread: features are nearly signs
 BLOCK = 1 << 18  # scores held at once, so that they stay near the processor
 FEATURE_BLOCK = 1 << 13  # tokens whose hidden vectors are held at once
-SAFE = 60.0  # exp of a score up to this size, and sums of it, are ordinary single floats
+LEAST_SUM, MOST_SUM = 1e-20, 1e30  # between them a sum of exponentials lost nothing in single floats
 MOST_COUNTED = 1_000_000  # distinct words that a task holds before it sends their counts
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
 
@@ -97,8 +97,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for _, words in chunks(batches, chunk_bytes=PASS_BYTES):
         hashes, units, _ = tokens(words)
-        keys, at, n = np.unique(hashes, return_index=True, return_counts=True)
-        held.append((keys, units[at], n))
+        order = np.argsort(hashes)  # equal words have equal units, so any order of theirs will do
+        hashes = hashes[order]
+        at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+        held.append((hashes[at], units[order[at]], np.diff(np.append(at, len(hashes)))))
         if sum(len(x[0]) for x in held) > MOST_COUNTED:
             held = [merged()]
             if len(held[0][0]) > MOST_COUNTED:
@@ -334,7 +336,7 @@ class Sums:
         self.seen = np.zeros(size, bool)
         self.short = np.zeros(size, np.int32)
 
-    def add(self, numbers: np.ndarray, columns: Iterator[np.ndarray], begin: int = 0) -> None:
+    def add(self, numbers: np.ndarray, columns: Iterable[np.ndarray], begin: int = 0) -> None:
         here = np.zeros(len(self.seen), bool)
         here[numbers] = True
         used = np.flatnonzero(here)
@@ -411,8 +413,11 @@ def numbers_of(units: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.where(own >= 0, UNITS + own, units)
 
 
-def _signs(hashes: np.ndarray, k: int) -> np.ndarray:
-    return ((hashes >> (40 + k)) & 1) * 2 - 1
+def _signed(hashes: np.ndarray, values: np.ndarray) -> Iterator[np.ndarray]:
+    """``values`` with the sign of bits 40 to 40 + SIZE of the hashes: a 0 is a minus."""
+    minus, bits = ~(hashes >> 40).astype(np.uint32), values.astype(np.float32).view(np.uint32)
+    for k in range(SIZE):
+        yield ((minus << np.uint32(31 - k) & np.uint32(1 << 31)) ^ bits).view(np.float32)
 
 
 def _history_sums(shared, unit_model):
@@ -432,10 +437,10 @@ def _history_sums(shared, unit_model):
             two, one = histories(units, first)
             history = two * UNITS + one
             two, one = histories(numbers_of(units, own), first)
+            gradients = [gains[k][units] - expected[k][history] for k in range(SIZE)]
             for side, before in enumerate((one, two)):
-                sums.add(before, (gains[k][units] - expected[k][history] for k in range(SIZE)), side * SIZE)
-            rarity = rarities[at]
-            sums.add(one, (_signs(hashes, k) * rarity for k in range(SIZE)), 2 * SIZE)
+                sums.add(before, gradients, side * SIZE)
+            sums.add(one, _signed(hashes, rarities[at]), 2 * SIZE)
         yield from sums.rows()
 
     return run
@@ -457,20 +462,21 @@ class Vectors:
         """Features are bounded, since a target's vector comes from their mean and spread."""
         self.scale = 1 / self.usual[:SIZE]
         self.after = np.tanh(self.after / self.usual[SIZE:])
+        self.units = across(self.q, self.bias)
 
     def hidden(self, two: np.ndarray, one: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
-        """Hidden vectors of the tokens, some at a time."""
+        """Hidden vectors of the tokens, each with a one behind, some at a time."""
         for i in range(0, len(one), FEATURE_BLOCK):
             part = slice(i, min(i + FEATURE_BLOCK, len(one)))
-            h = self.two[two[part]]
-            h += self.one[one[part]]
+            h = np.ones((part.stop - i, SIZE + 1), np.float32)
+            np.add(np.take(self.two, two[part], axis=0), np.take(self.one, one[part], axis=0), out=h[:, :SIZE])
             yield part, h
 
     def bounded(self, hidden: np.ndarray, one: np.ndarray, out: np.ndarray) -> None:
         """Features of tokens, one per row of ``out``."""
         hidden = hidden * self.scale
         out[:, :SIZE] = np.tanh(hidden, out=hidden)
-        out[:, SIZE:] = self.after[one]
+        out[:, SIZE:] = np.take(self.after, one, axis=0)
 
 
 def unit_gradients(p: dict[str, np.ndarray], scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -590,7 +596,7 @@ def _target_sums(shared, vectors):
             two, one = two[tail], one[tail]
             f = np.empty((2 * SIZE, len(tail)), np.float32)
             for part, h in v.hidden(two, one):
-                v.bounded(h, one[part], f[:, part].T)
+                v.bounded(h[:, :SIZE], one[part], f[:, part].T)
             sums.add(item, f)
             sums.total[n_items:] += f @ f.T
             sums.seen[n_items:] = True
@@ -601,17 +607,15 @@ def _target_sums(shared, vectors):
 
 @dataclass
 class Classes:
-    """Classes inside the shared units: words of the vocabulary in class order, with a vector
-    and a log-weight each; then the same of classes in unit order, the last class of a unit
-    being its words without vectors."""
+    """Classes inside the shared units: vectors and log-weights of the vocabulary's words, class
+    by class; then the same of the classes, unit by unit, the last class of a unit being its
+    words without vectors."""
 
     class_of: np.ndarray  # by word number
     rank: np.ndarray  # by word number: its place in the class order
-    words: np.ndarray  # vectors in class order
-    word_bias: np.ndarray
+    of_words: list[np.ndarray]  # of each class, by ``across``
     word_first: np.ndarray  # first place of each class
-    classes: np.ndarray
-    class_bias: np.ndarray
+    of_classes: list[np.ndarray]  # of each shared unit, by ``across``
     class_first: np.ndarray  # first class of each shared unit
 
 
@@ -622,15 +626,17 @@ def target_classes(table: Lexicon, sums: np.ndarray) -> Classes:
     unit = np.concatenate([table.unit[vocabulary].astype(np.int64) - OWN_UNITS, np.arange(SHARED_UNITS)])
     weight = np.append(table.count[vocabulary] + 1.0, table.unit_total[OWN_UNITS:])
     np.subtract.at(weight[n_own:], unit[:n_own], weight[:n_own])  # what the other words have
-    sums = sums.astype(np.float64)
     f = sums[: n_own + SHARED_UNITS]
     n = weight.sum()
-    mean = f.sum(axis=0) / n
-    spread = sums[n_own + SHARED_UNITS :] / n - np.outer(mean, mean)
+    mean = f.sum(axis=0, dtype=np.float64) / n
+    spread = sums[n_own + SHARED_UNITS :].astype(np.float64) / n - np.outer(mean, mean)
     value, direction = np.linalg.eigh((spread + spread.T) / 2)
     kept = value > max(1e-9, 1e-5 * value[-1])
     white = np.where(kept, direction / np.sqrt(np.where(kept, value, 1.0)), 0.0)
-    z = (f - weight[:, None] * mean) @ white  # sums
+    z = np.empty((len(f), 2 * SIZE))  # sums
+    for i in range(0, len(f), ROWS):
+        part = slice(i, i + ROWS)
+        z[part] = (f[part] - weight[part, None] * mean) @ white
 
     def moved(total, weights, parent):
         """Mean of each, drawn towards its parent's."""
@@ -652,40 +658,90 @@ def target_classes(table: Lexicon, sums: np.ndarray) -> Classes:
     size = class_first[-1]
     class_weight, class_unit = np.bincount(class_of, weight, size), np.repeat(np.arange(SHARED_UNITS), n_classes + 1)
     class_mean = moved(group(z, class_of, size), class_weight, unit_mean[class_unit])
-    word_mean = moved(z[:n_own], weight[:n_own], class_mean[class_of[:n_own]])
 
     def discriminant(own, parent, weights):
         q = (own - parent) @ white.T
         bias = np.log(weights) - ((own**2).sum(axis=1) - (parent**2).sum(axis=1)) / 2 - q @ mean
         return q.astype(np.float32), bias.astype(np.float32)
 
-    words, word_bias = discriminant(word_mean, class_mean[class_of[:n_own]], weight[:n_own])
+    words, word_bias = np.empty((n_own, 2 * SIZE), np.float32), np.empty(n_own, np.float32)
+    for i in range(0, n_own, ROWS):  # in class order
+        at = order[i : i + ROWS]
+        parent, part = class_mean[class_of[at]], slice(i, i + ROWS)
+        words[part], word_bias[part] = discriminant(moved(z[at], weight[at], parent), parent, weight[at])
     classes, class_bias = discriminant(class_mean, unit_mean[class_unit], class_weight)
     rank = np.zeros(n_own, np.int64)
     rank[order] = np.arange(n_own)
     word_first = np.append(0, np.cumsum(np.bincount(class_of[:n_own], minlength=size)))
-    return Classes(class_of, rank, words[order], word_bias[order], word_first, classes, class_bias, class_first)
-
-
-def _log_choice(f: np.ndarray, q: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log-probability of the chosen row of q in each row of f."""
-    out = np.empty(len(f), np.float32)
-    if not len(f):
-        return out
-    step = max(1, BLOCK // len(q))
-    ones = np.ones(len(q), np.float32)
-    across = np.ascontiguousarray(q.T)  # a product with a transposed view takes several times as long
-    held = np.empty((min(step, len(f)), len(q)), np.float32)
-    for i in range(0, len(f), step):
-        scores = np.matmul(f[i : i + step], across, out=held[: len(f) - i])
-        scores += bias
-        picked = scores[np.arange(len(scores)), chosen[i : i + step]]
-        if not (scores.max() < SAFE and scores.min() > -SAFE):
+    parts = lambda q, bias, first: [across(q[a:b], bias[a:b]) for a, b in zip(first[:-1], first[1:])]
+    of_words, of_classes = parts(words, word_bias, word_first), parts(classes, class_bias, class_first)
+    return Classes(class_of, rank, of_words, word_first, of_classes, class_first)
+
+
+def across(q: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Vectors as columns, below them their biases, for rows that end in a one; a product with
+    a transposed view takes several times as long."""
+    return np.concatenate([q.T, bias[None]])
+
+
+class Choices:
+    """Log-probabilities of choices, where the score of each is a product.  The space of one
+    block of scores is used again and again; logarithms are taken at the end, of all at once."""
+
+    def __init__(self, n: int):
+        self.picked = np.zeros(n, np.float32)
+        self.sums = np.ones(n, np.float32)
+        self.held = np.empty(BLOCK, np.float32)
+        self.ones = np.ones(1024, np.float32)
+        self.place = np.arange(1024)
+
+    def add(self, begin: int, f: np.ndarray, q: np.ndarray, chosen: np.ndarray) -> None:
+        """From place ``begin`` on, the chosen column of ``q`` (made by ``across``) in each row of f."""
+        n, width = len(f), q.shape[1]
+        step = max(1, BLOCK // width)
+        if width > len(self.ones):
+            self.ones = np.ones(width, np.float32)
+            self.held = np.empty(max(BLOCK, width), np.float32)
+        if min(step, n) > len(self.place):
+            self.place = np.arange(min(step, n))
+        for i in range(0, n, step):
+            rows = min(step, n - i)
+            scores = self.held[: rows * width].reshape(rows, width)
+            np.matmul(f[i : i + rows], q, out=scores)
+            self.picked[begin + i : begin + i + rows] = scores[self.place[:rows], chosen[i : i + rows]]
+            np.exp(scores, out=scores)
+            np.matmul(scores, self.ones[:width], out=self.sums[begin + i : begin + i + rows])
+
+    def lost(self, begin: int, end: int) -> np.ndarray:
+        """Places whose scores were too large or small for exp."""
+        sums = self.sums[begin:end]
+        return begin + np.flatnonzero(~((sums > LEAST_SUM) & (sums < MOST_SUM)))
+
+    def mend(self, places: np.ndarray, f: np.ndarray, q: np.ndarray) -> None:
+        """``places`` once more, with scores from their highest."""
+        step = max(1, BLOCK // q.shape[1])
+        for i in range(0, len(places), step):
+            scores = f[i : i + step] @ q
             high = scores.max(axis=1)
-            scores -= high[:, None]
-            picked -= high
-        out[i : i + step] = picked - np.log(np.exp(scores, out=scores) @ ones)
-    return out
+            self.picked[places[i : i + step]] -= high
+            self.sums[places[i : i + step]] = np.exp(scores - high[:, None]).sum(axis=1)
+
+    def log(self) -> np.ndarray:
+        return self.picked - np.log(self.sums)
+
+
+def _grouped_choices(f: np.ndarray, group: np.ndarray, columns: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of the chosen column of each row's group, 0 if there is no other; rows are in
+    the order of their groups."""
+    choices = Choices(len(f))
+    runs = [run for run in _runs(group) if columns[run[2]].shape[1] > 1]
+    for begin, end, at in runs:
+        choices.add(begin, f[begin:end], columns[at], chosen[begin:end])
+    if len(choices.lost(0, len(f))):
+        for begin, end, at in runs:
+            lost = choices.lost(begin, end)
+            choices.mend(lost, f[lost], columns[at])
+    return choices.log()
 
 
 def log_probabilities(v: Vectors, c: Classes, table: Lexicon, log_p: np.ndarray, units, own, first) -> np.ndarray:
@@ -697,29 +753,28 @@ def log_probabilities(v: Vectors, c: Classes, table: Lexicon, log_p: np.ndarray,
     # Tokens of the shared units by class, and so by unit: equal ones are one slice.
     tail = np.flatnonzero(units >= OWN_UNITS)
     class_of = np.where(own[tail] >= 0, c.class_of[own[tail]], c.class_first[units[tail] - OWN_UNITS + 1] - 1)
-    order = np.argsort(class_of.astype(np.min_scalar_type(len(c.classes))), kind="stable")
+    order = np.argsort(class_of.astype(np.min_scalar_type(len(c.of_words))), kind="stable")
     class_of, tail = class_of[order], tail[order]
     place = np.zeros(len(units), np.int64)
     place[tail] = np.arange(len(tail))
-    f = np.empty((len(tail), 2 * SIZE), np.float32)
-    for part, h in v.hidden(two, one):
-        at = np.flatnonzero((two[part] >= UNITS) | (one[part] >= UNITS))
-        score[part][at] = _log_choice(h[at], v.q, v.bias, units[part][at]) / np.log(10)
-        at = np.flatnonzero(units[part] >= OWN_UNITS)
-        features = np.empty((len(at), 2 * SIZE), np.float32)
-        v.bounded(h[at], one[part][at], features)
-        f[place[part][at]] = features
-    log_p_tail = np.zeros(len(tail), np.float32)
-    for begin, end, unit in _runs(units[tail] - OWN_UNITS):
-        rows = slice(c.class_first[unit], c.class_first[unit + 1])
-        if rows.stop - rows.start > 1:
-            log_p_tail[begin:end] = _log_choice(f[begin:end], c.classes[rows], c.class_bias[rows], class_of[begin:end] - rows.start)
-    own = own[tail]
-    rank = np.where(own >= 0, c.rank[own], 0) if len(c.rank) else own
-    for begin, end, group in _runs(class_of):
-        rows = slice(c.word_first[group], c.word_first[group + 1])
-        if rows.stop - rows.start > 1:
-            log_p_tail[begin:end] += _log_choice(f[begin:end], c.words[rows], c.word_bias[rows], rank[begin:end] - rows.start)
+    f = np.ones((len(tail), 2 * SIZE + 1), np.float32)
+    with np.errstate(over="ignore", under="ignore"):  # such scores are taken up once more
+        for part, h in v.hidden(two, one):
+            at = np.flatnonzero((two[part] >= UNITS) | (one[part] >= UNITS))
+            choices, rows, chosen = Choices(len(at)), np.take(h, at, axis=0), units[part][at]
+            choices.add(0, rows, v.units, chosen)
+            lost = choices.lost(0, len(at))
+            choices.mend(lost, rows[lost], v.units)
+            score[part][at] = choices.log() / np.log(10)
+            at = np.flatnonzero(units[part] >= OWN_UNITS)
+            features = np.ones((len(at), 2 * SIZE + 1), np.float32)
+            v.bounded(np.take(h, at, axis=0)[:, :SIZE], one[part][at], features[:, : 2 * SIZE])
+            f[place[part][at]] = features
+        unit = units[tail] - OWN_UNITS
+        log_p_tail = _grouped_choices(f, unit, c.of_classes, class_of - c.class_first[unit])
+        own = own[tail]
+        rank = np.where(own >= 0, c.rank[own], 0) if len(c.rank) else own
+        log_p_tail += _grouped_choices(f, class_of, c.of_words, rank - c.word_first[class_of])
     score[tail] += log_p_tail / np.log(10)
     return score
 
