@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20  # of text handled at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 19  # of text handled at once, with about 64 bytes of arrays a byte; a longer text is a chunk of its own
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
