@@ -209,7 +209,12 @@ class Vocabulary:
         return [b"".join(map(known.__getitem__, cut(t))) if t else b"" for t in texts]
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.spelled.__getitem__, ids))[1:].decode(errors="replace")
+        return spelled_text(self.spelled, ids)
+
+
+def spelled_text(spelled: list[bytes], ids: list[int]) -> str:
+    """The text of some ids, whose spellings are given."""
+    return b"".join(map(spelled.__getitem__, ids))[1:].decode(errors="replace")
 
 
 def text_chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
@@ -252,17 +257,18 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, token_ids) with the ``text`` that the ids spell."""
-    shared = share(encoded.sparkSession, Vocabulary.load(model))
+    # Spellings only: a worker that decodes has no use for the rest of the vocabulary.
+    shared = share(encoded.sparkSession, Vocabulary.load(model).spelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared_value(shared)
+        spelled: list[bytes] = shared_value(shared)
         for batch in batches:
             lists = batch.column("token_ids")
             ids = lists.flatten().to_numpy()
             first = np.concatenate([[0], np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy())]).tolist()
             sizes = [4 * (b - a) for a, b in zip(first[:-1], first[1:])]
             for begin, end in text_chunks(sizes):
-                texts = [vocabulary.decode(ids[a:b].tolist()) for a, b in zip(first[begin:end], first[begin + 1 : end + 1])]
+                texts = [spelled_text(spelled, ids[a:b].tolist()) for a, b in zip(first[begin:end], first[begin + 1 : end + 1])]
                 part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
