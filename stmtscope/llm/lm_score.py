@@ -50,7 +50,7 @@ SLOTS = 1 << 18
 SIZE = 16  # of the vectors
 NOISE = 10  # noise samples per token
 EPOCHS, RATE, HISTORIES = 40, 0.05, 2048  # histories in a training step
-PASS_BYTES, PASS_TOKENS = 2 << 20, 1 << 18  # of text handled at once
+PASS_BYTES, PASS_TOKENS = 1 << 20, 1 << 18  # of text handled at once
 MIN_COUNT = 32  # of a word with vectors of its own
 HISTORY_PRIOR, TARGET_PRIOR = 30.0, 200.0  # tokens that a word's start values weigh as much as
 NEWTON_STEPS, SETTLED = 6, 1e-5

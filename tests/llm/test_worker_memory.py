@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from stmtscope.llm import near_dup, quality_vote, words
+from stmtscope.llm import lm_score, near_dup, quality_vote, words
 
 MB = 1 << 20
 
@@ -36,3 +36,8 @@ def test_text_passes_hold_little_at_a_time():
     model = quality_vote.fit(np.zeros(0, np.int64), *[np.zeros(0, np.int64)] * 3, np.zeros(2))
     scored = (model.latent(len(p), *quality_vote.features(p, of)) for b, w in words.chunks(iter([whole])) for _, p, of in quality_vote.blocks(b, w))
     assert peak(scored) < 72
+
+
+def test_counting_holds_little_at_a_time():
+    words._tables.clear()
+    assert peak(lm_score._count_words(iter([batch()]))) < 80
