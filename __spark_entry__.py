@@ -513,18 +513,23 @@ def unique_batches_lineitem(spark, sf_dir):
     return ops.unique_batches(derive.fact_table(spark, sf_dir, "lineitem"))
 
 
+def _minutes(batches: DataFrame) -> DataFrame:
+    """The minute report with the share in the type that the SQL gives it."""
+    return minute_report(batches).withColumn("cpu_pct", F.col("cpu_pct").cast("decimal(7,4)"))
+
+
 def minute_rollup(spark, sf_dir):
-    return _plain_times(minute_report(derive.fact_table(spark, sf_dir)))
+    return _plain_times(_minutes(derive.fact_table(spark, sf_dir)))
 
 
 def minute_time_series(spark, sf_dir):
     batches = derive.fact_table(spark, sf_dir)
-    return _plain_times(minute_series(minute_report(batches), ops.unique_batches(batches)))
+    return _plain_times(minute_series(_minutes(batches), ops.unique_batches(batches)))
 
 
 def minute_series_subset(spark, sf_dir):
     batches = derive.fact_table(spark, sf_dir)
-    return _plain_times(minute_series(minute_report(batches), ops.unique_batches(batches), TEXT_SUBSET))
+    return _plain_times(minute_series(_minutes(batches), ops.unique_batches(batches), TEXT_SUBSET))
 
 
 def report_long_text_list(spark, sf_dir):

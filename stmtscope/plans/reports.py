@@ -19,7 +19,8 @@ from stmtscope.schema import (
 
 def minute_report(batches: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame:
     """Load per minute, database and fingerprint.  ``cpu_pct`` is the share of the minute's
-    capacity on ``vcores`` cores, rounded once from the exact quotient."""
+    capacity on ``vcores`` cores, rounded once from the exact quotient.  It is no share of the time that
+    passed: executions count in the minute of their event, so it may be of any size."""
     return minute_report_of(minute_sums(batches), vcores)
 
 
@@ -41,11 +42,9 @@ def minute_sums(batches: DataFrame) -> DataFrame:
 
 def minute_report_of(rollup: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame:
     """The minute report from its sums."""
-    share = F.expr(
-        f"cast(cast(cpu_us as decimal(20,0)) * 100 / cast({60_000_000 * vcores} as bigint) as decimal(7,4))"
-    )
+    share = F.expr(f"cast(cpu_us as decimal(20,0)) * 100 / cast({60_000_000 * vcores} as bigint)")
     return (
-        rollup.withColumn("cpu_pct", share)
+        rollup.withColumn("cpu_pct", share.cast(MINUTE_REPORT["cpu_pct"].dataType))
         .withColumn("avg_row_count", F.expr("row_total div nullif(row_filled, 0)"))
         .select(*MINUTE_REPORT.fieldNames())
     )

@@ -125,7 +125,7 @@ MINUTE_REPORT = _struct(
     execution_count=_LONG,
     duration_us=_LONG,
     cpu_us=_LONG,
-    cpu_pct=T.DecimalType(7, 4),
+    cpu_pct=T.DecimalType(18, 4),  # holds the share of any sum of a bigint, also on one core
     logical_reads_pages=_LONG,
     physical_reads_pages=_LONG,
     writes_pages=_LONG,
