@@ -62,25 +62,37 @@ def unique_batches(batches: DataFrame, limits: PlanLimits = DEFAULT_LIMITS) -> D
     return rows.select(*UNIQUE_BATCHES.fieldNames())
 
 
+# Bits of a filter per key below which it lets most rows pass: at 2, some 65 % of them.
+LEAST_BITS_PER_KEY = 2
 EXEMPLAR = ("event_type", "database_name", "orig_text", "norm_text")
 OCCURRENCE = ("norm_id", "event_sequence", "text_id")
 
 
 def exemplar_rows(batches: DataFrame, first: DataFrame, limits: PlanLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Exemplars with their event sequence and text id, given the stored first occurrences.
+    """Exemplars with their event sequence and text id, given the stored first occurrences."""
+    return first_rows(exemplar_candidates(batches, first, limits))
+
+
+def exemplar_candidates(batches: DataFrame, first: DataFrame, limits: PlanLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Rows among which are the exemplars of all fingerprints, whose stored first occurrences are given.
 
     When these are few enough to broadcast, a semi-join finds the rows in place.  Otherwise a
     membership filter of them, of bounded size, is broadcast and cuts the rows in place, and
     only what passes is shuffled to meet the first occurrences.  The key of that join is nearly
     unique, so it has no hot values; no text is ever sorted or shuffled for rows that are cut.
+    They may be too many for a filter of that size to cut anything.  Then all rows are candidates:
+    ``first_rows`` orders them where they are, and a task passes on one per fingerprint.
     """
     n = first.count()
+    rows = _exemplar_columns(batches)
     if n <= limits.broadcast_fingerprints:
-        return _exemplars_among(_exemplar_columns(batches), F.broadcast(first))
+        return rows.join(F.broadcast(first), list(OCCURRENCE), "left_semi")
     log_words = min(log_words_for(n), limits.filter_log_words)
+    if LEAST_BITS_PER_KEY * n > 64 << log_words:
+        return rows
     words = checkpointed(key_filter(first, OCCURRENCE, log_words))
-    passed = might_be_in(_exemplar_columns(batches), OCCURRENCE, F.broadcast(words), log_words)
-    return _exemplars_among(passed, first)
+    passed = might_be_in(rows, OCCURRENCE, F.broadcast(words), log_words)
+    return passed.join(first, list(OCCURRENCE), "left_semi")
 
 
 def _exemplar_columns(batches: DataFrame) -> DataFrame:
@@ -97,21 +109,20 @@ def _exemplar_columns(batches: DataFrame) -> DataFrame:
 
 def exemplars_by_join(batches: DataFrame, first: DataFrame) -> DataFrame:
     """Exemplars as the fact rows that occur in ``first``."""
-    return _exemplars_among(_exemplar_columns(batches), first).select(*UNIQUE_BATCHES.fieldNames())
+    kept = _exemplar_columns(batches).join(first, list(OCCURRENCE), "left_semi")
+    return first_rows(kept).select(*UNIQUE_BATCHES.fieldNames())
 
 
-def _exemplars_among(rows: DataFrame, first: DataFrame) -> DataFrame:
-    """The rows that occur in ``first``; those that share even the text id are told apart last."""
-    kept = rows.join(first, list(OCCURRENCE), "left_semi")
+def first_rows(rows: DataFrame) -> DataFrame:
+    """The first row of each fingerprint, with its texts: each task passes on at most one per
+    fingerprint.  Rows that share even the text id are told apart last."""
     row = F.min(F.struct("event_sequence", "text_id", *EXEMPLAR)).alias("row")
-    return kept.groupBy("norm_id").agg(row).select("norm_id", "row.*")
+    return rows.groupBy("norm_id").agg(row).select("norm_id", "row.*")
 
 
 def exemplars_by_aggregate(batches: DataFrame) -> DataFrame:
-    """Exemplars in one aggregation: each task passes on at most one row per fingerprint."""
-    row = F.min(F.struct("event_sequence", "text_id", *EXEMPLAR)).alias("row")
-    first = _exemplar_columns(batches).groupBy("norm_id").agg(row)
-    return first.select(*[c if c == "norm_id" else f"row.{c}" for c in UNIQUE_BATCHES.fieldNames()])
+    """Exemplars in one aggregation."""
+    return first_rows(_exemplar_columns(batches)).select(*UNIQUE_BATCHES.fieldNames())
 
 
 def batch_summary(batches: DataFrame) -> DataFrame:
@@ -159,11 +170,15 @@ def small_group_statistics(batches: DataFrame, metrics: Sequence[str]) -> DataFr
     return statistics_of_counts(count_values(batches, metrics), metrics)
 
 
+def counted_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """One row per execution and metric, with the count 1, to be added up."""
+    return _numbered_values(batches, metrics, metrics).withColumn("cnt", F.lit(1))
+
+
 def count_values(batches: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     """How often each value of each metric occurs per fingerprint; equal values are counted
     before the shuffle."""
-    values = _numbered_values(batches, metrics, metrics)
-    return values.groupBy("norm_id", "metric_no", "value").agg(F.count("*").alias("cnt"))
+    return counted_values(batches, metrics).groupBy("norm_id", "metric_no", "value").agg(F.sum("cnt").alias("cnt"))
 
 
 def statistics_of_counts(counted: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -378,27 +393,19 @@ def metric_summary(
     return _with_total_rank(statistics, fingerprints, limits)
 
 
-def summary_of_counts(
-    counted: DataFrame, metrics: Sequence[str] = METRICS, limits: PlanLimits = DEFAULT_LIMITS
+def summary_of_states(
+    profiles: DataFrame, counted: DataFrame, fingerprints: int, limits: PlanLimits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """``metric_summary`` from stored counts of values (see ``count_values``).  A fingerprint is
-    large here if it has too many distinct values for a task to order."""
-    rows = checkpointed(counted.groupBy("norm_id").agg(F.count("*").alias("rows")))
-    is_large = F.col("rows") > limits.group_rows
-    fingerprints, n_large = rows.agg(F.count("*"), F.count_if(is_large)).first()
+    """``metric_summary`` of all metrics from the metrics of executions, for fingerprints that one task may
+    order, and from counts of values (see ``count_values``) for the others."""
+    # Dealt by fingerprint as whole executions: values are told apart, ordered and added up where they are.
+    statistics = statistics_of_counts(counted_values(profiles.repartition("norm_id")), METRICS)
+    if not counted.isEmpty():
 
-    def values_of(part: DataFrame) -> Callable[[Sequence[str]], DataFrame]:
-        return lambda of: part.where(F.col("metric_no").isin([list(metrics).index(m) for m in of]))
+        def values(of: Sequence[str]) -> DataFrame:
+            return counted.where(F.col("metric_no").isin([METRICS.index(m) for m in of]))
 
-    if n_large == 0:
-        statistics = statistics_of_counts(counted, metrics)
-    elif n_large == fingerprints or n_large > limits.broadcast_fingerprints:
-        statistics = _large_statistics(values_of(counted), metrics, limits)
-    else:
-        large = F.broadcast(rows.where(is_large).select("norm_id"))
-        statistics = statistics_of_counts(counted.join(large, "norm_id", "left_anti"), metrics).union(
-            _large_statistics(values_of(counted.join(large, "norm_id", "left_semi")), metrics, limits)
-        )
+        statistics = statistics.union(_large_statistics(values, METRICS, limits))
     return _with_total_rank(statistics, fingerprints, limits)
 
 

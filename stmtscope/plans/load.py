@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -9,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stmtscope.operators.flatten import REASON, flatten_all, split_rejects
-from stmtscope.operators.staging import checkpointed
-from stmtscope.operators.states import derived_tables, merged_states, partial_states
+from stmtscope.operators.staging import checkpointed, small_splits
+from stmtscope.operators.states import added_states, derived_tables
 from stmtscope.operators.summaries import DEFAULT_LIMITS, PlanLimits
-from stmtscope.plans.reports import metric_report, minute_report_of, minute_series, minute_sums
+from stmtscope.plans.reports import metric_report, minute_report_of, minute_rows, minute_series
 from stmtscope.schema import DEFAULT_VCORES, EVENT, EVENT_TYPES, LOADED_FILE
 from stmtscope.sources.events import as_plain_path, damaged_files, listed_files, load_stats, read_events
 from stmtscope.sources.loads import Load, check_load, loaded_files
@@ -131,8 +132,8 @@ def _write_rows(new: Load, options: LoadOptions, files: DataFrame, paths: str |
 def summarize(spark: SparkSession, options: LoadOptions, limits: PlanLimits = DEFAULT_LIMITS) -> None:
     """Bring every derived table up to the published loads.
 
-    Only facts of loads that the tables do not cover yet are read; their states are added to the stored
-    ones, and all tables follow from these.  The new tables and states are shown at once.
+    Only facts of loads that the tables do not cover yet are read; they are added to the stored
+    states, and all tables follow from these.  The new tables and states are shown at once.
     """
     database, suffix = options.database, options.suffix
     published = fact_loads(spark, database, suffix)
@@ -143,9 +144,12 @@ def summarize(spark: SparkSession, options: LoadOptions, limits: PlanLimits = DE
     states = old
     new = Version(spark, database, suffix, options.buckets, published)
     if fresh or not old:
-        added = partial_states(facts_of(spark, database, suffix, fresh), minute_sums, limits)
-        states = merged_states(old, added) if old else added
-    stored = {base: new.store(base, df) for base, df in states.items()}
+        states = added_states(old, facts_of(spark, database, suffix, fresh), minute_rows, limits)
+    stored = {}
+    for base, df in states.items():
+        # Exemplars may have whole rows ordered.
+        with small_splits(spark) if base == "state_exemplars" else nullcontext():
+            stored[base] = new.store(base, df)
     for base, df in derived_tables(stored, lambda m: minute_report_of(m, options.vcores), limits).items():
         new.store(base, df)
     new.show()

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stmtscope.operators.filters import with_norm_texts
+from stmtscope.operators.states import MINUTE_KEY, added_up
 from stmtscope.schema import (
     DEFAULT_VCORES,
     MINUTE_REPORT,
     PERCENTILES,
+    STATE_MINUTES,
     TOTAL_UNITS,
     wide_metric_columns,
 )
@@ -24,22 +26,29 @@ def minute_report(batches: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame
     return minute_report_of(minute_sums(batches), vcores)
 
 
-def minute_sums(batches: DataFrame) -> DataFrame:
-    """Sums per minute, database and fingerprint, from which minutes of several loads add up."""
-    return batches.groupBy(
-        F.date_trunc("minute", "event_ts").alias("minute"), "database_name", "norm_id"
-    ).agg(
-        F.count("*").alias("execution_count"),
-        F.sum("duration").alias("duration_us"),
-        F.sum("cpu_time").alias("cpu_us"),
-        F.sum("logical_reads").alias("logical_reads_pages"),
-        F.sum("physical_reads").alias("physical_reads_pages"),
-        F.sum("writes").alias("writes_pages"),
-        F.sum("row_count").alias("row_total"),
-        F.count("row_count").alias("row_filled"),
+def minute_rows(batches: DataFrame) -> DataFrame:
+    """Executions as sums per minute, database and fingerprint of one execution each, which add up
+    with those of other loads."""
+    return batches.select(
+        F.date_trunc("minute", "event_ts").alias("minute"),
+        "database_name",
+        "norm_id",
+        F.lit(1).cast("long").alias("execution_count"),
+        F.col("duration").alias("duration_us"),
+        F.col("cpu_time").alias("cpu_us"),
+        F.col("logical_reads").alias("logical_reads_pages"),
+        F.col("physical_reads").alias("physical_reads_pages"),
+        F.col("writes").alias("writes_pages"),
+        F.col("row_count").alias("row_total"),
+        F.col("row_count").isNotNull().cast("long").alias("row_filled"),
     )
 
 
+def minute_sums(batches: DataFrame) -> DataFrame:
+    """Sums per minute, database and fingerprint."""
+    return added_up(minute_rows(batches), STATE_MINUTES, MINUTE_KEY)
+
+
 def minute_report_of(rollup: DataFrame, vcores: int = DEFAULT_VCORES) -> DataFrame:
     """The minute report from its sums."""
     share = F.expr(f"cast(cpu_us as decimal(20,0)) * 100 / cast({60_000_000 * vcores} as bigint)")

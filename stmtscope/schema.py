@@ -133,9 +133,9 @@ MINUTE_REPORT = _struct(
 )
 
 # What summaries keep besides their tables, so that further loads can be added to it.
-STATE_TEXTS = _struct(
-    norm_id=_LONG, text_id=_LONG, executions=_LONG, successful=_LONG, failed=_LONG, aborted=_LONG, first_sequence=_LONG
-)
+STATE_COUNTS = _struct(norm_id=_LONG, executions=_LONG, successful=_LONG, failed=_LONG, aborted=_LONG)
+STATE_TEXTS = _struct(norm_id=_LONG, text_id=_LONG)
+STATE_PROFILES = _struct(norm_id=_LONG, **{m: _LONG for m in METRICS})
 STATE_VALUES = _struct(norm_id=_LONG, metric_no=_INT, value=_LONG, cnt=_LONG)
 STATE_MINUTES = _struct(
     minute=_TIME,

@@ -27,7 +27,7 @@ from stmtscope.operators.keyfilter import (
     log_words_for,
     might_be_in,
 )
-from stmtscope.operators.staging import checkpointed, delete_folder, make_folder, small_splits, subfolders
+from stmtscope.operators.staging import COMPRESSION, checkpointed, delete_folder, make_folder, small_splits, subfolders
 
 KEY = "event_sequence"
 KIND, GOOD, REJECT, FILTERED = "kind", "fact", "reject", "filtered"
@@ -39,6 +39,7 @@ MAX_INLINE_KEYS = 1000
 WRITE_OPTIONS = {
     f"parquet.bloom.filter.enabled#{KEY}": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
+    **COMPRESSION,
 }
 
 

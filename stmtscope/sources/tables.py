@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stmtscope import schema
 from stmtscope.operators.flatten import duplicate_keys
-from stmtscope.operators.staging import checkpointed, make_folder
+from stmtscope.operators.staging import COMPRESSION, make_folder
 from stmtscope.sources.loads import DuplicateKeyError, Load, check_load, database_folder, new_id, published_loads
 
 FACT = "batches"
@@ -35,8 +35,12 @@ STATES = {
     "state_values": schema.STATE_VALUES,
     "state_minutes": schema.STATE_MINUTES,
     "state_exemplars": schema.STATE_EXEMPLARS,
+    "state_counts": schema.STATE_COUNTS,
+    "state_profiles": schema.STATE_PROFILES,
 }
 VERSIONED = {base: columns for base, columns in (TABLES | STATES).items() if base != FACT}
+# Order within the files: rows with much in common lie together.
+ORDER = {"state_values": ("norm_id", "metric_no", "value")}
 FAMILY = "base string, version string, loads array<string>, buckets int"
 
 
@@ -69,7 +73,7 @@ def create_tables(
     Existing ones stay as they are."""
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    if spark.catalog.tableExists(table_name(database, "state_exemplars", suffix)):  # the last one made
+    if spark.catalog.tableExists(table_name(database, list(VERSIONED)[-1], suffix)):  # the last one made
         return
     family = _family_name(database, suffix)
     if not spark.catalog.tableExists(family):
@@ -187,13 +191,13 @@ class Version:
         rows = df.select(*VERSIONED[base].fieldNames())
         if buckets:
             dealt = rows.withColumn("version", F.lit(self.version)).repartition(buckets, "norm_id").write
-            dealt.bucketBy(buckets, "norm_id").sortBy("norm_id").partitionBy("version").format("parquet").mode("append").saveAsTable(stored)
+            dealt = dealt.options(**COMPRESSION).bucketBy(buckets, "norm_id").sortBy("norm_id").partitionBy("version")
+            dealt.format("parquet").mode("append").saveAsTable(stored)
         else:
-            if base not in STATES:
-                # The ranges are sampled by a job of their own; a checkpoint spares it the computation.
-                rows = checkpointed(rows).repartitionByRange("norm_id").sortWithinPartitions("norm_id")
+            # No shuffle for the sake of the order: it would carry every row of every table once more.
+            rows = rows.sortWithinPartitions(*ORDER.get(base, ("norm_id",)))
             folder = f"{database_folder(spark, self.database)}/{base}{self.suffix}_parts/version={self.version}"
-            rows.write.parquet(folder)
+            rows.write.options(**COMPRESSION).parquet(folder)
             spark.sql(f"ALTER TABLE {stored} ADD PARTITION (version = '{self.version}') LOCATION '{folder}'")
             spark.catalog.refreshTable(stored)
         return _of_version(spark, stored, base, self.version)
@@ -244,7 +248,7 @@ def stored_states(spark: SparkSession, database: str, suffix: str = "") -> tuple
     states = {
         base: _of_version(spark, stored_name(database, base, suffix), base, shown[base].version) for base in STATES
     }
-    return states, shown["state_texts"].loads
+    return states, shown["state_counts"].loads
 
 
 def _of_version(spark: SparkSession, stored: str, base: str, version: str) -> DataFrame:
